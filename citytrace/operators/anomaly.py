@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citytrace.functions import numeric, times
 from citytrace.operators import prepare
-from citytrace.operators.lookup import attach_context, attach_hour_threshold, with_labels
+from citytrace.operators.lookup import attach_context, attach_hour_threshold, with_labels, with_row
 from citytrace.operators.quantiles import exact_quantiles
 
 TARGET_RATE = 0.01
@@ -136,27 +136,22 @@ def calibrate_speed(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame
             for order, (s, m) in enumerate(grid)
         ]
     )
-    best = _best(rates, combos, target).scalar()
-    everywhere = exact_quantiles(scored, [], "speed_anomaly_score", score_q).select(F.struct("*")).scalar()
-    mph_everywhere = exact_quantiles(scored, [], "speed_mph", speed_q).select(F.struct("*")).scalar()
-
-    def chosen(name: str, options, of) -> Column:
-        return F.coalesce(*[F.when(best[name] == o, of(o)) for o in options])
-
     hours = scored.sparkSession.range(24).select(F.col("id").cast("int").alias("pickup_hour"))
-    global_score = chosen("s", score_q, lambda o: everywhere[o])
-    global_mph = chosen("m", speed_q, lambda o: mph_everywhere[o])
-    return hours.join(hourly, "pickup_hour", "left").select(
+    rows = hours.join(hourly, "pickup_hour", "left").withColumn("_best", _best(rates, combos, target).scalar())
+    rows = with_row(rows, exact_quantiles(scored, [], "speed_anomaly_score", score_q), "_score")
+    rows = with_row(rows, exact_quantiles(scored, [], "speed_mph", speed_q), "_mph")
+    chosen = lambda name, options, of: F.coalesce(*[F.when(F.col(f"_best.{name}") == o, F.col(of(o))) for o in options])
+    return rows.select(
         "pickup_hour",
         times.hour_label(F.col("pickup_hour")).alias("hour_label"),
-        F.coalesce(chosen("s", score_q, F.col), global_score).alias("speed_score_threshold"),
-        F.coalesce(chosen("m", speed_q, F.col), global_mph).alias("speed_mph_threshold"),
-        best["score_quantile"].alias("score_quantile"),
-        best["speed_quantile"].alias("speed_quantile"),
-        best["rate"].alias("estimated_anomaly_rate"),
-        global_score.alias("global_speed_score_threshold"),
-        global_mph.alias("global_speed_mph_threshold"),
-    )
+        chosen("s", score_q, str).alias("speed_score_threshold"),
+        chosen("m", speed_q, str).alias("speed_mph_threshold"),
+        "_best.score_quantile",
+        "_best.speed_quantile",
+        F.col("_best.rate").alias("estimated_anomaly_rate"),
+        chosen("s", score_q, "_score.{}".format).alias("global_speed_score_threshold"),
+        chosen("m", speed_q, "_mph.{}".format).alias("global_speed_mph_threshold"),
+    ).withColumns({n: F.coalesce(n, f"global_{n}") for n in ("speed_score_threshold", "speed_mph_threshold")})
 
 
 def calibrate_fare(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame:
@@ -166,8 +161,12 @@ def calibrate_fare(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame:
     """
     score_q = {f"s{i}": q for i, q in enumerate(FARE_SCORE_Q)}
     ratio_q = {f"r{i}": q for i, q in enumerate(FARE_RATIO_Q)}
-    scores = exact_quantiles(scored, [], "fare_anomaly_score", score_q).select(F.struct("*")).scalar()
-    ratios = exact_quantiles(scored, [], "fare_to_context_median_ratio", ratio_q).select(F.struct("*")).scalar()
+    measures = ("fare_amount", "context_fare_median", "context_iqr_fare")
+    rows = scored.select(*measures, "fare_anomaly_score", "fare_to_context_median_ratio")
+    rows = with_row(rows, exact_quantiles(scored, [], "fare_anomaly_score", score_q), "_score")
+    rows = with_row(rows, exact_quantiles(scored, [], "fare_to_context_median_ratio", ratio_q), "_ratio")
+    scores = {s: F.col(f"_score.{s}") for s in score_q}
+    ratios = {r: F.col(f"_ratio.{r}") for r in ratio_q}
     above = lambda k: F.col("fare_amount") >= F.col("context_fare_median") + F.col("context_iqr_fare") * k
     flag = lambda s, k, r: (
         (F.col("fare_anomaly_score") >= scores[s])
@@ -176,8 +175,9 @@ def calibrate_fare(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame:
     )
     grid = [(s, i, r) for s in score_q for i in range(len(FARE_IQR_MULTIPLIERS)) for r in ratio_q]
     name = lambda s, i, r: f"{s}k{i}{r}"
-    rates = scored.agg(
+    rates = rows.agg(
         F.count(F.lit(1)).alias("_n"),
+        *[F.any_value(c).alias(n) for n, c in (scores | ratios).items()],
         *[F.count_if(flag(s, FARE_IQR_MULTIPLIERS[i], r)).alias(name(s, i, r)) for s, i, r in grid],
     )
     combos = F.array(
@@ -185,10 +185,10 @@ def calibrate_fare(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame:
             F.struct(
                 F.lit(order).alias("order"),
                 F.lit(score_q[s]).alias("score_quantile"),
-                scores[s].alias("score_threshold"),
+                F.col(s).alias("score_threshold"),
                 F.lit(FARE_IQR_MULTIPLIERS[i]).alias("iqr_multiplier"),
                 F.lit(ratio_q[r]).alias("ratio_quantile"),
-                ratios[r].alias("ratio_threshold"),
+                F.col(r).alias("ratio_threshold"),
                 (F.col(name(s, i, r)).cast("double") / F.col("_n")).alias("rate"),
             )
             for order, (s, i, r) in enumerate(grid)
@@ -212,14 +212,14 @@ def flag_speed(scored: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def flag_fare(scored: DataFrame, threshold: DataFrame) -> DataFrame:
-    t = threshold.select(F.struct("score_threshold", "iqr_multiplier", "ratio_threshold")).scalar()
-    upper = F.col("context_median_fare") + t["iqr_multiplier"] * F.col("context_iqr_fare")
+    upper = F.col("context_median_fare") + F.col("_t.iqr_multiplier") * F.col("context_iqr_fare")
     flag = (
-        (F.col("fare_anomaly_score") >= t["score_threshold"])
+        (F.col("fare_anomaly_score") >= F.col("_t.score_threshold"))
         & (F.col("fare_amount") >= F.col("context_upper_fare_threshold"))
-        & (F.col("fare_to_context_median_ratio") >= t["ratio_threshold"])
+        & (F.col("fare_to_context_median_ratio") >= F.col("_t.ratio_threshold"))
     )
-    return scored.withColumn("context_upper_fare_threshold", upper).withColumn("is_fare_outlier_anomaly", flag)
+    rows = with_row(scored, threshold, "_t").withColumn("context_upper_fare_threshold", upper)
+    return rows.withColumn("is_fare_outlier_anomaly", flag).drop("_t")
 
 
 def hourly_variation(flagged: DataFrame, flag: str) -> DataFrame:

@@ -28,6 +28,11 @@ def _both_ends(df: DataFrame, table: DataFrame, cols: Sequence[str]) -> DataFram
     return df
 
 
+def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
+    """Add a one-row frame as a struct column. A scalar subquery carries it, not a join."""
+    return df.withColumn(name, row.select(F.struct("*")).scalar())
+
+
 def with_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     return _both_ends(df, zones, ("borough", "zone"))
 
@@ -67,9 +72,8 @@ def attach_context(df: DataFrame, context: DataFrame, route: DataFrame, overall:
     """Fare statistics of a trip from its context, else its route, else all trips."""
     keys = ["source_id", "destination_id"]
     joined = df.join(context, [*keys, "pickup_hour", "is_weekend"], "left").join(route, keys, "left")
-    every = overall.select(F.struct("*")).scalar()
-    pick = lambda name, last: F.coalesce(F.col(f"context_{name}"), F.col(f"route_{name}"), every[last])
-    filled = joined.withColumns(
+    pick = lambda name, last: F.coalesce(F.col(f"context_{name}"), F.col(f"route_{name}"), F.col(f"_all.{last}"))
+    filled = with_row(joined, overall, "_all").withColumns(
         {
             "context_fare_q1": pick("fare_q1", "global_fare_q1"),
             "context_fare_median": pick("fare_median", "global_fare_median"),
@@ -77,16 +81,14 @@ def attach_context(df: DataFrame, context: DataFrame, route: DataFrame, overall:
             "context_trip_count": pick("trip_count", "global_context_count"),
         }
     )
-    return filled.drop("route_trip_count", "route_fare_q1", "route_fare_median", "route_fare_q3")
+    return filled.drop("_all", "route_trip_count", "route_fare_q1", "route_fare_median", "route_fare_q3")
 
 
 def attach_route_prior(df: DataFrame, prior: DataFrame, overall: DataFrame) -> DataFrame:
     keys = ["source_id", "destination_id"]
-    every = overall.select(F.struct("*")).scalar()
-    joined = df.join(prior, keys, "left")
-    return joined.withColumns(
-        {c: F.coalesce(F.col(c), every[c]) for c in prior.columns if c not in keys}
-    )
+    joined = with_row(df.join(prior, keys, "left"), overall, "_all")
+    filled = {c: F.coalesce(F.col(c), F.col(f"_all.{c}")) for c in prior.columns if c not in keys}
+    return joined.withColumns(filled).drop("_all")
 
 
 def attach_hour_threshold(df: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -96,9 +98,9 @@ def attach_hour_threshold(df: DataFrame, thresholds: DataFrame) -> DataFrame:
     """
     names = ("speed_score_threshold", "speed_mph_threshold")
     by_hour = thresholds.select("pickup_hour", *names)
-    every = thresholds.agg(F.struct(*[F.max(f"global_{n}").alias(n) for n in names])).scalar()
-    joined = df.join(F.broadcast(by_hour), "pickup_hour", "left")
-    return joined.withColumns({n: F.coalesce(F.col(n), every[n]) for n in names})
+    every = thresholds.agg(*[F.max(f"global_{n}").alias(n) for n in names])
+    joined = with_row(df.join(F.broadcast(by_hour), "pickup_hour", "left"), every, "_all")
+    return joined.withColumns({n: F.coalesce(F.col(n), F.col(f"_all.{n}")) for n in names}).drop("_all")
 
 
 def located(coords: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citytrace.functions import bins, numeric, times
-from citytrace.operators.lookup import with_zones
+from citytrace.operators.lookup import with_row, with_zones
 from citytrace.operators.quantiles import exact_quantiles
 
 MAX_ETA_MINUTES = 240
@@ -85,9 +85,8 @@ def medians(df: DataFrame, cols: Sequence[str], default: float = 0.0) -> DataFra
 
 def impute(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace unreadable or non-finite values by the columns of a one-row frame."""
-    return df.withColumns(
-        {c: F.coalesce(numeric.finite(F.col(c)), fills.select(c).scalar()) for c in cols}
-    )
+    filled = {c: F.coalesce(numeric.finite(F.col(c)), F.col(f"_fills.{c}")) for c in cols}
+    return with_row(df, fills, "_fills").withColumns(filled).drop("_fills")
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], default: float = 0.0) -> DataFrame:

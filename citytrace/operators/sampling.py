@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citytrace.operators.lookup import with_row
+
 HASH_SPACE = 1 << 52
 KEY_SLICES = 65_536
 
@@ -52,10 +54,7 @@ def _take(df: DataFrame, by: list[str], quota, key: Column, space: int) -> DataF
     if by:
         marked = keyed.join(full.join(cut, by, "full"), by, "inner")
     else:
-        edge = cut.select(F.struct("_cut", "_left")).scalar()
-        marked = keyed.withColumns(
-            {"_last": full.select("_last").scalar(), "_cut": edge["_cut"], "_left": edge["_left"]}
-        )
+        marked = with_row(with_row(keyed, full, "_f"), cut, "_e").select(*keyed.columns, "_f._last", "_e._cut", "_e._left")
     whole = marked.where(F.col("_s") <= F.col("_last")).select(*cols)
     tied = marked.where(F.col("_s") == F.col("_cut")).groupBy(*cols, "_k", "_left").agg(F.count(F.lit(1)).alias("_c"))
     seen = F.sum("_c").over(

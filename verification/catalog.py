@@ -170,7 +170,7 @@ def od_points(spark, sf):
 
 @query
 def nearest_borough(spark, sf):
-    return cluster.nearest_borough(_points(spark, sf), cluster.borough_centroids(zones(spark, sf), coords(spark, sf)))
+    return cluster.nearest_borough(_points(spark, sf), _centroids(spark, sf))
 
 
 @query
@@ -539,7 +539,8 @@ def _points(spark, sf):
 
 
 def _centroids(spark, sf):
-    return cluster.borough_centroids(zones(spark, sf), coords(spark, sf))
+    """Rounded, so that a point between two centroids has one nearest for every engine."""
+    return checked(cluster.borough_centroids(zones(spark, sf), coords(spark, sf)))
 
 
 def _refined(spark, sf):

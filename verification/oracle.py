@@ -308,8 +308,8 @@ CTES: dict[str, str] = {
         FROM coords CROSS JOIN {EVERY_SEGMENT} WHERE location_id % 5 = 2""",
     "marked": """
         SELECT p.segment, p.location_id, p.long, p.lat, p.weight,
-               arg_min(cluster_id, (pow(center_long - p.long, 2) + pow(center_lat - p.lat, 2), cluster_id)) AS cluster_id,
-               min(pow(center_long - p.long, 2) + pow(center_lat - p.lat, 2)) AS d2
+               arg_min(cluster_id, ((center_long - p.long) * (center_long - p.long) + (center_lat - p.lat) * (center_lat - p.lat), cluster_id)) AS cluster_id,
+               min((center_long - p.long) * (center_long - p.long) + (center_lat - p.lat) * (center_lat - p.lat)) AS d2
         FROM points p JOIN starts USING (segment) GROUP BY ALL""",
     "means": """
         SELECT segment, cluster_id, sum(long * weight) / sum(weight) AS m_long, sum(lat * weight) / sum(weight) AS m_lat,
@@ -320,12 +320,12 @@ CTES: dict[str, str] = {
                coalesce(m_lat, center_lat) AS center_lat, coalesce(n, 0) AS cluster_count
         FROM starts LEFT JOIN means USING (segment, cluster_id)""",
     "centroids": """
-        SELECT trim(borough) AS borough, avg(long) AS long, avg(lat) AS lat,
+        SELECT trim(borough) AS borough, round(avg(long) + 1e-9, 6) AS long, round(avg(lat) + 1e-9, 6) AS lat,
                count(DISTINCT location_id) AS location_count
         FROM known JOIN coords USING (location_id) GROUP BY 1""",
     "near": """
         SELECT p.segment, p.location_id, p.long, p.lat, p.weight,
-               arg_min(borough, (pow(c.long - p.long, 2) + pow(c.lat - p.lat, 2), borough)) AS nearest_borough
+               arg_min(borough, ((c.long - p.long) * (c.long - p.long) + (c.lat - p.lat) * (c.lat - p.lat), borough)) AS nearest_borough
         FROM points p CROSS JOIN centroids c GROUP BY ALL""",
     "shares": """
         SELECT segment, nearest_borough AS borough, CAST(sum(weight) AS BIGINT) AS points,
@@ -336,7 +336,7 @@ CTES: dict[str, str] = {
                round(CAST(f.cluster_count AS DOUBLE) / sum(f.cluster_count) OVER (PARTITION BY f.segment) * 100, 2)
                  AS share_pct, f.center_long, f.center_lat, f.nearest_borough
         FROM (SELECT r.segment, r.cluster_id, r.cluster_count, r.center_long, r.center_lat,
-                     arg_min(borough, (pow(c.long - r.center_long, 2) + pow(c.lat - r.center_lat, 2), borough))
+                     arg_min(borough, ((c.long - r.center_long) * (c.long - r.center_long) + (c.lat - r.center_lat) * (c.lat - r.center_lat), borough))
                        AS nearest_borough
               FROM refined r CROSS JOIN centroids c GROUP BY ALL) f""",
     "ranked_clusters": """
