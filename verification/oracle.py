@@ -66,12 +66,12 @@ _fare_grid = [(s, k, r) for s in SCORE_Q for k in MULTIPLIERS for r in RATIO_Q]
 
 
 def _token_flag(key: str) -> str:
-    return f"len(list_filter(items, t -> starts_with(t, '{key}='))) > 0"
+    return f"len([t FOR t IN items IF starts_with(t, '{key}=')]) > 0"
 
 
 def _token_value(key: str) -> str:
     """Value of the only token of a key; a basket has each key at most once."""
-    return f"substr(list_filter(items, t -> starts_with(t, '{key}='))[1], {len(key) + 2})"
+    return f"substr([t FOR t IN items IF starts_with(t, '{key}=')][1], {len(key) + 2})"
 
 
 def _has(*toks: str) -> str:
@@ -328,9 +328,9 @@ CTES: dict[str, str] = {
                arg_min(borough, ((c.long - p.long) * (c.long - p.long) + (c.lat - p.lat) * (c.lat - p.lat), borough)) AS nearest_borough
         FROM points p CROSS JOIN centroids c GROUP BY ALL""",
     "shares": """
-        SELECT segment, nearest_borough AS borough, CAST(sum(weight) AS BIGINT) AS points,
-               round(CAST(sum(weight) AS DOUBLE) / sum(sum(weight)) OVER (PARTITION BY segment) * 100, 2) AS share_pct
-        FROM near GROUP BY ALL""",
+        SELECT segment, borough, points,
+               round(CAST(points AS DOUBLE) / sum(points) OVER (PARTITION BY segment) * 100, 2) AS share_pct
+        FROM (SELECT segment, nearest_borough AS borough, CAST(sum(weight) AS BIGINT) AS points FROM near GROUP BY ALL)""",
     "snaps": """
         SELECT f.segment, f.cluster_id, f.cluster_count AS total_count,
                round(CAST(f.cluster_count AS DOUBLE) / sum(f.cluster_count) OVER (PARTITION BY f.segment) * 100, 2)
@@ -808,8 +808,8 @@ ORACLE: dict[str, str] = {
     "insight": "SELECT rule, insight FROM told",
     "rule_sentence": f"""SELECT rule, 'When ' || array_to_string(p[1:7], ', ') || ', and ' || p[8] || ', ' || c
         || ' is seen in about ' || printf('%.1f', round_even(confidence * 1000, 0) / 10) || '% of such trips.' AS sentence
-        FROM (SELECT rule, confidence, list_transform(a, t -> {_PHRASES}) AS p,
-                list_transform(c, t -> {_PHRASES})[1] AS c FROM ruled)""",
+        FROM (SELECT rule, confidence, [{_PHRASES} FOR t IN a] AS p,
+                [{_PHRASES} FOR t IN c][1] AS c FROM ruled)""",
     "airport_spotlight": f"""SELECT rule, {r6s('support', 'confidence', 'lift')}, insight FROM (
         SELECT * FROM told WHERE rule ILIKE '%airport%' OR insight ILIKE '%airport%'
         ORDER BY lift DESC, confidence DESC, support DESC, rule LIMIT 6)""",
