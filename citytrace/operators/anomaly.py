@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from citytrace.functions import numeric, times
 from citytrace.operators import prepare
 from citytrace.operators.lookup import attach_context, attach_hour_threshold, with_labels, with_row
-from citytrace.operators.quantiles import exact_quantiles
+from citytrace.operators.quantiles import exact_quantiles, value_counts
 
 TARGET_RATE = 0.01
 # The model inputs, in model order.
@@ -50,6 +50,7 @@ SPEED_MPH_Q = (0.99, 0.995, 0.997)
 FARE_SCORE_Q = (0.98, 0.985, 0.99)
 FARE_IQR_MULTIPLIERS = (1.5, 2.0, 2.5, 3.0)
 FARE_RATIO_Q = (0.97, 0.98, 0.99)
+CONTEXT_KEYS = ("source_id", "destination_id", "pickup_hour", "is_weekend")
 QUARTILES = {"fare_q1": 0.25, "fare_median": 0.5, "fare_q3": 0.75}
 KINDS = {
     "extreme_speed": ("is_extreme_speed_anomaly", "speed_anomaly_score"),
@@ -57,22 +58,32 @@ KINDS = {
 }
 
 
+def fare_counts(df: DataFrame) -> DataFrame:
+    """Trips per context and fare. Written once, it serves all three statistics below."""
+    counts = value_counts(df, CONTEXT_KEYS, "fare_amount")
+    return counts.withColumnsRenamed({"_v": "fare_amount", "_n": "trips"})
+
+
 def _fare_stats(df: DataFrame, keys: Sequence[str], prefix: str, count_as: str) -> DataFrame:
+    """Count and quartiles of trips, or of a fare count table."""
     probs = {f"{prefix}_{name}": p for name, p in QUARTILES.items()}
-    return exact_quantiles(df, keys, "fare_amount", probs, count_as)
+    weight = "trips" if "trips" in df.columns else None
+    return exact_quantiles(df, keys, "fare_amount", probs, count_as, weight)
 
 
 def context_stats(df: DataFrame) -> DataFrame:
-    keys = ("source_id", "destination_id", "pickup_hour", "is_weekend")
-    return _fare_stats(df, keys, "context", "context_trip_count")
+    return _fare_stats(df, CONTEXT_KEYS, "context", "context_trip_count")
 
 
 def route_stats(df: DataFrame) -> DataFrame:
-    return _fare_stats(df, ("source_id", "destination_id"), "route", "route_trip_count")
+    return _fare_stats(df, CONTEXT_KEYS[:2], "route", "route_trip_count")
 
 
 def global_stats(df: DataFrame) -> DataFrame:
-    return _fare_stats(df, (), "global", "global_context_count")
+    """One row over all trips; the count is at least 1."""
+    stats = _fare_stats(df, (), "global", "global_context_count")
+    count = F.coalesce("global_context_count", F.lit(1).cast("long"))
+    return stats.withColumn("global_context_count", count)
 
 
 def context_features(df: DataFrame) -> DataFrame:
@@ -252,7 +263,7 @@ def top_anomaly_pairs(flagged: DataFrame, flag: str, zones: DataFrame, k: int =
         F.col("origin_label").alias("origin"),
         F.col("destination_label").alias("destination"),
         "anomaly_frequency",
-    )
+    ).orderBy(F.desc("anomaly_frequency"), "source_id", "destination_id")
 
 
 def anomaly_rows(flagged: DataFrame, kind: str, zones: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def od_flow(
     arcs = named.drop("source_borough", "destination_borough")
     wide = scale_minmax(arcs, "trip_count", 1.5, 10.0, 3.0, "line_width")
     styled = scale_minmax(wide, "trip_count", 1.2, 10.0, 4.0, "styled_width")
-    return equal_width_bins(styled, "trip_count")
+    return equal_width_bins(styled, "trip_count").orderBy(F.desc("trip_count"), "source_id", "destination_id")
 
 
 def flow_centre(arcs: DataFrame) -> DataFrame:

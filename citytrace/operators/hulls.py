@@ -55,7 +55,7 @@ def cluster_hulls(points: DataFrame) -> DataFrame:
         for cluster, found in corners.items():
             yield pd.DataFrame({"cluster_id": int(cluster), "seq": 0, "long": found[:, 0], "lat": found[:, 1]})
 
-    def whole(key, part: pd.DataFrame) -> pd.DataFrame:
+    def whole(key, part):
         found = hull(part[["long", "lat"]].to_numpy(dtype=np.float64))
         if len(found) < 3:
             found = found[:0]

@@ -77,7 +77,7 @@ def fit_iforest(sample: DataFrame, cols: Sequence[str], config: ForestConfig = F
     )
     limit, seed, unit_depth = config.max_samples, config.seed, average_depth
 
-    def build(key, group: pd.DataFrame) -> pd.DataFrame:
+    def build(key, group):
         tree = int(key[0])
         group = group.sort_values(["_draw", *cols], kind="stable").head(limit)
         data = group[cols].to_numpy(dtype=np.float64)

@@ -33,6 +33,14 @@ def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, row.select(F.struct("*")).scalar())
 
 
+def as_list(df: DataFrame, *order: Column) -> Column:
+    """The rows of a short result as one array value in the given order."""
+    keys = [key.alias(f"k{i}") for i, key in enumerate(order)]
+    entry = F.struct(*keys, F.struct(*df.columns).alias("row"))
+    sorted_rows = df.agg(F.sort_array(F.collect_list(entry)).alias("_list"))
+    return sorted_rows.select(F.transform("_list", lambda e: e["row"])).scalar()
+
+
 def with_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     return _both_ends(df, zones, ("borough", "zone"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,12 +13,26 @@ MAX_BUFFERED_VALUES = 200_000
 SLICES_PER_E_FOLD = 1024
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """Rows per (keys, value) as ``weight`` column ``_n``; NULL keys, NULL and NaN values are left out.
+
+    A written count table serves the quantiles of its keys and of any part of them.
+    """
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    typed = df.select(*keys, F.col(value).cast("double").alias("_v"), *([weight] if weight else []))
+    # The key filter is what the joins below would infer; stated here, all branches share one exchange.
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, "_v")])
+    kept = typed.where(present & ~F.isnan("_v"))
+    return kept.groupBy(*keys, "_v").agg(rows.alias("_n"))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
     count_as: str | None = None,
+    weight: str | None = None,
     max_buffered: int = MAX_BUFFERED_VALUES,
 ) -> DataFrame:
     """Linear-interpolation quantiles of the non-NULL values, one column per entry of ``probs``.
@@ -26,22 +41,19 @@ def exact_quantiles(
     spread over all tasks. Groups of moderate size then use the built-in weighted percentile.
     Larger groups, and the group of all rows, are cut into order-preserving slices; a cumulative
     count finds the few slices that hold the wanted ranks and only those are sorted. When no group
-    is large, adaptive execution sees the empty side and drops that branch. Keys must not be NULL.
+    is large, adaptive execution sees the empty side and drops that branch. ``weight`` names a
+    column with the number of rows each row stands for.
     """
     keys = list(keys)
-    number = F.col(value).cast("double")
-    counted = (
-        df.select(*keys, number.alias("_v"))
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    counted = value_counts(df, keys, value, weight)
     if not keys:
         return _ranked_in_slices(counted, keys, probs, count_as)
+    # The second condition follows from the first. It keeps the counts in this branch, so that it
+    # shares the exchange of the others.
     hot = (
         counted.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_distinct"))
-        .where(F.col("_distinct") > max_buffered)
+        .agg(F.count(F.lit(1)).alias("_distinct"), F.sum("_n").alias("_rows"))
+        .where((F.col("_distinct") > max_buffered) & (F.col("_rows") > max_buffered))
         .select(*keys)
     )
     cold = counted.join(hot, keys, "left_anti")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytrace.functions import bins, times
-from citytrace.operators.lookup import route_distance, with_zones
+from citytrace.operators.lookup import as_list, route_distance, with_zones
 from citytrace.operators.prepare import known_boroughs
 
 MEASURES = ("trip_distance", "fare_amount", "tip_amount", "extra_amount", "total_trip_amount")
@@ -212,7 +212,7 @@ def top_frequent_pairs(df: DataFrame, zones: DataFrame, coords: DataFrame, k: in
         F.col("route_distance_km").alias("distance_km"),
         "frequency_of_trips",
         "avg_fare_amount",
-    )
+    ).orderBy(F.desc("frequency_of_trips"), "source_id", "destination_id")
 
 
 def top_tipped_pairs(df: DataFrame, zones: DataFrame, min_trips: int = 1, k: int = 10) -> DataFrame:
@@ -224,7 +224,7 @@ def top_tipped_pairs(df: DataFrame, zones: DataFrame, min_trips: int = 1, k: int
     )
     return with_zones(top, zones).select(
         "source_id", "destination_id", "source_zone", "destination_zone", "avg_tip_amount", "frequency_of_trips"
-    )
+    ).orderBy(F.desc("avg_tip_amount"), "source_id", "destination_id")
 
 
 def describe(df: DataFrame, cols: Sequence[str] = MEASURES) -> DataFrame:
@@ -256,13 +256,17 @@ def correlations(df: DataFrame, cols: Sequence[str] = MEASURES) -> DataFrame:
 
 def statistics_document(df: DataFrame, zones: DataFrame, coords: DataFrame) -> DataFrame:
     """All statistics as one nested row, the shape of the published document."""
-    listed = lambda frame: F.sort_array(frame.agg(F.collect_list(F.struct("*"))).scalar())
+    pair = [F.col("source_id"), F.col("destination_id")]
     averages = bucket_avg(df).agg(F.map_from_entries(F.collect_list(F.struct("time_of_day", "avg_trips")))).scalar()
     return kpis(df).select(
         "*",
-        listed(borough_avg(df, zones)).alias("avg_trips_by_location_for_each_borough"),
+        as_list(borough_avg(df, zones), F.col("borough")).alias("avg_trips_by_location_for_each_borough"),
         averages.alias("avg_trips_by_time_of_day"),
         weekpart_totals(df).select(F.struct("*")).scalar().alias("weekday_weekend_trip_totals"),
-        listed(top_frequent_pairs(df, zones, coords)).alias("top_10_frequent_source_destination_pairs"),
-        listed(top_tipped_pairs(df, zones)).alias("top_10_most_tipped_source_destination_pairs"),
+        as_list(top_frequent_pairs(df, zones, coords), -F.col("frequency_of_trips"), *pair).alias(
+            "top_10_frequent_source_destination_pairs"
+        ),
+        as_list(top_tipped_pairs(df, zones), -F.col("avg_tip_amount"), *pair).alias(
+            "top_10_most_tipped_source_destination_pairs"
+        ),
     )

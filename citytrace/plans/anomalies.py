@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citytrace.operators import anomaly, iforest, prepare
+from citytrace.operators.lookup import as_list
 from citytrace.operators.sampling import hash_key, sample_capped
 from citytrace.session import cut_lineage
 from citytrace.sources.artifacts import check_inputs
@@ -31,11 +32,11 @@ def _score(features: DataFrame, forests: dict[str, DataFrame]) -> DataFrame:
 
 def _summary(flagged: DataFrame, zones: DataFrame, kind: str, rows: DataFrame):
     flag, _ = anomaly.KINDS[kind]
-    listed = lambda df: df.agg(F.collect_list(F.struct("*"))).scalar()
+    pair = [F.col("source_id"), F.col("destination_id")]
     return F.struct(
-        F.sort_array(listed(anomaly.hourly_variation(flagged, flag))).alias("hourly_variation"),
-        listed(anomaly.top_anomaly_pairs(flagged, flag, zones)).alias("top_od_pairs"),
-        listed(anomaly.top_anomalies(rows, kind)).alias("top_10_records"),
+        as_list(anomaly.hourly_variation(flagged, flag), F.col("pickup_hour")).alias("hourly_variation"),
+        as_list(anomaly.top_anomaly_pairs(flagged, flag, zones), -F.col("anomaly_frequency"), *pair).alias("top_od_pairs"),
+        as_list(anomaly.top_anomalies(rows, kind), -F.col("anomaly_score"), F.col("pickup_timestamp"), *pair).alias("top_10_records"),
     ).alias(kind)
 
 
@@ -51,10 +52,11 @@ def run_anomaly(
         prepared, config.context_share, config.context_cap, hash_key(*prepared.columns, seed=53)
     )
     train_sample = sample_capped(rated, config.train_share, config.train_cap, hash_key(*rated.columns))
+    counts = cut_lineage(anomaly.fare_counts(context_sample))
     stats = {
-        "context_stats": anomaly.context_stats(context_sample),
-        "route_stats": anomaly.route_stats(context_sample),
-        "global_stats": anomaly.global_stats(context_sample),
+        "context_stats": anomaly.context_stats(counts),
+        "route_stats": anomaly.route_stats(counts),
+        "global_stats": anomaly.global_stats(counts),
         "fill_medians": prepare.medians(train_sample, anomaly.RATE_COLUMNS),
     }
     save_tables(stats, f"{out}/bundle")

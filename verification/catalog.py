@@ -140,18 +140,23 @@ def with_date_dim(spark, sf):
 def _stats(df):
     """Fare statistics of the trips at night and in the morning, so that fallbacks are used."""
     part = df.where(F.col("pickup_hour") % 3 != 0).where((F.col("source_id") + F.col("destination_id")) % 5 != 0)
-    makers = (anomaly.context_stats, anomaly.route_stats, anomaly.global_stats)
-    return [cut_lineage(checked(make(part))) for make in makers]
+    counts = cut_lineage(anomaly.fare_counts(part))
+    return [checked(make(counts)) for make in (anomaly.context_stats, anomaly.route_stats, anomaly.global_stats)]
+
+
+def _prepared(spark, sf):
+    """Written once: the statistics and the features read it."""
+    return cut_lineage(prepare.prepare_anomaly(trips(spark, sf)))
 
 
 def _features(spark, sf):
-    prepared = prepare.prepare_anomaly(trips(spark, sf))
+    prepared = _prepared(spark, sf)
     return anomaly.anomaly_features(prepared, *_stats(prepared))
 
 
 @query
 def attach_context(spark, sf):
-    prepared = prepare.prepare_anomaly(trips(spark, sf))
+    prepared = _prepared(spark, sf)
     filled = lookup.attach_context(prepared, *_stats(prepared))
     return anomaly.context_features(filled).drop("pickup_timestamp", "eta_minutes")
 
