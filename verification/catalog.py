@@ -24,8 +24,7 @@ from citytrace.operators import (
     stats,
 )
 from citytrace.plans.clustering import sample_points
-from citytrace.session import cut_lineage
-from verification.tables import KEY_SPACE, checked, coords, raw_trips, row_key, trips, zones
+from verification.tables import KEY_SPACE, checked, coords, raw_trips, row_key, trips, written, zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -137,27 +136,27 @@ def with_date_dim(spark, sf):
     return lookup.with_date_dim(df.select("pickup_date", "pickup_time", "fare_amount"), days)
 
 
-def _stats(df):
-    """Fare statistics of the trips at night and in the morning, so that fallbacks are used."""
-    part = df.where(F.col("pickup_hour") % 3 != 0).where((F.col("source_id") + F.col("destination_id")) % 5 != 0)
-    counts = cut_lineage(anomaly.fare_counts(part))
+def _stats(spark, sf):
+    """Fare statistics without every third hour and every fifth pair, so that all fallbacks are used."""
+    known = (F.col("pickup_hour") % 3 != 0) & ((F.col("source_id") + F.col("destination_id")) % 5 != 0)
+    counts = written(spark, sf, "fare_counts", lambda: anomaly.fare_counts(_prepared(spark, sf).where(known)))
     return [checked(make(counts)) for make in (anomaly.context_stats, anomaly.route_stats, anomaly.global_stats)]
 
 
 def _prepared(spark, sf):
     """Written once: the statistics and the features read it."""
-    return cut_lineage(prepare.prepare_anomaly(trips(spark, sf)))
+    return written(spark, sf, "prepared", lambda: prepare.prepare_anomaly(trips(spark, sf)))
 
 
 def _features(spark, sf):
     prepared = _prepared(spark, sf)
-    return anomaly.anomaly_features(prepared, *_stats(prepared))
+    return anomaly.anomaly_features(prepared, *_stats(spark, sf))
 
 
 @query
 def attach_context(spark, sf):
     prepared = _prepared(spark, sf)
-    filled = lookup.attach_context(prepared, *_stats(prepared))
+    filled = lookup.attach_context(prepared, *_stats(spark, sf))
     return anomaly.context_features(filled).drop("pickup_timestamp", "eta_minutes")
 
 
@@ -202,26 +201,22 @@ def monthly_counts(spark, sf):
     return stats.monthly_counts(trips(spark, sf), dt.date(1994, 11, 1), dt.date(2001, 12, 31))
 
 
-def _days(df):
-    return stats.date_dim(df)
-
-
 @query
 def weekday_weekend_avg(spark, sf):
     df = trips(spark, sf)
-    return stats.weekday_weekend_avg(df, _days(df))
+    return stats.weekday_weekend_avg(df, stats.date_dim(df))
 
 
 @query
 def weekpart_bucket_avg(spark, sf):
     df = trips(spark, sf)
-    return stats.weekpart_bucket_avg(df, _days(df), *WINDOW)
+    return stats.weekpart_bucket_avg(df, stats.date_dim(df), *WINDOW)
 
 
 @query
 def weekpart_bucket_pivot(spark, sf):
     df = trips(spark, sf)
-    return stats.weekpart_bucket_pivot(stats.weekpart_bucket_avg(df, _days(df)))
+    return stats.weekpart_bucket_pivot(stats.weekpart_bucket_avg(df, stats.date_dim(df)))
 
 
 @query
@@ -333,20 +328,31 @@ def global_stats(spark, sf):
     return anomaly.global_stats(prepare.prepare_anomaly(trips(spark, sf)))
 
 
-def _scored(spark, sf):
-    """Features with closed-form scores in place of the forest's, so that SQL can repeat them."""
+def _with_scores(features):
+    """Closed-form scores in place of the forest's, so that SQL can repeat them."""
     pace = F.col("speed_mph") + F.col("eta_minutes")
     cost = F.col("fare_to_context_median_ratio") + F.col("fare_per_minute")
-    scored = _features(spark, sf).withColumns(
+    return features.withColumns(
         {"speed_anomaly_score": pace / (pace + 60.0) - 0.5, "fare_anomaly_score": cost / (cost + 1.0) - 0.5}
     )
-    return cut_lineage(scored)
 
 
-def _flagged(spark, sf):
+def _scored(spark, sf):
+    return written(spark, sf, "scored", lambda: _with_scores(_features(spark, sf)))
+
+
+def _thresholds(spark, sf):
     scored = _scored(spark, sf)
-    fast = anomaly.flag_speed(scored, anomaly.calibrate_speed(scored))
-    return cut_lineage(anomaly.flag_fare(fast, anomaly.calibrate_fare(scored)))
+    return (
+        written(spark, sf, "speed_thresholds", lambda: anomaly.calibrate_speed(scored)),
+        written(spark, sf, "fare_thresholds", lambda: anomaly.calibrate_fare(scored)),
+    )
+
+
+def _flagged(spark, sf):
+    speed, fare = _thresholds(spark, sf)
+    make = lambda: anomaly.flag_fare(anomaly.flag_speed(_scored(spark, sf), speed), fare)
+    return written(spark, sf, "flagged", make)
 
 
 @query
@@ -362,22 +368,20 @@ def calibrate_fare(spark, sf):
 @query
 def attach_hour_threshold(spark, sf):
     scored = _scored(spark, sf)
-    some = anomaly.calibrate_speed(scored).where(F.col("pickup_hour") % 5 != 0)
+    some = _thresholds(spark, sf)[0].where(F.col("pickup_hour") % 5 != 0)
     return lookup.attach_hour_threshold(scored.select("pickup_timestamp", *ENDS, "pickup_hour", "speed_mph"), some)
 
 
 @query
 def flag_speed(spark, sf):
-    scored = _scored(spark, sf)
-    return anomaly.flag_speed(scored, anomaly.calibrate_speed(scored)).select(
+    return anomaly.flag_speed(_scored(spark, sf), _thresholds(spark, sf)[0]).select(
         "pickup_timestamp", *ENDS, "speed_mph", "speed_anomaly_score", "is_extreme_speed_anomaly"
     )
 
 
 @query
 def flag_fare(spark, sf):
-    scored = _scored(spark, sf)
-    return anomaly.flag_fare(scored, anomaly.calibrate_fare(scored)).select(
+    return anomaly.flag_fare(_scored(spark, sf), _thresholds(spark, sf)[1]).select(
         "pickup_timestamp", *ENDS, "fare_amount", "context_upper_fare_threshold", "is_fare_outlier_anomaly"
     )
 
@@ -430,7 +434,7 @@ def iforest_scores(spark, sf):
 
 
 def _agg(spark, sf):
-    return cut_lineage(forecast.agg_trip_frame(prepare.prepare_forecast(trips(spark, sf))))
+    return written(spark, sf, "agg", lambda: forecast.agg_trip_frame(prepare.prepare_forecast(trips(spark, sf))))
 
 
 def _forecast_frames(spark, sf, keep=("trip_count", "avg_fare_amount", "avg_eta_minutes")):
@@ -540,7 +544,7 @@ def _start(spark, sf):
 
 
 def _points(spark, sf):
-    return cut_lineage(cluster.weighted_points(trips(spark, sf), coords(spark, sf)))
+    return written(spark, sf, "points", lambda: cluster.weighted_points(trips(spark, sf), coords(spark, sf)))
 
 
 def _centroids(spark, sf):
@@ -549,12 +553,12 @@ def _centroids(spark, sf):
 
 
 def _refined(spark, sf):
-    return cut_lineage(cluster.refine_centres(_points(spark, sf), _start(spark, sf)))
+    return written(spark, sf, "refined", lambda: cluster.refine_centres(_points(spark, sf), _start(spark, sf)))
 
 
 def _sampled(spark, sf):
-    points = sample_points(trips(spark, sf), coords(spark, sf), 4000, row_key(), KEY_SPACE)
-    return cut_lineage(cluster.label_points(points, _start(spark, sf)))
+    draw = lambda: sample_points(trips(spark, sf), coords(spark, sf), 4000, row_key(), KEY_SPACE)
+    return written(spark, sf, "sampled", lambda: cluster.label_points(draw(), _start(spark, sf)))
 
 
 @query
@@ -646,7 +650,7 @@ def cluster_hulls(spark, sf):
 
 
 def _baskets(spark, sf):
-    return cut_lineage(rules.transactions(trips(spark, sf), zones(spark, sf)))
+    return written(spark, sf, "baskets", lambda: rules.transactions(trips(spark, sf), zones(spark, sf)))
 
 
 @query
@@ -655,7 +659,7 @@ def transactions(spark, sf):
 
 
 def _mined(spark, sf):
-    return rules.mine_rules(_baskets(spark, sf), 0.01, rules.MIN_CONFIDENCE)
+    return written(spark, sf, "mined", lambda: rules.mine_rules(_baskets(spark, sf), 0.01, rules.MIN_CONFIDENCE))
 
 
 @query
@@ -670,8 +674,11 @@ def pair_rules(spark, sf):
 
 
 def _basket_rules(spark, sf):
+    return written(spark, sf, "basket_rules", lambda: _implied(_baskets(spark, sf)))
+
+
+def _implied(baskets):
     """Rules with eight tokens before the arrow: every distinct basket implies its route type."""
-    baskets = _baskets(spark, sf)
     total = baskets.agg(F.count(F.lit(1)).cast("double")).scalar()
     whole = baskets.groupBy("items").agg(F.count(F.lit(1)).cast("double").alias("n"))
     sides = whole.select(F.slice("items", 1, 8).alias("antecedent"), F.slice("items", 9, 1).alias("consequent"), "n")

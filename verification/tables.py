@@ -7,6 +7,7 @@ cents so that both engines round alike.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from citytrace.sources.trips import read_processed
 
 KEY_SPACE = 1_000_003
 
-
 # The columns the mapping reads, so that no job is spent on schema inference.
 SCHEMAS = {
     "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
@@ -73,23 +73,32 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WRITTEN: dict[tuple, str] = {}
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid trips in the processed schema, as the products read them: a table written once.
+def written(spark: SparkSession, sf_dir: str, stage: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A stage of a product as a table in the shared folder, as the jobs write theirs.
 
-    The mapping runs once per session and state of the source files (path, time, length); every
-    query then scans only the columns it needs. Round-robin partitions stay even whatever the keys.
+    It is made once per session and state of the source files (path, time, length); the queries
+    that follow scan the columns they need.
     """
-    sources = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "customer", "supplier")]
+    sources = [f"{sf_dir}/{name}.parquet" for name in SCHEMAS]
     files = spark.read.format("binaryFile").load(sources).select("path", "modificationTime", "length")
-    state = (spark.sparkContext.applicationId, *sorted(tuple(row) for row in files.collect()))
+    state = (spark.sparkContext.applicationId, stage, *sorted(tuple(row) for row in files.collect()))
     if state not in _WRITTEN:
-        path = f"{checkpoint_dir(spark)}/trips-{uuid.uuid4().hex}"
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        trip_details(raw_trips(spark, sf_dir)).repartition(partitions).write.parquet(path)
+        path = f"{checkpoint_dir(spark)}/{stage}-{uuid.uuid4().hex}"
+        make().write.parquet(path)
         _WRITTEN[state] = path
     return read_processed(spark, _WRITTEN[state])
 
 
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid trips in the processed schema, as the products read them.
+
+    Round-robin partitions stay even whatever the keys of the source tables are.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    make = lambda: trip_details(raw_trips(spark, sf_dir)).repartition(partitions)
+    return written(spark, sf_dir, "trips", make)
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
