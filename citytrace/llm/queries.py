@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fmindex, langid, mixing, rangecoder, simhash
+from . import cascade, fmindex, langid, mixing, pseudonyms, quality, rangecoder, simhash
 from .shared import held_out
 
 
@@ -28,6 +28,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    found = cascade.judged(pages, cascade.listed_hosts(pages))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key stands in for a secret that a deployment keeps elsewhere."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(docs, key="the check's own key")
+
+
 def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = fmindex.find_spans(docs, _table(spark, sf_dir, "benchmark"))
@@ -43,6 +55,10 @@ def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
@@ -56,7 +72,10 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
+    "op4_cascade": op4_cascade,
+    "op6_pseudonyms": op6_pseudonyms,
     "op7_fm_index": op7_fm_index,
+    "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_token_ids": op10_token_ids,
 }
