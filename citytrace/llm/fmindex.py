@@ -190,15 +190,14 @@ class Phrases:
         self.window = window
 
 
-def _shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[int, list[tuple[int, int]], set[int]]]:
-    """Words, merged hit spans (first word, word after the last) and items of each document."""
+def _shard(docs: list[np.ndarray], phrases: Phrases) -> list[tuple[int, list[tuple[int, int]], set[int]]]:
+    """Words, merged hit spans (first word, word after the last) and items of documents of word numbers."""
     lengths = np.array([len(d) for d in docs], np.int64)
     total = int(lengths.sum())
     results: list[tuple[int, list, set]] = [(len(d), [], set()) for d in docs]
     if not total or not len(phrases.symbols):
         return results
-    get = phrases.vocabulary.get
-    ids = np.fromiter((x for d in docs for x in map(get, d, repeat(0))), np.int64, total)
+    ids = np.concatenate(docs).astype(np.int64)
     doc_of = np.repeat(np.arange(len(docs)), lengths)
     begins = np.cumsum(lengths) - lengths
     new_doc = np.zeros(total, bool)
@@ -259,7 +258,8 @@ def search_texts(
     occurrence is lost and memory stays bounded.
     """
     found: list[tuple[int, list, set]] = [(0, [], set()) for _ in texts]
-    pieces: list[list[bytes]] = []
+    pieces: list[np.ndarray] = []
+    get = phrases.vocabulary.get
     owners: list[tuple[int, int]] = []
     held = 0
 
@@ -274,6 +274,7 @@ def search_texts(
 
     for doc, text in enumerate(texts):
         words = words_of(text)
+        words = np.fromiter(map(get, words, repeat(0)), np.int32, len(words))
         found[doc] = (len(words), [], set())
         step = max(1, shard_words - phrases.window + 1)
         for at in range(0, max(1, len(words) - phrases.window + 1), step):

@@ -21,7 +21,8 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -39,7 +40,8 @@ END_OF_RECORD = b"\n"
 BLOCK_IDS = 1 << 20
 LANES = 2048
 STEPS_PER_LANE = 128  #: a record has at least so many steps, as far as its ids reach
-CACHE_WORDS = 400_000  #: distinct words whose ids a worker keeps
+CACHE_WORDS = 250_000  #: distinct words whose ids a worker keeps
+WORDS_AT_ONCE = 1 << 17
 
 TOTAL_BITS = 28
 LOW_BITS = 22
@@ -311,10 +313,10 @@ class WordIds(dict):
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and steps == ["Split", "ByteLevel"]
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in _PLAIN}
-        self.plain = re.compile(f"([{_PLAIN}]+)([{re.escape(_MARKS)}]?)").fullmatch
+        self.plain = re.compile(f"[{_PLAIN}]+").fullmatch
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def learn(self, words: set[bytes]) -> None:
         missing = words.difference(self)
@@ -322,19 +324,23 @@ class WordIds(dict):
             kept = {word: self[word] for word in words if word in self}
             self.clear()
             self.update(kept)
-        model, odd = self.tokenizer.model, []
-        marks = {m: self._packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS} | {"": b""}
+        tokenize, odd = self.tokenizer.model.tokenize, []
+        marks = {m.encode(): self._packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS}
         for word in missing:
-            text = word.decode("utf-8", "surrogatepass")
-            found = self.plain(text)
-            if not found:
-                odd.append((word, text))
-                continue
-            letters, mark = found.groups()
-            base = self.get(letters.encode()) if mark else None
+            mark = marks.get(word[-1:], b"")
+            body = word[:-1] if mark else word
+            if body.isalpha():  # ASCII only, for bytes
+                shown = body.decode()
+            else:
+                text = body.decode("utf-8", "surrogatepass")
+                if not self.plain(text):
+                    odd.append((word, word.decode("utf-8", "surrogatepass")))
+                    continue
+                shown = text.translate(self.shown)
+            base = self.get(body) if mark else None
             if base is None:
-                base = self._packed([token.id for token in model.tokenize(letters.translate(self.shown))])
-            self[word] = base + marks[mark]
+                base = self._packed([token.id for token in tokenize(shown)])
+            self[word] = base + mark
         for (word, _), ids in zip(
             odd, self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False), strict=True
         ):
@@ -344,7 +350,7 @@ class WordIds(dict):
 _WORDS: dict[str, WordIds] = {}
 
 
-def tokenised(texts: list[str | None], path: str, end_id: int) -> list[np.ndarray]:
+def tokenised(texts: list[str | None], path: str, end_id: int) -> Iterator[np.ndarray]:
     """Ids of each whole text with the end id; null is empty.
 
     Texts with the mark of a special token, or for a tokenizer that is not word by word, go through
@@ -353,30 +359,30 @@ def tokenised(texts: list[str | None], path: str, end_id: int) -> list[np.ndarra
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's to deal out
     table = _WORDS.get(path) or _WORDS.setdefault(path, WordIds(path))
     end = struct.pack("<I", end_id)
-    found: list[np.ndarray] = []
     split: list[list[bytes]] = []
-    words: set[bytes] = set()
+    held = 0
 
-    def flush() -> None:
-        table.learn(words)
+    def flush() -> Iterator[np.ndarray]:
+        nonlocal held
+        table.learn(set(chain.from_iterable(split)))
         get = table.__getitem__
-        found.extend(np.frombuffer(b"".join([*map(get, ws), end]), "<u4") for ws in split)
+        for words in split:
+            yield np.frombuffer(b"".join([*map(get, words), end]), "<u4")
         split.clear()
-        words.clear()
+        held = 0
 
     for text in texts:
         text = text or ""
         if not table.by_word or "<|" in text:
-            flush()
+            yield from flush()
             ids = table.tokenizer.encode(text, add_special_tokens=False).ids
-            found.append(np.array([*ids, end_id], "<u4"))
+            yield np.array([*ids, end_id], "<u4")
             continue
         split.append(text.encode("utf-8", "surrogatepass").translate(_LOWER).replace(b"\n", b" ").split(b" "))
-        words.update(split[-1])
-        if len(words) > CACHE_WORDS // 2:
-            flush()
-    flush()
-    return found
+        held += len(split[-1])
+        if held >= WORDS_AT_ONCE:
+            yield from flush()
+    yield from flush()
 
 
 def write_token_files(
