@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cascade, fmindex, langid, mixing, pseudonyms, quality, rangecoder, simhash
+from . import cascade, fmindex, gridjoin, langid, mixing, pseudonyms, quality, rangecoder, simhash
 from .shared import held_out
 
 
@@ -23,6 +23,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "row.source", "epoch", "block")
 
 
+def op2_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gridjoin.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -71,6 +75,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_grid_join": op2_grid_join,
     "op3_simhash": op3_simhash,
     "op4_cascade": op4_cascade,
     "op6_pseudonyms": op6_pseudonyms,
