@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from .shared import field, with_columns_from_text
 
 WINDOW = 10
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 SAMPLE_EVERY = 16
 #: Characters of benchmark text that are searched for, and sent to the executors, at once.
 BLOCK_CHARS = 16_000_000

@@ -33,7 +33,7 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 from citytrace.session import checkpoint_dir
 
-from .shared import field
+from .shared import field, saved, small_batches
 
 MAGIC = b"CMRC"
 END_OF_RECORD = b"\n"
@@ -438,7 +438,7 @@ def write_token_files(
         if docs_held:
             yield flush()
 
-    packed = ordered.mapInArrow(records, StructType([field("record", BinaryType())]))
+    packed = small_batches(ordered).mapInArrow(records, StructType([field("record", BinaryType())]))
     # Text files of one column take any bytes; the line end is the format's end of record.
     packed.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
@@ -498,8 +498,6 @@ def token_output(
 
 def index_of(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Starts from the lengths: shards are summed first, so only one row a shard meets in one task."""
-    from .shared import saved
-
     found = saved(found, "token-index")
     shards = found.groupBy("shard").agg(F.sum("n_tokens").alias("of_shard"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

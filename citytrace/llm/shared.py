@@ -21,6 +21,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch; documents are long, and a batch is held several times over.
+BATCH_ROWS = 512
+_BATCH_KEY, _SPARK_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame, after the session's Arrow batches are made small unless it has a size of its own."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY) == _SPARK_DEFAULT:
+        conf.set(_BATCH_KEY, str(BATCH_ROWS))
+    return df
+
+
 def with_columns_from_text(
     df: DataFrame,
     text: str,
@@ -48,7 +61,7 @@ def with_columns_from_text(
                 names=names,
             )
 
-    return packed.mapInArrow(run, schema)
+    return small_batches(packed).mapInArrow(run, schema)
 
 
 def field(name: str, kind: object) -> StructField:
