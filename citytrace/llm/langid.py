@@ -88,6 +88,43 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
+def gradients(net: Network, codes: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
+    """Gradients of the mean cross-entropy over all real positions, through time, in the order of the weights."""
+    span, batch = codes.shape
+    hidden = net.recurrent[0].shape[1]
+    states, trace = _run(net, codes, keep=True)
+    probs = _softmax(np.matmul(net.out, states) + net.bias)
+    real = codes < 256
+    error = probs
+    error[:, target, np.arange(batch)] -= 1
+    error *= (real / max(1, real.sum()))[:, None, :]
+    g_out = np.einsum("tkb,thb->kh", error, states, optimize=True)
+    g_bias = error.sum(axis=(0, 2))[:, None]
+    g_states = np.matmul(net.out.T, error)
+    grads: list[list[np.ndarray]] = [[], [], []]
+    for way in (0, 1):
+        g_inputs = np.empty((span, 3 * hidden, batch))
+        g_rec, g_inner = np.zeros_like(net.recurrent[way]), np.zeros_like(net.inner[way])
+        carry = np.zeros((hidden, batch))
+        for t, h, z, r, n, cand in reversed(trace[way]):
+            carry = carry + g_states[t, way * hidden : (way + 1) * hidden]
+            d_n = carry * (1 - z) * (1 - n * n)
+            d_z = carry * (h - n) * z * (1 - z)
+            d_r = d_n * cand * r * (1 - r)
+            d_cand = d_n * r
+            d_rec = np.concatenate((d_z, d_r, d_cand))
+            g_inputs[t] = np.concatenate((d_z, d_r, d_n))
+            g_rec += d_rec @ h.T
+            g_inner += d_cand.sum(axis=1, keepdims=True)
+            carry = carry * z + net.recurrent[way].T @ d_rec
+        seen = codes.ravel()
+        g_table = [np.bincount(seen, g_inputs[:, unit].ravel(), 257) for unit in range(3 * hidden)]
+        grads[0].append(np.array(g_table))
+        grads[1].append(g_rec)
+        grads[2].append(g_inner)
+    return [*grads[0], *grads[1], *grads[2], g_out, g_bias]
+
+
 def train(languages: list[str], windows: np.ndarray, labels: np.ndarray, seed: int = 7) -> Network:
     """Backpropagation through time over random batches of windows; every position has the label."""
     rng = np.random.default_rng(seed)
@@ -109,38 +146,9 @@ def train(languages: list[str], windows: np.ndarray, labels: np.ndarray, seed: i
         label_rows = rng.integers(len(by_label), size=BATCH)
         picked = np.array([by_label[k][rng.integers(len(by_label[k]))] for k in label_rows])
         codes, target = np.ascontiguousarray(windows[picked].T), labels[picked]
-        states, trace = _run(net, codes, keep=True)
-        probs = _softmax(np.matmul(net.out, states) + net.bias)
-        real = codes < 256
-        error = probs
-        error[:, target, np.arange(BATCH)] -= 1
-        error *= (real / max(1, real.sum()))[:, None, :]
-        g_out = np.einsum("tkb,thb->kh", error, states, optimize=True)
-        g_bias = error.sum(axis=(0, 2))[:, None]
-        g_states = np.matmul(net.out.T, error)
-        grads: list[list[np.ndarray]] = [[], [], []]
-        for way in (0, 1):
-            g_inputs = np.empty((SPAN, 3 * hidden, BATCH))
-            g_rec, g_inner = np.zeros_like(net.recurrent[way]), np.zeros_like(net.inner[way])
-            carry = np.zeros((hidden, BATCH))
-            for t, h, z, r, n, cand in reversed(trace[way]):
-                carry = carry + g_states[t, way * hidden : (way + 1) * hidden]
-                d_n = carry * (1 - z) * (1 - n * n)
-                d_z = carry * (h - n) * z * (1 - z)
-                d_r = d_n * cand * r * (1 - r)
-                d_cand = d_n * r
-                d_rec = np.concatenate((d_z, d_r, d_cand))
-                g_inputs[t] = np.concatenate((d_z, d_r, d_n))
-                g_rec += d_rec @ h.T
-                g_inner += d_cand.sum(axis=1, keepdims=True)
-                carry = carry * z + net.recurrent[way].T @ d_rec
-            seen = codes.ravel()
-            g_table = [np.bincount(seen, g_inputs[:, unit].ravel(), 257) for unit in range(3 * hidden)]
-            grads[0].append(np.array(g_table))
-            grads[1].append(g_rec)
-            grads[2].append(g_inner)
+        found = gradients(net, codes, target)
         rate = LEARNING_RATE * min(1.0, 2.0 * (1 - step / (STEPS + 1)))
-        for w, g, m, s in zip(weights, [*grads[0], *grads[1], *grads[2], g_out, g_bias], moment, square, strict=True):
+        for w, g, m, s in zip(weights, found, moment, square, strict=True):
             g = np.clip(g, -1, 1)
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cascade, fmindex, gridjoin, langid, mixing, pseudonyms, quality, rangecoder, simhash
+from . import cascade, fmindex, gridjoin, langid, mixing, pseudonyms, quality, quotes, rangecoder, simhash
 from .shared import held_out
 
 
@@ -38,6 +38,10 @@ def op4_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_ordered(_table(spark, sf_dir, "conversations"))
+
+
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key stands in for a secret that a deployment keeps elsewhere."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_grid_join": op2_grid_join,
     "op3_simhash": op3_simhash,
     "op4_cascade": op4_cascade,
+    "op5_quotes": op5_quotes,
     "op6_pseudonyms": op6_pseudonyms,
     "op7_fm_index": op7_fm_index,
     "op8_quality": op8_quality,
