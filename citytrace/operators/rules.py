@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citytrace.functions import bins, times, tokens
 from citytrace.operators.prepare import prepare_rules
+from citytrace.session import cut_lineage
 
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.25
@@ -156,12 +156,57 @@ def transactions(df: DataFrame, zones: DataFrame) -> DataFrame:
     return trips.where(F.col("time_bin").isNotNull()).withColumns(airports).select(F.array(*items).alias("items"))
 
 
+#: Tokens of a basket whose subsets are counted.
+MAX_ITEMS = 12
+
+
+def frequent_sets(baskets: DataFrame, min_support: float) -> DataFrame:
+    """(items, n) of every set of items in at least that share of the baskets; items in order.
+
+    Equal baskets are counted first. Each distinct one, cut to its frequent items, gives its subsets
+    with that count, so the work follows the number of different baskets, not of trips. Baskets hold
+    a fixed number of tokens (nine); more than ``MAX_ITEMS`` frequent ones raise an error.
+    """
+    whole = baskets.select(F.array_sort(F.array_distinct("items")).alias("items")).groupBy("items").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    least = whole.agg(F.ceil(F.sum("n") * F.lit(min_support))).scalar()
+    single = whole.select(F.explode("items").alias("item"), "n").groupBy("item").agg(F.sum("n").alias("n"))
+    known = single.where(F.col("n") >= least).agg(F.collect_set("item")).scalar()
+    cut = whole.withColumn("_known", known).select(F.array_intersect("items", "_known").alias("items"), "n")
+    size = F.size("items")
+    checked = F.when(size > MAX_ITEMS, F.raise_error(F.lit("too many items in a basket"))).otherwise(size)
+    folded = cut.groupBy("items").agg(F.sum("n").alias("n")).where(size > 0)
+    masks = folded.select("items", "n", F.explode(F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), checked) - 1)).alias("m"))
+    chosen = F.filter("items", lambda item, k: F.getbit("m", k) == 1)
+    sets = masks.select(chosen.alias("items"), "n").groupBy("items").agg(F.sum("n").alias("n"))
+    return sets.where(F.col("n") >= least)
+
+
 def mine_rules(
     baskets: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
-    """FP-growth rules with one consequent item each. Runs Spark jobs."""
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    return model.associationRules.select("antecedent", "consequent", "support", "confidence", "lift")
+    """Rules with one consequent item each, from the frequent sets."""
+    sets = cut_lineage(frequent_sets(baskets, min_support))
+    total = baskets.agg(F.count(F.lit(1)).cast("double")).scalar()
+    split = sets.where(F.size("items") > 1).select(
+        "items", F.col("n").alias("n_both"), F.explode("items").alias("item")
+    ).select(F.array_remove("items", F.col("item")).alias("antecedent"), F.array("item").alias("consequent"), "n_both")
+    left = sets.select(F.col("items").alias("antecedent"), F.col("n").alias("n_left"))
+    right = sets.where(F.size("items") == 1).select(F.col("items").alias("consequent"), F.col("n").alias("n_right"))
+    confidence = F.col("n_both").cast("double") / F.col("n_left")
+    return (
+        split.join(left, "antecedent")
+        .join(right, "consequent")
+        .select(
+            "antecedent",
+            "consequent",
+            (F.col("n_both") / total).alias("support"),
+            confidence.alias("confidence"),
+            (confidence / (F.col("n_right") / total)).alias("lift"),
+        )
+        .where(F.col("confidence") >= min_confidence)
+    )
 
 
 def _all_tokens() -> Column:

@@ -659,76 +659,54 @@ def transactions(spark, sf):
 
 
 def _mined(spark, sf):
-    return written(spark, sf, "mined", lambda: rules.mine_rules(_baskets(spark, sf), 0.01, rules.MIN_CONFIDENCE))
+    """All rules at the published support and confidence, with their text."""
+    return written(spark, sf, "mined", lambda: rules.rule_text(rules.mine_rules(_baskets(spark, sf))))
 
 
 @query
 def mine_rules(spark, sf):
-    return rules.rule_text(_mined(spark, sf)).drop("antecedent", "consequent")
+    return _mined(spark, sf).drop("antecedent", "consequent")
 
 
 @query
 def pair_rules(spark, sf):
-    single = _mined(spark, sf).where(F.size("antecedent") == 1)
-    return rules.rule_text(single).drop("antecedent", "consequent")
-
-
-def _basket_rules(spark, sf):
-    return written(spark, sf, "basket_rules", lambda: _implied(_baskets(spark, sf)))
-
-
-def _implied(baskets):
-    """Rules with eight tokens before the arrow: every distinct basket implies its route type."""
-    total = baskets.agg(F.count(F.lit(1)).cast("double")).scalar()
-    whole = baskets.groupBy("items").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    sides = whole.select(F.slice("items", 1, 8).alias("antecedent"), F.slice("items", 9, 1).alias("consequent"), "n")
-    left = sides.groupBy("antecedent").agg(F.sum("n").alias("n_left"))
-    right = sides.groupBy("consequent").agg(F.sum("n").alias("n_right"))
-    confidence = F.col("n") / F.col("n_left")
-    ruled = sides.join(left, "antecedent").join(right, "consequent").select(
-        "antecedent",
-        "consequent",
-        (F.col("n") / total).alias("support"),
-        confidence.alias("confidence"),
-        (confidence / (F.col("n_right") / total)).alias("lift"),
-    )
-    return rules.rule_text(ruled)
+    return _mined(spark, sf).where(F.size("antecedent") == 1).drop("antecedent", "consequent")
 
 
 @query
 def rank_rules(spark, sf):
-    ranked = rules.interesting(rules.rank_rules(_basket_rules(spark, sf)))
+    ranked = rules.interesting(rules.rank_rules(_mined(spark, sf)))
     return ranked.drop("antecedent", "consequent")
 
 
 @query
 def categorise(spark, sf):
-    return rules.categorise(_basket_rules(spark, sf)).select("rule", "place", "category", "match_kind")
+    return rules.categorise(_mined(spark, sf)).select("rule", "place", "category", "match_kind")
 
 
 @query
 def showcase(spark, sf):
-    return rules.showcase(rules.rank_rules(checked(_basket_rules(spark, sf))))
+    return rules.showcase(rules.rank_rules(checked(_mined(spark, sf))))
 
 
 @query
 def insight(spark, sf):
-    return rules.insight(_basket_rules(spark, sf)).select("rule", "insight")
+    return rules.insight(_mined(spark, sf)).select("rule", "insight")
 
 
 @query
 def rule_sentence(spark, sf):
-    return rules.rule_sentence(_basket_rules(spark, sf)).select("rule", "sentence")
+    return rules.rule_sentence(_mined(spark, sf)).select("rule", "sentence")
 
 
 @query
 def airport_spotlight(spark, sf):
-    listed = rules.all_rules(checked(_basket_rules(spark, sf)))
+    listed = rules.all_rules(checked(_mined(spark, sf)))
     return rules.airport_spotlight(listed)
 
 
 @query
 def rule_kpis(spark, sf):
-    found = _basket_rules(spark, sf)
+    found = _mined(spark, sf)
     top = rules.showcase(rules.rank_rules(checked(found)))
     return rules.rule_kpis(_baskets(spark, sf), found, top)

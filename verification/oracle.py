@@ -393,13 +393,19 @@ CTES: dict[str, str] = {
     "pairs": """
         SELECT a.token AS x, b.token AS y, count(*) AS n FROM tok a JOIN tok b ON a.id = b.id AND a.token <> b.token
         GROUP BY ALL""",
-    "whole": "SELECT items, CAST(count(*) AS DOUBLE) AS n FROM baskets GROUP BY items",
-    "sides": "SELECT items[1:8] AS a, items[9:9] AS c, n, sum(n) OVER (PARTITION BY items[1:8]) AS na, "
-    "sum(n) OVER (PARTITION BY items[9]) AS nc, sum(n) OVER () AS total FROM whole",
+    "whole": "SELECT list_sort(items) AS items, CAST(count(*) AS DOUBLE) AS n FROM baskets GROUP BY 1",
+    "subsets": """
+        SELECT [x FOR x, i IN items IF (m >> (i - 1)) & 1 = 1] AS s, n FROM whole, range(1, 512) AS masks(m)""",
+    "itemsets": """
+        SELECT s, sum(n) AS n FROM subsets GROUP BY s
+        HAVING sum(n) >= ceil(0.001::DOUBLE * (SELECT count(*) FROM baskets))""",
+    "sides": """
+        SELECT list_filter(s, lambda x: x <> y) AS a, [y] AS c, n FROM (SELECT s, n, unnest(s) AS y FROM itemsets WHERE len(s) > 1)""",
     "ruled": """
-        SELECT list_sort(a) || c AS items, '{' || array_to_string(list_sort(a), ', ') || '} -> {' || c[1] || '}' AS rule,
-               list_sort(a) AS a, c, n / total AS support, n / na AS confidence, (n / na) / (nc / total) AS lift
-        FROM sides""",
+        SELECT p.a || p.c AS items, '{' || array_to_string(p.a, ', ') || '} -> {' || p.c[1] || '}' AS rule,
+               p.a AS a, p.c AS c, p.n / t.n AS support, p.n / x.n AS confidence, (p.n / x.n) / (y.n / t.n) AS lift
+        FROM sides p JOIN itemsets x ON x.s = p.a JOIN itemsets y ON y.s = p.c
+        CROSS JOIN (SELECT count(*)::DOUBLE AS n FROM baskets) t WHERE p.n / x.n >= 25e-2""",
     "ruled6": f"SELECT items, rule, a, c, {r6s('support', 'confidence', 'lift')} FROM ruled",
     "scores": f"""
         SELECT *, confidence * lift * CASE WHEN {_AIRPORT} THEN 135e-2 ELSE 1e0 END
@@ -424,6 +430,9 @@ for _place, _name in _names:
 _time, _fare, _dist = _token_value("time_bin"), _token_value("fare_bin"), _token_value("distance_bin")
 _day, _tip = _token_value("day_type"), _token_value("tip_bin")
 _from = f"coalesce({_token_value('source_borough')}, {_token_value('source_airport')})"
+_raw = {"time": _time, "fare": _fare, "distance": _dist, "day": _day}
+_time, _fare, _dist = f"coalesce({_time}, 'selected time')", f"coalesce({_fare}, 'selected fare band')", f"coalesce({_dist}, 'selected distance band')"
+_day, _tip, _from = f"coalesce({_day}, 'all-day')", f"coalesce({_tip}, 'higher tips')", f"coalesce({_from}, 'source zones')"
 CATEGORY_SENTENCES = [
     f"'Weekday ' || lower({_time}) || ' trips from ' || {_from} || ' to EWR most commonly fall in fare band ' || {_fare} || '.'",
     f"'Weekend ' || lower({_time}) || ' demand to EWR is concentrated from ' || {_from} || ', typically within fare band ' || {_fare} || '.'",
@@ -438,16 +447,20 @@ CATEGORY_SENTENCES = [
 ]
 CTES["shown"] = " UNION ALL ".join(
     f"""SELECT {place} AS place, '{name}' AS category, coalesce(match_kind, 'none') AS match_kind, rule,
-        support, confidence, lift, {CATEGORY_SENTENCES[place]} AS insight
+        support, confidence, lift, CASE WHEN rule IS NOT NULL THEN {CATEGORY_SENTENCES[place]} END AS insight
         FROM (SELECT 1) LEFT JOIN pick{place} ON true"""
     for place, name in _names
 )
 _movement = f"replace({_token_value('route_type')}, '_', ' ')"
 _gate = f"coalesce({_token_value('source_airport')}, {_token_value('destination_airport')})"
-INSIGHT = f"""CASE WHEN {_AIRPORT} THEN 'Airport-linked trips (' || {_movement} || ') are concentrated around '
-    || {_gate} || ' during ' || lower({_time}) || ' on ' || lower({_day}) || 's with fares commonly in ' || {_fare} || '.'
-    ELSE 'On ' || lower({_day}) || ' ' || lower({_time}) || ' periods, trips in ' || {_dist}
-    || ' most often align with fares in ' || {_fare} || '.' END"""
+_when, _what, _far, _on = _raw["time"], _raw["fare"], _raw["distance"], _raw["day"]
+INSIGHT = f"""coalesce('Airport-linked trips (' || {_movement} || ') are concentrated around ' || {_gate} || ' '
+    || coalesce('during ' || lower({_when}), 'across time windows') || coalesce(' on ' || lower({_on}) || 's', '')
+    || coalesce(' with fares commonly in ' || {_what}, '') || '.',
+  'On ' || lower({_on}) || ' ' || lower({_when}) || ' periods, trips in ' || {_far} || ' most often align with fares in ' || {_what} || '.',
+  CASE WHEN {_far} IS NOT NULL OR {_what} IS NOT NULL THEN {_when} || ' travel patterns indicate consistent pricing behavior '
+    || coalesce('for ' || {_far} || ' trips', 'for these trips') || coalesce(' and fares in ' || {_what}, '') || '.' END,
+  'This pattern appears frequently and indicates a stable co-occurrence between trip context and route characteristics.')"""
 CTES["told"] = f"SELECT rule, support, confidence, lift, {INSIGHT} AS insight FROM ruled6"
 
 
@@ -479,7 +492,8 @@ def sql(body: str) -> str:
     """The statement behind the common table expressions it uses."""
     used = {c for c in CTES if re.search(rf"\b(?:FROM|JOIN)\s+{c}\b", body)}
     names = _closure(used)
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in names) + "\n" + body
+    held = lambda n: "MATERIALIZED " if n in ("itemsets", "ruled", "ruled6", "member") else ""
+    return "WITH " + ",\n".join(f"{n} AS {held(n)}({CTES[n]})" for n in names) + "\n" + body
 
 
 _PAIR_OUT = "pickup_location_id AS source_id, dropff_location_id AS destination_id"
@@ -796,17 +810,19 @@ ORACLE: dict[str, str] = {
                       WHERE segment = 'evening'))))
         WHERE place <= 1500 GROUP BY ALL""",
     "transactions": "SELECT array_to_string(items, '|') AS items FROM baskets",
+    "mine_rules": f"SELECT rule, {r6s('support', 'confidence', 'lift')} FROM ruled",
     "pair_rules": f"""SELECT '{{' || x || '}} -> {{' || y || '}}' AS rule, {r6('p.n / t.n', 'support')},
         {r6('p.n / a.n', 'confidence')}, {r6('(p.n / a.n) / (b.n / t.n)', 'lift')}
         FROM pairs p JOIN single a ON a.token = x JOIN single b ON b.token = y
         CROSS JOIN (SELECT count(*)::DOUBLE AS n FROM baskets) t
-        WHERE p.n >= ceil(0.01::DOUBLE * t.n) AND p.n / a.n >= 25e-2""",
+        WHERE p.n >= ceil(0.001::DOUBLE * t.n) AND p.n / a.n >= 25e-2""",
     "rank_rules": f"""SELECT rule, {r6s('support', 'confidence', 'lift', 'ranking_score')}, {_token_flag('time_bin')}
         AND ({_AIRPORT} OR {_PRICED}) AND lift >= 105e-2 AND confidence >= 35e-2 AS interesting_flag FROM scored_raw""",
     "categorise": "SELECT rule, place, category, match_kind FROM member",
     "showcase": f"SELECT place, category, match_kind, rule, {r6s('support', 'confidence', 'lift')}, insight FROM shown",
     "insight": "SELECT rule, insight FROM told",
-    "rule_sentence": f"""SELECT rule, 'When ' || array_to_string(p[1:7], ', ') || ', and ' || p[8] || ', ' || c
+    "rule_sentence": f"""SELECT rule, 'When ' || CASE WHEN len(p) <= 2 THEN array_to_string(p, ' and ')
+          ELSE array_to_string(p[1:len(p) - 1], ', ') || ', and ' || p[len(p)] END || ', ' || c
         || ' is seen in about ' || printf('%.1f', round_even(confidence * 1000, 0) / 10) || '% of such trips.' AS sentence
         FROM (SELECT rule, confidence, [{_PHRASES} FOR t IN a] AS p,
                 [{_PHRASES} FOR t IN c][1] AS c FROM ruled)""",
