@@ -156,56 +156,81 @@ def transactions(df: DataFrame, zones: DataFrame) -> DataFrame:
     return trips.where(F.col("time_bin").isNotNull()).withColumns(airports).select(F.array(*items).alias("items"))
 
 
-#: Tokens of a basket whose subsets are counted.
-MAX_ITEMS = 12
+#: Tokens of a basket whose subsets are counted, and bits of a set that fit one column.
+MAX_ITEMS, WORD = 12, 63
 
 
-def frequent_sets(baskets: DataFrame, min_support: float) -> DataFrame:
-    """(items, n) of every set of items in at least that share of the baskets; items in order.
+def frequent_sets(baskets: DataFrame, min_support: float) -> tuple[DataFrame, list[str], list[str]]:
+    """Sets of items in at least that share of the baskets: (n, words of bits), tokens, word columns.
 
     Equal baskets are counted first. Each distinct one, cut to its frequent items, gives its subsets
-    with that count, so the work follows the number of different baskets, not of trips. Baskets hold
-    a fixed number of tokens (nine); more than ``MAX_ITEMS`` frequent ones raise an error.
+    with that count, so the work follows the number of different baskets, not of trips. A set is a few
+    whole numbers, one bit for each frequent token. A basket holds a fixed number of tokens (nine), so
+    at most that number divided by the support can be frequent; a basket with more than ``MAX_ITEMS``
+    frequent ones raises an error.
     """
-    whole = baskets.select(F.array_sort(F.array_distinct("items")).alias("items")).groupBy("items").agg(
-        F.count(F.lit(1)).alias("n")
+    whole = cut_lineage(
+        baskets.select(F.array_sort(F.array_distinct("items")).alias("items")).groupBy("items").agg(F.count(F.lit(1)).alias("n"))
     )
     least = whole.agg(F.ceil(F.sum("n") * F.lit(min_support))).scalar()
     single = whole.select(F.explode("items").alias("item"), "n").groupBy("item").agg(F.sum("n").alias("n"))
-    known = single.where(F.col("n") >= least).agg(F.collect_set("item")).scalar()
-    cut = whole.withColumn("_known", known).select(F.array_intersect("items", "_known").alias("items"), "n")
-    size = F.size("items")
-    checked = F.when(size > MAX_ITEMS, F.raise_error(F.lit("too many items in a basket"))).otherwise(size)
-    folded = cut.groupBy("items").agg(F.sum("n").alias("n")).where(size > 0)
-    masks = folded.select("items", "n", F.explode(F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), checked) - 1)).alias("m"))
-    chosen = F.filter("items", lambda item, k: F.getbit("m", k) == 1)
-    sets = masks.select(chosen.alias("items"), "n").groupBy("items").agg(F.sum("n").alias("n"))
-    return sets.where(F.col("n") >= least)
+    known = [row["item"] for row in single.where(F.col("n") >= least).orderBy("item").collect()]
+    words = [f"_w{k}" for k in range(len(known) // WORD + 1)]
+    place = lambda item: F.array_position(F.lit(known), item).cast("int") - 1
+    bits = F.array_compact(F.transform("items", lambda i: F.when(place(i) >= 0, place(i)))) if known else F.array().cast("array<int>")
+    size = F.size("_bits")
+    checked = F.when(size > MAX_ITEMS, F.raise_error(F.lit("too many items in a basket"))).otherwise(size).cast("int")
+    folded = whole.select(bits.alias("_bits"), "n").groupBy("_bits").agg(F.sum("n").alias("n")).where(size > 0)
+    masks = folded.withColumn("_m", F.explode(F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), checked) - 1)))
+
+    def word(k: int) -> Column:
+        at = [F.get("_bits", F.lit(i)) for i in range(MAX_ITEMS)]
+        chosen = [(F.getbit("_m", F.lit(i)) == 1) & (at[i] >= k * WORD) & (at[i] < (k + 1) * WORD) for i in range(MAX_ITEMS)]
+        return reduce(
+            lambda a, b: a + b,
+            [F.when(c, F.call_function("shiftleft", F.lit(1).cast("long"), p - k * WORD)).otherwise(0) for c, p in zip(chosen, at)],
+        )
+
+    sets = masks.select(*[word(k).alias(name) for k, name in enumerate(words)], "n")
+    return sets.groupBy(*words).agg(F.sum("n").alias("n")).where(F.col("n") >= least), known, words
 
 
 def mine_rules(
     baskets: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
-    """Rules with one consequent item each, from the frequent sets."""
-    sets = cut_lineage(frequent_sets(baskets, min_support))
+    """Rules with one consequent item each, from the frequent sets. Runs Spark jobs."""
+    sets, known, words = frequent_sets(baskets, min_support)
+    sets = cut_lineage(sets)
     total = baskets.agg(F.count(F.lit(1)).cast("double")).scalar()
-    split = sets.where(F.size("items") > 1).select(
-        "items", F.col("n").alias("n_both"), F.explode("items").alias("item")
-    ).select(F.array_remove("items", F.col("item")).alias("antecedent"), F.array("item").alias("consequent"), "n_both")
-    left = sets.select(F.col("items").alias("antecedent"), F.col("n").alias("n_left"))
-    right = sets.where(F.size("items") == 1).select(F.col("items").alias("consequent"), F.col("n").alias("n_right"))
+    held = lambda place: reduce(
+        lambda a, b: a | b,
+        [(F.floor(place / WORD) == k) & (F.getbit(name, (place % WORD).cast("int")) == 1) for k, name in enumerate(words)],
+    )
+    places = F.filter(F.sequence(F.lit(0), F.lit(max(0, len(known) - 1))), held)
+    listed = sets.withColumn("_places", places)
+    split = listed.where(F.size("_places") > 1).select("*", F.explode("_places").alias("_of"))
+    without = [
+        F.when(F.floor(F.col("_of") / WORD) == k, F.col(name) - F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_of") % WORD))
+        .otherwise(F.col(name))
+        .alias(name)
+        for k, name in enumerate(words)
+    ]
+    split = split.select(*without, F.array_remove("_places", F.col("_of")).alias("_left"), "_of", F.col("n").alias("n_both"))
+    left = sets.withColumnRenamed("n", "n_left")
+    right = listed.where(F.size("_places") == 1).select(F.col("_places")[0].alias("_of"), F.col("n").alias("n_right"))
     confidence = F.col("n_both").cast("double") / F.col("n_left")
+    named = lambda place: F.get(F.lit(known) if known else F.array().cast("array<string>"), place)
     return (
-        split.join(left, "antecedent")
-        .join(right, "consequent")
+        split.join(left, words)
+        .where(confidence >= min_confidence)
+        .join(right, "_of")
         .select(
-            "antecedent",
-            "consequent",
+            F.transform("_left", named).alias("antecedent"),
+            F.array(named(F.col("_of"))).alias("consequent"),
             (F.col("n_both") / total).alias("support"),
             confidence.alias("confidence"),
             (confidence / (F.col("n_right") / total)).alias("lift"),
         )
-        .where(F.col("confidence") >= min_confidence)
     )
 
 
