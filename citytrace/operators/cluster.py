@@ -281,12 +281,13 @@ def top2_share(snapshots: DataFrame, id_col: str, count_col: str, share_col: str
 
 
 def segment_extremes(ranked: DataFrame) -> DataFrame:
-    """The most concentrated and the most distributed period, calendar order on ties."""
+    """Labels of the most concentrated and the most distributed period, calendar order on ties."""
+    label = F.coalesce(*[F.when(F.col("segment") == key, F.lit(text)) for key, text in SEGMENT_LABELS.items()])
     place = F.array_position(F.lit(list(SEGMENTS)), F.col("segment")).cast("int")
     period = ranked.where(F.col("segment") != bins.ALL_DAY).withColumn("_place", place)
     return period.agg(
-        F.min_by("segment", F.struct(-F.col("first_share_pct"), "_place")).alias("most_concentrated_period"),
-        F.min_by("segment", F.struct("top2_share_pct", "_place")).alias("most_distributed_period"),
+        F.min_by(label, F.struct(-F.col("first_share_pct"), "_place")).alias("most_concentrated_period"),
+        F.min_by(label, F.struct("top2_share_pct", "_place")).alias("most_distributed_period"),
     )
 
 

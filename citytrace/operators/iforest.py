@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
@@ -57,22 +57,24 @@ def fit_iforest(sample: DataFrame, cols: Sequence[str], config: ForestConfig = F
     """Forest table of a training sample.
 
     Each (row, tree) pair draws a repeatable number; a tree keeps the ``max_samples`` rows with
-    the smallest. A first cut with some slack happens before the shuffle, so about
-    ``trees * max_samples`` rows travel, whatever the size of the sample.
+    the smallest. A first cut with some slack happens before any pair becomes a row, so about
+    ``trees * max_samples`` rows travel, however many rows are drawn from.
     """
     cols = list(cols)
     counted = sample.agg(F.count(F.lit(1)).cast("double")).scalar()
     psi = float(config.max_samples)
     slack = 6.0 * math.sqrt(psi) + 16.0
     share = F.least(F.lit(1.0), F.try_divide(F.lit(psi + slack), counted))
-    draw = F.pmod(F.xxhash64(*sample.columns, "_twin", "tree", F.lit(config.seed)), F.lit(1 << 52)) / _UNIT
-    # Equal rows are numbered so that each draws for itself; the sample is capped, so is the window.
-    twins = Window.partitionBy(*sample.columns).orderBy(F.lit(0))
+    draw = lambda tree: F.pmod(F.xxhash64(*sample.columns, "_twin", tree, F.lit(config.seed)), F.lit(1 << 52)) / _UNIT
+    # Equal rows are counted, and numbered so that each draws for itself.
+    trees = F.sequence(F.lit(0), F.lit(config.trees - 1))
     drawn = (
-        sample.withColumn("_twin", F.row_number().over(twins))
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(config.trees - 1))))
-        .withColumn("_draw", draw)
-        .where(F.col("_draw") < share)
+        sample.groupBy(*sample.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_twin", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        .withColumn("_share", share)
+        .withColumn("tree", F.explode(F.filter(trees, lambda tree: draw(tree) < F.col("_share"))))
+        .withColumn("_draw", draw(F.col("tree")))
         .select("tree", "_draw", *[F.col(c).cast("double").alias(c) for c in cols])
     )
     limit, seed, unit_depth = config.max_samples, config.seed, average_depth
@@ -159,25 +161,24 @@ def score_iforest(
     """
     spark = df.sparkSession
     cols = list(cols)
-    trees, rows, sums = 0, 0, []
+    trees, rows, total = 0, 0, F.lit(0.0)
     for pack in _packs(forest, pack_bytes):
         trees += len(pack)
         rows = max(rows, max(tree[-1] for tree in pack))
         shipped = spark.sparkContext.broadcast([tree[:-1] for tree in pack])
-        sums.append(_depth_sum(shipped)(*[F.col(c).cast("double") for c in cols]))
+        total = _depth_sum(shipped)(total, *[F.col(c).cast("double") for c in cols])
     if not trees:
         raise ValueError("the forest has no trees")
     expected = average_depth(float(rows)) or 1.0
-    names = [f"_depth_{i}" for i in range(len(sums))]
-    with_depths = df.withColumns(dict(zip(names, sums)))
-    mean_depth = sum((F.col(n) for n in names), F.lit(0.0)) / float(trees)
-    return with_depths.withColumn(out, F.pow(F.lit(2.0), -mean_depth / expected) - 0.5).drop(*names)
+    mean_depth = F.col("_depth") / float(trees)
+    return df.withColumn("_depth", total).withColumn(out, F.pow(F.lit(2.0), -mean_depth / expected) - 0.5).drop("_depth")
 
 
 def _depth_sum(shipped):
-    def depth_sum(*features: pd.Series) -> pd.Series:
+    def depth_sum(so_far: pd.Series, *features: pd.Series) -> pd.Series:
+        """Trees are added in their order, whatever the packs."""
         data = np.column_stack([f.to_numpy(dtype=np.float64) for f in features])
-        total = np.zeros(len(data))
+        total = so_far.to_numpy(dtype=np.float64).copy()
         every = np.arange(len(data))
         for feature, threshold, left, right, depth in shipped.value:
             at = np.zeros(len(data), dtype=np.int32)

@@ -79,10 +79,18 @@ def monthly_counts(df: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
 def weekday_weekend_avg(
     df: DataFrame, dates: DataFrame, first: dt.date | None = None, last: dt.date | None = None
 ) -> DataFrame:
-    """Trips per day of weekdays and weekends; the divisor is the number of such days in the calendar."""
+    """Trips per day of weekdays and weekends; the divisor is the number of such days in the calendar.
+
+    ``first`` and ``last`` bound trips and days alike.
+    """
     days = days_of(dates, first, last).groupBy("is_weekend").agg(_trips().alias("_days"))
+    counted = _per_day(df)
+    if first is not None:
+        counted = counted.where(F.col("pickup_date") >= F.lit(first))
+    if last is not None:
+        counted = counted.where(F.col("pickup_date") <= F.lit(last))
     totals = (
-        _per_day(df).groupBy(times.is_weekend(F.col("pickup_date")).alias("is_weekend")).agg(F.sum("_n").alias("_n"))
+        counted.groupBy(times.is_weekend(F.col("pickup_date")).alias("is_weekend")).agg(F.sum("_n").alias("_n"))
     )
     spine = _values(df.sparkSession, is_weekend=[0, 1])
     joined = spine.join(totals, "is_weekend", "left").join(days, "is_weekend", "left")

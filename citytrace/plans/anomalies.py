@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from citytrace.operators import anomaly, iforest, prepare
 from citytrace.operators.lookup import as_list
-from citytrace.operators.sampling import hash_key, sample_capped
 from citytrace.session import cut_lineage
 from citytrace.sources.artifacts import check_inputs
 from citytrace.sources.sinks import save_tables, write_rows, write_summary
@@ -17,10 +16,6 @@ from citytrace.sources.sinks import save_tables, write_rows, write_summary
 
 @dataclass(frozen=True)
 class AnomalyConfig:
-    train_share: float = 0.02
-    train_cap: int = 500_000
-    context_share: float = 0.08
-    context_cap: int = 900_000
     target_rate: float = anomaly.TARGET_RATE
     forest: iforest.ForestConfig = iforest.ForestConfig()
 
@@ -46,42 +41,34 @@ def run_anomaly(
     """The whole product. All trips are scored in one pass; what follows reads the written flags."""
     spark = trips.sparkSession
     check_inputs({"trips": trips, "zones": zones})
-    prepared = prepare.prepare_anomaly(trips)
-    rated = prepare.rate_features(prepared)
-    context_sample = sample_capped(
-        prepared, config.context_share, config.context_cap, hash_key(*prepared.columns, seed=53)
-    )
-    train_sample = sample_capped(rated, config.train_share, config.train_cap, hash_key(*rated.columns))
-    counts = cut_lineage(anomaly.fare_counts(context_sample))
+    prepared = cut_lineage(prepare.prepare_anomaly(trips))
+    counts = cut_lineage(anomaly.fare_counts(prepared))
     stats = {
         "context_stats": anomaly.context_stats(counts),
         "route_stats": anomaly.route_stats(counts),
         "global_stats": anomaly.global_stats(counts),
-        "fill_medians": prepare.medians(train_sample, anomaly.RATE_COLUMNS),
+        "fill_medians": prepare.medians(prepare.rate_features(prepared), anomaly.RATE_COLUMNS),
     }
     save_tables(stats, f"{out}/bundle")
     stats = {name: spark.read.parquet(f"{out}/bundle/{name}") for name in stats}
     tables = [stats[f"{name}_stats"] for name in ("context", "route", "global")]
 
-    sample = cut_lineage(
-        anomaly.anomaly_features(train_sample.select(*prepared.columns), *tables, fills=stats["fill_medians"])
-    )
-    check_inputs({"training sample": sample})
+    features = cut_lineage(anomaly.anomaly_features(prepared, *tables, fills=stats["fill_medians"]))
+    check_inputs({"training rows": features})
+    # Only the rows of each tree are drawn, from all trips: that is the algorithm, not a cut of it.
     forests = {
-        "speed": iforest.fit_iforest(sample, anomaly.SPEED_FEATURES, config.forest),
-        "fare": iforest.fit_iforest(sample, anomaly.FARE_FEATURES, config.forest),
+        "speed": iforest.fit_iforest(features, anomaly.SPEED_FEATURES, config.forest),
+        "fare": iforest.fit_iforest(features, anomaly.FARE_FEATURES, config.forest),
     }
     save_tables(forests, f"{out}/models")
     forests = {name: spark.read.parquet(f"{out}/models/{name}") for name in forests}
-    scored_sample = cut_lineage(_score(sample, forests))
+    scored = cut_lineage(_score(features, forests))
     thresholds = {
-        "speed_thresholds": anomaly.calibrate_speed(scored_sample, config.target_rate),
-        "fare_thresholds": anomaly.calibrate_fare(scored_sample, config.target_rate),
+        "speed_thresholds": anomaly.calibrate_speed(scored, config.target_rate),
+        "fare_thresholds": anomaly.calibrate_fare(scored, config.target_rate),
     }
     save_tables(thresholds, f"{out}/bundle")
     thresholds = {name: spark.read.parquet(f"{out}/bundle/{name}") for name in thresholds}
-
-    scored = _score(anomaly.anomaly_features(prepared, *tables, fills=stats["fill_medians"]), forests)
     flagged = cut_lineage(
         anomaly.flag_fare(anomaly.flag_speed(scored, thresholds["speed_thresholds"]), thresholds["fare_thresholds"])
     )
@@ -89,8 +76,15 @@ def run_anomaly(
     for kind in anomaly.KINDS:
         write_rows(anomaly.anomaly_rows(flagged, kind, zones), f"{out}/outputs/{kind}", "parquet")
         rows[kind] = spark.read.parquet(f"{out}/outputs/{kind}")
+    used = F.struct(
+        as_list(thresholds["speed_thresholds"], F.col("pickup_hour")).alias("speed_by_hour"),
+        as_list(thresholds["fare_thresholds"], F.col("score_quantile")).alias("fare"),
+        F.lit(config.target_rate).alias("target_rate"),
+        F.lit(config.forest.trees).alias("trees"),
+        F.lit(config.forest.max_samples).alias("max_samples"),
+    )
     summary = anomaly.anomaly_totals(flagged).select(
-        "*", *[_summary(flagged, zones, kind, rows[kind]) for kind in anomaly.KINDS]
+        "*", *[_summary(flagged, zones, kind, rows[kind]) for kind in anomaly.KINDS], used.alias("thresholds")
     )
     write_summary(summary, f"{out}/anomaly_summary")
     return {"summary": spark.read.json(f"{out}/anomaly_summary"), "flagged": flagged, **rows, **thresholds}

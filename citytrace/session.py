@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +28,10 @@ def build_session(app_name: str = "citytrace", master: str | None = None, **conf
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a scratch folder only where none is named and Spark runs locally."""
+    """The cluster's shared folder; where none is named, one beside the tables of a local session.
+
+    Only a local master may go without the setting: there the warehouse folder is the only disk.
+    """
     context = spark.sparkContext
     named = context.getConf().get(CHECKPOINT_KEY)
     if named:
@@ -40,12 +43,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can read")
-    scratch = tempfile.mkdtemp(prefix="citytrace-")
+    scratch = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages-{context.applicationId}"
     context.setCheckpointDir(scratch)
     return scratch
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder once, so a lost executor never repeats the work above it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame as a Parquet table in the shared folder: later reads take the columns they need, and
+    a lost executor never repeats the work above it."""
+    path = f"{checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -48,19 +48,13 @@ def test_forest_finds_the_outlier(spark):
     got = scored.orderBy(F.desc("s")).collect()
     assert (got[0]["a"], got[0]["b"]) == (9.0, -9.0)
     assert all(-0.5 < r["s"] < 0.5 for r in got)
-    assert rows(packed.select(F.round("s", 9))) == rows(scored.select(F.round("s", 9)))
+    assert rows(packed.select("s")) == rows(scored.select("s"))
     again = iforest.fit_iforest(df.repartition(2), ["a", "b"], config)
-    assert rows(again.select("tree", F.sum("rows").over(forest_window()).alias("n"))) is not None
+    assert rows(again.select("tree", "rows")) == rows(forest.select("tree", "rows"))
     same = iforest.score_iforest(df, cut_lineage(again), ["a", "b"], "s")
     assert rows(same.select(F.round("s", 9))) == rows(scored.select(F.round("s", 9)))
 
 
-def forest_window():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("tree")
-
-
 def test_forest_of_copies_stays_bounded(spark):
     """Most rows equal: a tree still takes its number of rows, and equal rows share one score."""
     df = spark.createDataFrame([(1.0, 1.0)] * 900 + [(float(i), 5.0) for i in range(100)], "a double, b double")
@@ -111,7 +105,7 @@ def test_hourly_rows_are_dense(spark):
 
 
 def test_anomaly_job(spark, trips, zones, tmp_path):
-    config = AnomalyConfig(train_share=0.3, context_share=0.5, forest=iforest.ForestConfig(trees=10, max_samples=128))
+    config = AnomalyConfig(forest=iforest.ForestConfig(trees=10, max_samples=128))
     result = run_anomaly(trips, zones, str(tmp_path), config)
     summary = result["summary"].first()
     flagged = result["flagged"]

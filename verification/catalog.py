@@ -125,21 +125,19 @@ def route_distance(spark, sf):
 
 @query
 def with_labels(spark, sf):
-    known = zones(spark, sf).where(F.col("location_id") % 6 != 0)
-    return lookup.with_labels(_renamed(trips(spark, sf).select("pickup_location_id", "dropff_location_id")), known)
+    pairs = _renamed(trips(spark, sf).select("pickup_location_id", "dropff_location_id"))
+    return lookup.with_labels(pairs, zones(spark, sf))
 
 
 @query
 def with_date_dim(spark, sf):
     df = trips(spark, sf)
-    days = stats.date_dim(df).where(F.col("date") < F.lit(WINDOW[1]))
-    return lookup.with_date_dim(df.select("pickup_date", "pickup_time", "fare_amount"), days)
+    return lookup.with_date_dim(df.select("pickup_date", "pickup_time", "fare_amount"), stats.date_dim(df))
 
 
 def _stats(spark, sf):
-    """Fare statistics without every third hour and every fifth pair, so that all fallbacks are used."""
-    known = (F.col("pickup_hour") % 3 != 0) & ((F.col("source_id") + F.col("destination_id")) % 5 != 0)
-    counts = written(spark, sf, "fare_counts", lambda: anomaly.fare_counts(_prepared(spark, sf).where(known)))
+    """Fare statistics of all trips, as the job takes them."""
+    counts = written(spark, sf, "fare_counts", lambda: anomaly.fare_counts(_prepared(spark, sf)))
     return [checked(make(counts)) for make in (anomaly.context_stats, anomaly.route_stats, anomaly.global_stats)]
 
 
@@ -368,8 +366,8 @@ def calibrate_fare(spark, sf):
 @query
 def attach_hour_threshold(spark, sf):
     scored = _scored(spark, sf)
-    some = _thresholds(spark, sf)[0].where(F.col("pickup_hour") % 5 != 0)
-    return lookup.attach_hour_threshold(scored.select("pickup_timestamp", *ENDS, "pickup_hour", "speed_mph"), some)
+    thresholds = _thresholds(spark, sf)[0]
+    return lookup.attach_hour_threshold(scored.select("pickup_timestamp", *ENDS, "pickup_hour", "speed_mph"), thresholds)
 
 
 @query
@@ -471,8 +469,7 @@ def global_prior(spark, sf):
 @query
 def attach_route_prior(spark, sf):
     train, test = forecast.split_months(_agg(spark, sf))
-    some = forecast.route_priors(train).where(F.col("source_id") % 4 != 0)
-    return lookup.attach_route_prior(test, some, forecast.global_prior(train))
+    return lookup.attach_route_prior(test, forecast.route_priors(train), forecast.global_prior(train))
 
 
 @query
@@ -503,7 +500,7 @@ def _requests(spark, sf):
 @query
 def request_features(spark, sf):
     train, _ = forecast.split_months(_agg(spark, sf))
-    prior = forecast.route_priors(train).where(F.col("destination_id") % 4 != 0)
+    prior = forecast.route_priors(train)
     return forecast.request_features(_requests(spark, sf), prior, forecast.global_prior(train), coords(spark, sf))
 
 

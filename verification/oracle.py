@@ -163,7 +163,7 @@ CTES: dict[str, str] = {
                fare_amount / greatest(trip_distance_miles, 1e-3) AS fare_per_mile,
                fare_amount / greatest(eta_minutes, 1e-3) AS fare_per_minute
         FROM prep""",
-    "part": "SELECT * FROM prep WHERE pickup_hour % 3 <> 0 AND (source_id + destination_id) % 5 <> 0",
+    "part": "SELECT * FROM prep",
     "ctx": "SELECT source_id, destination_id, pickup_hour, is_weekend, count(*) AS context_trip_count, "
     + ", ".join(
         r6(_quantile(q, "fare_amount"), f"context_fare_{n}") for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
@@ -584,10 +584,10 @@ ORACLE: dict[str, str] = {
     "with_labels": f"""SELECT {_PAIR_OUT},
         coalesce(a.zone, 'Unknown') || ' (' || coalesce(a.borough, 'Unknown') || ')' AS origin_label,
         coalesce(b.zone, 'Unknown') || ' (' || coalesce(b.borough, 'Unknown') || ')' AS destination_label FROM trips
-        LEFT JOIN zones a ON a.location_id = pickup_location_id AND a.location_id % 6 <> 0
-        LEFT JOIN zones b ON b.location_id = dropff_location_id AND b.location_id % 6 <> 0""",
+        LEFT JOIN zones a ON a.location_id = pickup_location_id
+        LEFT JOIN zones b ON b.location_id = dropff_location_id""",
     "with_date_dim": f"""SELECT pickup_date, pickup_time, {r6('fare_amount')}, dayname(pickup_date) AS day, is_weekend
-        FROM trips JOIN days ON date = pickup_date WHERE date < DATE '1999-08-31'""",
+        FROM trips JOIN days ON date = pickup_date""",
     "attach_context": f"""SELECT source_id, destination_id, pickup_date, pickup_time, pickup_hour, day_of_week, is_weekend,
         context_trip_count, {r6s('trip_distance_miles', 'fare_amount', 'context_fare_q1', 'context_fare_median',
         'context_fare_q3', 'context_iqr_fare', 'context_median_fare', 'context_count_log1p',
@@ -705,7 +705,7 @@ ORACLE: dict[str, str] = {
     "attach_hour_threshold": f"""SELECT pickup_timestamp, source_id, destination_id, scored.pickup_hour, {r6('speed_mph')},
         {r6('coalesce(t.speed_score_threshold, g.global_speed_score_threshold)', 'speed_score_threshold')},
         {r6('coalesce(t.speed_mph_threshold, g.global_speed_mph_threshold)', 'speed_mph_threshold')}
-        FROM scored LEFT JOIN speed_thr t ON t.pickup_hour = scored.pickup_hour AND t.pickup_hour % 5 <> 0
+        FROM scored LEFT JOIN speed_thr t ON t.pickup_hour = scored.pickup_hour
         CROSS JOIN (SELECT * FROM speed_thr WHERE pickup_hour = 1) g""",
     "flag_speed": f"""SELECT pickup_timestamp, source_id, destination_id, {r6s('speed_mph', 'speed_anomaly_score')},
         is_extreme_speed_anomaly FROM flagged""",
@@ -749,8 +749,7 @@ ORACLE: dict[str, str] = {
         {r6('coalesce(route_hist_avg_fare, g_fare)', 'route_hist_avg_fare')},
         {r6('coalesce(route_hist_avg_eta, g_eta)', 'route_hist_avg_eta')},
         {r6('coalesce(route_hist_trip_count_log1p, g_count)', 'route_hist_trip_count_log1p')}
-        FROM test t LEFT JOIN prior p ON p.source_id = t.source_id AND p.destination_id = t.destination_id
-          AND p.source_id % 4 <> 0 CROSS JOIN gprior""",
+        FROM test t LEFT JOIN prior p ON p.source_id = t.source_id AND p.destination_id = t.destination_id CROSS JOIN gprior""",
     "forecast_features": f"""SELECT source_id, destination_id, pickup_hour, day_of_week, is_weekend, month, trip_count,
         {r6s('avg_fare_amount', 'avg_eta_minutes', 'route_hist_avg_fare', 'route_hist_avg_eta',
              'route_hist_trip_count_log1p')},
@@ -767,8 +766,7 @@ ORACLE: dict[str, str] = {
                 CASE WHEN dayofweek(day) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend, CAST(month(day) AS INTEGER) AS month
               FROM (SELECT DISTINCT {_PAIR_OUT}, pickup_date, {HOUR} + 1 AS requested_hour,
                       CASE WHEN {HOUR} = 23 THEN pickup_date + 1 ELSE pickup_date END AS day FROM trips)) q
-        LEFT JOIN prior p ON p.source_id = q.source_id AND p.destination_id = q.destination_id
-          AND p.destination_id % 4 <> 0 CROSS JOIN gprior
+        LEFT JOIN prior p ON p.source_id = q.source_id AND p.destination_id = q.destination_id CROSS JOIN gprior
         LEFT JOIN coords a ON a.location_id = q.source_id LEFT JOIN coords b ON b.location_id = q.destination_id""",
     "weighted_points": f"SELECT segment, location_id, {r6s('long', 'lat')}, weight FROM points",
     "segment_point_counts": "SELECT segment, CAST(sum(weight) AS BIGINT) AS points FROM points GROUP BY segment",
@@ -794,9 +792,9 @@ ORACLE: dict[str, str] = {
         {r6('coalesce(b.share_pct, 0)', 'second_borough_pct')},
         coalesce(a.borough || ' + ' || b.borough, a.borough) AS top_2_boroughs,
         {r6('coalesce(round(a.share_pct + b.share_pct, 2), a.share_pct)', 'top_2_borough_pct')},
-        (SELECT segment FROM top_clusters WHERE segment <> 'all' ORDER BY pct1 DESC, place LIMIT 1)
+        (SELECT upper(segment[1]) || segment[2:] FROM top_clusters WHERE segment <> 'all' ORDER BY pct1 DESC, place LIMIT 1)
           AS most_concentrated_period,
-        (SELECT segment FROM top_clusters WHERE segment <> 'all' ORDER BY top2, place LIMIT 1) AS most_distributed_period,
+        (SELECT upper(segment[1]) || segment[2:] FROM top_clusters WHERE segment <> 'all' ORDER BY top2, place LIMIT 1) AS most_distributed_period,
         {r6('''round((SELECT top2 FROM top_clusters WHERE segment = 'afternoon')
           - (SELECT top2 FROM top_clusters WHERE segment = 'evening'), 2)''', 'concentration_gap')}
         FROM top_clusters t JOIN ranked_boroughs a ON a.segment = t.segment AND a.turn = 1
