@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrace.functions import bins, times
+from citytrace.functions import bins, numeric, times
 from citytrace.operators import (
     anomaly,
     clean,
@@ -102,6 +102,24 @@ def segment_trips(spark, sf):
     )
 
 
+@query
+def numeric_guards(spark, sf):
+    """The guards of the boosted models' target: clip, log1p and back, absolute error."""
+    fare = F.col("fare_amount")
+    held = numeric.clip(fare, 5.0, 60.0)
+    back = numeric.at_least(F.expm1(F.log1p(held) + 0.01), 0.0)
+    return trips(spark, sf).select(
+        "pickup_location_id",
+        "dropff_location_id",
+        "pickup_date",
+        "pickup_time",
+        held.alias("held"),
+        F.log1p(numeric.finite(F.try_divide(fare, F.col("tip_amount")))).alias("ratio_log1p"),
+        back.alias("back"),
+        F.abs(fare - back).alias("error"),
+    )
+
+
 # ---- joins ----
 
 

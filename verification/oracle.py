@@ -130,13 +130,14 @@ CTES: dict[str, str] = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey""",
     "trips": """
-        SELECT pickup_location_id, dropff_location_id, CAST(p_ts AS DATE) AS pickup_date,
+        SELECT DISTINCT pickup_location_id, dropff_location_id, CAST(p_ts AS DATE) AS pickup_date,
                strftime(p_ts, '%H:%M:%S') AS pickup_time, CAST(d_ts AS DATE) AS dropff_date,
                strftime(d_ts, '%H:%M:%S') AS dropff_time, trip_distance, fare_amount, tip_amount, payment_type,
                extra_amount, fare_amount + tip_amount + extra_amount AS total_trip_amount, p_ts, d_ts
         FROM mapped
         WHERE trip_distance > 0 AND pickup_location_id <> dropff_location_id AND fare_amount >= 0
-          AND epoch(d_ts) - epoch(p_ts) BETWEEN 0 AND 86400""",
+          AND epoch(d_ts) - epoch(p_ts) BETWEEN 0 AND 86400
+          AND tip_amount IS NOT NULL AND extra_amount IS NOT NULL AND payment_type IS NOT NULL""",
     "zones": """
         SELECT n_nationkey AS location_id,
                CASE WHEN n_nationkey <= 2 THEN 'EWR' WHEN n_nationkey = 24 THEN 'Unknown' ELSE r_name END AS borough,
@@ -807,6 +808,10 @@ ORACLE: dict[str, str] = {
                 FROM (SELECT *, (location_id * 7919 + cluster_id * 31) % {KEY_SPACE} AS k FROM sampled
                       WHERE segment = 'evening'))))
         WHERE place <= 1500 GROUP BY ALL""",
+    "numeric_guards": f"""SELECT pickup_location_id, dropff_location_id, pickup_date, pickup_time, {r6('held')},
+        {r6('ln(1 + fare_amount / nullif(tip_amount, 0))', 'ratio_log1p')}, {r6('back')}, {r6('abs(fare_amount - back)', 'error')}
+        FROM (SELECT *, greatest((1 + held) * exp(1e-2) - 1, 0) AS back
+              FROM (SELECT *, least(greatest(fare_amount, 5e0), 6e1) AS held FROM trips))""",
     "transactions": "SELECT array_to_string(items, '|') AS items FROM baskets",
     "mine_rules": f"SELECT rule, {r6s('support', 'confidence', 'lift')} FROM ruled",
     "pair_rules": f"""SELECT '{{' || x || '}} -> {{' || y || '}}' AS rule, {r6('p.n / t.n', 'support')},

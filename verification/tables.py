@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citytrace.operators.clean import trip_details
+from citytrace.operators.clean import clean_trips
 from citytrace.session import checkpoint_dir
 from citytrace.sources.trips import read_processed
 
@@ -90,12 +90,12 @@ def written(spark: SparkSession, sf_dir: str, stage: str, make: Callable[[], Dat
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid trips in the processed schema, as the products read them.
+    """Cleaned trips in the processed schema, as the products read them.
 
     Round-robin partitions stay even whatever the keys of the source tables are.
     """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    make = lambda: trip_details(raw_trips(spark, sf_dir)).repartition(partitions)
+    make = lambda: clean_trips(raw_trips(spark, sf_dir)).repartition(partitions)
     return written(spark, sf_dir, "trips", make)
 
 
