@@ -99,15 +99,11 @@ def component_roots(edges: DataFrame) -> DataFrame:
     shape of graph, chains and stars alike. Minima are combined before the shuffle, so the degree of
     a node does not matter.
     """
-    links = saved(
-        edges.select(_scrambled(F.col("a").cast("long")).alias("a"), _scrambled(F.col("b").cast("long")).alias("b"))
-        .filter("a <> b")
-        .distinct(),
-        "links",
-    )
+    edges = saved(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), "edges")
+    links = edges.filter("a <> b").select(_scrambled(F.col("a")).alias("a"), _scrambled(F.col("b")).alias("b")).distinct()
     nodes = (
-        edges.select(F.col("a").cast("long").alias("node"))
-        .union(edges.select(F.col("b").cast("long")))
+        edges.select(F.col("a").alias("node"))
+        .union(edges.select("b"))
         .distinct()
         .select("node", _scrambled(F.col("node")).alias("root"))
     )
