@@ -5,7 +5,7 @@ File format. A shard file is a sequence of records, each ended by the byte 0x0A:
 A record's rest is
   u32 documents | u32 ids | u32 lanes | zlib of (ids of documents as i64, their lengths as u32 and
   whether the first one continues the record before) | u32 length of that zlib, before it | per lane
-  u32 count of 16-bit words | the words
+  u32 count of 32-bit words | the words
 The ids of a record form a matrix of steps x lanes, filled lane after lane. Every lane is a range
 coder of its own; all lanes share one model, which starts empty in every record and learns after
 each step, so a record can be read alone. The model mixes three predictions: order 0 (counts of all
@@ -38,7 +38,7 @@ from .shared import field, saved, small_batches
 MAGIC = b"CMRC"
 END_OF_RECORD = b"\n"
 BLOCK_IDS = 1 << 20
-LANES = 2048
+LANES = 4096
 STEPS_PER_LANE = 128  #: a record has at least so many steps, as far as its ids reach
 CACHE_WORDS = 250_000  #: distinct words whose ids a worker keeps
 WORDS_AT_ONCE = 1 << 17
@@ -49,20 +49,21 @@ PAIR_BITS = 18
 TOP_CONFIDENCE = 7
 N_CLASSES = (TOP_CONFIDENCE + 1) ** 2
 HALVE_AT = 1 << 14
-BOTTOM = np.uint64(1 << 32)
-ONE = np.uint64(1)
+HALF, ONE = np.uint64(32), np.uint64(1)
+LOW_WORD = np.uint64((1 << 32) - 1)
 
 
 class Model:
-    """Counts and last followers of one record; the coder and the decoder keep equal copies."""
+    """Counts and last followers of one record; the coder and the decoder keep equal copies.
+
+    A follower and the confidence in it share one number: id * (TOP_CONFIDENCE + 1) + confidence.
+    """
 
     def __init__(self, n_ids: int, lanes: int) -> None:
         self.n_ids = n_ids
         self.counts = np.ones(n_ids, np.int64)
         self.after_one = np.zeros(n_ids, np.int32)
-        self.trust_one = np.zeros(n_ids, np.int8)
         self.after_two = np.zeros(1 << PAIR_BITS, np.int32)
-        self.trust_two = np.zeros(1 << PAIR_BITS, np.int8)
         self.credit = np.tile(np.array([4, 2, 2], np.int64), (N_CLASSES, 1))
         self.last = np.zeros(lanes, np.int64)
         self.pair = np.zeros(lanes, np.int64)
@@ -75,66 +76,68 @@ class Model:
         total = int(self.counts.sum())
         freq = self.counts * ((1 << LOW_BITS) - self.n_ids) // total + 1
         freq[int(self.counts.argmax())] += (1 << LOW_BITS) - int(freq.sum())
-        self.low = np.concatenate(([0], np.cumsum(freq)))
-
-    def mixture(self) -> None:
-        """Shares of the three predictions for each lane, in units of 2**-TOTAL_BITS."""
-        self.one, self.two = self.after_one[self.last], self.after_two[self.pair]
-        kind = self.trust_two[self.pair].astype(np.int64) * (TOP_CONFIDENCE + 1) + self.trust_one[self.last]
-        self.kind = kind
+        self.low = np.zeros(self.n_ids + 1, np.int32)
+        np.cumsum(freq, out=self.low[1:])
+
+    def mixture(self, on: int) -> None:
+        """Shares of the three predictions for the first lanes, in units of 2**-TOTAL_BITS."""
+        self.packed_one, self.packed_two = self.after_one[self.last[:on]], self.after_two[self.pair[:on]]
+        self.one, self.two = self.packed_one >> 3, self.packed_two >> 3
+        self.kind = ((self.packed_two & 7) << 3) + (self.packed_one & 7)
         share = self.credit / self.credit.sum(axis=1, keepdims=True)
         # Order 0 keeps a 64th at least, so that every id has a width of one at least.
         scale = np.maximum(256, (share[:, 0] * (1 << (TOTAL_BITS - LOW_BITS + 8))).astype(np.int64))
         rest = (1 << TOTAL_BITS) - (scale << (LOW_BITS - 8))
         first = (rest * (share[:, 1] / (share[:, 1] + share[:, 2]))).astype(np.int64)
-        self.scale, self.w1, self.w2 = scale[kind], first[kind], (rest - first)[kind]
+        self.scale, self.w1 = scale[self.kind], first[self.kind]
+        self.w2 = (rest - first)[self.kind]
 
     def _zero(self, at: np.ndarray) -> np.ndarray:
         """Scaled order-0 cumulative frequency."""
         return (self.low[at] * self.scale) >> 8
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and width of each id; a width holds the weight of every prediction that names the id."""
         begin = self._zero(ids) + self.w1 * (self.one < ids) + self.w2 * (self.two < ids)
-        end = self._zero(ids + 1) + self.w1 * (self.one <= ids) + self.w2 * (self.two <= ids)
-        return begin, end - begin
+        size = self._zero(ids + 1) - self._zero(ids) + self.w1 * (self.one == ids) + self.w2 * (self.two == ids)
+        return begin, size
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The id of each lane whose interval holds the value."""
+        swapped = self.one > self.two
         small, large = np.minimum(self.one, self.two), np.maximum(self.one, self.two)
-        one_first = self.one <= self.two
-        w_small, w_large = np.where(one_first, self.w1, self.w2), np.where(one_first, self.w2, self.w1)
+        w_small, w_large = np.where(swapped, self.w2, self.w1), np.where(swapped, self.w1, self.w2)
         # Below both predictions, between them or above: take off what they add, look up the rest.
         past_small = self._zero(small) <= value
         past_large = self._zero(large) + w_small <= value
-        same = small == large
-        in_small = past_small & (value < self._zero(small + 1) + w_small + w_large * same)
+        in_small = past_small & (value < self._zero(small + 1) + w_small + w_large * (small == large))
         in_large = past_large & (value < self._zero(large + 1) + w_small + w_large)
-        rest = value - w_small * past_small - w_large * past_large
-        todo = ~(in_small | in_large)
-        ids = np.where(in_small, small, large).astype(np.int64)
-        where = np.flatnonzero(todo)
+        ids = np.where(in_small, small, large)
+        where = np.flatnonzero(~(in_small | in_large))
         if len(where):
-            wanted, scale = rest[where], self.scale[where]
+            wanted = (value - w_small * past_small - w_large * past_large)[where]
             # low[id] * scale >> 8 <= wanted  <=>  low[id] <= ((wanted + 1) * 256 - 1) // scale
-            limit = (((wanted + 1) << 8) - 1) // scale
+            limit = ((((wanted + 1) << 8) - 1) // self.scale[where]).astype(np.int32)
             ids[where] = np.searchsorted(self.low, limit, side="right") - 1
         return ids
 
-    def learn(self, ids: np.ndarray, on: int) -> None:
-        """Update from the ids of one step; the first ``on`` lanes have one."""
-        last, pair, one, two, kind = self.last[:on], self.pair[:on], self.one[:on], self.two[:on], self.kind[:on]
-        hit_one, hit_two = one == ids, two == ids
-        earned = kind * 3 + np.where(hit_two, 2, hit_one.astype(np.int64))
+    def learn(self, ids: np.ndarray) -> None:
+        """Update from the ids of one step, those of the first lanes."""
+        on = len(ids)
+        last, pair = self.last[:on], self.pair[:on]
+        hit_one, hit_two = self.one == ids, self.two == ids
+        earned = self.kind * 3 + np.where(hit_two, 2, hit_one)
         self.credit += 4 * np.bincount(earned, minlength=3 * N_CLASSES).reshape(-1, 3)
         over = self.credit.sum(axis=1) > HALVE_AT
         if over.any():
             self.credit[over] = (self.credit[over] + 1) >> 1
-        trust = self.trust_one[last]
-        self.trust_one[last] = np.where(hit_one, np.minimum(trust + 1, TOP_CONFIDENCE), trust >> 1)
-        self.after_one[last] = ids
-        trust = self.trust_two[pair]
-        self.trust_two[pair] = np.where(hit_two, np.minimum(trust + 1, TOP_CONFIDENCE), trust >> 1)
-        self.after_two[pair] = ids
+        packed = ids << 3
+        for table, at, seen, hit in (
+            (self.after_one, last, self.packed_one, hit_one),
+            (self.after_two, pair, self.packed_two, hit_two),
+        ):
+            trust = seen & 7
+            table[at] = packed + np.where(hit, np.minimum(trust + 1, TOP_CONFIDENCE), trust >> 1)
         np.add.at(self.counts, ids, 24)
         self.pair[:on] = ((last * 40503) ^ (ids * 30011)) & ((1 << PAIR_BITS) - 1)
         self.last[:on] = ids
@@ -156,6 +159,20 @@ def _lengths(n: int, lanes: int, steps: int) -> np.ndarray:
     return np.where(np.arange(lanes) < full, steps, steps - 1)
 
 
+def _narrowed(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Lanes that are to move on by a word: their range is below 2**32.
+
+    Where the upper words of both ends still differ, the range is cut at the border between them, so
+    that no carry is ever needed.
+    """
+    where = np.flatnonzero(span <= LOW_WORD)
+    if len(where):
+        a, s = low[where], span[where]
+        differs = (a ^ (a + s - ONE)) > LOW_WORD
+        span[where] = np.where(differs, (~a + ONE) & LOW_WORD, s)
+    return where
+
+
 def encode_ids(ids: np.ndarray, n_ids: int) -> bytes:
     """The coded lanes of one record."""
     lanes, steps = _lanes(len(ids))
@@ -163,49 +180,31 @@ def encode_ids(ids: np.ndarray, n_ids: int) -> bytes:
     begins = np.cumsum(lengths) - lengths
     model = Model(n_ids, lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    out, sizes = np.empty((lanes, steps * 2 + 8), np.uint16), np.zeros(lanes, np.int64)
-
-    def emit(low: np.ndarray, span: np.ndarray) -> None:
-        where = np.arange(len(low))
-        while len(where):
-            a, s = low[where], span[where]
-            settled = (a ^ (a + s)) >> np.uint64(48) == 0
-            narrow = ~settled & (s < BOTTOM)
-            if narrow.any():
-                span[where[narrow]] = (~a[narrow] + ONE) & (BOTTOM - ONE)
-            where = where[settled | narrow]
-            if not len(where):
-                return
-            grown = sizes[where]
-            out[where, grown] = (low[where] >> np.uint64(48)).astype(np.uint16)
-            sizes[where] = grown + 1
-            low[where] <<= np.uint64(16)
-            span[where] <<= np.uint64(16)
-            where = where[span[where] < (ONE << np.uint64(48))]
-
+    out, sizes = np.empty((lanes, steps // 2 + 8), np.uint32), np.zeros(lanes, np.int64)
     for step in range(steps):
-        if int(sizes.max()) + 8 > out.shape[1]:  # a step writes four words at most, the end four
+        if int(sizes.max()) + 4 > out.shape[1]:  # a step writes one word at most, the end two
             out = np.concatenate((out, np.empty_like(out)), axis=1)
         on = lanes if step < steps - 1 else int((lengths == steps).sum())
-        symbols = ids[begins[:on] + step].astype(np.int64)
-        model.mixture()
-        if on < lanes:
-            for name in ("scale", "w1", "w2"):
-                setattr(model, name, getattr(model, name)[:on])
-            one, two = model.one, model.two
-            model.one, model.two = one[:on], two[:on]
+        symbols = ids[begins[:on] + step].astype(np.int32)
+        model.mixture(on)
         begin, size = model.interval(symbols)
         unit = span[:on] >> np.uint64(TOTAL_BITS)
         low[:on] += unit * begin.astype(np.uint64)
         span[:on] = unit * size.astype(np.uint64)
-        emit(low[:on], span[:on])
-        model.learn(symbols, on)
+        where = _narrowed(low[:on], span[:on])
+        if len(where):
+            grown = sizes[where]
+            out[where, grown] = low[where] >> HALF
+            sizes[where] = grown + 1
+            low[where] <<= HALF
+            span[where] <<= HALF
+        model.learn(symbols)
     rows = np.arange(lanes)
-    for shift in (48, 32, 16, 0):
-        out[rows, sizes] = (low >> np.uint64(shift)).astype(np.uint16)
+    for shift in (32, 0):
+        out[rows, sizes] = (low >> np.uint64(shift)) & LOW_WORD
         sizes += 1
     words = out[np.arange(out.shape[1]) < sizes[:, None]]
-    return sizes.astype("<u4").tobytes() + words.astype("<u2").tobytes()
+    return sizes.astype("<u4").tobytes() + words.astype("<u4").tobytes()
 
 
 def decode_ids(data: bytes, n: int, n_ids: int) -> np.ndarray:
@@ -214,44 +213,33 @@ def decode_ids(data: bytes, n: int, n_ids: int) -> np.ndarray:
     lengths = _lengths(n, lanes, steps)
     begins = np.cumsum(lengths) - lengths
     sizes = np.frombuffer(data, "<u4", lanes).astype(np.int64)
-    words = np.concatenate((np.frombuffer(data, "<u2", offset=4 * lanes), np.zeros(8, "<u2"))).astype(np.uint64)
+    words = np.concatenate((np.frombuffer(data, "<u4", offset=4 * lanes), np.zeros(4, "<u4"))).astype(np.uint64)
     at = np.cumsum(sizes) - sizes
     model = Model(n_ids, lanes)
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = (code << np.uint64(16)) | words[at]
-        at = at + 1
+    # What is kept is the code less the low end of the range.
+    code = (words[at] << HALF) | words[at + 1]
+    at += 2
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    ids = np.empty(n, np.int64)
+    ids = np.empty(n, np.int32)
+    top = np.uint64((1 << TOTAL_BITS) - 1)
     for step in range(steps):
         on = lanes if step < steps - 1 else int((lengths == steps).sum())
-        model.mixture()
-        if on < lanes:
-            for name in ("scale", "w1", "w2", "one", "two"):
-                setattr(model, name, getattr(model, name)[:on])
+        model.mixture(on)
         unit = span[:on] >> np.uint64(TOTAL_BITS)
-        value = ((code[:on] - low[:on]) // unit).astype(np.int64)
-        symbols = model.find(np.minimum(value, (1 << TOTAL_BITS) - 1))
+        symbols = model.find(np.minimum(code[:on] // unit, top).astype(np.int64))
         begin, size = model.interval(symbols)
         ids[begins[:on] + step] = symbols
-        low[:on] += unit * begin.astype(np.uint64)
+        moved = unit * begin.astype(np.uint64)
+        low[:on] += moved
+        code[:on] -= moved
         span[:on] = unit * size.astype(np.uint64)
-        where = np.arange(on)
-        while len(where):
-            a, s = low[where], span[where]
-            settled = (a ^ (a + s)) >> np.uint64(48) == 0
-            narrow = ~settled & (s < BOTTOM)
-            if narrow.any():
-                span[where[narrow]] = (~a[narrow] + ONE) & (BOTTOM - ONE)
-            where = where[settled | narrow]
-            if not len(where):
-                break
-            code[where] = (code[where] << np.uint64(16)) | words[at[where]]
+        where = _narrowed(low[:on], span[:on])
+        if len(where):
+            code[where] = (code[where] << HALF) | words[at[where]]
             at[where] += 1
-            low[where] <<= np.uint64(16)
-            span[where] <<= np.uint64(16)
-            where = where[span[where] < (ONE << np.uint64(48))]
-        model.learn(symbols, on)
+            low[where] <<= HALF
+            span[where] <<= HALF
+        model.learn(symbols)
     return ids
 
 
