@@ -3,9 +3,10 @@
 File format. A shard file is a sequence of records, each ended by the byte 0x0A:
   ``CMRC`` | u32 length of the rest | u32 crc32 of the rest | rest
 A record's rest is
-  u32 documents | u32 ids | u32 lanes | zlib of (ids of documents as i64, their lengths as u32 and
-  whether the first one continues the record before) | u32 length of that zlib, before it | per lane
-  u32 count of 32-bit words | the words
+  u32 documents | u32 ids | u32 size of the vocabulary | u32 length of the head | head | u32 number of
+  words of each lane | the lanes' words, 32 bits each
+The head is a zlib stream of the documents' ids as i64, their lengths as u32, and one byte that says
+whether the first document continues the record before. All numbers are little-endian.
 The ids of a record form a matrix of steps x lanes, filled lane after lane. Every lane is a range
 coder of its own; all lanes share one model, which starts empty in every record and learns after
 each step, so a record can be read alone. The model mixes three predictions: order 0 (counts of all
@@ -40,6 +41,7 @@ END_OF_RECORD = b"\n"
 BLOCK_IDS = 1 << 20
 LANES = 4096
 STEPS_PER_LANE = 128  #: a record has at least so many steps, as far as its ids reach
+SHARD_BYTES = 32 << 20  #: text of a shard file, about
 CACHE_WORDS = 250_000  #: distinct words whose ids a worker keeps
 WORDS_AT_ONCE = 1 << 17
 
@@ -384,6 +386,7 @@ def write_token_files(
 ) -> None:
     """Write shard files of ids, in ascending order of id over shards and within.
 
+    The number of shards follows the size of the texts, so a file stays small at any size.
     Rows of equal id are ordered by text; null ids come first. A hot id may be split over shards. The
     files go through Spark's own writer, so a lost task leaves nothing behind.
     """
@@ -391,7 +394,8 @@ def write_token_files(
 
     n_ids = Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
     narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    dealt = narrow.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text"))
+    size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = narrow.repartitionByRange(size // SHARD_BYTES + 1, F.col("id").asc_nulls_first(), F.xxhash64("text"))
     ordered = dealt.sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"), "text")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -488,7 +492,8 @@ def index_of(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Starts from the lengths: shards are summed first, so only one row a shard meets in one task."""
     found = saved(found, "token-index")
     shards = found.groupBy("shard").agg(F.sum("n_tokens").alias("of_shard"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.regexp_extract("shard", r"part-(\d+)", 1).try_cast("long")
+    before = Window.orderBy(number, "shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = shards.select(
         F.col("shard").alias("of"), F.coalesce(F.sum("of_shard").over(before), F.lit(0)).alias("offset")
     )
