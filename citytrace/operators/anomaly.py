@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from citytrace.functions import numeric, times
 from citytrace.operators import prepare
 from citytrace.operators.lookup import attach_context, attach_hour_threshold, with_labels, with_row
-from citytrace.operators.quantiles import exact_quantiles, value_counts
+from citytrace.operators.quantiles import exact_quantiles, stacked_quantiles, value_counts
+from citytrace.session import cut_lineage
 
 TARGET_RATE = 0.01
 # The model inputs, in model order.
@@ -119,14 +120,14 @@ def _best(rates: DataFrame, combos: Column, target: float) -> DataFrame:
 def calibrate_speed(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame:
     """Thresholds of score and speed per hour, 24 rows.
 
-    Every quantile of the grid is computed once; one further pass rates all nine combinations.
-    The frame is read five times, so pass a written sample.
+    All quantiles, per hour and of all rows, come from one call; one further pass rates all nine
+    combinations. The frame is read twice, so pass a written one.
     """
     score_q = {f"s{i}": q for i, q in enumerate(SPEED_SCORE_Q)}
     speed_q = {f"m{i}": q for i, q in enumerate(SPEED_MPH_Q)}
-    hourly = exact_quantiles(scored, ["pickup_hour"], "speed_anomaly_score", score_q).join(
-        exact_quantiles(scored, ["pickup_hour"], "speed_mph", speed_q), "pickup_hour", "inner"
-    )
+    measures = {"speed_anomaly_score": score_q, "speed_mph": speed_q}
+    found = cut_lineage(stacked_quantiles(scored, measures, "pickup_hour"))
+    hourly, overall = found.where(F.col("pickup_hour").isNotNull()), found.where(F.col("pickup_hour").isNull())
     # 24 hours at most, so the broadcast is bounded by the key.
     rows = scored.select("pickup_hour", "speed_anomaly_score", "speed_mph").join(
         F.broadcast(hourly), "pickup_hour", "inner"
@@ -149,8 +150,8 @@ def calibrate_speed(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame
     )
     hours = scored.sparkSession.range(24).select(F.col("id").cast("int").alias("pickup_hour"))
     rows = hours.join(hourly, "pickup_hour", "left").withColumn("_best", _best(rates, combos, target).scalar())
-    rows = with_row(rows, exact_quantiles(scored, [], "speed_anomaly_score", score_q), "_score")
-    rows = with_row(rows, exact_quantiles(scored, [], "speed_mph", speed_q), "_mph")
+    rows = with_row(rows, overall.select(*score_q), "_score")
+    rows = with_row(rows, overall.select(*speed_q), "_mph")
     chosen = lambda name, options, of: F.coalesce(*[F.when(F.col(f"_best.{name}") == o, F.col(of(o))) for o in options])
     return rows.select(
         "pickup_hour",
@@ -168,14 +169,17 @@ def calibrate_speed(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame
 def calibrate_fare(scored: DataFrame, target: float = TARGET_RATE) -> DataFrame:
     """The one-row fare threshold: score, spread multiplier and ratio, chosen from 36 combinations.
 
-    The frame is read three times, so pass a written sample.
+    The frame is read twice, so pass a written one.
     """
     score_q = {f"s{i}": q for i, q in enumerate(FARE_SCORE_Q)}
     ratio_q = {f"r{i}": q for i, q in enumerate(FARE_RATIO_Q)}
     measures = ("fare_amount", "context_fare_median", "context_iqr_fare")
     rows = scored.select(*measures, "fare_anomaly_score", "fare_to_context_median_ratio")
-    rows = with_row(rows, exact_quantiles(scored, [], "fare_anomaly_score", score_q), "_score")
-    rows = with_row(rows, exact_quantiles(scored, [], "fare_to_context_median_ratio", ratio_q), "_ratio")
+    found = cut_lineage(
+        stacked_quantiles(scored, {"fare_anomaly_score": score_q, "fare_to_context_median_ratio": ratio_q})
+    )
+    rows = with_row(rows, found.select(*score_q), "_score")
+    rows = with_row(rows, found.select(*ratio_q), "_ratio")
     scores = {s: F.col(f"_score.{s}") for s in score_q}
     ratios = {r: F.col(f"_ratio.{r}") for r in ratio_q}
     above = lambda k: F.col("fare_amount") >= F.col("context_fare_median") + F.col("context_iqr_fare") * k

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from citytrace.functions import bins, numeric, times
 from citytrace.operators.lookup import with_row, with_zones
-from citytrace.operators.quantiles import exact_quantiles
+from citytrace.operators.quantiles import stacked_quantiles
+from citytrace.session import cut_lineage
 
 MAX_ETA_MINUTES = 240
 FORECAST_MAX_MINUTES = 1440
@@ -72,15 +73,10 @@ def rate_features(df: DataFrame) -> DataFrame:
 
 def medians(df: DataFrame, cols: Sequence[str], default: float = 0.0) -> DataFrame:
     """One row with the exact median of each column's finite values, or the default without any."""
-    spark = df.sparkSession
     picked = df.select(*[numeric.finite(F.col(c)).alias(c) for c in cols])
-    row = spark.range(1).select(
-        *[
-            F.coalesce(exact_quantiles(picked, [], c, {"m": 0.5}).select("m").scalar(), F.lit(default)).alias(c)
-            for c in cols
-        ]
-    )
-    return row
+    found = cut_lineage(stacked_quantiles(picked, {c: {f"_median_{c}": 0.5} for c in cols}))
+    value = lambda c: F.coalesce(found.select(f"_median_{c}").scalar(), F.lit(default)).alias(c)
+    return df.sparkSession.range(1).select(*[value(c) for c in cols])
 
 
 def impute(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:

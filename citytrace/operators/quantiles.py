@@ -8,9 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with more distinct values than this is ranked in slices, not in one aggregation buffer.
-MAX_BUFFERED_VALUES = 200_000
-SLICES_PER_E_FOLD = 1024
+from citytrace.session import cut_lineage
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
@@ -33,53 +31,46 @@ def exact_quantiles(
     probs: Mapping[str, float],
     count_as: str | None = None,
     weight: str | None = None,
-    max_buffered: int = MAX_BUFFERED_VALUES,
 ) -> DataFrame:
     """Linear-interpolation quantiles of the non-NULL values, one column per entry of ``probs``.
 
-    Values are counted per (keys, value) first: copies fold on the map side and a hot group is
-    spread over all tasks. Groups of moderate size then use the built-in weighted percentile.
-    Larger groups, and the group of all rows, are cut into order-preserving slices; a cumulative
-    count finds the few slices that hold the wanted ranks and only those are sorted. When no group
-    is large, adaptive execution sees the empty side and drops that branch. ``weight`` names a
-    column with the number of rows each row stands for.
+    Values are counted per (keys, value) first, so copies fold on the map side. The counts are dealt
+    by range of (keys, value), which gives every task an equal share whatever the keys and values are,
+    and written once. Sums per task and key tell which task holds a wanted rank; only those tasks' values
+    of that key are ordered. ``weight`` names a column with the number of rows each row stands for.
+    Runs Spark jobs.
     """
-    keys = list(keys)
-    counted = value_counts(df, keys, value, weight)
-    if not keys:
-        return _ranked_in_slices(counted, keys, probs, count_as)
-    # The second condition follows from the first. It keeps the counts in this branch, so that it
-    # shares the exchange of the others.
-    hot = (
-        counted.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_distinct"), F.sum("_n").alias("_rows"))
-        .where((F.col("_distinct") > max_buffered) & (F.col("_rows") > max_buffered))
-        .select(*keys)
-    )
-    cold = counted.join(hot, keys, "left_anti")
-    points = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("_n"))
-    buffered = cold.groupBy(*keys).agg(points.alias("_q"), F.sum("_n").alias("_count"))
-    small = buffered.select(
-        *keys,
-        *([F.col("_count").alias(count_as)] if count_as else []),
-        *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)],
-    )
-    large = _ranked_in_slices(counted.join(hot, keys, "left_semi"), keys, probs, count_as)
-    return small.unionByName(large)
-
+    return _ranked(value_counts(df, keys, value, weight), list(keys), probs, count_as)
 
-def slice_of(value: Column) -> Column:
-    """Order-preserving slice number: equal steps of log1p on both sides of zero."""
-    size = F.log1p(F.least(F.abs(value), F.lit(1e300)))
-    return (F.signum(value) * F.floor(size * SLICES_PER_E_FOLD)).cast("long")
 
-
-def _ranked_in_slices(
-    counted: DataFrame, keys: list[str], probs: Mapping[str, float], count_as: str | None
+def stacked_quantiles(
+    df: DataFrame, measures: Mapping[str, Mapping[str, float]], group: str | None = None
 ) -> DataFrame:
-    sliced = counted.withColumn("_slice", slice_of(F.col("_v")))
+    """Quantiles of several measures in one call: a row per group, and one of all rows with group NULL.
+
+    ``measures`` maps a column to its named probabilities; the names are the result's columns.
+    """
+    groups = [F.lit(None).cast("int"), F.col(group).cast("int")] if group else [F.lit(None).cast("int")]
+    entries = [
+        F.struct(F.lit(m).alias("_measure"), F.lit(g is not groups[0]).alias("_own"), F.coalesce(g, F.lit(0)).alias("_group"), F.col(m).cast("double").alias("_x"))
+        for m in measures
+        for g in groups
+    ]
+    kept = [e if k % len(groups) == 0 else F.when(F.col(group).isNotNull(), e) for k, e in enumerate(entries)]
+    rows = df.select(F.explode(F.array_compact(F.array(*kept))).alias("e")).select("e.*")
+    names = {name: p for probs in measures.values() for name, p in probs.items()}
+    found = exact_quantiles(rows, ["_measure", "_own", "_group"], "_x", names)
+    of = {name: m for m, probs in measures.items() for name in probs}
+    pick = [F.max(F.when(F.col("_measure") == of[name], F.col(name))).alias(name) for name in names]
+    key = F.when(F.col("_own"), F.col("_group"))
+    return found.groupBy("_own", "_group").agg(*pick).select(key.alias(group or "_group"), *names)
+
+
+def _ranked(counted: DataFrame, keys: list[str], probs: Mapping[str, float], count_as: str | None) -> DataFrame:
+    dealt = counted.repartitionByRange(*keys, "_v").withColumn("_slice", F.spark_partition_id())
+    sliced = cut_lineage(dealt)
     group = Window.partitionBy(*keys)
-    # Per group at most a few thousand slices, however many rows it has.
+    # Per group at most as many slices as there are tasks.
     slices = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_m"))
     upto = F.sum("_m").over(group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = slices.select(

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citytrace.operators import sampling
-from citytrace.operators.quantiles import exact_quantiles
+from citytrace.operators.quantiles import exact_quantiles, stacked_quantiles
 from tests.conftest import rows
 
 PROBS = {"a": 0.25, "b": 0.5, "c": 0.98}
@@ -18,11 +18,12 @@ def skewed(spark):
     return spark.createDataFrame(data, "k string, v double").repartition(7), data
 
 
-@pytest.mark.parametrize("limit", [10_000, 50])
-def test_quantiles_match_numpy(spark, limit):
-    """The sliced branch (limit 50 makes the hot key large) gives what the buffered one gives."""
+@pytest.mark.parametrize("scale", [1.0, 1e-9])
+def test_quantiles_match_numpy(spark, scale):
+    """Also with all values within a hair of each other: tasks get equal shares of any values."""
     df, data = skewed(spark)
-    got = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", PROBS, "n", max_buffered=limit).collect()}
+    df, data = df.withColumn("v", F.col("v") * scale), [(k, v * scale if v is not None else v) for k, v in data]
+    got = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", PROBS, "n").collect()}
     groups = {}
     for k, v in data:
         if v is not None and v == v:
@@ -34,6 +35,19 @@ def test_quantiles_match_numpy(spark, limit):
             assert got[k][name] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12)
 
 
+def test_stacked_quantiles(spark):
+    df, data = skewed(spark)
+    df = df.select(F.when(F.col("k") != "none", F.length("k")).alias("g"), F.col("v"), (F.col("v") * 2).alias("w"))
+    got = {r["g"]: r for r in stacked_quantiles(df, {"v": {"a": 0.25}, "w": {"b": 0.5}}, "g").collect()}
+    groups = {None: [v for _, v in data if v is not None and v == v]}
+    for k, v in data:
+        if k != "none":
+            groups.setdefault(len(k), []).append(v)
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert (got[g]["a"], got[g]["b"]) == pytest.approx((np.quantile(vs, 0.25), 2 * np.quantile(vs, 0.5)), rel=1e-12)
+
+
 def test_global_quantiles_and_weights(spark):
     df, data = skewed(spark)
     vs = [v for _, v in data if v is not None and v == v]
