@@ -20,7 +20,7 @@ from .shared import component_roots, saved
 LEADING = 4  #: principal dimensions whose cells give the order
 INTERVAL = 4096  #: vectors of an interval, at most
 LEAF = 128  #: vectors of a piece that is compared outright
-MAX_DIMENSIONS = 4096  #: the covariance comes to the driver, so there is a stated bound
+MAX_DIMENSIONS = 2048  #: the covariance comes to the driver, so there is a stated bound
 SLACK = 1e-9
 
 
@@ -46,9 +46,9 @@ def principal_axes(classes: DataFrame, dims: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["place", "total"])
 
     parts = classes.select("vector").mapInArrow(products, "place long, total double")
+    sums = parts.groupBy("place").agg(F.sum("total").alias("total")).toArrow()
     total = np.zeros((dims + 1) ** 2)
-    for row in parts.groupBy("place").agg(F.sum("total").alias("total")).collect():
-        total[row["place"]] = row["total"]
+    total[sums.column("place").to_numpy()] = sums.column("total").to_numpy()
     total = total.reshape(dims + 1, dims + 1)
     n = max(total[-1, -1], 1.0)
     mean = total[-1, :dims] / n
