@@ -42,8 +42,8 @@ BLOCK_IDS = 1 << 20
 LANES = 4096
 STEPS_PER_LANE = 128  #: a record has at least so many steps, as far as its ids reach
 SHARD_BYTES = 32 << 20  #: text of a shard file, about
-CACHE_WORDS = 250_000  #: distinct words whose ids a worker keeps
-WORDS_AT_ONCE = 1 << 17
+CACHE_WORDS = 400_000  #: distinct words whose ids a worker keeps
+WORDS_AT_ONCE = 1 << 18
 
 TOTAL_BITS = 28
 LOW_BITS = 22
@@ -87,21 +87,17 @@ class Model:
         self.one, self.two = self.packed_one >> 3, self.packed_two >> 3
         self.kind = ((self.packed_two & 7) << 3) + (self.packed_one & 7)
         share = self.credit / self.credit.sum(axis=1, keepdims=True)
-        # Order 0 keeps a 64th at least, so that every id has a width of one at least.
-        scale = np.maximum(256, (share[:, 0] * (1 << (TOTAL_BITS - LOW_BITS + 8))).astype(np.int64))
-        rest = (1 << TOTAL_BITS) - (scale << (LOW_BITS - 8))
-        first = (rest * (share[:, 1] / (share[:, 1] + share[:, 2]))).astype(np.int64)
-        self.scale, self.w1 = scale[self.kind], first[self.kind]
-        self.w2 = (rest - first)[self.kind]
-
-    def _zero(self, at: np.ndarray) -> np.ndarray:
-        """Scaled order-0 cumulative frequency."""
-        return (self.low[at] * self.scale) >> 8
+        # Order 0 has whole 64ths, one at least, so that every id has a width.
+        scale = np.maximum(1, share[:, 0] * (1 << (TOTAL_BITS - LOW_BITS))).astype(np.int32)
+        rest = (1 << TOTAL_BITS) - (scale << LOW_BITS)
+        first = (rest * (share[:, 1] / (share[:, 1] + share[:, 2]))).astype(np.int32)
+        self.scale, self.w1, self.w2 = scale[self.kind], first[self.kind], (rest - first)[self.kind]
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and width of each id; a width holds the weight of every prediction that names the id."""
-        begin = self._zero(ids) + self.w1 * (self.one < ids) + self.w2 * (self.two < ids)
-        size = self._zero(ids + 1) - self._zero(ids) + self.w1 * (self.one == ids) + self.w2 * (self.two == ids)
+        low = self.low[ids]
+        begin = low * self.scale + self.w1 * (self.one < ids) + self.w2 * (self.two < ids)
+        size = (self.low[ids + 1] - low) * self.scale + self.w1 * (self.one == ids) + self.w2 * (self.two == ids)
         return begin, size
 
     def find(self, value: np.ndarray) -> np.ndarray:
@@ -110,17 +106,17 @@ class Model:
         small, large = np.minimum(self.one, self.two), np.maximum(self.one, self.two)
         w_small, w_large = np.where(swapped, self.w2, self.w1), np.where(swapped, self.w1, self.w2)
         # Below both predictions, between them or above: take off what they add, look up the rest.
-        past_small = self._zero(small) <= value
-        past_large = self._zero(large) + w_small <= value
-        in_small = past_small & (value < self._zero(small + 1) + w_small + w_large * (small == large))
-        in_large = past_large & (value < self._zero(large + 1) + w_small + w_large)
+        rest_small = value - self.low[small] * self.scale
+        rest_large = value - self.low[large] * self.scale - w_small
+        past_small, past_large = rest_small >= 0, rest_large >= 0
+        wide_small = (self.low[small + 1] - self.low[small]) * self.scale + w_small + w_large * (small == large)
+        wide_large = (self.low[large + 1] - self.low[large]) * self.scale + w_large
+        in_small, in_large = past_small & (rest_small < wide_small), past_large & (rest_large < wide_large)
         ids = np.where(in_small, small, large)
         where = np.flatnonzero(~(in_small | in_large))
         if len(where):
             wanted = (value - w_small * past_small - w_large * past_large)[where]
-            # low[id] * scale >> 8 <= wanted  <=>  low[id] <= ((wanted + 1) * 256 - 1) // scale
-            limit = ((((wanted + 1) << 8) - 1) // self.scale[where]).astype(np.int32)
-            ids[where] = np.searchsorted(self.low, limit, side="right") - 1
+            ids[where] = np.searchsorted(self.low, wanted // self.scale[where], side="right") - 1
         return ids
 
     def learn(self, ids: np.ndarray) -> None:
@@ -228,7 +224,7 @@ def decode_ids(data: bytes, n: int, n_ids: int) -> np.ndarray:
         on = lanes if step < steps - 1 else int((lengths == steps).sum())
         model.mixture(on)
         unit = span[:on] >> np.uint64(TOTAL_BITS)
-        symbols = model.find(np.minimum(code[:on] // unit, top).astype(np.int64))
+        symbols = model.find(np.minimum(code[:on] // unit, top).astype(np.int32))
         begin, size = model.interval(symbols)
         ids[begins[:on] + step] = symbols
         moved = unit * begin.astype(np.uint64)
@@ -284,57 +280,88 @@ _MARKS = ".,;:!?"
 _LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
 
 
-class WordIds(dict):
+class WordIds:
     """Ids of white-space separated words as bytes, from the tokenizers library.
 
     For a tokenizer that lowers case and drops white space, words never interact, so each distinct
-    word is encoded once: words of plain letters by the model itself, all others by the whole
-    tokenizer. The table is bounded; when it is full, the words of the texts at hand stay.
+    word is encoded once: words of plain letters without the normaliser and splitter, all others by
+    the whole tokenizer. The table is bounded: it has two halves, and when the new one is full, the
+    old one goes; a word that is met again moves to the new one.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__()
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         setup = json.loads(self.tokenizer.to_str())
         kinds = [x.get("type") for x in (setup.get("normalizer") or {}).get("normalizers", [])]
         steps = [x.get("type") for x in (setup.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and steps == ["Split", "ByteLevel"]
+        end = setup["model"].get("end_of_word_suffix")
+        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and steps == ["Split", "ByteLevel"] and bool(end)
+        if not self.by_word:
+            return
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in _PLAIN}
         self.plain = re.compile(f"[{_PLAIN}]+").fullmatch
+        # The same model over words that are normalised and shown as bytes already.
+        self.model = Tokenizer.from_str(
+            json.dumps(setup | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []})
+        )
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith(end)]] = True
+        self.marks = {m.encode(): self._packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS}
 
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def learn(self, words: set[bytes]) -> None:
-        missing = words.difference(self)
-        if len(self) + len(missing) > CACHE_WORDS:
-            kept = {word: self[word] for word in words if word in self}
-            self.clear()
-            self.update(kept)
-        tokenize, odd = self.tokenizer.model.tokenize, []
-        marks = {m.encode(): self._packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS}
+    def _bodies(self, shown: list[str]) -> list[bytes]:
+        """Packed ids of plain words; the last id of a word, and no other, ends it."""
+        lines = [" ".join(shown[at : at + 256]) for at in range(0, len(shown), 256)]
+        found = [e.ids for e in self.model.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), "<u4", sum(map(len, found)))
+        ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(ends) != len(shown):
+            raise ValueError("words and ends of words differ")
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def ids_of(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word."""
+        if len(self.new) > CACHE_WORDS // 2:
+            self.new, self.old = {}, self.new
+        found = list(map(self.new.get, words))
+        gaps = [k for k, ids in enumerate(found) if ids is None]
+        unknown = {words[k] for k in gaps}
+        met = {word: self.old[word] for word in unknown if word in self.old}
+        self.new.update(met)
+        self._learn(unknown.difference(met))
+        for k in gaps:
+            found[k] = self.new[words[k]]
+        return found
+
+    def _learn(self, missing: set[bytes]) -> None:
+        marks, plain, shown, odd = self.marks, [], [], []
         for word in missing:
             mark = marks.get(word[-1:], b"")
             body = word[:-1] if mark else word
             if body.isalpha():  # ASCII only, for bytes
-                shown = body.decode()
+                shown.append(body.decode())
             else:
                 text = body.decode("utf-8", "surrogatepass")
                 if not self.plain(text):
                     odd.append((word, word.decode("utf-8", "surrogatepass")))
                     continue
-                shown = text.translate(self.shown)
-            base = self.get(body) if mark else None
-            if base is None:
-                base = self._packed([token.id for token in tokenize(shown)])
-            self[word] = base + mark
-        for (word, _), ids in zip(
+                shown.append(text.translate(self.shown))
+            plain.append((word, mark))
+        for (word, mark), ids in zip(plain, self._bodies(shown), strict=True):
+            self.new[word] = ids + mark
+        for (word, _), found in zip(
             odd, self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False), strict=True
         ):
-            self[word] = self._packed(ids.ids)
+            self.new[word] = self._packed(found.ids)
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -349,17 +376,17 @@ def tokenised(texts: list[str | None], path: str, end_id: int) -> Iterator[np.nd
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's to deal out
     table = _WORDS.get(path) or _WORDS.setdefault(path, WordIds(path))
     end = struct.pack("<I", end_id)
-    split: list[list[bytes]] = []
-    held = 0
+    words: list[bytes] = []
+    ends_at: list[int] = []
 
     def flush() -> Iterator[np.ndarray]:
-        nonlocal held
-        table.learn(set(chain.from_iterable(split)))
-        get = table.__getitem__
-        for words in split:
-            yield np.frombuffer(b"".join([*map(get, words), end]), "<u4")
-        split.clear()
-        held = 0
+        ids = table.ids_of(words) if words else []
+        at = 0
+        for upto in ends_at:
+            yield np.frombuffer(b"".join([*ids[at:upto], end]), "<u4")
+            at = upto
+        words.clear()
+        ends_at.clear()
 
     for text in texts:
         text = text or ""
@@ -368,9 +395,9 @@ def tokenised(texts: list[str | None], path: str, end_id: int) -> Iterator[np.nd
             ids = table.tokenizer.encode(text, add_special_tokens=False).ids
             yield np.array([*ids, end_id], "<u4")
             continue
-        split.append(text.encode("utf-8", "surrogatepass").translate(_LOWER).replace(b"\n", b" ").split(b" "))
-        held += len(split[-1])
-        if held >= WORDS_AT_ONCE:
+        words += text.encode("utf-8", "surrogatepass").translate(_LOWER).replace(b"\n", b" ").split(b" ")
+        ends_at.append(len(words))
+        if len(words) >= WORDS_AT_ONCE:
             yield from flush()
     yield from flush()
 
