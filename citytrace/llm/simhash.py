@@ -5,12 +5,13 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .shared import component_roots, field, saved, with_columns_from_text
+from .shared import component_roots, field, saved, small_batches, with_columns_from_text
 
 BITS = 64
 SEED = 42
@@ -111,13 +112,15 @@ def near_duplicates(
     return printed.join(labels, F.col("fp") == F.col("fp_of")).drop("fp_of")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
-    """The input's rows without near-duplicates: of each component the row of the smallest id stays.
+def one_of_each(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input's rows without near-duplicates: of each group the row of the smallest id stays.
+
+    ``groups`` has the id and component_id of each row.
 
     Of rows that share both id and text one stays. Rows without an id stay, one of each text, since no
     component can name them.
     """
-    found = saved(near_duplicates(docs, doc_id, text, words, radius), "near-duplicates")
+    found = saved(groups.select(doc_id, "component_id"), "near-duplicates")
     number = F.col(f"`{doc_id}`")
     named = found.groupBy(number.alias("kept_id")).agg(
         F.min("component_id").alias("component"), F.count("*").alias("rows")
@@ -134,3 +137,111 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     for rows in odd:
         single = single.unionByName(rows.dropDuplicates([doc_id, text]))
     return single
+
+
+# ---- wide fingerprints, for similarities that two bits of 64 don't reach ----
+
+WIDE_WORDS = 8  #: 64-bit words of a wide fingerprint
+BANDS = 96
+BAND_BITS = 24
+_WIDE_BITS = BITS * WIDE_WORDS
+
+
+def _band_places() -> np.ndarray:
+    """The bits that each band reads: a fixed draw without repeats within a band."""
+    rng = np.random.default_rng(SEED)
+    return np.stack([rng.choice(_WIDE_BITS, BAND_BITS, replace=False) for _ in range(BANDS)])
+
+
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Independent 64 bits for each hash (the finaliser of splitmix64)."""
+    x = hashes + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_fingerprint(text: str | None, words: int = 5) -> np.ndarray:
+    """WIDE_WORDS times 64 bits, each the majority over the distinct shingles; no words give zeros."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return np.zeros(WIDE_WORDS, np.int64)
+    n = min(words, len(found))
+    digest = xxhash.xxh64_intdigest
+    grams = {b" ".join(found[k : k + n]) for k in range(len(found) - n + 1)}
+    hashes = np.array([digest(gram, SEED) for gram in grams], np.uint64)
+    bits = np.empty(_WIDE_BITS, bool)
+    for k in range(WIDE_WORDS):
+        ones = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+            part = _mixed(hashes[at : at + SHINGLES_AT_ONCE], k)
+            ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.uint32)
+        bits[k * BITS : (k + 1) * BITS] = 2 * ones > len(hashes)
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def wide_limit(similarity: float) -> int:
+    """Differing bits of two wide fingerprints at that Jaccard similarity, and two deviations more."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(_WIDE_BITS * share + 2 * np.sqrt(_WIDE_BITS * share * (1 - share)))
+
+
+def _wide(docs: DataFrame, text: str, words: int) -> DataFrame:
+    def make():
+        return lambda texts: [[wide_fingerprint(t, words).tolist() for t in texts]]
+
+    return with_columns_from_text(docs, text, StructType([field("wide", ArrayType(LongType()))]), make)
+
+
+def _bands(classes: DataFrame) -> DataFrame:
+    """(class, band): every class once for each band, under the number of the band and its bits there."""
+    places = _band_places()
+    weights = 1 << np.arange(BAND_BITS, dtype=np.int64)
+
+    def read(batches):
+        for batch in batches:
+            wide = np.asarray(batch.column(1).flatten().to_numpy(), np.int64).reshape(-1, WIDE_WORDS)
+            bits = np.unpackbits(np.ascontiguousarray(wide).view(np.uint8), axis=1, bitorder="little")
+            keys = np.stack([bits[:, p] @ weights + (b << BAND_BITS) for b, p in enumerate(places)], axis=1)
+            offsets = np.arange(len(keys) + 1, dtype=np.int32) * BANDS
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["class", "bands"])
+
+    keyed = small_batches(classes.select("class", "wide")).mapInArrow(read, "class long, bands array<long>")
+    return keyed.select("class", F.explode("bands").alias("band"))
+
+
+def similar_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """(id, class, component_id) of each input row, by wide fingerprints.
+
+    Equal fingerprints are one class. Classes meet at equal bands of bits (balls of radius zero: at a
+    similarity of 0.8 two of 512 bits in seven differ, so a ball that reaches so far can't be listed);
+    each links to the smallest that it meets there, if the whole fingerprints are near enough. Minima
+    are combined before they are shuffled, so a mass of copies in one band costs a row from each task.
+    """
+    narrow = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias("of_text"))
+    printed = saved(_wide(narrow, "of_text", words).select(f"row.`{doc_id}`", "wide"), "wide")
+    grouped = printed.groupBy("wide").agg(F.min(doc_id).alias("first"))
+    classes = saved(grouped.withColumn("class", F.monotonically_increasing_id()), "wide-classes")
+    banded = saved(_bands(classes), "bands")
+    met = banded.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    met = met.filter("low < high").select(F.col("band").alias("at"), "low")
+    pairs = banded.join(met, F.col("band") == F.col("at")).filter("class > low").select("low", "class").distinct()
+    left = classes.select(F.col("class").alias("low"), F.col("wide").alias("w1"))
+    right = classes.select("class", F.col("wide").alias("w2"))
+    both = pairs.join(left, "low").join(right, "class")
+    differing = F.aggregate(
+        F.zip_with("w1", "w2", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, bits: total + bits
+    )
+    near = both.filter(differing <= wide_limit(similarity)).select(F.col("low").alias("a"), F.col("class").alias("b"))
+    roots = component_roots(near).withColumnRenamed("node", "linked")
+    rooted = saved(classes.join(roots, F.col("class") == F.col("linked"), "left").select("wide", "class", "first", "root"), "wide-rooted")
+    lowest = rooted.filter("root is not null").groupBy("root").agg(F.min("first").alias("lowest"))
+    labels = (
+        rooted.filter("root is not null").join(lowest, "root").select("wide", "class", "lowest")
+        .union(rooted.filter("root is null").select("wide", "class", "first"))
+        .toDF("of_wide", "class", "component_id")
+    )
+    return printed.join(labels, F.col("wide") == F.col("of_wide")).select(doc_id, "class", "component_id")

@@ -84,10 +84,10 @@ def test_near_duplicate_documents(spark, odd_docs, no_docs):
 
 
 def test_one_document_of_each_group_stays(spark, odd_docs, no_docs):
-    kept = simhash.one_of_each(odd_docs)
+    kept = simhash.one_of_each(odd_docs, simhash.near_duplicates(odd_docs))
     assert kept.columns == odd_docs.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2, 4, 6]
-    assert simhash.one_of_each(no_docs).count() == 0
+    assert simhash.one_of_each(no_docs, simhash.similar_groups(no_docs)).count() == 0
 
 
 def test_simhash_of_the_driver_documents(spark, sf_dir):
