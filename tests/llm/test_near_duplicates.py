@@ -142,3 +142,25 @@ def test_grid_join_of_nothing(spark):
     null = spark.createDataFrame([(None, None), (1, None)], "vec_id long, embedding array<float>")
     assert sorted(str(tuple(r)) for r in gridjoin.near_duplicates(null).collect()) == [
         "(1, 0, 1, True)", "(None, 0, None, True)"]
+
+
+def test_wide_fingerprints_reach_the_similarity(spark):
+    """Edited copies of 0.8 and more are grouped, other texts stay apart; a null id names nothing."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows, expected = [], {}
+    for base in range(60):
+        words = rng.choices(vocabulary, k=400)
+        rows.append((base * 10, " ".join(words)))
+        for copy in range(1, 4):
+            edited = list(words)
+            for at in rng.sample(range(400), 2 * copy):  # five shingles to an edit: 0.95 to 0.86
+                edited[at] = "edited"
+            rows.append((base * 10 + copy, " ".join(edited)))
+        expected |= {base * 10 + copy: base * 10 for copy in range(4)}
+    rows += [(9001, None), (9002, ""), (None, rows[0][1]), (9003, "one two")]
+    found = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = {r["doc_id"]: r["component_id"] for r in found}
+    assert sum(got[d] == c for d, c in expected.items()) >= 0.99 * len(expected)
+    assert all(got[d] // 10 == d // 10 for d in expected)  # never with another text
+    assert got[9001] == got[9002] == 9001 and got[9003] == 9003 and got[None] == 0

@@ -8,11 +8,11 @@ import zlib
 import numpy as np
 import public_tokenizers
 from test_leaks_and_filters import plain_hits
-from test_near_duplicates import components, plain_fingerprint
+from test_near_duplicates import components
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from citytrace.llm import fmindex, langid
+from citytrace.llm import fmindex, langid, simhash
 
 
 def plain_language(rows, net):
@@ -25,8 +25,16 @@ def plain_language(rows, net):
 
 
 def plain_near_copies(rows):
-    prints = {r["doc_id"]: plain_fingerprint(r["text"]) for r in rows}
-    links = [(a, b) for a in prints for b in prints if a < b and bin(prints[a] ^ prints[b]).count("1") <= 2]
+    """Texts whose wide fingerprints share a band's bits with its first text, and are near enough."""
+    prints = {r["doc_id"]: simhash.wide_fingerprint(r["text"]) for r in rows}
+    whole = {d: int.from_bytes(p.tobytes(), "little") for d, p in prints.items()}
+    links = [(a, b) for a in whole for b in whole if a < b and whole[a] == whole[b]]
+    for a in whole:
+        for b in whole:
+            differing = whole[a] ^ whole[b]
+            if a < b and bin(differing).count("1") <= simhash.wide_limit(0.8):
+                if any(not any(differing >> int(k) & 1 for k in band) for band in simhash._band_places()):
+                    links.append((a, b))
     root = components(prints, links)
     return [r for r in rows if root[r["doc_id"]] == r["doc_id"]]
 
