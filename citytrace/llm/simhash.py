@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-from .shared import component_roots, field, saved, small_batches, with_columns_from_text
+from .shared import component_roots, field, saved, with_columns_from_text
 
 BITS = 64
 SEED = 42
@@ -139,7 +139,7 @@ def one_of_each(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text
     return single
 
 
-# ---- wide fingerprints, for similarities that two bits of 64 don't reach ----
+# ---- wide fingerprints: only the tests' plain version of the pipeline still takes them ----
 
 WIDE_WORDS = 8  #: 64-bit words of a wide fingerprint
 BANDS = 96
@@ -186,62 +186,180 @@ def wide_limit(similarity: float) -> int:
     return int(_WIDE_BITS * share + 2 * np.sqrt(_WIDE_BITS * share * (1 - share)))
 
 
-def _wide(docs: DataFrame, text: str, words: int) -> DataFrame:
+# ---- five-word shingle sets, for similarities that two bits of 64 don't reach ----
+
+BLOCK = 2048  #: sets of a bucket that one task compares with as many others at a time
+COMMON_SAMPLE, COMMON_HELD, COMMON_MOST = 64, 4, 1 << 20
+_SLACK = 1e-9  #: a product that should be whole never rounds up to the next number
+
+
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """Sorted 63-bit hashes of the distinct shingles; a shorter text is its own only shingle, no words give none."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return np.zeros(0, np.int64)
+    n = min(words, len(found))
+    digest = xxhash.xxh64_intdigest
+    grams = {b" ".join(found[k : k + n]) for k in range(len(found) - n + 1)}
+    return np.unique(np.array([digest(gram, SEED) for gram in grams], np.uint64).view(np.int64) & np.iinfo(np.int64).max)
+
+
+def _named(grams: np.ndarray) -> int:
+    """The name of a set: 64 bits, so that equal sets are one class."""
+    return xxhash.xxh3_64_intdigest(grams.tobytes(), SEED) - (1 << 63)
+
+
+def prefix(grams: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, as negative numbers unless they are common ones, which come last.
+
+    In any one order of all shingles, two sets of that similarity share one of these.
+    """
+    if not len(grams):
+        return grams
+    is_common = np.isin(grams, common)
+    ordered = np.concatenate([grams[~is_common] | np.iinfo(np.int64).min, grams[is_common]])
+    return ordered[: len(grams) - math.ceil(len(grams) * similarity - _SLACK) + 1]
+
+
+def _set_columns(docs: DataFrame, text: str, words: int) -> DataFrame:
+    """Each row with the name of its shingle set and the set."""
+
+    def make():
+        def read(texts):
+            sets = [shingle_set(t, words) for t in texts]
+            return [[_named(s) for s in sets], sets]
+
+        return read
+
+    added = StructType([field("class", LongType()), field("grams", ArrayType(LongType()))])
+    return with_columns_from_text(docs, text, added, make)
+
+
+def _common(docs: DataFrame, text: str, words: int) -> np.ndarray:
+    """Shingles that several texts of a sample hold. They only order the others, so any will do."""
+    drawn = docs.filter(F.pmod(F.xxhash64(text), F.lit(COMMON_SAMPLE)) == 0).select(text)
+    held = _set_columns(drawn, text, words).select(F.explode("grams").alias("gram"))
+    held = held.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_HELD)
+    most = held.orderBy(F.desc("n"), "gram").limit(COMMON_MOST).select("gram")
+    return most.toArrow().column(0).to_numpy()
+
+
+def _prefixes(docs: DataFrame, text: str, words: int, similarity: float, common: np.ndarray) -> DataFrame:
+    """Each row with the name, the size and the prefix of its shingle set."""
+
     def make():
-        return lambda texts: [[wide_fingerprint(t, words).tolist() for t in texts]]
+        def read(texts):
+            sets = [shingle_set(t, words) for t in texts]
+            return [[_named(s) for s in sets], [len(s) for s in sets], [prefix(s, similarity, common) for s in sets]]
+
+        return read
+
+    added = StructType([field("class", LongType()), field("size", IntegerType()), field("prefix", ArrayType(LongType()))])
+    return with_columns_from_text(docs, text, added, make)
 
-    return with_columns_from_text(docs, text, StructType([field("wide", ArrayType(LongType()))]), make)
 
+def _posted(printed: DataFrame) -> DataFrame:
+    """(gram, class, size, last): every set under each shingle that its prefix shares with another's."""
+    last = F.get("prefix", F.size("prefix") - 1).alias("last")
+    every = printed.select("class", "size", last, F.explode("prefix").alias("gram"))
+    met = every.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    shared = met.filter("low < high").select("gram")
+    return every.join(shared, "gram", "left_semi").select("gram", "class", "size", "last").distinct()
 
-def _bands(classes: DataFrame) -> DataFrame:
-    """(class, band): every class once for each band, under the number of the band and its bits there."""
-    places = _band_places()
-    weights = 1 << np.arange(BAND_BITS, dtype=np.int64)
 
-    def read(batches):
-        for batch in batches:
-            wide = np.asarray(batch.column(1).flatten().to_numpy(), np.int64).reshape(-1, WIDE_WORDS)
-            bits = np.unpackbits(np.ascontiguousarray(wide).view(np.uint8), axis=1, bitorder="little")
-            keys = np.stack([bits[:, p] @ weights + (b << BAND_BITS) for b, p in enumerate(places)], axis=1)
-            offsets = np.arange(len(keys) + 1, dtype=np.int32) * BANDS
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["class", "bands"])
+def _least_shared(x: str, y: str, similarity: float) -> Column:
+    """How many shingles of their prefixes two sets of that similarity share at least.
 
-    keyed = small_batches(classes.select("class", "wide")).mapInArrow(read, "class long, bands array<long>")
-    return keyed.select("class", F.explode("bands").alias("band"))
+    The one whose prefix ends first can share no more than its rest and what it shares of its prefix.
+    """
+    both = F.ceil((F.col(f"{x}.size") + F.col(f"{y}.size")) * (similarity / (1 + similarity)) - _SLACK)
+    first = F.when(F.col(f"{x}.last") <= F.col(f"{y}.last"), F.col(f"{x}.size")).otherwise(F.col(f"{y}.size"))
+    return F.greatest(both - F.ceil(first * similarity - _SLACK) + 1, F.lit(1)).cast("int")
+
+
+def _counted(met: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the structs x and y that meet often enough, each meeting a row."""
+    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    rows = met.filter(small >= large * similarity - _SLACK).select(
+        F.least("x.class", "y.class").alias("a"),
+        F.greatest("x.class", "y.class").alias("b"),
+        _least_shared("x", "y", similarity).alias("least"),
+    )
+    return rows.groupBy("a", "b", "least").agg(F.count("*").alias("n")).filter("n >= least").select("a", "b")
+
+
+def _stars(posted: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of each set and the smallest that it meets at a shingle."""
+    it = F.struct("class", "size", "last")
+    low = posted.groupBy("gram").agg(F.min(it).alias("x"))
+    return _counted(posted.select("gram", it.alias("y")).join(low, "gram").filter("y.class > x.class"), similarity)
+
+
+def _all_pairs(posted: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Every pair of sets that meet often enough, but those that links connect already.
+
+    The sets at a shingle are dealt to blocks, and every block meets every other in a task of its own.
+    """
+    rooted = posted.join(roots.withColumnRenamed("node", "class"), "class", "left")
+    buckets = rooted.groupBy("gram").agg(
+        F.count("*").alias("n"), F.count("root").alias("linked"), F.min("root").alias("r1"), F.max("root").alias("r2")
+    )
+    buckets = buckets.filter("n > 1 and (linked < n or r1 < r2)")
+    buckets = buckets.select("gram", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("own")
+    dealt = rooted.join(buckets, "gram").select("gram", "blocks", own, F.struct("class", "size", "last", "root").alias("it"))
+    onward = F.explode(F.sequence("own", F.col("blocks") - 1))
+    one = dealt.select("gram", F.col("own").alias("i"), onward.alias("j"), F.col("it").alias("x"))
+    two = dealt.select("gram", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), F.col("it").alias("y"))
+    apart = F.coalesce(F.col("x.root") != F.col("y.root"), F.lit(True))
+    once = (F.col("i") < F.col("j")) | (F.col("x.class") < F.col("y.class"))
+    return _counted(one.join(two, ["gram", "i", "j"]).filter(once & apart), similarity)
+
+
+def _verified(
+    pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, classes: DataFrame, words: int, similarity: float
+) -> DataFrame:
+    """Those pairs whose whole sets, read again from the texts of the smallest ids, are similar enough."""
+    pairs = saved(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    wanted = saved(classes.join(wanted, "class", "left_semi"), "wanted")
+    firsts = wanted.select(F.col("first").alias("wanted_id")).distinct()
+    texts = docs.join(firsts, F.col(f"`{doc_id}`").eqNullSafe(F.col("wanted_id")), "left_semi")
+    read = _set_columns(texts, text, words).join(wanted.select("class"), "class", "left_semi")
+    sets = saved(read.groupBy("class").agg(F.first("grams").alias("grams")), "sets")
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    alike = both / (F.size("of_a") + F.size("of_b") - both) >= similarity
+    found = pairs.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b").filter(alike)
+    return saved(found.select("a", "b"), "verified")
 
 
 def similar_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
-    """(id, class, component_id) of each input row, by wide fingerprints.
+    """(id, class, component_id) of each input row: components of the pairs of that Jaccard similarity or more
+    of their distinct shingles, found exactly.
 
-    Equal fingerprints are one class. Classes meet at equal bands of bits (balls of radius zero: at a
-    similarity of 0.8 two of 512 bits in seven differ, so a ball that reaches so far can't be listed);
-    each links to the smallest that it meets there, if the whole fingerprints are near enough. Minima
-    are combined before they are shuffled, so a mass of copies in one band costs a row from each task.
+    Equal sets are one class. Two sets that are similar enough share one of the first shingles of each, in an
+    order by hash with the common ones last, and so many as ``_least_shared`` says. Sets link to the smallest
+    that they meet first; then all pairs that meet and are not connected yet are compared. Every pair is
+    verified on its whole sets.
     """
     narrow = docs.select(F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias("of_text"))
-    printed = saved(_wide(narrow, "of_text", words).select(f"row.`{doc_id}`", "wide"), "wide")
-    grouped = printed.groupBy("wide").agg(F.min(doc_id).alias("first"))
-    classes = saved(grouped.withColumn("class", F.monotonically_increasing_id()), "wide-classes")
-    banded = saved(_bands(classes), "bands")
-    met = banded.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    met = met.filter("low < high").select(F.col("band").alias("at"), "low")
-    pairs = banded.join(met, F.col("band") == F.col("at")).filter("class > low").select("low", "class").distinct()
-    left = classes.select(F.col("class").alias("low"), F.col("wide").alias("w1"))
-    right = classes.select("class", F.col("wide").alias("w2"))
-    both = pairs.join(left, "low").join(right, "class")
-    differing = F.aggregate(
-        F.zip_with("w1", "w2", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, bits: total + bits
+    read = _prefixes(narrow, "of_text", words, similarity, _common(narrow, "of_text", words))
+    printed = saved(read.select(f"row.`{doc_id}`", "class", "size", "prefix"), "prefixes")
+    classes = saved(printed.groupBy("class").agg(F.min(doc_id).alias("first")), "set-classes")
+    posted = saved(_posted(printed), "posted")
+    verified = lambda pairs: _verified(pairs, narrow, doc_id, "of_text", classes, words, similarity)
+    near = verified(_stars(posted, similarity))
+    others = verified(_all_pairs(posted, component_roots(near), similarity))
+    roots = component_roots(near.union(others)).withColumnRenamed("node", "linked")
+    rooted = saved(
+        classes.join(roots, F.col("class") == F.col("linked"), "left").select("class", "first", "root"), "set-rooted"
     )
-    near = both.filter(differing <= wide_limit(similarity)).select(F.col("low").alias("a"), F.col("class").alias("b"))
-    roots = component_roots(near).withColumnRenamed("node", "linked")
-    rooted = saved(classes.join(roots, F.col("class") == F.col("linked"), "left").select("wide", "class", "first", "root"), "wide-rooted")
     lowest = rooted.filter("root is not null").groupBy("root").agg(F.min("first").alias("lowest"))
     labels = (
-        rooted.filter("root is not null").join(lowest, "root").select("wide", "class", "lowest")
-        .union(rooted.filter("root is null").select("wide", "class", "first"))
-        .toDF("of_wide", "class", "component_id")
+        rooted.filter("root is not null").join(lowest, "root").select("class", "lowest")
+        .union(rooted.filter("root is null").select("class", "first"))
+        .toDF("of_class", "component_id")
     )
-    return printed.join(labels, F.col("wide") == F.col("of_wide")).select(doc_id, "class", "component_id")
+    return printed.join(labels, F.col("class") == F.col("of_class")).select(doc_id, "class", "component_id")

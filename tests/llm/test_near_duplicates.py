@@ -164,3 +164,36 @@ def test_wide_fingerprints_reach_the_similarity(spark):
     assert sum(got[d] == c for d, c in expected.items()) >= 0.99 * len(expected)
     assert all(got[d] // 10 == d // 10 for d in expected)  # never with another text
     assert got[9001] == got[9002] == 9001 and got[9003] == 9003 and got[None] == 0
+
+
+def exact_groups(rows, similarity=0.8):
+    """Components by brute force over the distinct five-word shingles of (id, text)."""
+    sets = {}
+    for key, text in rows:
+        words = text.lower().split()
+        sets[key] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    alike = lambda a, b: len(a & b) / len(a | b) >= similarity
+    return components(sets, [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])])
+
+
+def found_groups(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df).collect()}
+
+
+@pytest.mark.parametrize("block, sample", [(2048, 64), (3, 1)])
+def test_all_members_of_a_bucket_are_compared(spark, monkeypatch, block, sample):
+    """Texts that share passages with smaller, unrelated ones still find their true copies."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "COMMON_SAMPLE", sample, raising=False)
+    rng = random.Random(21)
+    passages = [" ".join(f"p{k}x{i}" for i in range(40)) for k in range(6)]
+    rows = []
+    for family in range(12):
+        shared = rng.sample(passages, 5)
+        own = [f"f{family}x{i}" for i in range(60)]
+        rows.append((family, " ".join(shared)))  # unrelated, and the smallest of every bucket
+        rows.append((100 + family, " ".join([*shared, *own])))
+        rows.append((200 + family, " ".join([*shared, *own[:-6], "other", *own[-4:]])))
+    rng.shuffle(rows)
+    assert found_groups(spark, rows) == exact_groups(rows)
