@@ -197,3 +197,28 @@ def test_all_members_of_a_bucket_are_compared(spark, monkeypatch, block, sample)
         rows.append((200 + family, " ".join([*shared, *own[:-6], "other", *own[-4:]])))
     rng.shuffle(rows)
     assert found_groups(spark, rows) == exact_groups(rows)
+
+
+def test_groups_are_exact_near_the_threshold(spark):
+    """No pair of 0.80 to 0.85 is lost, and none below 0.80 is linked; short texts alike."""
+    rng = random.Random(22)
+    rows, key = [], 0
+    for size in [*range(5, 21)] * 6 + [60, 120, 300] * 12:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        edited = list(words)
+        for at in rng.sample(range(size), max(1, round(size * 0.02)) if size > 20 else 0):
+            edited[at] = "edited"
+        cut = edited[: size - rng.choice([1, 1, 2, 3]) if size <= 20 else size - rng.randrange(size // 8)]
+        rows += [(key, " ".join(words)), (key + 1, " ".join(cut))]
+        key += 2
+    expected = exact_groups(rows)
+    linked = sum(expected[k] != k for k in expected)
+    assert 30 < linked < len(rows) // 2 - 30
+    assert found_groups(spark, rows) == expected
+
+
+def test_near_copies_of_the_driver_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs).collect()}
+    assert found == exact_groups(rows)

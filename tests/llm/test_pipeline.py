@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 from test_leaks_and_filters import plain_hits
-from test_near_duplicates import components
+from test_near_duplicates import components, exact_groups
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -109,3 +109,14 @@ def test_stages_keep_the_columns(spark, odd_docs, no_docs, tmp_path):
                 assert docs.columns == odd_docs.columns
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert fmindex.WINDOW == 10
+
+
+def test_pipeline_with_exact_near_copies(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [r.asDict() for r in docs.collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = plain_language(rows, langid.fit(docs))
+    root = exact_groups([(r["doc_id"], r["text"]) for r in rows])
+    kept = [r for r in rows if root[r["doc_id"]] == r["doc_id"]]
+    expected = plain_tokens(plain_mixture(plain_leaks(kept, items)))
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(expected)
