@@ -217,6 +217,17 @@ def test_groups_are_exact_near_the_threshold(spark):
     assert found_groups(spark, rows) == expected
 
 
+def test_pairs_below_the_similarity_are_not_linked(spark):
+    """Pairs of 0.70 to 0.79 stay, however many there are."""
+    rng = random.Random(23)
+    rows = []
+    for pair in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        gone = 40 + pair % 18  # of 196 shingles
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[: 200 - gone]))]
+    assert found_groups(spark, rows) == {key: key for key, _ in rows} == exact_groups(rows)
+
+
 def test_near_copies_of_the_driver_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
