@@ -23,7 +23,13 @@ CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 PHONE = r"(?<![0-9+])(?:[+][0-9]{1,3}[ .-]?)?(?:[(][0-9]{2,4}[)][ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
 LONG_PHONE = r"[+][0-9]{8,15}(?![0-9])"
 SECRET = r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{16,64})(?![A-Za-z0-9])"
-NUMBERS = "|".join((ADDRESS, DATE, SOCIAL, CARD, PHONE, LONG_PHONE))
+#: Numbers side by side; if the whole is no value, those within it are looked for (``pieces``).
+RUN = r"(?<![0-9])[0-9](?:[ ./-]?[0-9]){12,}+"
+NUMBERS = "|".join((ADDRESS, DATE, SOCIAL, RUN, PHONE, LONG_PHONE))
+#: Cards and phones as they are mostly written; they go before other readings of the same groups.
+USUAL_CARD = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+USUAL_PHONE = r"^[0-9]{2,4}([ .-])[0-9]{3,4}\1[0-9]{3,4}$"
+MOST_GROUPS = 19  #: a card has no more digits
 ANY = f"{EMAIL}|{SECRET}|(?=[0-9+(])(?:{NUMBERS})"
 #: A text without any of these has no value at all.
 HINT = "[0-9@]|AKIA"
@@ -246,6 +252,69 @@ def kind_of(value: Column) -> Column:
     )
 
 
+def pieces(value: Column) -> Column:
+    """A found value as itself, or a run of numbers that is none cut into the values within it and the rest.
+
+    Values begin and end with whole groups of digits, so all sequences of groups are tried. Of those that
+    overlap the usual form goes first, then the earlier, then the longer.
+    """
+
+    def rank(it: Column) -> Column:
+        text = it["text"]
+        alone = it["before"].isin("", " ") & it["after"].isin("", " ")
+        return _bound(
+            kind_of(text),
+            lambda kind: F.when((kind == "card") & text.rlike(USUAL_CARD), 0)
+            .when(kind.isin("date", "social", "address"), F.when(alone, 1))
+            .when((kind == "phone") & text.rlike(USUAL_PHONE), 2)
+            .when(kind == "card", 3)
+            .when(kind == "phone", 4),
+        )
+
+    def cut(tokens: Column) -> Column:
+        groups = ((F.size(tokens) + 1) / 2).cast("int")
+        part = lambda first, n: F.array_join(F.slice(tokens, first, n), "")
+
+        def sequences(i: Column) -> Column:
+            def one(k: Column) -> Column:
+                return F.struct(
+                    i.alias("i"),
+                    k.alias("k"),
+                    part(2 * i + 1, 2 * k - 1).alias("text"),
+                    F.coalesce(F.get(tokens, 2 * i - 1), F.lit("")).alias("before"),
+                    F.coalesce(F.get(tokens, 2 * (i + k) - 1), F.lit("")).alias("after"),
+                )
+
+            return F.transform(F.sequence(F.lit(1), F.least(F.lit(MOST_GROUPS), groups - i)), one)
+
+        every = F.flatten(F.transform(F.sequence(F.lit(0), groups - 1), sequences))
+        sized = F.filter(every, lambda it: F.length(it["text"]).between(7, 2 * MOST_GROUPS - 1))
+        ranked = F.transform(
+            sized, lambda it: F.struct(rank(it).alias("rank"), it["i"].alias("i"), (-it["k"]).alias("less"))
+        )
+        ranked = F.array_sort(F.filter(ranked, lambda it: it["rank"].isNotNull()))
+
+        def choose(state: Column, it: Column) -> Column:
+            free = ~F.exists(state, lambda c: (c["i"] < it["i"] - it["less"]) & (it["i"] < c["i"] - c["less"]))
+            return F.when(free, F.concat(state, F.array(F.struct(it["i"].alias("i"), it["less"].alias("less"))))).otherwise(state)
+
+        chosen = F.array_sort(F.aggregate(ranked, F.array().cast("array<struct<i:int,less:int>>"), choose))
+
+        def add(state: Column, c: Column) -> Column:
+            first, n = 2 * c["i"] + 1, -2 * c["less"] - 1
+            gap = part(state["next"], first - state["next"])
+            return F.struct((first + n).alias("next"), F.concat(state["out"], F.array(gap, part(first, n))).alias("out"))
+
+        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("out"))
+        end = lambda state: F.concat(state["out"], F.array(part(state["next"], F.size(tokens) + 1 - state["next"])))
+        return F.aggregate(chosen, start, add, end)
+
+    tokens = F.regexp_extract_all(value, F.lit("[0-9]+|[^0-9]"), F.lit(0))
+    mixed = value.rlike(_whole(RUN)) & value.rlike("[^0-9]")
+    whole = F.array(value)
+    return F.when(mixed, F.when(kind_of(value).isNull(), _bound(tokens, cut)).otherwise(whole)).otherwise(whole)
+
+
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a found value; a value that fails its test stays."""
     made: dict[str, Callable[[Column, str], Column]] = {
@@ -276,10 +345,10 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.when(body.rlike(HINT), values).otherwise(F.array().cast("array<string>")).alias("n_values"),
     )
     texts = F.split(body, ANY, -1)
-    made = F.transform("n_values", lambda v: pseudonym(v, key))
+    made = F.transform("n_values", lambda v: F.array_join(F.transform(pieces(v), lambda p: pseudonym(p, key)), ""))
     joined = F.zip_with(texts, made, lambda piece, name: F.concat(piece, F.coalesce(name, F.lit(""))))
     clean = F.when(F.size("n_values") == 0, body).otherwise(F.array_join(joined, ""))
-    count = F.size(F.filter("n_values", lambda v: kind_of(v).isNotNull())).cast("long")
+    count = F.size(F.filter(F.flatten(F.transform("n_values", pieces)), lambda v: kind_of(v).isNotNull())).cast("long")
     return found.select(
         *[(clean if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns if c != "n_values"],
         count.alias("n_values"),

@@ -164,3 +164,25 @@ def test_networks_are_permutations(spark):
     assert letters.select(pseudonyms.permuted_text(F.col("t"), "k", "email").alias("p")).distinct().count() == 676
     days = spark.range(2000).select(F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("d"))
     assert days.select(pseudonyms.pseudonym(F.col("d"), "k").alias("p")).distinct().count() == 2000
+
+
+SIDE_BY_SIDE = [
+    ("pay 4111 1111 1111 1111 12/27 now", ["4111 1111 1111 1111"], 1),
+    ("4111111111111111 123", ["4111111111111111"], 1),
+    ("555-123-4567 555-987-6543", ["555-123-4567", "555-987-6543"], 2),
+    ("555 123 4567 555 987 6543 555 222 3333", ["123 4567", "987 6543", "222 3333"], 3),
+    ("555-123-4567 2024", ["555-123-4567"], 1),
+    ("2024 555-123-4567", ["555-123-4567"], 1),
+    ("4111 1111 1111 1111 555-123-4567 2024-02-29", ["4111 1111 1111 1111", "555-123-4567", "2024-02-29"], 3),
+    ("1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8 9 10 11 12", [], None),
+]
+
+
+def test_neighbouring_numbers_are_found(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(SIDE_BY_SIDE)], "doc_id long, text string")
+    found = pseudonyms.pseudonymised(df, "k").orderBy("doc_id").collect()
+    for row, (text, values, n) in zip(found, SIDE_BY_SIDE, strict=True):
+        assert re.sub("[0-9]", "9", row["text"]) == re.sub("[0-9]", "9", text)
+        assert not [v for v in values if v in row["text"]], row
+        assert n is None or row["n_values"] == n, row
+    assert luhn(re.sub("[^0-9]", "", found[0]["text"][4:23])) and found[0]["text"].endswith(" 12/27 now")
