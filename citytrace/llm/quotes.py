@@ -7,6 +7,8 @@ ordered so that replies follow what they answer, without the quotes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from .shared import ascii_lower, saved
 
 #: Lines that announce a quotation.
 ANNOUNCES = r"(?i)(wrote|writes|said|schrieb|schreibt|a écrit|écrit|escribió|escribe)\s*:\s*$"
+RUN_WORDS = 5  #: words of a run that a part of a line has in common with its original
 _MARKS = r"^((?:[ \t]{0,3}>)+)[ \t]?"
 _SPACE = r"[\x09-\x0D\x20]+"
 
@@ -54,6 +57,22 @@ def _units(text: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(parts, normalised), lambda part: part != ""))
 
 
+def _fine_units(text: Column) -> Column:
+    """What a part of a text has in common with it, however it is wrapped: sentences and runs of words."""
+
+    def of(whole: Column) -> Column:
+        words = F.split(whole, " ")
+        runs = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(words) - RUN_WORDS, F.lit(0))),
+            lambda k: F.array_join(F.slice(words, k + 1, RUN_WORDS), " "),
+        )
+        sentences = F.split(whole, r"(?<=[.!?]) ", -1)
+        return F.concat(sentences, F.when(F.size(words) >= RUN_WORDS, runs).otherwise(F.array().cast("array<string>")))
+
+    units = F.element_at(F.transform(F.array(normalised(text)), of), 1)
+    return F.array_distinct(F.filter(units, lambda unit: unit != ""))
+
+
 def passages(lines: Column) -> Column:
     """Array of (level, text): neighbouring lines of one level above 0, joined."""
 
@@ -74,31 +93,41 @@ def hashed(unit: Column) -> Column:
     return F.md5(unit.cast("binary"))
 
 
-def _parents(parsed: DataFrame) -> DataFrame:
+def _voted(quoting: DataFrame, parsed: DataFrame, units: Callable[[Column], Column], share: float) -> DataFrame:
     """(conv, turn, parent): of the shallowest quoted level with a known passage, the message with most.
 
-    A passage belongs to the first message of the conversation that has it as its own; a quotation
-    links only to an earlier turn. Ties go to the latest message.
+    A unit belongs to the first message of the conversation that has it as its own; a quotation links only to
+    an earlier turn, that holds at least that share of the level's units. Ties go to the latest message.
     """
-    quoting = parsed.filter(F.col("text").contains(">")).filter(F.exists("lines", lambda line: line["level"] > 0))
     quoted = quoting.select("conv", "turn", F.explode(passages(F.col("lines"))).alias("passage"))
     quoted = quoted.select(
-        "conv", "turn", F.col("passage.level").alias("level"), F.explode(_units(F.col("passage.text"))).alias("unit")
+        "conv", "turn", F.col("passage.level").alias("level"), F.explode(units(F.col("passage.text"))).alias("unit")
     )
     quoted = quoted.select("conv", "turn", "level", hashed(F.col("unit")).alias("mark"))
     quoted = quoted.groupBy("conv", "turn", "mark").agg(F.min("level").alias("level"))
     conversations = quoting.select("conv").distinct().withColumnRenamed("conv", "quoting")
     candidates = parsed.join(conversations, F.col("conv") == F.col("quoting"), "left_semi")
-    originals = candidates.select("conv", "turn", F.explode(_units(F.col("own"))).alias("unit"))
+    originals = candidates.select("conv", "turn", F.explode(units(F.col("own"))).alias("unit"))
     originals = originals.select(F.col("conv").alias("of"), "turn", hashed(F.col("unit")).alias("of_mark"))
     originals = originals.groupBy("of", "of_mark").agg(F.min("turn").alias("parent"))
     found = quoted.join(originals, (F.col("conv") == F.col("of")) & (F.col("mark") == F.col("of_mark")))
     found = found.filter(F.col("parent") < F.col("turn"))
     votes = found.groupBy("conv", "turn", "level", "parent").agg(F.count("*").alias("votes"))
+    if share:
+        sizes = quoted.groupBy("conv", "turn", "level").agg(F.count("*").alias("units"))
+        votes = votes.join(sizes, ["conv", "turn", "level"]).filter(F.col("votes") >= F.col("units") * share)
     rank = F.struct((-F.col("level")).alias("level"), "votes", "parent")
     return votes.groupBy("conv", "turn").agg(F.max(rank).alias("best")).select("conv", "turn", F.col("best.parent"))
 
 
+def _parents(parsed: DataFrame) -> DataFrame:
+    """(conv, turn, parent) by whole texts, paragraphs and lines; where none is known, by parts of them."""
+    quoting = parsed.filter(F.col("text").contains(">")).filter(F.exists("lines", lambda line: line["level"] > 0))
+    exact = saved(_voted(quoting, parsed, _units, 0), "exact-parents")
+    open_ = quoting.join(exact.select("conv", "turn"), ["conv", "turn"], "left_anti")
+    return exact.union(_voted(open_, parsed, _fine_units, 0.5))
+
+
 def _threads(parents: DataFrame) -> DataFrame:
     """(conv, turn, parent, thread, depth): the message a thread begins with, by pointer doubling."""
     known = saved(

@@ -313,3 +313,19 @@ def test_driver_conversations_keep_their_turns(spark, sf_dir):
         lines = [x for x in (r["text"] or "").split("\n") if not x.lstrip().startswith(">")]
         mine = found[(r["conv_id"], r["turn"])]
         assert mine["text"] == "\n".join(lines).strip() and mine["thread_turn"] == r["turn"]
+
+
+def test_parts_of_a_paragraph_find_their_original(spark):
+    long = "We met on Monday. The plan for the new bridge was read aloud by the mayor and all agreed. Then we left! Who pays?"
+    rows = [
+        (1, 0, "an opening that nobody quotes in this conversation"),
+        (1, 1, long),
+        (1, 2, "> Then we left! Who pays?\n\nthe city"),  # two sentences of a line
+        (1, 3, "> plan for the new bridge was\n> read aloud by the mayor\n\nit was"),  # a wrapped part
+        (1, 4, "> words that nobody in this conversation has ever said\n\nno parent"),
+        (1, 5, "> the city\n\nexact units go first"),
+        (1, 6, "> Who pays?\n\nme"),  # one short sentence
+    ]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    found = {r["turn"]: (r["parent_turn"], r["thread_turn"]) for r in quotes.reply_ordered(df).collect()}
+    assert found == {0: (None, 0), 1: (None, 1), 2: (1, 1), 3: (1, 1), 4: (None, 4), 5: (2, 1), 6: (1, 1)}
