@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, on whole tables with production parameters."""
+"""The registered queries of the thirteen operators, on whole tables with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cascade, fmindex, gridjoin, langid, mixing, pseudonyms, quality, quotes, rangecoder, simhash
+from . import (
+    alignment, cascade, crosspolytope, fmindex, gridjoin, langid, mixing, pseudonyms, quality, quotes, rangecoder, resampling,
+    simhash,
+)
 from .shared import held_out
 
 
@@ -77,6 +80,18 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rangecoder.token_output(_table(spark, sf_dir, "documents"))
 
 
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.nearest_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_table(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_grid_join": op2_grid_join,
@@ -88,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_token_ids": op10_token_ids,
+    "op11_cross_polytope": op11_cross_polytope,
+    "op12_alignment": op12_alignment,
+    "op13_resampling": op13_resampling,
 }
