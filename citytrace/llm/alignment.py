@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
@@ -348,7 +349,7 @@ def scored(read: DataFrame, counts: DataFrame, most: int = COMMON_PAIRS) -> Data
         known, total, best = shared.value
         for batch in batches:
             a, b, n = (batch.column(len(kept) + k) for k in range(3))
-            ends = np.cumsum(pa.compute.list_value_length(a).to_numpy(zero_copy_only=False).astype(np.int64))
+            ends = np.cumsum(pc.list_value_length(a).to_numpy(zero_copy_only=False).astype(np.int64))
             flat_a, flat_b, flat_n = (c.flatten().to_numpy(zero_copy_only=False) for c in (a, b, n))
             wanted = (flat_a.astype(np.int64) << 32) | flat_b
             at = np.minimum(np.searchsorted(known, wanted), max(len(known) - 1, 0))

@@ -13,6 +13,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructType
@@ -109,7 +110,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and vectors of one length, a bounded number at a time."""
-    lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
     for length in np.unique(lengths):
         places = np.flatnonzero(lengths == length)
         for start in range(0, len(places), ROWS_AT_ONCE):
@@ -240,7 +241,7 @@ def _probes(asked: DataFrame, bands: DataFrame, levels: int) -> DataFrame:
                         found += [(table, paths) for paths in likely_paths(x, table, levels)]
                     for table, paths in found:
                         probes = paths.shape[1]
-                        flat = paths.astype(np.uint8).reshape(-1, paths.shape[2])
+                        flat = paths.astype(np.uint8).reshape(len(x) * probes, paths.shape[2])
                         n = len(flat)
                         yield pa.RecordBatch.from_arrays(
                             [
@@ -285,7 +286,7 @@ def _searched(classes: DataFrame, leaves: DataFrame, sizes: DataFrame, probes: D
         .join(classes.select(F.col("class").alias("asker"), "vector"), "asker")
         .withColumn("part", F.pmod(F.xxhash64("asker"), F.col("parts")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "block", "part", "asker", "vector")
+        .select(*[F.col(name).alias(f"of_{name}") for name in ("key", "block", "part", "asker", "vector")])
     )
     place = ["key", "block", "part"]
 
@@ -293,18 +294,18 @@ def _searched(classes: DataFrame, leaves: DataFrame, sizes: DataFrame, probes: D
         columns = [pa.array([], pa.int64())] * 3 + [pa.array([], pa.float64())]
         if rows.num_rows and askers.num_rows:
             rows, askers = rows.combine_chunks(), askers.combine_chunks()
-            x, q = (_matrix(t.column("vector").combine_chunks()) for t in (rows, askers))
+            x, q = (_matrix(t.column(name).combine_chunks()) for t, name in ((rows, "vector"), (askers, "of_vector")))
             first = rows.column("first").to_numpy()
             who, row, score = best_of(q, x, first, most)
             columns = [
-                pa.array(askers.column("asker").to_numpy()[who]),
+                pa.array(askers.column("of_asker").to_numpy()[who]),
                 pa.array(rows.column("class").to_numpy()[row]),
                 pa.array(first[row]),
                 pa.array(score),
             ]
         return pa.Table.from_arrays(columns, names=_FOUND.names)
 
-    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(search, _FOUND)
+    return left.groupBy(*place).cogroup(right.groupBy(*[f"of_{name}" for name in place])).applyInArrow(search, _FOUND)
 
 
 def _against_all(classes: DataFrame, asked: DataFrame, most: int) -> DataFrame:

@@ -31,7 +31,7 @@ def plain_nearest(rows, k, wanted):
 
 def same_neighbours(found, expected):
     assert [r[:3] for r in found] == [r[:3] for r in expected]
-    assert np.allclose([r[3] for r in found], [r[3] for r in expected], rtol=1e-12, atol=0)
+    assert np.allclose([r[3] for r in found], [r[3] for r in expected], rtol=1e-12, atol=1e-12)
 
 
 def test_neighbours_of_odd_vectors_are_exact(spark):
