@@ -20,8 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies (five words, 0.8), that of the smallest id."""
-    return simhash.one_of_each(docs, simhash.similar_groups(docs))
+    """One document of each group whose fingerprints (three words) links of two bits connect, that of the smallest id."""
+    return simhash.one_of_each(docs, simhash.near_duplicates(docs, words=3, radius=2))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,7 +87,7 @@ def test_one_document_of_each_group_stays(spark, odd_docs, no_docs):
     kept = simhash.one_of_each(odd_docs, simhash.near_duplicates(odd_docs))
     assert kept.columns == odd_docs.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2, 4, 6]
-    assert simhash.one_of_each(no_docs, simhash.similar_groups(no_docs)).count() == 0
+    assert simhash.one_of_each(no_docs, simhash.near_duplicates(no_docs)).count() == 0
 
 
 def test_simhash_of_the_driver_documents(spark, sf_dir):
@@ -142,94 +142,3 @@ def test_grid_join_of_nothing(spark):
     null = spark.createDataFrame([(None, None), (1, None)], "vec_id long, embedding array<float>")
     assert sorted(str(tuple(r)) for r in gridjoin.near_duplicates(null).collect()) == [
         "(1, 0, 1, True)", "(None, 0, None, True)"]
-
-
-def test_wide_fingerprints_reach_the_similarity(spark):
-    """Edited copies of 0.8 and more are grouped, other texts stay apart; a null id names nothing."""
-    rng = random.Random(9)
-    vocabulary = [f"w{i}" for i in range(5000)]
-    rows, expected = [], {}
-    for base in range(60):
-        words = rng.choices(vocabulary, k=400)
-        rows.append((base * 10, " ".join(words)))
-        for copy in range(1, 4):
-            edited = list(words)
-            for at in rng.sample(range(400), 2 * copy):  # five shingles to an edit: 0.95 to 0.86
-                edited[at] = "edited"
-            rows.append((base * 10 + copy, " ".join(edited)))
-        expected |= {base * 10 + copy: base * 10 for copy in range(4)}
-    rows += [(9001, None), (9002, ""), (None, rows[0][1]), (9003, "one two")]
-    found = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
-    got = {r["doc_id"]: r["component_id"] for r in found}
-    assert sum(got[d] == c for d, c in expected.items()) >= 0.99 * len(expected)
-    assert all(got[d] // 10 == d // 10 for d in expected)  # never with another text
-    assert got[9001] == got[9002] == 9001 and got[9003] == 9003 and got[None] == 0
-
-
-def exact_groups(rows, similarity=0.8):
-    """Components by brute force over the distinct five-word shingles of (id, text)."""
-    sets = {}
-    for key, text in rows:
-        words = text.lower().split()
-        sets[key] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-    alike = lambda a, b: len(a & b) / len(a | b) >= similarity
-    return components(sets, [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])])
-
-
-def found_groups(spark, rows):
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    return {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df).collect()}
-
-
-@pytest.mark.parametrize("block, sample", [(2048, 64), (3, 1)])
-def test_all_members_of_a_bucket_are_compared(spark, monkeypatch, block, sample):
-    """Texts that share passages with smaller, unrelated ones still find their true copies."""
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    monkeypatch.setattr(simhash, "COMMON_SAMPLE", sample, raising=False)
-    rng = random.Random(21)
-    passages = [" ".join(f"p{k}x{i}" for i in range(40)) for k in range(6)]
-    rows = []
-    for family in range(12):
-        shared = rng.sample(passages, 5)
-        own = [f"f{family}x{i}" for i in range(60)]
-        rows.append((family, " ".join(shared)))  # unrelated, and the smallest of every bucket
-        rows.append((100 + family, " ".join([*shared, *own])))
-        rows.append((200 + family, " ".join([*shared, *own[:-6], "other", *own[-4:]])))
-    rng.shuffle(rows)
-    assert found_groups(spark, rows) == exact_groups(rows)
-
-
-def test_groups_are_exact_near_the_threshold(spark):
-    """No pair of 0.80 to 0.85 is lost, and none below 0.80 is linked; short texts alike."""
-    rng = random.Random(22)
-    rows, key = [], 0
-    for size in [*range(5, 21)] * 6 + [60, 120, 300] * 12:
-        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
-        edited = list(words)
-        for at in rng.sample(range(size), max(1, round(size * 0.02)) if size > 20 else 0):
-            edited[at] = "edited"
-        cut = edited[: size - rng.choice([1, 1, 2, 3]) if size <= 20 else size - rng.randrange(size // 8)]
-        rows += [(key, " ".join(words)), (key + 1, " ".join(cut))]
-        key += 2
-    expected = exact_groups(rows)
-    linked = sum(expected[k] != k for k in expected)
-    assert 30 < linked < len(rows) // 2 - 30
-    assert found_groups(spark, rows) == expected
-
-
-def test_pairs_below_the_similarity_are_not_linked(spark):
-    """Pairs of 0.70 to 0.79 stay, however many there are."""
-    rng = random.Random(23)
-    rows = []
-    for pair in range(60):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
-        gone = 40 + pair % 18  # of 196 shingles
-        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[: 200 - gone]))]
-    assert found_groups(spark, rows) == {key: key for key, _ in rows} == exact_groups(rows)
-
-
-def test_near_copies_of_the_driver_documents(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
-    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs).collect()}
-    assert found == exact_groups(rows)

@@ -8,11 +8,11 @@ import zlib
 import numpy as np
 import public_tokenizers
 from test_leaks_and_filters import plain_hits
-from test_near_duplicates import components, exact_groups
+from test_near_duplicates import components, plain_fingerprint
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from citytrace.llm import fmindex, langid, simhash
+from citytrace.llm import fmindex, langid
 
 
 def plain_language(rows, net):
@@ -25,16 +25,9 @@ def plain_language(rows, net):
 
 
 def plain_near_copies(rows):
-    """Texts whose wide fingerprints share a band's bits with its first text, and are near enough."""
-    prints = {r["doc_id"]: simhash.wide_fingerprint(r["text"]) for r in rows}
-    whole = {d: int.from_bytes(p.tobytes(), "little") for d, p in prints.items()}
-    links = [(a, b) for a in whole for b in whole if a < b and whole[a] == whole[b]]
-    for a in whole:
-        for b in whole:
-            differing = whole[a] ^ whole[b]
-            if a < b and bin(differing).count("1") <= simhash.wide_limit(0.8):
-                if any(not any(differing >> int(k) & 1 for k in band) for band in simhash._band_places()):
-                    links.append((a, b))
+    """Of each group that fingerprints within two bits connect, the row of the smallest id."""
+    prints = {r["doc_id"]: plain_fingerprint(r["text"]) for r in rows}
+    links = [(a, b) for a in prints for b in prints if a < b and bin(prints[a] ^ prints[b]).count("1") <= 2]
     root = components(prints, links)
     return [r for r in rows if root[r["doc_id"]] == r["doc_id"]]
 
@@ -109,14 +102,3 @@ def test_stages_keep_the_columns(spark, odd_docs, no_docs, tmp_path):
                 assert docs.columns == odd_docs.columns
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert fmindex.WINDOW == 10
-
-
-def test_pipeline_with_exact_near_copies(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = [r.asDict() for r in docs.collect()]
-    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
-    rows = plain_language(rows, langid.fit(docs))
-    root = exact_groups([(r["doc_id"], r["text"]) for r in rows])
-    kept = [r for r in rows if root[r["doc_id"]] == r["doc_id"]]
-    expected = plain_tokens(plain_mixture(plain_leaks(kept, items)))
-    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(expected)
