@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citytrace.functions import numeric
 from citytrace.operators import prepare
+from citytrace.operators.boosting import BoostConfig, Boosted, fit_boosted
 from citytrace.operators.lookup import attach_route_prior, route_distance
 from citytrace.operators.quantiles import exact_quantiles
 
@@ -35,16 +34,6 @@ ETA_CLIP_QUANTILE = 0.999
 KEYS = ("source_id", "destination_id", "pickup_hour", "day_of_week", "is_weekend", "month")
 
 
-@dataclass(frozen=True)
-class BoostConfig:
-    rounds: int
-    depth: int
-    min_leaf: int
-    rate: float = 0.05
-    bins: int = 255
-    seed: int = 42
-
-
 # Published model settings.
 FARE_BOOST = BoostConfig(rounds=500, depth=8, min_leaf=40)
 ETA_BOOST = BoostConfig(rounds=450, depth=10, min_leaf=30)
@@ -54,8 +43,8 @@ ETA_BOOST = BoostConfig(rounds=450, depth=10, min_leaf=30)
 class Bundle:
     """Everything scoring needs: two models and the tables behind the features."""
 
-    fare: GBTRegressionModel
-    eta: GBTRegressionModel
+    fare: Boosted
+    eta: Boosted
     prior: DataFrame
     overall: DataFrame
     coords: DataFrame
@@ -111,50 +100,26 @@ def forecast_features(
     return filled.select(*[F.col(c).cast("int").alias(c) for c in KEYS], *FEATURES[len(KEYS) :], *keep)
 
 
-def _assemble(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol="_features").transform(df)
-
-
-def _boost(config: BoostConfig, loss: str, label: str) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="_features",
-        labelCol=label,
-        weightCol="trip_count",
-        predictionCol="_prediction",
-        lossType=loss,
-        maxIter=config.rounds,
-        maxDepth=config.depth,
-        minInstancesPerNode=config.min_leaf,
-        stepSize=config.rate,
-        maxBins=config.bins,
-        seed=config.seed,
-        checkpointInterval=10,
-    )
-
-
-def predict_fare(df: DataFrame, model: GBTRegressionModel, out: str) -> DataFrame:
-    return model.transform(_assemble(df, FEATURES)).withColumnRenamed("_prediction", out).drop("_features")
+def predict_fare(df: DataFrame, model: Boosted, out: str) -> DataFrame:
+    return df.withColumn(out, model.prediction())
 
 
-def predict_eta(df: DataFrame, model: GBTRegressionModel, out: str) -> DataFrame:
-    scored = model.transform(_assemble(df, ETA_FEATURES))
-    return scored.withColumn(out, F.expm1("_prediction")).drop("_features", "_prediction")
+def predict_eta(df: DataFrame, model: Boosted, out: str) -> DataFrame:
+    return df.withColumn(out, F.expm1(model.prediction()))
 
 
-def fit_fare(train_features: DataFrame, config: BoostConfig = FARE_BOOST) -> GBTRegressionModel:
+def fit_fare(train_features: DataFrame, config: BoostConfig = FARE_BOOST) -> Boosted:
     """Absolute-loss boosting of the average fare, weighted by trips. Runs Spark jobs."""
-    return _boost(config, "absolute", "avg_fare_amount").fit(_assemble(train_features, FEATURES))
+    return fit_boosted(train_features, FEATURES, "avg_fare_amount", "trip_count", config, "absolute")
 
 
-def fit_eta(
-    train_features: DataFrame, fare_model: GBTRegressionModel, config: BoostConfig = ETA_BOOST
-) -> GBTRegressionModel:
+def fit_eta(train_features: DataFrame, fare_model: Boosted, config: BoostConfig = ETA_BOOST) -> Boosted:
     """Squared-loss boosting of log minutes, clipped at a high quantile, with the predicted fare as input."""
     upper = exact_quantiles(train_features, [], "avg_eta_minutes", {"q": ETA_CLIP_QUANTILE}).select("q").scalar()
     stacked = predict_fare(train_features, fare_model, "predicted_fare_feature").withColumn(
         "_label", F.log1p(numeric.clip(F.col("avg_eta_minutes"), 0.0, upper))
     )
-    return _boost(config, "squared", "_label").fit(_assemble(stacked, ETA_FEATURES))
+    return fit_boosted(stacked, ETA_FEATURES, "_label", "trip_count", config, "squared")
 
 
 def predict_both(features: DataFrame, bundle: Bundle) -> DataFrame:

@@ -4,19 +4,59 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citytrace.operators import forecast
 from citytrace.operators.prepare import prepare_forecast
 from citytrace.session import checkpoint_dir, cut_lineage
 from citytrace.sources.artifacts import check_inputs
-from citytrace.sources.sinks import save_model, save_tables, write_rows, write_summary
+from citytrace.operators.boosting import Boosted
+from citytrace.sources.sinks import save_tables, write_rows, write_summary
 
 # The published serving window.
 SERVING_WINDOW = (dt.date(2025, 10, 1), dt.date(2025, 12, 31))
 
 
+BUNDLE_VERSION = 1
+BUNDLE_TABLES = ("route_prior", "global_prior", "coordinates", "fare_model", "eta_model")
+
+
+def _stamps(spark: SparkSession, folder: str) -> list:
+    """Rows and an order-free checksum of each table of a bundle."""
+    stamp = lambda df: df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("*").cast("decimal(38)")).cast("string").alias("sum"))
+    return [stamp(spark.read.parquet(f"{folder}/{name}")).select(F.struct("*")).scalar().alias(name) for name in BUNDLE_TABLES]
+
+
+def _write_manifest(spark: SparkSession, folder: str) -> None:
+    """The last file of a bundle: without it, or with one of other tables, nothing is loaded."""
+    row = spark.range(1).select(
+        F.lit(BUNDLE_VERSION).alias("version"),
+        F.lit(list(forecast.FEATURES)).alias("fare_features"),
+        F.lit(list(forecast.ETA_FEATURES)).alias("eta_features"),
+        F.struct(*_stamps(spark, folder)).alias("tables"),
+    )
+    write_summary(row, f"{folder}/manifest")
+
+
+def load_bundle(spark: SparkSession, out: str) -> forecast.Bundle:
+    """The bundle that a forecast job wrote, in any session; its tables are held against the manifest."""
+    folder = f"{out}/bundle"
+    manifest = spark.read.json(f"{folder}/manifest").first()
+    if manifest["version"] != BUNDLE_VERSION:
+        raise ValueError(f"bundle version {manifest['version']} is not {BUNDLE_VERSION}")
+    if tuple(manifest["fare_features"]) != forecast.FEATURES or tuple(manifest["eta_features"]) != forecast.ETA_FEATURES:
+        raise ValueError("the bundle's models have other inputs")
+    found = spark.range(1).select(*_stamps(spark, folder)).first()
+    changed = [name for name in BUNDLE_TABLES if found[name].asDict() != manifest["tables"][name].asDict()]
+    if changed:
+        raise ValueError(f"bundle tables differ from the manifest: {', '.join(changed)}")
+    prior, overall, coords, fare, eta = (spark.read.parquet(f"{folder}/{name}") for name in BUNDLE_TABLES)
+    return forecast.Bundle(
+        Boosted.of_frame(fare, forecast.FEATURES), Boosted.of_frame(eta, forecast.ETA_FEATURES), prior, overall, coords
+    )
+
+
 def run_forecast(
     trips: DataFrame,
     coords: DataFrame,
@@ -42,9 +82,9 @@ def run_forecast(
     test_x = forecast.forecast_features(test, prior, overall, coords, keep)
     fare_model = forecast.fit_fare(train_x, fare)
     eta_model = forecast.fit_eta(train_x, fare_model, eta)
-    save_model(fare_model, f"{out}/models/fare")
-    save_model(eta_model, f"{out}/models/eta")
-    bundle = forecast.Bundle(fare_model, eta_model, prior, overall, coords)
+    save_tables({"fare_model": fare_model.frame(spark), "eta_model": eta_model.frame(spark)}, f"{out}/bundle")
+    _write_manifest(spark, f"{out}/bundle")
+    bundle = load_bundle(spark, out)
     write_rows(forecast.test_predictions(test_x, bundle), f"{out}/test_predictions", "parquet")
     predictions = spark.read.parquet(f"{out}/test_predictions")
     metric = lambda what, predicted: forecast.regression_metrics(predictions, what, predicted).select(F.struct("*"))

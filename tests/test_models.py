@@ -8,7 +8,7 @@ from citytrace.functions import bins
 from citytrace.operators import anomaly, cluster, forecast, hulls, iforest, lookup, rules
 from citytrace.plans.anomalies import AnomalyConfig, run_anomaly
 from citytrace.plans.clustering import run_clustering, sample_points
-from citytrace.plans.forecasting import run_forecast
+from citytrace.plans.forecasting import load_bundle, run_forecast
 from citytrace.plans.patterns import run_rules
 from citytrace.plans.statistics import run_statistics
 from citytrace.session import cut_lineage
@@ -133,11 +133,15 @@ def test_forecast_job(spark, trips, coords, tmp_path):
         "source_location_id int, destination_location_id int, pickup_date string, pickup_hour int",
     ).withColumn("pickup_date", F.to_date("pickup_date"))
     scored = forecast.score_requests(requests, bundle).collect()
+    assert sorted(forecast.score_requests(requests, load_bundle(spark, str(tmp_path))).collect()) == sorted(scored)
     assert len(scored) == 2 and all(r["predicted_fare_amount"] > 0 and r["predicted_eta_minutes"] > 0 for r in scored)
     features = {r["destination_id"]: r for r in forecast.request_features(requests, bundle.prior, bundle.overall, coords).collect()}
     assert features[999]["route_distance_km"] == 0.0
     assert features[999]["route_hist_trip_count_log1p"] == 0.0
     assert (features[4]["pickup_hour"], features[4]["month"], features[4]["requested_hour"]) == (0, 1, 24)
+    spark.range(1).write.mode("append").parquet(str(tmp_path / "bundle" / "coordinates"))
+    with pytest.raises(ValueError, match="coordinates"):
+        load_bundle(spark, str(tmp_path))
     with pytest.raises(ValueError, match="test months"):
         run_forecast(trips.where(F.month("pickup_date") < 10), coords, str(tmp_path / "x"), SMALL, SMALL)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from citytrace.operators import (
     sampling,
     stats,
 )
+from citytrace.operators.boosting import Boosted
 from citytrace.plans.clustering import sample_points
 from verification.tables import KEY_SPACE, checked, coords, raw_trips, row_key, trips, written, zones
 
@@ -33,7 +35,9 @@ WINDOW = (dt.date(1996, 3, 1), dt.date(1999, 8, 31))
 HOURS = (7, 21)
 ENDS = ["source_id", "destination_id"]
 SMALL_FOREST = iforest.ForestConfig(trees=20, max_samples=256)
-SMALL_BOOST = forecast.BoostConfig(rounds=5, depth=4, min_leaf=30, bins=64)
+# Published depth, leaves, bins and L2 term; fewer rounds, each of them a dozen Spark jobs.
+FARE_BOOST = replace(forecast.FARE_BOOST, rounds=4)
+ETA_BOOST = replace(forecast.ETA_BOOST, rounds=4)
 
 
 def query(make: Query) -> Query:
@@ -524,8 +528,9 @@ def request_features(spark, sf):
 
 def _bundle(spark, sf):
     train, test, prior, overall = _forecast_frames(spark, sf)
-    fare = forecast.fit_fare(train, SMALL_BOOST)
-    eta = forecast.fit_eta(train, fare, SMALL_BOOST)
+    of = lambda name, features, fit: Boosted.of_frame(written(spark, sf, name, lambda: fit().frame(spark)), features)
+    fare = of("fare_model", forecast.FEATURES, lambda: forecast.fit_fare(train, FARE_BOOST))
+    eta = of("eta_model", forecast.ETA_FEATURES, lambda: forecast.fit_eta(train, fare, ETA_BOOST))
     return forecast.Bundle(fare, eta, prior, overall, coords(spark, sf)), test
 
 
