@@ -24,7 +24,7 @@ TABLES = 5
 LEVELS = 6  #: divisions of a cell at most; what shares all six is compared in blocks
 LEAF = 1024  #: vectors of a leaf that is not divided further
 FIRST_AXES, NEXT_AXES = 64, 16  #: axes of the first cell, and of each division
-PROBES = (16, 128, 512, 512, 512, 512)  #: cells of each level that a query visits in each table
+PROBES = (16, 128, 512, 512, 512, 512)  #: cells of each level that a query visits in each table, at most
 BANDS = 4  #: bands of length to a doubling, so that the nearest direction has the largest product within a band
 SEED = 11
 PAIRS_AT_ONCE = 1 << 16  #: exact products of a step
@@ -76,26 +76,6 @@ def likely_cells(y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return cells, np.take_along_axis(penalty, cells, axis=1)
 
 
-def likely_paths(x: np.ndarray, table: int, levels: int) -> Iterator[np.ndarray]:
-    """For each level the paths of cells (rows x probes x level) with the least sums of penalties.
-
-    The best paths of a level go on from the best ones of the level before, so none better is missed.
-    """
-    paths = penalties = None
-    for level in range(levels):
-        probes = PROBES[level]
-        cells, penalty = likely_cells(rotated(x, table, level), probes)
-        if paths is None:
-            paths, penalties = cells[:, :, None], penalty
-        else:
-            total = (penalties[:, :, None] + penalty[:, None, :]).reshape(len(x), -1)
-            kept = np.argsort(total, axis=1, kind="stable")[:, :probes]
-            penalties = np.take_along_axis(total, kept, axis=1)
-            before = np.take_along_axis(paths, (kept // cells.shape[1])[:, :, None], axis=1)
-            paths = np.concatenate((before, np.take_along_axis(cells, kept % cells.shape[1], axis=1)[:, :, None]), axis=2)
-        yield paths
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as rows."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -183,78 +163,119 @@ def _hashed(classes: DataFrame) -> DataFrame:
     return classes.select("class", "dims", "band", "vector").mapInArrow(run, schema)
 
 
+def _no_path() -> Column:
+    return F.lit("").cast("binary")
+
+
 def _key(path: Column) -> Column:
     """Name of a cell: 64 bits of its place. Two cells of one name are compared together, nothing is lost."""
     return F.xxhash64("dims", "band", "table", path)
 
 
-def index(classes: DataFrame, leaf: int = LEAF) -> tuple[DataFrame, DataFrame, int]:
-    """Every class at its leaf of each table (class, key), the leaves' sizes (key, n), and the levels in use.
+def index(classes: DataFrame, leaf: int = LEAF) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Every class at its leaf of each table (class, key), the cells of level 0 (dims, band, n), and for each
+    further level the sizes (key, n) of its cells.
 
     All vectors of one length and band are the cell of level 0; it is one leaf for all tables if it is small.
     A level counts its cells, files the small ones as leaves and divides the others.
     """
     hashed = saved(_hashed(classes), "cells")
-    roots = hashed.groupBy("dims", "band").agg(F.count("*").alias("n"))
-    no_path = F.lit("").cast("binary")
+    roots = saved(hashed.groupBy("dims", "band").agg(F.count("*").alias("n")), "roots")
     small = hashed.join(roots.filter(F.col("n") <= leaf), ["dims", "band"]).withColumn("table", F.lit(0))
-    filed = [small.select("class", _key(no_path).alias("key"), "n")]
+    filed = [small.select("class", _key(_no_path()).alias("key"))]
     large = hashed.join(roots.filter(F.col("n") > leaf).drop("n"), ["dims", "band"])
-    place = F.col("table") * LEVELS
     left = large.withColumn("table", F.explode(F.array(*[F.lit(t) for t in range(TABLES)]))).select(
-        "class", "dims", "band", "table", F.substring("cells", place + 1, F.lit(LEVELS)).alias("path")
+        "class", "dims", "band", "table", F.substring("cells", F.col("table") * LEVELS + 1, F.lit(LEVELS)).alias("path")
     )
-    level = 0
-    while level < LEVELS:
-        level += 1
-        named = left.withColumn("key", _key(F.substring("path", 1, level)))
-        named = saved(named, "divided")
+    levels: list[DataFrame] = []
+    while len(levels) < LEVELS:
+        named = saved(left.withColumn("key", _key(F.substring("path", 1, len(levels) + 1))), "divided")
         if named.isEmpty():
-            level -= 1
             break
-        sizes = named.groupBy("key").agg(F.count("*").alias("n"))
-        last = F.lit(level == LEVELS)
-        filed.append(named.join(sizes.filter((F.col("n") <= leaf) | last), "key").select("class", "key", "n"))
-        left = named.join(sizes.filter((F.col("n") > leaf) & ~last).drop("n"), "key").drop("key")
+        sizes = saved(named.groupBy("key").agg(F.count("*").alias("n")), "sizes")
+        levels.append(sizes)
+        is_leaf = (F.col("n") <= leaf) | F.lit(len(levels) == LEVELS)
+        filed.append(named.join(sizes.filter(is_leaf), "key").select("class", "key"))
+        left = named.join(sizes.filter(~is_leaf).drop("n"), "key").drop("key")
     leaves = filed[0]
     for more in filed[1:]:
         leaves = leaves.unionByName(more)
-    leaves = saved(leaves, "leaves")
-    return leaves.select("class", "key"), leaves.groupBy("key").agg(F.max("n").alias("n")), level
+    return saved(leaves, "leaves"), roots, levels
 
 
-def _probes(asked: DataFrame, bands: DataFrame, levels: int) -> DataFrame:
-    """(asker, key) of the cells that each query vector visits, of every level and every band of lengths."""
-    schema = StructType(
-        [field("asker", LongType()), field("dims", IntegerType()), field("table", IntegerType()), field("path", BinaryType())]
-    )
+_PATH = StructType([field("path", BinaryType()), field("penalty", DoubleType())])
+_VISIT = StructType(
+    [
+        field("asker", LongType()),
+        *[field(name, IntegerType()) for name in ("dims", "band", "table")],
+        *_PATH.fields,
+    ]
+)
+
+
+def _next_cells(front: DataFrame, level: int) -> DataFrame:
+    """The most likely cells of a level below the divided cells (path, penalty) that each query has visited.
+
+    The best sums of penalties go on from those of the level before, so none better is missed.
+    """
+    most = PROBES[level]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 64):  # paths of a level are a matrix for each query
-                batch = whole.slice(start, 64)
-                number = batch.column(0).to_numpy(zero_copy_only=False)
-                for places, x in _by_length(batch.column(1)):
-                    x = _unit(x)
-                    found = [(0, np.zeros((len(x), 1, 0), np.int64))]
-                    for table in range(TABLES):
-                        found += [(table, paths) for paths in likely_paths(x, table, levels)]
-                    for table, paths in found:
-                        probes = paths.shape[1]
-                        flat = paths.astype(np.uint8).reshape(len(x) * probes, paths.shape[2])
-                        n = len(flat)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.repeat(number[places], probes)),
-                                pa.array(np.full(n, x.shape[1], np.int32)),
-                                pa.array(np.full(n, table, np.int32)),
-                                pa.array([row.tobytes() for row in flat], pa.binary()),
-                            ],
-                            names=schema.names,
-                        )
-
-    paths = asked.select(F.col("class").alias("asker"), "vector").mapInArrow(run, schema)
-    return paths.join(bands, "dims").select("asker", _key(F.col("path")).alias("key"))
+            tables = whole.column(3).to_numpy(zero_copy_only=False)
+            for table in np.unique(tables):
+                batch = whole.take(pa.array(np.flatnonzero(tables == table)))
+                visited = batch.column(5).to_pylist()
+                for places, x in _by_length(batch.column(4)):
+                    cells, penalty = likely_cells(rotated(_unit(x), int(table), level), most)
+                    paths: list[bytes] = []
+                    sums: list[np.ndarray] = []
+                    for row, place in enumerate(places):
+                        before = np.array([v["penalty"] for v in visited[place]])
+                        total = (before[:, None] + penalty[row]).ravel()
+                        kept = np.argsort(total, kind="stable")[:most]
+                        sums.append(total[kept])
+                        at, cell = np.divmod(kept, cells.shape[1])
+                        paths += [
+                            visited[place][k]["path"] + bytes((c,)) for k, c in zip(at, cells[row][cell].tolist(), strict=True)
+                        ]
+                    of = np.repeat(places, list(map(len, sums)))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch.column(k).take(pa.array(of)) for k in range(4)),
+                            pa.array(paths, pa.binary()),
+                            pa.array(np.concatenate(sums)),
+                        ],
+                        names=_VISIT.names,
+                    )
+
+    return front.select("asker", "dims", "band", "table", "vector", "visited").mapInArrow(run, _VISIT)
+
+
+def _probes(asked: DataFrame, roots: DataFrame, levels: list[DataFrame], leaf: int) -> DataFrame:
+    """(asker, key, n) of the leaves that each query vector visits, in every band of lengths.
+
+    A query goes on only below divided cells that it visits, so a hot direction costs its own queries alone.
+    """
+    asked = asked.select(F.col("class").alias("asker"), "vector", "dims")
+    started = asked.join(roots, "dims")
+    at_root = started.filter(F.col("n") <= leaf).withColumn("table", F.lit(0))
+    found = [at_root.select("asker", _key(_no_path()).alias("key"), "n")]
+    whole = F.struct(_no_path().alias("path"), F.lit(0.0).alias("penalty"))
+    front = started.filter(F.col("n") > leaf).withColumn("visited", F.array(whole))
+    front = front.withColumn("table", F.explode(F.array(*[F.lit(t) for t in range(TABLES)])))
+    for level, sizes in enumerate(levels):
+        cells = _next_cells(front, level).withColumn("key", _key(F.col("path")))
+        cells = saved(cells.join(sizes, "key"), "visited")
+        is_leaf = (F.col("n") <= leaf) | F.lit(level + 1 == LEVELS)
+        found.append(cells.filter(is_leaf).select("asker", "key", "n"))
+        below = cells.filter(~is_leaf).groupBy("asker", "dims", "band", "table")
+        below = below.agg(F.collect_list(F.struct("path", "penalty")).alias("visited"))
+        front = below.join(asked.select("asker", "vector"), "asker")
+    probes = found[0]
+    for more in found[1:]:
+        probes = probes.unionByName(more)
+    return probes
 
 
 _FOUND = StructType(
@@ -262,14 +283,14 @@ _FOUND = StructType(
 )
 
 
-def _searched(classes: DataFrame, leaves: DataFrame, sizes: DataFrame, probes: DataFrame, most: int, leaf: int) -> DataFrame:
+def _searched(classes: DataFrame, leaves: DataFrame, probes: DataFrame, most: int, leaf: int) -> DataFrame:
     """(asker, class, first, score) of the best of each visited leaf, at most ``most`` a query and block.
 
     A leaf that no division could make small, and a leaf that very many queries visit, are compared in
     blocks, a block of vectors with a block of queries to a task.
     """
-    asked = probes.groupBy("key").agg(F.count("*").alias("askers"))
-    plan = sizes.join(asked, "key").select(
+    asked = probes.groupBy("key").agg(F.count("*").alias("askers"), F.max("n").alias("n"))
+    plan = asked.select(
         "key", F.ceil(F.col("n") / leaf).cast("int").alias("blocks"), F.ceil(F.col("askers") / leaf).cast("int").alias("parts")
     )
     plan = saved(plan, "plan")
@@ -282,7 +303,8 @@ def _searched(classes: DataFrame, leaves: DataFrame, sizes: DataFrame, probes: D
         .select("key", "block", "part", "class", "first", "vector")
     )
     right = (
-        probes.join(plan, "key")
+        probes.drop("n")
+        .join(plan, "key")
         .join(classes.select(F.col("class").alias("asker"), "vector"), "asker")
         .withColumn("part", F.pmod(F.xxhash64("asker"), F.col("parts")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -390,9 +412,9 @@ def nearest_neighbours(
     distinct = askers.select(F.col("asker").alias("class")).distinct()
     asked = saved(classes.join(distinct, "class", "left_semi").select("class", "vector", "dims"), "asked")
 
-    leaves, sizes, levels = index(classes, leaf)
-    probes = saved(_probes(asked, classes.select("dims", "band").distinct(), levels).join(sizes, "key").select("asker", "key"), "probes")
-    near = saved(_nearest(_searched(classes, leaves, sizes, probes, most, leaf), classes, most), "near")
+    leaves, roots, levels = index(classes, leaf)
+    probes = saved(_probes(asked, roots, levels, leaf), "probes")
+    near = saved(_nearest(_searched(classes, leaves, probes, most, leaf), classes, most), "near")
 
     # As many rows as there are, but no more than asked for.
     totals = classes.groupBy("dims").agg(F.sum(F.size("ids")).alias("total"))
