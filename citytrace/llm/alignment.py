@@ -12,6 +12,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,7 @@ from .shared import field, saved, small_batches
 CACHE_WORDS = 400_000  #: distinct words whose ids a worker keeps, for each tokenizer
 COMMON_PAIRS = 1 << 20  #: pairs whose counts travel to the tasks; all others are joined
 BIN_STEPS = 8  #: bins of counts to a doubling, where the common pairs are cut off
+LINE = 256  #: words that are encoded in one line
 SPACE = "▁"
 
 
@@ -41,20 +43,24 @@ class WordCache:
 
     def __init__(self, encode, token_bytes: list[bytes]) -> None:
         self.encode, self.token_bytes, self.new, self.old = encode, token_bytes, {}, {}
+        self.inexact: set[str] = set()
 
     def ids(self, texts: list[list[str]]) -> list[np.ndarray | None]:
         """Ids of texts, each a list of words; unknown words of all of them are encoded together."""
         if len(self.new) > CACHE_WORDS // 2:
             self.new, self.old = {}, self.new
+            self.inexact &= self.old.keys()
         unknown = set().union(*texts).difference(self.new)
         met = {word: self.old[word] for word in unknown if word in self.old}
         self.new.update(met)
         missing = list(unknown.difference(met))
         for word, ids in zip(missing, self.encode(missing), strict=True):
-            exact = b"".join(map(self.token_bytes.__getitem__, ids)) == word.encode("utf-8", "surrogatepass")
-            self.new[word] = array("i", ids).tobytes() if exact else None
-        found = [list(map(self.new.__getitem__, words)) for words in texts]
-        return [None if None in parts else np.frombuffer(b"".join(parts), np.int32) for parts in found]
+            if b"".join(map(self.token_bytes.__getitem__, ids)) != word.encode("utf-8", "surrogatepass"):
+                self.inexact.add(word)
+            self.new[word] = array("i", ids).tobytes()
+        exact = [not self.inexact or self.inexact.isdisjoint(words) for words in texts]
+        found = [b"".join(map(self.new.__getitem__, words)) if ok else None for words, ok in zip(texts, exact, strict=True)]
+        return [None if ids is None else np.frombuffer(ids, np.int32) for ids in found]
 
 
 def split_or_whole(
@@ -105,11 +111,23 @@ class ByteLevelTokens:
             known = all(c in byte_of for c in token)
             self.bytes[number] = bytes(byte_of[c] for c in token) if known else token.encode()
         self.lengths = np.array(list(map(len, self.bytes)), np.int64)
-        self.names = list(map(str, range(len(self.bytes))))
         self.cache = WordCache(self._encode_words, self.bytes)
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _encode_words(self, words: list[str]) -> Iterator[list[int]]:
+        """Words of letters with a space before them are encoded as lines, which their bytes cut again."""
+        spaced = [word for word in words if word[0] == " " and word[1:].isalpha()]
+        lines = [spaced[at : at + LINE] for at in range(0, len(spaced), LINE)]
+        found = self.tokenizer.encode_batch_fast(["".join(line) for line in lines], add_special_tokens=False)
+        known: dict[str, list[int]] = {}
+        for line, encoded in zip(lines, found, strict=True):
+            ids = encoded.ids
+            ends = np.cumsum(self.lengths[ids])
+            upto = np.searchsorted(ends, np.cumsum([len(word.encode()) for word in line]), side="right").tolist()
+            known.update(zip(line, (ids[s:e] for s, e in zip([0, *upto], upto, strict=False)), strict=True))
+        others = [word for word in words if word not in known]
+        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        known.update(zip(others, (encoded.ids for encoded in found), strict=True))
+        return map(known.__getitem__, words)
 
     def ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
         split = [self.WORD.findall(t) if self.by_word and PLAIN.fullmatch(t) else None for t in texts]
@@ -141,7 +159,6 @@ class PieceTokens:
         joined = any(SPACE in piece.lstrip(SPACE) for piece in pieces)
         probe = "  a  b c "
         self.by_word = not joined and b"".join(self.bytes[k] for k in self.model.encode(probe)) == b" " + probe.encode()
-        self.names = list(map(str, range(len(self.bytes))))
         self.cache = WordCache(self._encode_words, self.bytes)
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
@@ -154,12 +171,10 @@ class PieceTokens:
         return split_or_whole(texts, split, self.cache, lambda text: self.model.encode(text, num_threads=1))
 
 
-_LOADED: dict[tuple[type, str], object] = {}
-
-
-def loaded(kind: type, path: str):
-    """One tokenizer a worker process."""
-    return _LOADED.get((kind, path)) or _LOADED.setdefault((kind, path), kind(path))
+@cache
+def loaded(kind: type, *setup):
+    """One tokenizer or writer a worker process."""
+    return kind(*setup)
 
 
 def matching_stretch(ends_a: list[int], ends_b: list[int], i: int, j: int) -> int:
@@ -169,71 +184,76 @@ def matching_stretch(ends_a: list[int], ends_b: list[int], i: int, j: int) -> in
         one = ends_a[i + n : i + n + step]
         if not one:
             return n
-        if one == ends_b[j + n : j + n + step]:
-            n += len(one)
-            step *= 2
-        else:
+        if one != ends_b[j + n : j + n + step]:
             break
-    while step > 1:
-        step >>= 1
+        n += len(one)
+        step += step
+    step >>= 1
+    while step:
         one = ends_a[i + n : i + n + step]
         if one and one == ends_b[j + n : j + n + step]:
             n += len(one)
+        step >>= 1
     return n
 
 
-def aligned(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int, int, int, bool]], list[int], list[int]]:
-    """Entries (i, i2, j, j2, stretch) that cover both sequences, and the linked token places of both.
-
-    The ends ascend, and the last ones agree. A stretch has a group for each of its tokens; any other
-    entry is one group.
-    """
-    entries: list[tuple[int, int, int, int, bool]] = []
-    links_a: list[int] = []
-    links_b: list[int] = []
+def aligned(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """Ends of the groups as token places in both sequences. The ends of tokens ascend, and the last ones agree."""
+    cuts_a: list[int] = []
+    cuts_b: list[int] = []
     i = j = 0
     n_a = len(ends_a)
+    ends_a, ends_b = [*ends_a, -1], [*ends_b, -2]  # beyond the last ends nothing agrees
     while i < n_a:
         x, y = ends_a[i], ends_b[j]
         if x == y:
-            n = matching_stretch(ends_a, ends_b, i, j)
-            entries.append((i, i + n, j, j + n, True))
-            links_a += range(i, i + n)
-            links_b += range(j, j + n)
+            n = 1 + matching_stretch(ends_a, ends_b, i + 1, j + 1) if ends_a[i + 1] == ends_b[j + 1] else 1
+            cuts_a += range(i + 1, i + n + 1)
+            cuts_b += range(j + 1, j + n + 1)
             i += n
             j += n
             continue
-        from_i, from_j = i, j
-        while True:
-            links_a.append(i)
-            links_b.append(j)
+        while x != y:
             if x < y:
                 i += 1
                 x = ends_a[i]
-            elif y < x:
+            else:
                 j += 1
                 y = ends_b[j]
-            else:
-                break
         i += 1
         j += 1
-        entries.append((from_i, i, from_j, j, False))
-    return entries, links_a, links_b
+        cuts_a.append(i)
+        cuts_b.append(j)
+    return cuts_a, cuts_b
+
+
+def linked(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token places of all pairs with a common byte: one pair for each end of either sequence."""
+    ends = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+
+
+class GroupWriter:
+    """``a1,a2|b1;a3|b2``: numbers with the mark that follows them, put in order and joined at once."""
 
+    def __init__(self, n_a: int, n_b: int) -> None:
+        self.n_a, self.n_b = n_a, n_b
+        self.a = np.array([f"{k}{mark}" for mark in ",|" for k in range(n_a)], object)
+        self.b = np.array([f"{k}{mark}" for mark in ",;" for k in range(n_b)], object)
 
-def group_texts(entries: list[tuple[int, int, int, int, bool]], a: list[str], b: list[str]) -> list[str]:
-    """``a1,a2|b1`` for each group."""
-    out: list[str] = []
-    for i, i2, j, j2, stretch in entries:
-        if stretch:
-            out += map("|".join, zip(a[i:i2], b[j:j2], strict=True))
-        else:
-            out.append(",".join(a[i:i2]) + "|" + ",".join(b[j:j2]))
-    return out
+    def text(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[cuts_a - 1] = last_b[cuts_b - 1] = 1
+        # A token of a stands behind the b tokens of all groups before, one of b behind all a tokens of its group.
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        parts = np.empty(len(a) + len(b), object)
+        parts[np.arange(len(a)) + np.concatenate(([0], cuts_b))[group_a]] = self.a[a + self.n_a * last_a]
+        parts[np.arange(len(b)) + cuts_a[group_b]] = self.b[b + self.n_b * last_b]
+        return "".join(parts.tolist())[:-1]
 
 
 def align_texts(texts: list[str | None], first: ByteLevelTokens, second: PieceTokens) -> Iterator[tuple | None]:
-    """(a ids, b ids, entries, linked places in a, linked places in b) of each, or None where nothing is aligned."""
+    """(a ids, b ids, group ends in a and in b, linked places in a and in b) of each, or None where nothing is aligned."""
     filled = [t for t in texts if t]
     found = zip(filled, first.ids([" " + t for t in filled]), second.ids(filled), strict=True)
     for text in texts:
@@ -246,7 +266,9 @@ def align_texts(texts: list[str | None], first: ByteLevelTokens, second: PieceTo
         if any(b"".join(map(t.bytes.__getitem__, ids.tolist())) != data for t, ids in open_ones):
             yield None
             continue
-        yield a, b, *aligned(np.cumsum(first.lengths[a]).tolist(), np.cumsum(second.lengths[b]).tolist())
+        ends_a, ends_b = np.cumsum(first.lengths[a]), np.cumsum(second.lengths[b])
+        cuts_a, cuts_b = aligned(ends_a.tolist(), ends_b.tolist())
+        yield a, b, np.array(cuts_a), np.array(cuts_b), *linked(ends_a, ends_b)
 
 
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
@@ -268,6 +290,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = loaded(ByteLevelTokens, path_a), loaded(PieceTokens, path_b)
+        writer = loaded(GroupWriter, len(first.bytes), len(second.bytes))
         for batch in batches:
             numbers: list[tuple[int, ...]] = []
             digests: list[str] = []
@@ -279,12 +302,10 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "do
                     for column in pairs:
                         column.append([])
                     continue
-                a, b, entries, links_a, links_b = found
-                groups = group_texts(
-                    entries, list(map(first.names.__getitem__, a.tolist())), list(map(second.names.__getitem__, b.tolist()))
-                )
-                numbers.append((len(a), len(b), len(groups), len(links_a)))
-                digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
+                a, b, cuts_a, cuts_b, links_a, links_b = found
+                groups = writer.text(a, b, cuts_a, cuts_b)
+                numbers.append((len(a), len(b), len(cuts_a), len(links_a)))
+                digests.append(hashlib.sha256(groups.encode()).hexdigest())
                 keys, n = np.unique((a[links_a].astype(np.int64) << 32) | b[links_b], return_counts=True)
                 for column, values in zip(pairs, (keys >> 32, keys & 0xFFFFFFFF, n), strict=True):
                     column.append(values.astype(np.int32))

@@ -212,10 +212,12 @@ def test_stretches_double_and_halve():
     for _ in range(300):
         end = random.randrange(1, 60)
         one, two = (sorted({*random.sample(range(1, end + 1), random.randrange(1, end + 1)), end}) for _ in range(2))
-        entries, la, lb = alignment.aligned(one, two)
-        ends = sorted({*one, *two})
-        assert (la, lb) == (np.searchsorted(one, ends).tolist(), np.searchsorted(two, ends).tolist())
-        assert sum(e[1] - e[0] if e[4] else 1 for e in entries) == len(set(one) & set(two))
+        cuts_a, cuts_b = alignment.aligned(one, two)
+        common = sorted(set(one) & set(two))
+        spans = [list(zip([0, *x], x, strict=False)) for x in (one, two)]
+        pairs = [(i, j) for i, (s, e) in enumerate(spans[0]) for j, (s2, e2) in enumerate(spans[1]) if s < e2 and s2 < e]
+        assert list(zip(*(x.tolist() for x in alignment.linked(np.array(one), np.array(two))), strict=True)) == pairs
+        assert [one[k - 1] for k in cuts_a] == [two[k - 1] for k in cuts_b] == common
 
 
 # ---- resampling ----
