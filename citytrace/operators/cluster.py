@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,12 +17,12 @@ from pyspark.sql import functions as F
 from citytrace.functions import bins, numeric, times
 from citytrace.operators.lookup import centre_array, located, nearest
 from citytrace.operators.prepare import known_boroughs, segments_of
-from citytrace.operators.sampling import HASH_SPACE, stratified_sample
 
 K = 5
 SEED = 42
 SEGMENTS = (*bins.TIME_BUCKETS, bins.ALL_DAY)
 PAD = 0.01
+DISPLAYED = 25_000  #: points of a segment that a map shows
 # The view when there is nothing to show.
 EMPTY_BOUNDS = {"x_long_min": -74.10, "x_long_max": -73.70, "y_lat_min": 40.55, "y_lat_max": 40.92}
 SEGMENT_LABELS = {
@@ -127,20 +126,41 @@ def refinement_summary(refined: DataFrame) -> DataFrame:
     )
 
 
-def cluster_diagnostics(points: DataFrame, centres: DataFrame) -> DataFrame:
-    """Inertia and silhouette of the whole-day clusters over all points. Runs Spark jobs.
+def silhouettes(labelled: DataFrame) -> DataFrame:
+    """Exact Euclidean silhouette of each segment over all its points.
 
-    The silhouette is the squared-Euclidean one; it is not comparable with a Euclidean figure.
+    A zone's points share one place, so the distances of a point to a cluster are sums over zones with their
+    weights. The zones of a segment travel with each of its rows as one array; there are as many as zones exist,
+    whatever the number of trips. A point that is alone in its cluster counts 0; one cluster alone gives NULL.
     """
+    zone = F.struct("cluster_id", "long", "lat", F.col("weight").cast("double").alias("w"))
+    zones = labelled.groupBy(F.col("segment").alias("_of")).agg(F.collect_list(zone).alias("_zones"))
+    rows = labelled.join(zones, F.col("segment") == F.col("_of"))
+    apart = lambda z: F.hypot(z["long"] - F.col("long"), z["lat"] - F.col("lat"))
+
+    def cluster_sums(c: Column) -> Column:
+        start = F.struct(c.alias("c"), F.lit(0.0).alias("d"), F.lit(0.0).alias("w"))
+        add = lambda s, z: F.struct(s["c"].alias("c"), (s["d"] + z["w"] * apart(z)).alias("d"), (s["w"] + z["w"]).alias("w"))
+        return F.aggregate(F.filter("_zones", lambda z: z["cluster_id"] == c), start, add)
+
+    clusters = F.array_distinct(F.transform("_zones", lambda z: z["cluster_id"]))
+    rows = rows.withColumn("_sums", F.transform(clusters, cluster_sums))
+    own = F.filter("_sums", lambda s: s["c"] == F.col("cluster_id"))[0]
+    near = F.array_min(F.transform(F.filter("_sums", lambda s: s["c"] != F.col("cluster_id")), lambda s: s["d"] / s["w"]))
+    rows = rows.select("segment", "weight", own.alias("own"), near.alias("b"))
+    a = F.col("own.d") / (F.col("own.w") - 1)
+    each = F.when(F.col("b").isNull(), None).when(F.col("own.w") <= 1, 0.0)
+    each = each.otherwise(F.coalesce(F.try_divide(F.col("b") - a, F.greatest("b", a)), F.lit(0.0)))
+    return rows.groupBy("segment").agg((F.sum(each * F.col("weight")) / F.sum("weight")).alias("silhouette"))
+
+
+def cluster_diagnostics(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """Inertia and Euclidean silhouette of the whole-day clusters over all points."""
     labelled = label_points(points.where(F.col("segment") == bins.ALL_DAY), centres)
-    vectors = VectorAssembler(inputCols=["long", "lat"], outputCol="_xy").transform(labelled)
-    silhouette = ClusteringEvaluator(
-        featuresCol="_xy", predictionCol="cluster_id", weightCol="weight", distanceMeasure="squaredEuclidean"
-    ).evaluate(vectors)
     return labelled.agg(
         F.countDistinct("cluster_id").cast("int").alias("k"),
         F.sum(F.col("d2") * F.col("weight")).alias("inertia"),
-        F.lit(float(silhouette)).alias("silhouette_squared_euclidean"),
+        silhouettes(labelled).select("silhouette").scalar().alias("silhouette"),
     )
 
 
@@ -195,14 +215,39 @@ def cluster_snapshots(refined: DataFrame, centroids: DataFrame) -> DataFrame:
     )
 
 
+def display_points(labelled: DataFrame, n: int = DISPLAYED) -> DataFrame:
+    """Cells of zone and cluster with the number of their points that a map of ``n`` points a segment shows.
+
+    Clusters get their share of ``n`` and one point at least, which the largest cluster makes up for; zones get
+    their share of the cluster's. What is left goes to the largest remainders. Only counts are read, so totals stay those of all points.
+    """
+    cells = labelled.groupBy("segment", "cluster_id", "location_id", "long", "lat").agg(F.sum("weight").alias("weight"))
+    of = lambda *keys: Window.partitionBy("segment", *keys)
+    clusters = cells.groupBy("segment", "cluster_id").agg(F.sum("weight").alias("size"))
+    total = F.sum("size").over(of())
+    part = clusters.withColumn("_all", total).withColumn("_n", F.least(F.lit(n).cast("long"), "_all") * F.col("size"))
+    part = part.withColumn("_base", F.greatest(F.expr("_n div _all"), F.lit(1).cast("long")))
+    left = F.least(F.lit(n).cast("long"), "_all") - F.sum("_base").over(of())
+    turn = F.row_number().over(of().orderBy(F.desc(F.col("_n") % F.col("_all")), "cluster_id"))
+    over = F.when(F.row_number().over(of().orderBy(F.desc("size"), "cluster_id")) == 1, F.greatest(-left, F.lit(0))).otherwise(0)
+    quota = F.greatest(F.least("size", F.col("_base") + (turn <= left).cast("long")) - over, F.lit(1).cast("long"))
+    quotas = part.select("segment", "cluster_id", "size", quota.alias("_quota"))
+    dealt = cells.join(quotas, ["segment", "cluster_id"]).withColumn("_n", F.col("_quota") * F.col("weight"))
+    dealt = dealt.withColumn("_base", F.expr("_n div size"))
+    rest = F.col("_quota") - F.sum("_base").over(of("cluster_id"))
+    place = F.row_number().over(of("cluster_id").orderBy(F.desc(F.col("_n") % F.col("size")), "location_id"))
+    shown = (F.col("_base") + (place <= rest).cast("long")).alias("display_count")
+    return dealt.select("segment", "location_id", "long", "lat", "cluster_id", shown).where("display_count > 0")
+
+
 def cluster_summary(labelled: DataFrame, shown: DataFrame, k: int = K) -> DataFrame:
     """Dense rows per segment and cluster: all points, displayed points and their percentage."""
-    count = lambda df, name: df.groupBy("segment", "cluster_id").agg(F.count(F.lit(1)).alias(name))
+    count = lambda df, weight, name: df.groupBy("segment", "cluster_id").agg(F.sum(weight).alias(name))
     spine = labelled.select("segment").distinct().select(
         "segment", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster_id")
     )
     keys = ["segment", "cluster_id"]
-    joined = spine.join(count(labelled, "_all"), keys, "left").join(count(shown, "_shown"), keys, "left")
+    joined = spine.join(count(labelled, "weight", "_all"), keys, "left").join(count(shown, "display_count", "_shown"), keys, "left")
     total, display = (F.coalesce(F.col(c), F.lit(0).cast("long")) for c in ("_all", "_shown"))
     return joined.select(
         *keys,
@@ -233,28 +278,21 @@ def axis_bounds(coords: DataFrame, pad: float = PAD) -> DataFrame:
 
 
 def cluster_payload(
-    labelled: DataFrame,
-    refined: DataFrame,
-    centroids: DataFrame,
-    segment: str,
-    key: Column,
-    n: int = 25_000,
-    space: int = HASH_SPACE,
-    k: int = K,
+    labelled: DataFrame, refined: DataFrame, centroids: DataFrame, segment: str, n: int = DISPLAYED, k: int = K
 ) -> dict[str, DataFrame]:
-    """Map payload of one segment as frames: sampled points, summary, bounds, centres, borough labels."""
+    """Map payload of one segment as frames: totals, shown points, summary, bounds, centres, borough labels."""
     if segment not in SEGMENTS:
         raise ValueError(f"segment must be one of {SEGMENTS}")
-    points = labelled.where((F.col("segment") == segment) & F.col("cluster_id").isNotNull())
+    points = labelled.where((F.col("segment") == segment) & F.col("cluster_id").between(0, k - 1))
     centres = refined.where(F.col("segment") == segment)
-    shown = stratified_sample(points, "cluster_id", n, key, space).where(F.col("cluster_id").between(0, k - 1))
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    shown = display_points(points, n)
+    count = lambda df, weight, name: df.agg(F.coalesce(F.sum(weight), F.lit(0).cast("long")).alias(name))
     return {
-        "totals": count(points, "total_points_available").select(
+        "totals": count(points, "weight", "total_points_available").select(
             F.lit(segment).alias("segment"),
             F.lit(k).alias("selected_k"),
             "total_points_available",
-            count(shown, "display_points_count").scalar().alias("display_points_count"),
+            count(shown, "display_count", "display_points_count").scalar().alias("display_points_count"),
         ),
         "points": shown,
         "cluster_summary": cluster_summary(points, shown, k),

@@ -2,42 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citytrace.operators import cluster
-from citytrace.operators.lookup import od_points
-from citytrace.operators.prepare import segments_of
-from citytrace.operators.sampling import HASH_SPACE, hash_key, take_smallest_by
-from citytrace.functions import times
 from citytrace.sources.artifacts import check_inputs
 from citytrace.sources.sinks import write_rows, write_summary
 
-SAMPLE_PER_SEGMENT = 70_000
-
-
-def sample_points(
-    trips: DataFrame, coords: DataFrame, n: int = SAMPLE_PER_SEGMENT, key: Column | None = None, space: int = HASH_SPACE
-) -> DataFrame:
-    """A fixed number of trip ends per segment for maps."""
-    known = od_points(trips, coords, keep=trips.columns)
-    rows = known.withColumn("segment", F.explode(segments_of(times.hour_of_text(F.col("pickup_time")))))
-    quotas = rows.sparkSession.range(1).select(
-        F.explode(F.lit(list(cluster.SEGMENTS))).alias("segment"), F.lit(n).cast("long").alias("_quota")
-    )
-    key = hash_key(*trips.columns, "location_id") if key is None else key
-    return take_smallest_by(rows, quotas, ["segment"], key, space).select("segment", "location_id", "long", "lat")
-
-
 def run_clustering(
     trips: DataFrame,
     zones: DataFrame,
     coords: DataFrame,
     out: str,
     config: cluster.KMeansConfig = cluster.KMeansConfig(),
-    sample: int = SAMPLE_PER_SEGMENT,
+    displayed: int = cluster.DISPLAYED,
 ) -> dict[str, DataFrame]:
-    """Fit, refine, diagnose and summarise. Trips are scanned twice: to count points and to sample."""
+    """Fit, refine, diagnose and summarise. Trips are scanned once, to count points."""
     check_inputs({"trips": trips, "coordinates": coords})
     points = cluster.weighted_points(trips, coords).persist()
     try:
@@ -46,8 +26,11 @@ def run_clustering(
         write_rows(refined, f"{out}/cluster_centers", "parquet")
         refined = trips.sparkSession.read.parquet(f"{out}/cluster_centers")
         centroids = cluster.borough_centroids(zones, coords)
-        labelled = cluster.label_points(sample_points(trips, coords, sample), refined)
-        write_rows(labelled, f"{out}/sample_points_labeled", "parquet")
+        write_rows(cluster.label_points(points, refined), f"{out}/labeled_points", "parquet")
+        labelled = trips.sparkSession.read.parquet(f"{out}/labeled_points")
+        write_rows(cluster.display_points(labelled, displayed), f"{out}/display_points", "parquet")
+        shown = trips.sparkSession.read.parquet(f"{out}/display_points")
+        write_rows(cluster.cluster_summary(labelled, shown, config.k), f"{out}/cluster_summary", "parquet")
         shares = cluster.borough_share(points, centroids)
         summary = cluster.concentration_summary(cluster.cluster_snapshots(refined, centroids), shares)
         write_rows(summary, f"{out}/concentration", "parquet")
@@ -67,7 +50,9 @@ def run_clustering(
     read = trips.sparkSession.read
     return {
         "centers": refined,
-        "points": read.parquet(f"{out}/sample_points_labeled"),
+        "points": read.parquet(f"{out}/labeled_points"),
+        "displayed": read.parquet(f"{out}/display_points"),
+        "summary": read.parquet(f"{out}/cluster_summary"),
         "concentration": read.parquet(f"{out}/concentration"),
         "metadata": read.json(f"{out}/clustering_metadata"),
     }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from citytrace.functions import bins
 from citytrace.operators import anomaly, cluster, forecast, hulls, iforest, lookup, rules
 from citytrace.plans.anomalies import AnomalyConfig, run_anomaly
-from citytrace.plans.clustering import run_clustering, sample_points
+from citytrace.plans.clustering import run_clustering
 from citytrace.plans.forecasting import load_bundle, run_forecast
 from citytrace.plans.patterns import run_rules
 from citytrace.plans.statistics import run_statistics
@@ -171,23 +171,55 @@ def test_refinement_never_raises_inertia(spark, trips, coords):
 
 
 def test_clustering_job(spark, trips, zones, coords, tmp_path):
-    result = run_clustering(trips, zones, coords, str(tmp_path), sample=300)
+    result = run_clustering(trips, zones, coords, str(tmp_path), displayed=300)
     metadata = result["metadata"].first()
     assert result["centers"].count() == 25
     assert metadata["diagnostics"]["inertia"] > 0
     assert sum(metadata["point_counts"][s] for s in bins.TIME_BUCKETS) < metadata["point_counts"]["all"]
-    assert dict(rows(result["points"].groupBy("segment").count())) == dict.fromkeys(cluster.SEGMENTS, 300)
+    total = dict(rows(result["points"].groupBy("segment").agg(F.sum("weight"))))
+    assert total == {s: metadata["point_counts"][s] for s in cluster.SEGMENTS}
+    assert dict(rows(result["displayed"].groupBy("segment").agg(F.sum("display_count")))) == {s: min(300, n) for s, n in total.items()}
+    assert dict(rows(result["summary"].groupBy("segment").agg(F.sum("total_count")))) == total
     assert result["concentration"].count() == 5
     labelled = result["points"]
-    payload = cluster.cluster_payload(labelled, result["centers"], cluster.borough_centroids(zones, coords), "night", F.col("location_id"), 100, 1000)
-    assert rows(payload["totals"]) == [("night", 5, 300, 100)]
+    payload = cluster.cluster_payload(labelled, result["centers"], cluster.borough_centroids(zones, coords), "night", 100)
+    assert rows(payload["totals"]) == [("night", 5, total["night"], 100)]
     assert payload["cluster_summary"].agg(F.sum("display_count")).first()[0] == 100
     with pytest.raises(ValueError):
-        cluster.cluster_payload(labelled, result["centers"], zones, "dawn", F.col("location_id"))
-
-
-def test_sample_is_repeatable(trips, coords):
-    a, b = (sample_points(df, coords, 50) for df in (trips, trips.repartition(9)))
+        cluster.cluster_payload(labelled, result["centers"], zones, "dawn")
+
+
+def test_silhouette_is_that_of_repeated_points(spark):
+    rng = np.random.default_rng(7)
+    cells = [(i, float(x), float(y), int(w), int(c)) for i, (x, y, w, c) in enumerate(zip(*rng.normal(size=(2, 9)), rng.integers(1, 6, 9), [0, 0, 0, 1, 1, 1, 1, 2, 3]))]
+    cells[-1] = (*cells[-1][:3], 1, 3)  # a point alone
+    df = spark.createDataFrame([("all", *c) for c in cells] + [("night", 1, 0.0, 0.0, 4, 0)], "segment string, location_id long, long double, lat double, weight long, cluster_id int")
+    points = np.array([c[1:3] for c in cells for _ in range(c[3])])
+    label = np.array([c[4] for c in cells for _ in range(c[3])])
+    apart = np.linalg.norm(points[:, None] - points, axis=2)
+    each = []
+    for k, own in enumerate(label):
+        same = (label == own) & (np.arange(len(label)) != k)
+        a, b = apart[k, same].mean() if same.any() else 0, min(apart[k, label == c].mean() for c in set(label) - {own})
+        each.append((b - a) / max(a, b) if same.any() else 0)
+    got = dict(rows(cluster.silhouettes(df)))
+    assert got["all"] == pytest.approx(np.mean(each)) and got["night"] is None
+
+
+def test_shown_points_are_shares_of_all(spark):
+    cells = [("all", 1, 0.0, 0.0, 900, 0), ("all", 2, 0.0, 1.0, 95, 0), ("all", 3, 1.0, 1.0, 4, 1), ("all", 4, 1.0, 2.0, 1, 2)]
+    df = spark.createDataFrame(cells, "segment string, location_id long, long double, lat double, weight long, cluster_id int")
+    shown = lambda n: dict(rows(cluster.display_points(df, n).select("location_id", "display_count")))
+    assert shown(100) == {1: 89, 2: 9, 3: 1, 4: 1} and shown(10**6) == {1: 900, 2: 95, 3: 4, 4: 1}
+    assert cluster.display_points(df.limit(0), 5).count() == 0
+
+
+def test_shown_points_do_not_depend_on_partitions(spark, trips, coords):
+    points = cluster.weighted_points(trips, coords)
+    start = points.where("location_id < 5").select(
+        "segment", F.col("location_id").cast("int").alias("cluster_id"), F.col("long").alias("center_long"), F.col("lat").alias("center_lat"))
+    labelled = cut_lineage(cluster.label_points(points, start))
+    a, b = (cluster.display_points(df, 50) for df in (labelled, labelled.repartition(9)))
     assert rows(a) == rows(b)
 
 

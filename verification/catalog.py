@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,6 @@ from citytrace.operators import (
     stats,
 )
 from citytrace.operators.boosting import Boosted
-from citytrace.plans.clustering import sample_points
 from verification.tables import KEY_SPACE, checked, coords, raw_trips, row_key, trips, written, zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -576,9 +576,8 @@ def _refined(spark, sf):
     return written(spark, sf, "refined", lambda: cluster.refine_centres(_points(spark, sf), _start(spark, sf)))
 
 
-def _sampled(spark, sf):
-    draw = lambda: sample_points(trips(spark, sf), coords(spark, sf), 4000, row_key(), KEY_SPACE)
-    return written(spark, sf, "sampled", lambda: cluster.label_points(draw(), _start(spark, sf)))
+def _labelled(spark, sf):
+    return cluster.label_points(_points(spark, sf), _start(spark, sf))
 
 
 @query
@@ -608,9 +607,8 @@ def refine_centres(spark, sf):
 
 @query
 def cluster_summary(spark, sf):
-    labelled = _sampled(spark, sf).select("segment", "cluster_id", "long", "lat")
-    shown = labelled.where(F.col("long") < -73.9)
-    return cluster.cluster_summary(labelled, shown)
+    labelled = _labelled(spark, sf)
+    return cluster.cluster_summary(labelled, cluster.display_points(labelled))
 
 
 @query
@@ -642,12 +640,11 @@ def concentration_summary(spark, sf):
 
 @query
 def cluster_payload(spark, sf):
-    labelled = _sampled(spark, sf).select("segment", "location_id", "long", "lat", "cluster_id")
-    key = (F.col("location_id") * 7919 + F.col("cluster_id") * 31) % KEY_SPACE
-    parts = cluster.cluster_payload(
-        labelled, _refined(spark, sf), _centroids(spark, sf), "evening", key, 1500, KEY_SPACE
-    )
-    return parts["points"].groupBy("cluster_id", "long", "lat").agg(F.count(F.lit(1)).alias("display_count"))
+    """Shown points of all segments, next to the totals of their payloads."""
+    labelled, refined, centroids = _labelled(spark, sf), _refined(spark, sf), _centroids(spark, sf)
+    parts = [cluster.cluster_payload(labelled, refined, centroids, segment) for segment in cluster.SEGMENTS]
+    each = [p["points"].join(p["totals"].drop("selected_k"), "segment") for p in parts]
+    return reduce(DataFrame.unionByName, each)
 
 
 @query

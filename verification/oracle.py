@@ -351,13 +351,35 @@ CTES: dict[str, str] = {
                list_position(['morning', 'afternoon', 'evening', 'night', 'all'], a.segment) AS place
         FROM ranked_clusters a LEFT JOIN ranked_clusters b ON a.segment = b.segment AND b.turn = 2
         WHERE a.turn = 1""",
-    "seg_rows": f"""
-        SELECT s.segment, location_id, long, lat, row_number() OVER (
-                 PARTITION BY s.segment ORDER BY {ROW_KEY}, {TRIP_COLUMNS}, location_id) AS turn
-        FROM ends JOIN {EVERY_SEGMENT} ON {SEGMENT_JOIN}""",
-    "sampled": """
-        SELECT r.segment, r.location_id, r.long, r.lat, m.cluster_id
-        FROM seg_rows r JOIN marked m USING (segment, location_id) WHERE r.turn <= 4000""",
+    "remarked": """
+        SELECT p.segment, p.location_id, p.long, p.lat, p.weight,
+               arg_min(cluster_id, ((center_long - p.long) * (center_long - p.long) + (center_lat - p.lat) * (center_lat - p.lat), cluster_id)) AS cluster_id,
+               min((center_long - p.long) * (center_long - p.long) + (center_lat - p.lat) * (center_lat - p.lat)) AS d2
+        FROM points p JOIN refined USING (segment) GROUP BY ALL""",
+    "zone_sums": """
+        SELECT p.segment, p.location_id, p.weight, p.cluster_id AS own, q.cluster_id AS other,
+               sum(q.weight * sqrt((p.long - q.long) * (p.long - q.long) + (p.lat - q.lat) * (p.lat - q.lat))) AS d, sum(q.weight) AS w
+        FROM remarked p JOIN remarked q USING (segment) GROUP BY ALL""",
+    "zone_widths": """
+        SELECT segment, location_id, weight, max(w) FILTER (own = other) AS n,
+               max(d / nullif(w - 1, 0)) FILTER (own = other) AS a, min(d / w) FILTER (own <> other) AS b
+        FROM zone_sums GROUP BY ALL""",
+    "cluster_quotas": """
+        SELECT segment, cluster_id, size, greatest(1, least(size, base + CASE WHEN row_number() OVER (
+                 PARTITION BY segment ORDER BY share % total DESC, cluster_id) <= least(25000, total) - sum(base) OVER (PARTITION BY segment)
+               THEN 1 ELSE 0 END) - CASE WHEN row_number() OVER (PARTITION BY segment ORDER BY size DESC, cluster_id) = 1
+               THEN greatest(0, sum(base) OVER (PARTITION BY segment) - least(25000, total)) ELSE 0 END) AS quota
+        FROM (SELECT *, greatest(1, share // total) AS base
+              FROM (SELECT *, least(25000, total) * size AS share
+                    FROM (SELECT segment, cluster_id, CAST(sum(weight) AS BIGINT) AS size,
+                            CAST(sum(sum(weight)) OVER (PARTITION BY segment) AS BIGINT) AS total
+                          FROM marked GROUP BY segment, cluster_id)))""",
+    "shown_cells": """
+        SELECT segment, location_id, long, lat, cluster_id, CAST(base + CASE WHEN row_number() OVER (
+                 PARTITION BY segment, cluster_id ORDER BY share % size DESC, location_id)
+                 <= quota - sum(base) OVER (PARTITION BY segment, cluster_id) THEN 1 ELSE 0 END AS BIGINT) AS display_count
+        FROM (SELECT m.*, quota, size, quota * weight AS share, quota * weight // size AS base
+              FROM marked m JOIN cluster_quotas USING (segment, cluster_id))""",
     "basket_in": f"""
         SELECT lower(a.zone) AS az, lower(b.zone) AS bz, a.borough AS ab, b.borough AS bb, {_bucket(HOUR)} AS bucket,
                dayofweek(pickup_date) IN (0, 6) AS we, trip_distance AS dist, fare_amount AS fare, tip_amount AS tip,
@@ -774,11 +796,16 @@ ORACLE: dict[str, str] = {
     "borough_centroids": f"SELECT borough, {r6s('long', 'lat')}, location_count FROM centroids",
     "label_points": f"SELECT segment, location_id, {r6s('long', 'lat')}, weight, cluster_id, {r6('d2')} FROM marked",
     "refine_centres": f"SELECT segment, cluster_id, {r6s('center_long', 'center_lat')}, cluster_count FROM refined",
-    "cluster_summary": f"""SELECT segment, cluster_id, count(*) FILTER (long < -739e-1) AS display_count,
-        count(long) AS total_count, {r6('''round(coalesce(count(*) FILTER (long < -739e-1)::DOUBLE
-          / nullif(count(long), 0) * 100, 0), 2)''', 'display_pct_of_cluster')}
+    "cluster_summary": f"""SELECT segment, cluster_id, coalesce(display_count, 0) AS display_count, coalesce(total_count, 0) AS total_count,
+        {r6('coalesce(round(display_count::DOUBLE / total_count * 100, 2), 0)', 'display_pct_of_cluster')}
         FROM (SELECT segment, CAST(c AS INTEGER) AS cluster_id FROM {EVERY_SEGMENT}, range(5) AS k(c))
-        LEFT JOIN sampled USING (segment, cluster_id) GROUP BY ALL""",
+        LEFT JOIN (SELECT segment, cluster_id, CAST(sum(weight) AS BIGINT) AS total_count FROM marked GROUP BY ALL) USING (segment, cluster_id)
+        LEFT JOIN (SELECT segment, cluster_id, CAST(sum(display_count) AS BIGINT) AS display_count FROM shown_cells GROUP BY ALL)
+          USING (segment, cluster_id)""",
+    "cluster_diagnostics": f"""SELECT (SELECT CAST(count(DISTINCT cluster_id) AS INTEGER) FROM remarked WHERE segment = 'all') AS k,
+        (SELECT {r6('sum(d2 * weight)', 'x')} FROM remarked WHERE segment = 'all') AS inertia,
+        {r6('sum(CASE WHEN n <= 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END * weight) / sum(weight)', 'silhouette')}
+        FROM zone_widths WHERE segment = 'all'""",
     "bounds": f"""SELECT {r6('min(long) - 1e-2', 'x_long_min')}, {r6('max(long) + 1e-2', 'x_long_max')},
         {r6('min(lat) - 1e-2', 'y_lat_min')}, {r6('max(lat) + 1e-2', 'y_lat_max')}
         FROM (SELECT long, lat FROM points UNION ALL SELECT center_long, center_lat FROM refined)""",
@@ -800,14 +827,10 @@ ORACLE: dict[str, str] = {
           - (SELECT top2 FROM top_clusters WHERE segment = 'evening'), 2)''', 'concentration_gap')}
         FROM top_clusters t JOIN ranked_boroughs a ON a.segment = t.segment AND a.turn = 1
         LEFT JOIN ranked_boroughs b ON b.segment = t.segment AND b.turn = 2""",
-    "cluster_payload": f"""SELECT cluster_id, {r6s('long', 'lat')}, count(*) AS display_count
-        FROM (SELECT *, row_number() OVER (ORDER BY turn > base, k, location_id, long, lat, cluster_id) AS place
-              FROM (SELECT *, least(size, greatest(1, round_even(size * 1500e0 / total, 0))) AS base FROM (
-                SELECT *, count(*) OVER (PARTITION BY cluster_id) AS size, count(*) OVER () AS total,
-                  row_number() OVER (PARTITION BY cluster_id ORDER BY k, location_id, long, lat) AS turn
-                FROM (SELECT *, (location_id * 7919 + cluster_id * 31) % {KEY_SPACE} AS k FROM sampled
-                      WHERE segment = 'evening'))))
-        WHERE place <= 1500 GROUP BY ALL""",
+    "cluster_payload": f"""SELECT segment, location_id, cluster_id, {r6s('long', 'lat')}, display_count, total_points_available,
+        CAST(sum(display_count) OVER (PARTITION BY segment) AS BIGINT) AS display_points_count
+        FROM shown_cells JOIN (SELECT segment, CAST(sum(weight) AS BIGINT) AS total_points_available FROM marked GROUP BY ALL)
+          USING (segment) WHERE display_count > 0""",
     "numeric_guards": f"""SELECT pickup_location_id, dropff_location_id, pickup_date, pickup_time, {r6('held')},
         {r6('ln(1 + fare_amount / nullif(tip_amount, 0))', 'ratio_log1p')}, {r6('back')}, {r6('abs(fare_amount - back)', 'error')}
         FROM (SELECT *, greatest((1 + held) * exp(1e-2) - 1, 0) AS back
