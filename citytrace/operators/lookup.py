@@ -77,10 +77,17 @@ def route_distance(df: DataFrame, coords: DataFrame) -> DataFrame:
 
 
 def attach_context(df: DataFrame, context: DataFrame, route: DataFrame, overall: DataFrame) -> DataFrame:
-    """Fare statistics of a trip from its context, else its route, else all trips."""
-    keys = ["source_id", "destination_id"]
-    joined = df.join(context, [*keys, "pickup_hour", "is_weekend"], "left").join(route, keys, "left")
-    pick = lambda name, last: F.coalesce(F.col(f"context_{name}"), F.col(f"route_{name}"), F.col(f"_all.{last}"))
+    """Fare statistics of a trip from its context, else its route, else all trips.
+
+    The contexts of a route (48 at most: hours by weekend) are one map beside the route's own numbers,
+    so trips are joined once, on their route.
+    """
+    keys, names = ["source_id", "destination_id"], ("fare_q1", "fare_median", "fare_q3", "trip_count")
+    slot = F.col("pickup_hour").cast("int") * 2 + F.col("is_weekend").cast("int")
+    entry = F.struct(slot.alias("slot"), F.struct(*[F.col(f"context_{n}").alias(n) for n in names]).alias("of"))
+    contexts = context.where(slot.isNotNull()).groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_slots"))
+    joined = df.join(route.join(contexts, keys, "full"), keys, "left").withColumn("_slot", F.try_element_at("_slots", slot))
+    pick = lambda name, last: F.coalesce(F.col(f"_slot.{name}"), F.col(f"route_{name}"), F.col(f"_all.{last}"))
     filled = with_row(joined, overall, "_all").withColumns(
         {
             "context_fare_q1": pick("fare_q1", "global_fare_q1"),
@@ -89,7 +96,7 @@ def attach_context(df: DataFrame, context: DataFrame, route: DataFrame, overall:
             "context_trip_count": pick("trip_count", "global_context_count"),
         }
     )
-    return filled.drop("_all", "route_trip_count", "route_fare_q1", "route_fare_median", "route_fare_q3")
+    return filled.drop("_all", "_slots", "_slot", *[f"route_{n}" for n in names])
 
 
 def attach_route_prior(df: DataFrame, prior: DataFrame, overall: DataFrame) -> DataFrame:
