@@ -1,31 +1,34 @@
 """Isolation forest: one task group per tree to fit, a vectorised pass over the rows to score.
 
-A tree sees at most ``max_samples`` rows of the (capped) training sample, so every group is
-bounded by configuration. The forest is a table with one row per tree. The functions that run in
-Python workers are closures over numpy only, so workers need no copy of this package.
+A tree sees at most ``max_samples`` rows, so every group is bounded by configuration. The forest is
+a table with one row per tree. A tree is an implicit heap: the children of node i are 2i + 1 and
+2i + 2. A node is one byte (its column, or LEAF) and one 32-bit number (its threshold, or the depth
+that a row which ends there counts for), so 180 trees of 120,000 rows are 236 MB. Features are
+compared as 32-bit numbers in fitting and in scoring. The functions that run in Python workers are
+closures over numpy only, so workers need no copy of this package.
 """
 
 from __future__ import annotations
 
-import math
+import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from citytrace.session import checkpoint_dir
+
 TREES = 180
 MAX_SAMPLES = 120_000
 SEED = 42
-# Trees are shipped to the workers in packs of at most this size, one scoring column per pack.
-PACK_BYTES = 64 << 20
-FOREST_SCHEMA = (
-    "tree int, rows long, feature array<int>, threshold array<double>, "
-    "left array<int>, right array<int>, depth array<double>"
-)
+LEAF = 255  #: in place of a column, so at most 255 columns are handled
+FOREST_SCHEMA = "tree int, rows long, value binary, feature binary"
 _UNIT = float(1 << 52)
 
 
@@ -39,13 +42,12 @@ class ForestConfig:
 def _depth_function():
     """Made inside a function so that it travels to the workers by value."""
 
-    def expected(n: float) -> float:
+    def expected(n):
         """Mean depth of an unsuccessful search in a binary search tree of n keys."""
-        if n <= 1:
-            return 0.0
-        if n <= 2:
-            return 1.0
-        return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
+        n = np.asarray(n, dtype=np.float64)
+        many = np.maximum(n, 3.0)
+        grown = 2.0 * (np.log(many - 1.0) + np.euler_gamma) - 2.0 * (many - 1.0) / many
+        return np.where(n <= 1, 0.0, np.where(n <= 2, 1.0, grown))
 
     return expected
 
@@ -58,137 +60,156 @@ def fit_iforest(sample: DataFrame, cols: Sequence[str], config: ForestConfig = F
 
     Each (row, tree) pair draws a repeatable number; a tree keeps the ``max_samples`` rows with
     the smallest. A first cut with some slack happens before any pair becomes a row, so about
-    ``trees * max_samples`` rows travel, however many rows are drawn from.
+    ``trees * max_samples`` rows travel, however many rows are drawn from. A row is hashed once;
+    its draws are hashes of that number and the tree.
     """
     cols = list(cols)
+    if not 0 < len(cols) <= LEAF:
+        raise ValueError(f"{len(cols)} columns; 1 to {LEAF} are handled")
     counted = sample.agg(F.count(F.lit(1)).cast("double")).scalar()
     psi = float(config.max_samples)
-    slack = 6.0 * math.sqrt(psi) + 16.0
+    slack = 6.0 * psi**0.5 + 16.0
     share = F.least(F.lit(1.0), F.try_divide(F.lit(psi + slack), counted))
-    draw = lambda tree: F.pmod(F.xxhash64(*sample.columns, "_twin", tree, F.lit(config.seed)), F.lit(1 << 52)) / _UNIT
+    draw = lambda tree: F.pmod(F.xxhash64("_row", tree), F.lit(1 << 52)) / _UNIT
     # Equal rows are counted, and numbered so that each draws for itself.
     trees = F.sequence(F.lit(0), F.lit(config.trees - 1))
     drawn = (
         sample.groupBy(*sample.columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_twin", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        .select(
+            F.xxhash64(*sample.columns, "_twin", F.lit(config.seed)).alias("_row"),
+            *[F.col(c).cast("float").alias(f"_f{k}") for k, c in enumerate(cols)],
+        )
         .withColumn("_share", share)
         .withColumn("tree", F.explode(F.filter(trees, lambda tree: draw(tree) < F.col("_share"))))
-        .withColumn("_draw", draw(F.col("tree")))
-        .select("tree", "_draw", *[F.col(c).cast("double").alias(c) for c in cols])
+        .select("tree", draw(F.col("tree")).alias("_draw"), *[f"_f{k}" for k in range(len(cols))])
     )
-    limit, seed, unit_depth = config.max_samples, config.seed, average_depth
+    limit, seed, unit_depth, leaf = config.max_samples, config.seed, average_depth, LEAF
+    features = [f"_f{k}" for k in range(len(cols))]
 
     def build(key, group):
+        """A level at a time: the rows of a node are neighbours, so all its nodes are cut at once."""
         tree = int(key[0])
-        group = group.sort_values(["_draw", *cols], kind="stable").head(limit)
-        data = group[cols].to_numpy(dtype=np.float64)
+        group = group.sort_values(["_draw", *features], kind="stable").head(limit)
+        data = group[features].to_numpy(dtype=np.float32)
         rng = np.random.default_rng([seed, tree])
         deepest = int(np.ceil(np.log2(max(len(data), 2))))
-        feature, threshold, left, right, depth = [], [], [], [], []
-
-        def node() -> int:
-            feature.append(-1)
-            threshold.append(0.0)
-            left.append(-1)
-            right.append(-1)
-            depth.append(0.0)
-            return len(feature) - 1
-
-        todo = [(node(), np.arange(len(data)), 0)]
-        while todo:
-            at, rows, level = todo.pop()
-            values = data[rows]
-            low, high = (values.min(axis=0), values.max(axis=0)) if len(rows) else (None, None)
-            open_cols = np.flatnonzero(high > low) if len(rows) > 1 and level < deepest else ()
-            if len(open_cols) == 0:
-                depth[at] = level + unit_depth(float(len(rows)))
-                continue
-            f = int(rng.choice(open_cols))
-            cut = float(rng.uniform(low[f], high[f]))
-            goes_left = values[:, f] <= cut
-            feature[at], threshold[at] = f, cut
-            left[at], right[at] = node(), node()
-            todo.append((left[at], rows[goes_left], level + 1))
-            todo.append((right[at], rows[~goes_left], level + 1))
+        value = np.zeros((2 << deepest) - 1, "<f4")
+        feature = np.full(len(value), leaf, np.uint8)
+        at = np.zeros(len(data), np.int64)
+        for level in range(deepest + 1):
+            if not len(data):
+                break
+            starts = np.flatnonzero(np.diff(at, prepend=-1))
+            nodes, sizes = at[starts], np.diff(starts, append=len(at))
+            low, high = np.minimum.reduceat(data, starts, axis=0), np.maximum.reduceat(data, starts, axis=0)
+            free = (high > low) & (level < deepest)
+            choices = free.sum(axis=1)
+            inner = choices > 0
+            value[nodes[~inner]] = level + unit_depth(sizes[~inner])
+            # The place of the column among those that differ within the node, then the cut in its range.
+            place, share = rng.random((2, len(nodes)))
+            place = np.minimum((place * choices).astype(np.int64), choices - 1)
+            column = (np.cumsum(free, axis=1) == place[:, None] + 1).argmax(axis=1)
+            here = np.arange(len(nodes))
+            least, most = low[here, column], high[here, column]
+            span = most.astype(np.float64) - least
+            cut = (least + np.where(inner, share * span, 0.0)).astype(np.float32)
+            cut = np.where(cut < most, cut, least)  # rounding must not empty the right side
+            feature[nodes[inner]], value[nodes[inner]] = column[inner], cut[inner]
+            node = np.repeat(here, sizes)
+            going = inner[node]
+            right = data[np.arange(len(data)), column[node]] > cut[node]
+            at, data = (2 * at + 1 + right)[going], data[going]
+            order = np.argsort(at, kind="stable")
+            at, data = at[order], data[order]
         return pd.DataFrame(
-            {
-                "tree": [tree],
-                "rows": [len(data)],
-                "feature": [feature],
-                "threshold": [threshold],
-                "left": [left],
-                "right": [right],
-                "depth": [depth],
-            }
+            {"tree": [tree], "rows": [len(group)], "value": [value.tobytes()], "feature": [feature.tobytes()]}
         )
 
     return drawn.groupBy("tree").applyInPandas(build, FOREST_SCHEMA)
 
 
-def _packs(forest: DataFrame, pack_bytes: int):
-    """Trees as numpy arrays in packs of bounded size, streamed to the driver one tree at a time.
+def heap(tree) -> tuple[bytes, bytes]:
+    """Values and columns of a tree that is given as (column, threshold, low side, high side) or a depth."""
+    placed: dict[int, tuple[float, int]] = {}
+
+    def put(node: int, part) -> None:
+        if isinstance(part, tuple):
+            column, threshold, low_side, high_side = part
+            placed[node] = (threshold, column)
+            put(2 * node + 1, low_side)
+            put(2 * node + 2, high_side)
+        else:
+            placed[node] = (part, LEAF)
+
+    put(0, tree)
+    full = (1 << (max(placed) + 1).bit_length()) - 1
+    nodes = [placed.get(k, (0.0, LEAF)) for k in range(full)]
+    return np.array([v for v, _ in nodes], "<f4").tobytes(), bytes(c for _, c in nodes)
+
+
+def _shared_files(forest: DataFrame) -> tuple[str, list[str], int]:
+    """The folder, the files of the trees in order, and the most rows of a tree.
 
-    The total is bounded by trees * 2 * max_samples nodes, not by the data.
+    Executors write a file per tree to the shared folder, so the forest never passes the driver's
+    memory. Where that folder is a file system of the machines, tasks map the files as they lie;
+    else each executor fetches them once.
     """
-    pack, size = [], 0
-    for row in forest.orderBy("tree").toLocalIterator():
-        tree = (
-            np.asarray(row["feature"], dtype=np.int32),
-            np.asarray(row["threshold"], dtype=np.float64),
-            np.asarray(row["left"], dtype=np.int32),
-            np.asarray(row["right"], dtype=np.int32),
-            np.asarray(row["depth"], dtype=np.float64),
-            int(row["rows"]),
-        )
-        nbytes = sum(part.nbytes for part in tree[:-1])
-        if pack and size + nbytes > pack_bytes:
-            yield pack
-            pack, size = [], 0
-        pack.append(tree)
-        size += nbytes
-    if pack:
-        yield pack
-
-
-def score_iforest(
-    df: DataFrame, forest: DataFrame, cols: Sequence[str], out: str, pack_bytes: int = PACK_BYTES
-) -> DataFrame:
+    spark = forest.sparkSession
+    folder = f"{checkpoint_dir(spark)}/forest-{uuid.uuid4().hex}"
+    seen = Observation()
+    counted = forest.observe(seen, F.count(F.lit(1)).alias("trees"), F.max("rows").alias("rows"))
+    record = F.concat("value", "feature").cast("string")
+    counted.select("tree", record.alias("value")).write.partitionBy("tree").option("lineSep", "\n").text(folder)
+    if not seen.get["trees"]:
+        raise ValueError("the forest has no trees")
+    found = spark.read.text(folder).inputFiles()
+    files = sorted(found, key=lambda f: int(re.search(r"/tree=(\d+)/", f)[1]))
+    if len(files) != seen.get["trees"]:
+        raise ValueError("two trees have one number")
+    if all(f.startswith("file:") for f in files):
+        return "", [unquote(urlparse(f).path) for f in files], int(seen.get["rows"])
+    spark.sparkContext.addFile(folder, recursive=True)
+    return folder.rsplit("/", 1)[-1], ["/".join(f.split("/")[-2:]) for f in files], int(seen.get["rows"])
+
+
+def score_iforest(df: DataFrame, forest: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
     """Add the anomaly score ``2 ** (-mean depth / expected depth) - 0.5``, larger = more unusual.
 
-    Reads the forest table at call time (an action) and broadcasts it pack by pack. Only the
-    feature columns travel to the Python workers; there is no shuffle.
+    Writes the forest to the shared folder at call time (an action). Tasks map its files, so the
+    workers of an executor share one copy that the system may drop at need. Only the feature columns
+    travel to the Python workers; there is no shuffle.
     """
-    spark = df.sparkSession
-    cols = list(cols)
-    trees, rows, total = 0, 0, F.lit(0.0)
-    for pack in _packs(forest, pack_bytes):
-        trees += len(pack)
-        rows = max(rows, max(tree[-1] for tree in pack))
-        shipped = spark.sparkContext.broadcast([tree[:-1] for tree in pack])
-        total = _depth_sum(shipped)(total, *[F.col(c).cast("double") for c in cols])
-    if not trees:
-        raise ValueError("the forest has no trees")
-    expected = average_depth(float(rows)) or 1.0
-    mean_depth = F.col("_depth") / float(trees)
-    return df.withColumn("_depth", total).withColumn(out, F.pow(F.lit(2.0), -mean_depth / expected) - 0.5).drop("_depth")
-
-
-def _depth_sum(shipped):
-    def depth_sum(so_far: pd.Series, *features: pd.Series) -> pd.Series:
-        """Trees are added in their order, whatever the packs."""
-        data = np.column_stack([f.to_numpy(dtype=np.float64) for f in features])
-        total = so_far.to_numpy(dtype=np.float64).copy()
-        every = np.arange(len(data))
-        for feature, threshold, left, right, depth in shipped.value:
-            at = np.zeros(len(data), dtype=np.int32)
-            moving = every[feature[at] >= 0]
+    folder, files, rows = _shared_files(forest)
+    expected = float(average_depth(rows)) or 1.0
+    depth = _depth_sum(folder, files)(*[F.col(c).cast("float") for c in cols])
+    mean_depth = F.col("_depth") / float(len(files))
+    return df.withColumn("_depth", depth).withColumn(out, F.pow(F.lit(2.0), -mean_depth / expected) - 0.5).drop("_depth")
+
+
+def _depth_sum(folder: str, files: list[str]):
+    leaf = LEAF
+
+    def depth_sum(*features: pd.Series) -> pd.Series:
+        """Depths over the trees in their order."""
+        from pyspark import SparkFiles
+
+        data = np.column_stack([f.to_numpy(dtype=np.float32) for f in features])
+        total = np.zeros(len(data))
+        for name in files:
+            raw = np.memmap(f"{SparkFiles.get(folder)}/{name}" if folder else name, np.uint8, "r")
+            nodes = len(raw) // 5
+            value, feature = raw[: 4 * nodes].view("<f4"), raw[4 * nodes : 5 * nodes]
+            at = np.zeros(len(data), np.int32)
+            moving = np.arange(len(data) if feature[0] != leaf else 0)
             while len(moving):
                 here = at[moving]
-                goes_left = data[moving, feature[here]] <= threshold[here]
-                at[moving] = np.where(goes_left, left[here], right[here])
-                moving = moving[feature[at[moving]] >= 0]
-            total += depth[at]
+                below = 2 * here + 2 - (data[moving, feature[here]] <= value[here])
+                at[moving] = below
+                moving = moving[feature[below] != leaf]
+            total += value[at]
         return pd.Series(total)
 
     return pandas_udf(depth_sum, "double")

@@ -20,7 +20,7 @@ class AnomalyConfig:
     forest: iforest.ForestConfig = iforest.ForestConfig()
 
 
-def _score(features: DataFrame, forests: dict[str, DataFrame]) -> DataFrame:
+def score_both(features: DataFrame, forests: dict[str, DataFrame]) -> DataFrame:
     speed = iforest.score_iforest(features, forests["speed"], anomaly.SPEED_FEATURES, "speed_anomaly_score")
     return iforest.score_iforest(speed, forests["fare"], anomaly.FARE_FEATURES, "fare_anomaly_score")
 
@@ -36,9 +36,16 @@ def _summary(flagged: DataFrame, zones: DataFrame, kind: str, rows: DataFrame):
 
 
 def run_anomaly(
-    trips: DataFrame, zones: DataFrame, out: str, config: AnomalyConfig = AnomalyConfig()
+    trips: DataFrame,
+    zones: DataFrame,
+    out: str,
+    config: AnomalyConfig = AnomalyConfig(),
+    forests: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """The whole product. All trips are scored in one pass; what follows reads the written flags."""
+    """The whole product. All trips are scored in one pass; what follows reads the written flags.
+
+    ``forests`` are those of an earlier run (``models/speed`` and ``models/fare``), in place of new ones.
+    """
     spark = trips.sparkSession
     check_inputs({"trips": trips, "zones": zones})
     prepared = cut_lineage(prepare.prepare_anomaly(trips))
@@ -56,13 +63,13 @@ def run_anomaly(
     features = cut_lineage(anomaly.anomaly_features(prepared, *tables, fills=stats["fill_medians"]))
     check_inputs({"training rows": features})
     # Only the rows of each tree are drawn, from all trips: that is the algorithm, not a cut of it.
-    forests = {
+    forests = forests or {
         "speed": iforest.fit_iforest(features, anomaly.SPEED_FEATURES, config.forest),
         "fare": iforest.fit_iforest(features, anomaly.FARE_FEATURES, config.forest),
     }
     save_tables(forests, f"{out}/models")
     forests = {name: spark.read.parquet(f"{out}/models/{name}") for name in forests}
-    scored = cut_lineage(_score(features, forests))
+    scored = cut_lineage(score_both(features, forests))
     thresholds = {
         "speed_thresholds": anomaly.calibrate_speed(scored, config.target_rate),
         "fare_thresholds": anomaly.calibrate_fare(scored, config.target_rate),

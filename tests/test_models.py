@@ -44,17 +44,81 @@ def test_forest_finds_the_outlier(spark):
     forest = cut_lineage(iforest.fit_iforest(df, ["a", "b"], config))
     assert rows(forest, "rows") == [(128,)] * 25
     scored = iforest.score_iforest(df, forest, ["a", "b"], "s")
-    packed = iforest.score_iforest(df, forest, ["a", "b"], "s", pack_bytes=1)
     got = scored.orderBy(F.desc("s")).collect()
     assert (got[0]["a"], got[0]["b"]) == (9.0, -9.0)
     assert all(-0.5 < r["s"] < 0.5 for r in got)
-    assert rows(packed.select("s")) == rows(scored.select("s"))
     again = iforest.fit_iforest(df.repartition(2), ["a", "b"], config)
     assert rows(again.select("tree", "rows")) == rows(forest.select("tree", "rows"))
     same = iforest.score_iforest(df, cut_lineage(again), ["a", "b"], "s")
     assert rows(same.select(F.round("s", 9))) == rows(scored.select(F.round("s", 9)))
 
 
+def test_forest_scores_are_those_of_a_plain_walk(spark):
+    """Nulls go to the high side; a leaf holds its level and the mean depth of its rows."""
+    df = blob(spark).unionByName(spark.createDataFrame([(None, 1.0)], "a double, b double"))
+    forest = cut_lineage(iforest.fit_iforest(blob(spark), ["a", "b"], iforest.ForestConfig(trees=7, max_samples=1000)))
+    trees = [
+        (np.frombuffer(r["value"], "<f4"), np.frombuffer(r["feature"], np.uint8)) for r in forest.orderBy("tree").collect()
+    ]
+    assert rows(forest, "rows") == [(601,)] * 7
+    for value, feature in trees:
+        assert len(value) == len(feature) == 2**11 - 1  # ten levels hold 601 rows
+
+    def depth(row, value, feature):
+        at, level = 0, 0
+        while feature[at] != iforest.LEAF:
+            x = row[feature[at]]
+            at, level = 2 * at + (1 if x is not None and np.float32(x) <= value[at] else 2), level + 1
+        assert value[at] >= level
+        return float(value[at])
+
+    for row in iforest.score_iforest(df, forest, ["a", "b"], "s").collect():
+        mean = sum(depth(row[:2], *tree) for tree in trees) / 7
+        assert row["s"] == pytest.approx(2 ** (-mean / float(iforest.average_depth(601))) - 0.5, abs=1e-9)
+
+
+def test_given_heaps_are_walked(spark):
+    values, columns = iforest.heap((1, 2.0, 5.0, (0, 0.5, 3.0, 4.0)))
+    assert np.frombuffer(values, "<f4").tolist() == [2.0, 5.0, 0.5, 0.0, 0.0, 3.0, 4.0]
+    assert list(columns) == [1, 255, 0, 255, 255, 255, 255]
+    forest = spark.createDataFrame([(0, 3, values, columns)], iforest.FOREST_SCHEMA)
+    df = spark.createDataFrame([(0.0, 2.0), (0.5, 3.0), (0.75, 3.0)], "a double, b double")
+    expected = float(iforest.average_depth(3))
+    got = [r["s"] for r in iforest.score_iforest(df, forest, ["a", "b"], "s").orderBy("a").collect()]
+    assert got == pytest.approx([2 ** (-d / expected) - 0.5 for d in (5, 3, 4)])
+    with pytest.raises(ValueError, match="no trees"):
+        iforest.score_iforest(df, forest.limit(0), ["a", "b"], "s")
+
+
+def test_context_falls_back_to_route_and_all(spark):
+    """One join on the route: contexts without a route row, routes without a context, and neither."""
+    context = spark.createDataFrame(
+        [(1, 2, 5, True, 9, 1.0, 2.0, 3.0), (7, 7, 0, False, 4, 4.0, 5.0, 6.0), (1, 2, None, True, 1, 0.0, 0.0, 0.0)],
+        "source_id int, destination_id int, pickup_hour int, is_weekend boolean, context_trip_count long, "
+        "context_fare_q1 double, context_fare_median double, context_fare_q3 double",
+    )
+    route = spark.createDataFrame(
+        [(1, 2, 20, 10.0, 11.0, 12.0)],
+        "source_id int, destination_id int, route_trip_count long, route_fare_q1 double, route_fare_median double, "
+        "route_fare_q3 double",
+    )
+    overall = spark.createDataFrame(
+        [(99, 7.0, 8.0, 9.0)],
+        "global_context_count long, global_fare_q1 double, global_fare_median double, global_fare_q3 double",
+    )
+    trips = spark.createDataFrame(
+        [(1, 2, 5, True), (1, 2, 5, False), (1, 2, None, True), (7, 7, 0, False), (7, 7, 1, False), (None, 2, 5, True)],
+        "source_id int, destination_id int, pickup_hour int, is_weekend boolean",
+    )
+    got = rows(lookup.attach_context(trips, context, route, overall))
+    columns = ("source_id", "destination_id", "pickup_hour", "is_weekend", "context_fare_q1", "context_fare_median",
+               "context_fare_q3", "context_trip_count")
+    assert set(lookup.attach_context(trips, context, route, overall).columns) == set(columns)
+    assert sorted((r[0] or 0, r[2] if r[2] is not None else -1, r[3], r[-1]) for r in got) == [
+        (0, 5, True, 99), (1, -1, True, 20), (1, 5, False, 20), (1, 5, True, 9), (7, 0, False, 4), (7, 1, False, 99),
+    ]
+
+
 def test_forest_of_copies_stays_bounded(spark):
     """Most rows equal: a tree still takes its number of rows, and equal rows share one score."""
     df = spark.createDataFrame([(1.0, 1.0)] * 900 + [(float(i), 5.0) for i in range(100)], "a double, b double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -26,7 +27,21 @@ from citytrace.operators import (
     stats,
 )
 from citytrace.operators.boosting import Boosted
-from verification.tables import KEY_SPACE, checked, coords, raw_trips, row_key, trips, written, zones
+from citytrace.plans import anomalies
+from citytrace.session import checkpoint_dir
+from verification.tables import (
+    FIXED_ROWS,
+    FIXED_TREES,
+    KEY_SPACE,
+    checked,
+    coords,
+    fixed_tree,
+    raw_trips,
+    row_key,
+    trips,
+    written,
+    zones,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -34,7 +49,6 @@ REGISTRY: dict[str, Query] = {}
 WINDOW = (dt.date(1996, 3, 1), dt.date(1999, 8, 31))
 HOURS = (7, 21)
 ENDS = ["source_id", "destination_id"]
-SMALL_FOREST = iforest.ForestConfig(trees=20, max_samples=256)
 # Published depth, leaves, bins and L2 term; fewer rounds, each of them a dozen Spark jobs.
 FARE_BOOST = replace(forecast.FARE_BOOST, rounds=4)
 ETA_BOOST = replace(forecast.ETA_BOOST, rounds=4)
@@ -445,11 +459,44 @@ def anomaly_totals(spark, sf):
 @query
 def iforest_scores(spark, sf):
     rated = prepare.hour_cycle(prepare.rate_features(prepare.prepare_anomaly(trips(spark, sf))))
-    forest = iforest.fit_iforest(rated, anomaly.SPEED_FEATURES, SMALL_FOREST)
+    forest = iforest.fit_iforest(rated, anomaly.SPEED_FEATURES)
     scored = iforest.score_iforest(rated, forest, anomaly.SPEED_FEATURES, "speed_anomaly_score")
     return scored.select("pickup_timestamp", *ENDS, "speed_mph", "speed_anomaly_score")
 
 
+def _fixed_forests(spark):
+    """Forests made by rule, so that SQL can repeat their scores."""
+
+    def forest(cols):
+        heaps = [(t, FIXED_ROWS, *iforest.heap(fixed_tree(t, cols))) for t in range(FIXED_TREES)]
+        return spark.createDataFrame(heaps, iforest.FOREST_SCHEMA)
+
+    return {"speed": forest(anomaly.SPEED_FEATURES), "fare": forest(anomaly.FARE_FEATURES)}
+
+
+@query
+def forest_scores(spark, sf):
+    scored = anomalies.score_both(_features(spark, sf), _fixed_forests(spark))
+    return scored.select("pickup_timestamp", *ENDS, "speed_anomaly_score", "fare_anomaly_score")
+
+
+@query
+def anomaly_job(spark, sf):
+    """The whole job with given forests; the hours and totals of its written summary."""
+    out = f"{checkpoint_dir(spark)}/anomaly-job-{uuid.uuid4().hex}"
+    summary = anomalies.run_anomaly(trips(spark, sf), zones(spark, sf), out, forests=_fixed_forests(spark))["summary"]
+    kinds = [
+        summary.select(
+            F.lit(kind).alias("kind"),
+            F.inline(f"{kind}.hourly_variation"),
+            F.col(f"{kind}_records").alias("records"),
+            F.col(f"{kind}_percentage").alias("percentage"),
+        )
+        for kind in anomaly.KINDS
+    ]
+    return reduce(DataFrame.unionByName, kinds).withColumn("pickup_hour", F.col("pickup_hour").cast("int"))
+
+
 # ---- forecasting ----
 
 

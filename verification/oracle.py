@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from verification.tables import KEY_SPACE
+from citytrace.operators.anomaly import FARE_FEATURES, SPEED_FEATURES
+from verification.tables import FIXED_ROWS, FIXED_TREES, KEY_SPACE, fixed_tree
 
 
 def r6(expr: str, name: str | None = None) -> str:
@@ -487,36 +488,56 @@ INSIGHT = f"""coalesce('Airport-linked trips (' || {_movement} || ') are concent
 CTES["told"] = f"SELECT rule, support, confidence, lift, {INSIGHT} AS insight FROM ruled6"
 
 
-def _closure(names: set[str]) -> list[str]:
+def _closure(names: set[str], ctes: dict[str, str]) -> list[str]:
     needed, todo = set(), list(names)
     while todo:
         name = todo.pop()
         if name not in needed:
             needed.add(name)
-            todo += [c for c in CTES if re.search(rf"\b{c}\b", CTES[name])]
+            todo += [c for c in ctes if re.search(rf"\b{c}\b", ctes[name])]
     # Definition order is not dependency order for all; sort by depth of use.
     ordered: list[str] = []
 
     def place(name: str, path: tuple[str, ...] = ()) -> None:
         if name in ordered or name in path:
             return
-        for other in CTES:
-            if other != name and other in needed and re.search(rf"\b(?:FROM|JOIN|,)\s+{other}\b", CTES[name]):
+        for other in ctes:
+            if other != name and other in needed and re.search(rf"\b(?:FROM|JOIN|,)\s+{other}\b", ctes[name]):
                 place(other, (*path, name))
         ordered.append(name)
 
-    for name in CTES:
+    for name in ctes:
         if name in needed:
             place(name)
     return ordered
 
 
-def sql(body: str) -> str:
-    """The statement behind the common table expressions it uses."""
-    used = {c for c in CTES if re.search(rf"\b(?:FROM|JOIN)\s+{c}\b", body)}
-    names = _closure(used)
+def sql(body: str, **instead: str) -> str:
+    """The statement behind the common table expressions it uses, some of them replaced."""
+    ctes = CTES | instead
+    used = {c for c in ctes if re.search(rf"\b(?:FROM|JOIN)\s+{c}\b", body)}
+    names = _closure(used, ctes)
     held = lambda n: "MATERIALIZED " if n in ("itemsets", "ruled", "ruled6", "member") else ""
-    return "WITH " + ",\n".join(f"{n} AS {held(n)}({CTES[n]})" for n in names) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS {held(n)}({ctes[n]})" for n in names) + "\n" + body
+
+
+def _walk(part, cols: tuple[str, ...]) -> str:
+    if not isinstance(part, tuple):
+        return f"{part:e}"
+    k, threshold, low, high = part
+    test = f"CAST({cols[k]} AS FLOAT) <= CAST({threshold} AS FLOAT)"
+    return f"CASE WHEN {test} THEN {_walk(low, cols)} ELSE {_walk(high, cols)} END"
+
+
+def _forest_score(cols: tuple[str, ...]) -> str:
+    """Score of the fixed forest over the columns."""
+    depths = " + ".join(_walk(fixed_tree(tree, cols), cols) for tree in range(FIXED_TREES))
+    expected = f"(2 * (ln({FIXED_ROWS} - 1) + 0.5772156649015329) - 2 * ({FIXED_ROWS}e0 - 1) / {FIXED_ROWS})"
+    return f"pow(2e0, -(({depths}) / {FIXED_TREES}e0) / {expected}) - 5e-1"
+
+
+FOREST_SCORED = f"""SELECT *, {_forest_score(SPEED_FEATURES)} AS speed_anomaly_score,
+    {_forest_score(FARE_FEATURES)} AS fare_anomaly_score FROM feat"""
 
 
 _PAIR_OUT = "pickup_location_id AS source_id, dropff_location_id AS destination_id"
@@ -859,3 +880,24 @@ ORACLE: dict[str, str] = {
         {r6('avg(confidence)', 'avg_confidence')}, {r6('avg(lift)', 'avg_lift')} FROM shown""",
 }
 ORACLE = {name: sql(body) for name, body in ORACLE.items()}
+
+
+def _job_hours(kind: str, flag: str) -> str:
+    share = lambda hits, of: f"round(coalesce({hits}::DOUBLE / nullif({of}, 0) * 100, 0), 4)"
+    return f"""SELECT '{kind}' AS kind, CAST(h AS INTEGER) AS pickup_hour, printf('%02d:00', h) AS hour_label,
+        count(source_id) AS total_records, count(*) FILTER ({flag}) AS anomaly_count,
+        {r6(share(f'count(*) FILTER ({flag})', 'count(source_id)'), 'anomaly_percentage')},
+        (SELECT count(*) FILTER ({flag}) FROM flagged) AS records,
+        {r6(f"(SELECT {share(f'count(*) FILTER ({flag})', 'count(*)')} FROM flagged)", 'percentage')}
+        FROM range(24) AS hours(h) LEFT JOIN flagged ON pickup_hour = h GROUP BY h"""
+
+
+_job = " UNION ALL ".join(
+    _job_hours(kind, flag)
+    for kind, flag in (("extreme_speed", "is_extreme_speed_anomaly"), ("fare_outlier", "is_fare_outlier_anomaly"))
+)
+ORACLE["forest_scores"] = sql(
+    f"SELECT pickup_timestamp, source_id, destination_id, {r6s('speed_anomaly_score', 'fare_anomaly_score')} FROM scored",
+    scored=FOREST_SCORED,
+)
+ORACLE["anomaly_job"] = sql(_job, scored=FOREST_SCORED)

@@ -7,7 +7,7 @@ cents so that both engines round alike.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,26 @@ SCHEMAS = {
     "region": "r_regionkey int, r_name string",
 }
 
+# Typical sizes of the features, from which the fixed forests take their thresholds.
+FEATURE_SCALES = {
+    "speed_mph": 4, "trip_distance_miles": 4, "eta_minutes": 16, "fare_amount": 8, "fare_per_mile": 1,
+    "fare_per_minute": 0.25, "pickup_hour": 7, "day_of_week": 2, "is_weekend": 0.25, "pickup_hour_sin": 0.25,
+    "pickup_hour_cos": 0.25, "context_median_fare": 8, "context_iqr_fare": 8, "context_count_log1p": 1,
+    "fare_to_context_median_ratio": 0.25,
+}
+FIXED_TREES = 24
+FIXED_ROWS = 256
+
+
+def fixed_tree(tree: int, cols: Sequence[str], node: int = 0, level: int = 0):
+    """A tree made by rule, (column, threshold, low side, high side) or a depth, that SQL can repeat."""
+    if level == 3:
+        return 1.0 + (tree * 5 + node * 3) % 8
+    k = (tree * 3 + node) % len(cols)
+    threshold = FEATURE_SCALES[cols[k]] * (1 + (tree * 7 + node * 5) % 13) / 4
+    sides = (fixed_tree(tree, cols, 2 * node + side, level + 1) for side in (1, 2))
+    return (k, threshold, *sides)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
