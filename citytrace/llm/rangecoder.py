@@ -9,9 +9,10 @@ The head is a zlib stream of the documents' ids as i64, their lengths as u32, an
 whether the first document continues the record before. All numbers are little-endian.
 The ids of a record form a matrix of steps x lanes, filled lane after lane. Every lane is a range
 coder of its own; all lanes share one model, which starts empty in every record and learns after
-each step, so a record can be read alone. The model mixes three predictions: order 0 (counts of all
-ids), order 1 (the id that last followed the previous one) and order 2 (the id that last followed
-the previous two). The shares of the mixture adapt in each class of confidences.
+each step, so a record can be read alone. The model mixes predictions of order 0 (counts of all ids),
+order 1 (the ids that followed the previous one most, with counts) and order 2 (those that followed the
+previous two). Their shares of the range adapt in each class of counts and of agreement. An id takes the
+share of the first follower that names it, order 2 before order 1, else its part of order 0.
 """
 
 from __future__ import annotations
@@ -42,102 +43,149 @@ BLOCK_IDS = 1 << 20
 LANES = 4096
 STEPS_PER_LANE = 128  #: a record has at least so many steps, as far as its ids reach
 SHARD_BYTES = 32 << 20  #: text of a shard file, about
-CACHE_WORDS = 400_000  #: distinct words whose ids a worker keeps
-WORDS_AT_ONCE = 1 << 18
+CACHE_WORDS = 800_000  #: distinct words whose ids a worker keeps
+CHUNK_BYTES = 1 << 23  #: text whose words are told apart at once, about
 
 TOTAL_BITS = 28
 LOW_BITS = 22
 PAIR_BITS = 18
-TOP_CONFIDENCE = 7
-N_CLASSES = (TOP_CONFIDENCE + 1) ** 2
+JUMP_BITS = 6  #: order-0 values are looked up by their upper bits first
+SLOTS = 2  #: followers of a context
+PLAIN = 2 * SLOTS  #: the place behind the followers of both orders, that of order 0
+COUNT_BITS = 3
+TOP_COUNT = (1 << COUNT_BITS) - 1
+N_CLASSES = (TOP_COUNT + 1) ** 2 * 2 * 9
 HALVE_AT = 1 << 14
 HALF, ONE = np.uint64(32), np.uint64(1)
 LOW_WORD = np.uint64((1 << 32) - 1)
 
 
-class Model:
-    """Counts and last followers of one record; the coder and the decoder keep equal copies.
+class Followers:
+    """For each context the ids that followed it most, with a count each, the largest first.
 
-    A follower and the confidence in it share one number: id * (TOP_CONFIDENCE + 1) + confidence.
+    An id and its count share one number: id * (TOP_COUNT + 1) + count. An id that is not among them
+    takes one off the counts, and the place of the last if that has none left.
     """
 
+    def __init__(self, contexts: int) -> None:
+        self.tables = [np.zeros(contexts, np.int32) for _ in range(SLOTS)]
+
+    def look(self, context: np.ndarray) -> None:
+        self.context = context
+        self.seen = [table[context] for table in self.tables]
+        self.ids = [seen >> COUNT_BITS for seen in self.seen]
+        self.counts = [seen & TOP_COUNT for seen in self.seen]
+
+    def learn(self, ids: np.ndarray) -> None:
+        hits = [known == ids for known in self.ids]
+        missed = ~np.logical_or.reduce(hits)
+        after = [
+            seen + (hit & (count < TOP_COUNT)) - (missed & (count > 0))
+            for seen, hit, count in zip(self.seen, hits, self.counts, strict=True)
+        ]
+        np.copyto(after[-1], (ids << COUNT_BITS) + 1, where=missed & (self.counts[-1] == 0))
+        for k in range(SLOTS - 1, 0, -1):
+            low, high = after[k], after[k - 1]
+            swap = (low & TOP_COUNT) > (high & TOP_COUNT)
+            after[k - 1], after[k] = np.where(swap, low, high), np.where(swap, high, low)
+        for table, row in zip(self.tables, after, strict=True):
+            table[self.context] = row
+
+
+class Model:
+    """Counts and followers of one record; the coder and the decoder keep equal copies."""
+
     def __init__(self, n_ids: int, lanes: int) -> None:
         self.n_ids = n_ids
         self.counts = np.ones(n_ids, np.int64)
-        self.after_one = np.zeros(n_ids, np.int32)
-        self.after_two = np.zeros(1 << PAIR_BITS, np.int32)
-        self.credit = np.tile(np.array([4, 2, 2], np.int64), (N_CLASSES, 1))
-        self.last = np.zeros(lanes, np.int64)
-        self.pair = np.zeros(lanes, np.int64)
+        self.two, self.one = Followers(1 << PAIR_BITS), Followers(n_ids)
+        self.credit = np.tile(np.array([2] * PLAIN + [8], np.int64), (N_CLASSES, 1))
+        self.last = np.zeros(lanes, np.int32)
+        self.pair = np.zeros(lanes, np.int32)
         self.step = 0
         self.refresh = 1
         self._sum_up()
 
     def _sum_up(self) -> None:
-        """Order-0 frequencies with a sum of 2**LOW_BITS; every id has one at least."""
+        """Order-0 frequencies with a sum of 2**LOW_BITS, one at least, and the weights of the classes."""
         total = int(self.counts.sum())
         freq = self.counts * ((1 << LOW_BITS) - self.n_ids) // total + 1
         freq[int(self.counts.argmax())] += (1 << LOW_BITS) - int(freq.sum())
         self.low = np.zeros(self.n_ids + 1, np.int32)
         np.cumsum(freq, out=self.low[1:])
-
-    def mixture(self, on: int) -> None:
-        """Shares of the three predictions for the first lanes, in units of 2**-TOTAL_BITS."""
-        self.packed_one, self.packed_two = self.after_one[self.last[:on]], self.after_two[self.pair[:on]]
-        self.one, self.two = self.packed_one >> 3, self.packed_two >> 3
-        self.kind = ((self.packed_two & 7) << 3) + (self.packed_one & 7)
+        self.first = np.searchsorted(self.low, np.arange(0, (1 << LOW_BITS) + 1, 1 << JUMP_BITS), side="right") - 1
+        self.first = self.first.astype(np.int32)
+        over = self.credit.sum(axis=1) > HALVE_AT
+        self.credit[over] = (self.credit[over] + 1) >> 1
         share = self.credit / self.credit.sum(axis=1, keepdims=True)
         # Order 0 has whole 64ths, one at least, so that every id has a width.
-        scale = np.maximum(1, share[:, 0] * (1 << (TOTAL_BITS - LOW_BITS))).astype(np.int32)
+        scale = np.maximum(1, share[:, PLAIN] * (1 << (TOTAL_BITS - LOW_BITS))).astype(np.int64)
         rest = (1 << TOTAL_BITS) - (scale << LOW_BITS)
-        first = (rest * (share[:, 1] / (share[:, 1] + share[:, 2]))).astype(np.int32)
-        self.scale, self.w1, self.w2 = scale[self.kind], first[self.kind], (rest - first)[self.kind]
+        upto = np.cumsum(share[:, :PLAIN], axis=1)
+        bounds = np.zeros((N_CLASSES, PLAIN + 1), np.int32)
+        bounds[:, 1:] = rest[:, None] * (upto / upto[:, -1:])
+        self.bounds, self.scales = bounds.ravel(), scale.astype(np.int32)
+        self.columns = [np.ascontiguousarray(bounds[:, k]) for k in range(1, PLAIN + 1)]
+
+    def mixture(self, on: int) -> None:
+        """The followers of the first lanes, and the classes that weigh them."""
+        self.two.look(self.pair[:on])
+        self.one.look(self.last[:on])
+        self.ids = self.two.ids + self.one.ids
+        two, one = self.two.counts, self.one.counts
+        agree = self.two.ids[0] == self.one.ids[0]
+        kind = (two[0] * (TOP_COUNT + 1) + one[0]) * 2 + agree
+        self.kind = (kind * 3 + np.minimum(two[1], 2)) * 3 + np.minimum(one[1], 2)
+
+    def _order_0(self, where: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Begins and widths of the lanes that no follower names."""
+        low, scale = self.low[ids], self.scales[self.kind[where]]
+        begin[where] += low * scale
+        size[where] = (self.low[ids + 1] - low) * scale
+
+    def _named(self) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and width of the followers at the places; at the last place the begin of order 0."""
+        self.cell = self.kind * (PLAIN + 1) + self.place
+        begin = self.bounds[self.cell]
+        return begin, self.bounds[np.minimum(self.cell + 1, len(self.bounds) - 1)] - begin
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and width of each id; a width holds the weight of every prediction that names the id."""
-        low = self.low[ids]
-        begin = low * self.scale + self.w1 * (self.one < ids) + self.w2 * (self.two < ids)
-        size = (self.low[ids + 1] - low) * self.scale + self.w1 * (self.one == ids) + self.w2 * (self.two == ids)
+        """Begin and width of each id: those of the first follower that names it, else of order 0."""
+        self.place = np.full(len(ids), PLAIN, np.int32)
+        for k in range(PLAIN - 1, -1, -1):
+            self.place[self.ids[k] == ids] = k
+        begin, size = self._named()
+        where = np.flatnonzero(self.place == PLAIN)
+        self._order_0(where, ids[where], begin, size)
         return begin, size
 
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The id of each lane whose interval holds the value."""
-        swapped = self.one > self.two
-        small, large = np.minimum(self.one, self.two), np.maximum(self.one, self.two)
-        w_small, w_large = np.where(swapped, self.w2, self.w1), np.where(swapped, self.w1, self.w2)
-        # Below both predictions, between them or above: take off what they add, look up the rest.
-        rest_small = value - self.low[small] * self.scale
-        rest_large = value - self.low[large] * self.scale - w_small
-        past_small, past_large = rest_small >= 0, rest_large >= 0
-        wide_small = (self.low[small + 1] - self.low[small]) * self.scale + w_small + w_large * (small == large)
-        wide_large = (self.low[large + 1] - self.low[large]) * self.scale + w_large
-        in_small, in_large = past_small & (rest_small < wide_small), past_large & (rest_large < wide_large)
-        ids = np.where(in_small, small, large)
-        where = np.flatnonzero(~(in_small | in_large))
-        if len(where):
-            wanted = (value - w_small * past_small - w_large * past_large)[where]
-            ids[where] = np.searchsorted(self.low, wanted // self.scale[where], side="right") - 1
-        return ids
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The id of each lane whose interval holds the value, and the interval."""
+        self.place = np.zeros(len(value), np.int32)
+        for column in self.columns:
+            self.place += value >= column[self.kind]
+        begin, size = self._named()
+        ids = np.empty(len(value), np.int32)
+        for k in range(PLAIN):
+            np.copyto(ids, self.ids[k], where=self.place == k)
+        where = np.flatnonzero(self.place == PLAIN)
+        wanted = (value[where] - begin[where]) // self.scales[self.kind[where]]
+        jump = wanted >> JUMP_BITS
+        found = self.first[jump]
+        several = np.flatnonzero(found != self.first[jump + 1])
+        found[several] = np.searchsorted(self.low, wanted[several], side="right") - 1
+        ids[where] = found
+        self._order_0(where, found, begin, size)
+        return ids, begin, size
 
     def learn(self, ids: np.ndarray) -> None:
-        """Update from the ids of one step, those of the first lanes."""
+        """Update from the ids of one step, those of the first lanes; their places are known."""
         on = len(ids)
-        last, pair = self.last[:on], self.pair[:on]
-        hit_one, hit_two = self.one == ids, self.two == ids
-        earned = self.kind * 3 + np.where(hit_two, 2, hit_one)
-        self.credit += 4 * np.bincount(earned, minlength=3 * N_CLASSES).reshape(-1, 3)
-        over = self.credit.sum(axis=1) > HALVE_AT
-        if over.any():
-            self.credit[over] = (self.credit[over] + 1) >> 1
-        packed = ids << 3
-        for table, at, seen, hit in (
-            (self.after_one, last, self.packed_one, hit_one),
-            (self.after_two, pair, self.packed_two, hit_two),
-        ):
-            trust = seen & 7
-            table[at] = packed + np.where(hit, np.minimum(trust + 1, TOP_CONFIDENCE), trust >> 1)
+        self.credit += 4 * np.bincount(self.cell, minlength=self.credit.size).reshape(self.credit.shape)
+        self.two.learn(ids)
+        self.one.learn(ids)
         np.add.at(self.counts, ids, 24)
-        self.pair[:on] = ((last * 40503) ^ (ids * 30011)) & ((1 << PAIR_BITS) - 1)
+        self.pair[:on] = ((self.last[:on].astype(np.int64) * 40503) ^ (ids.astype(np.int64) * 30011)) & ((1 << PAIR_BITS) - 1)
         self.last[:on] = ids
         self.step += 1
         if self.step >= self.refresh:
@@ -224,8 +272,7 @@ def decode_ids(data: bytes, n: int, n_ids: int) -> np.ndarray:
         on = lanes if step < steps - 1 else int((lengths == steps).sum())
         model.mixture(on)
         unit = span[:on] >> np.uint64(TOTAL_BITS)
-        symbols = model.find(np.minimum(code[:on] // unit, top).astype(np.int32))
-        begin, size = model.interval(symbols)
+        symbols, begin, size = model.find(np.minimum(code[:on] // unit, top).astype(np.int32))
         ids[begins[:on] + step] = symbols
         moved = unit * begin.astype(np.uint64)
         low[:on] += moved
@@ -342,6 +389,33 @@ class WordIds:
             found[k] = self.new[words[k]]
         return found
 
+    def encoded(self, data: bytes, end_id: int) -> tuple[np.ndarray, list[int]]:
+        """Ids of the words, each with a space behind it, and where texts end; the word ``\\n`` is the end id.
+
+        Words are told apart once for the whole chunk; the ids of the distinct ones are then laid out.
+        """
+        if not data:
+            return np.zeros(0, "<u4"), []
+        spaces = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+        offsets = np.zeros(len(spaces) + 1, np.int64)
+        offsets[1:] = spaces + 1
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(spaces), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        ).dictionary_encode()
+        distinct = [word[:-1] for word in words.dictionary.to_pylist()]
+        last = distinct.index(b"\n") if b"\n" in distinct else -1
+        found = self.ids_of(distinct)
+        if last >= 0:
+            found[last] = self._packed([end_id])
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        begins = np.cumsum(sizes) - sizes
+        places = words.indices.to_numpy()
+        lengths = sizes[places]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(begins[places] - ends + lengths, lengths)
+        return flat[at], ends[places == last].tolist()
+
     def _learn(self, missing: set[bytes]) -> None:
         marks, plain, shown, odd = self.marks, [], [], []
         for word in missing:
@@ -367,6 +441,17 @@ class WordIds:
 _WORDS: dict[str, WordIds] = {}
 
 
+def _chunks(text: str) -> Iterator[bytes]:
+    """The words of a text, each with a space behind it, in chunks of about CHUNK_BYTES; ``\\n`` is the last word."""
+    data = text.encode("utf-8", "surrogatepass").translate(_LOWER).replace(b"\n", b" ") + b" \n "
+    at = 0
+    while len(data) - at > CHUNK_BYTES:
+        cut = data.find(b" ", at + CHUNK_BYTES - 1) + 1
+        yield data[at:cut]
+        at = cut
+    yield data[at:]
+
+
 def tokenised(texts: list[str | None], path: str, end_id: int) -> Iterator[np.ndarray]:
     """Ids of each whole text with the end id; null is empty.
 
@@ -375,30 +460,36 @@ def tokenised(texts: list[str | None], path: str, end_id: int) -> Iterator[np.nd
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's to deal out
     table = _WORDS.get(path) or _WORDS.setdefault(path, WordIds(path))
-    end = struct.pack("<I", end_id)
-    words: list[bytes] = []
-    ends_at: list[int] = []
+    waiting: list[bytes] = []
+    parts: list[np.ndarray] = []  # of a text that is not at its end
 
     def flush() -> Iterator[np.ndarray]:
-        ids = table.ids_of(words) if words else []
+        ids, ends = table.encoded(b"".join(waiting), end_id)
+        waiting.clear()
         at = 0
-        for upto in ends_at:
-            yield np.frombuffer(b"".join([*ids[at:upto], end]), "<u4")
+        for upto in ends:
+            parts.append(ids[at:upto])
+            yield np.concatenate(parts) if len(parts) > 1 else parts[0]
+            parts.clear()
             at = upto
-        words.clear()
-        ends_at.clear()
+        if at < len(ids):
+            parts.append(ids[at:])
 
+    size = 0
     for text in texts:
         text = text or ""
         if not table.by_word or "<|" in text:
             yield from flush()
+            size = 0
             ids = table.tokenizer.encode(text, add_special_tokens=False).ids
             yield np.array([*ids, end_id], "<u4")
             continue
-        words += text.encode("utf-8", "surrogatepass").translate(_LOWER).replace(b"\n", b" ").split(b" ")
-        ends_at.append(len(words))
-        if len(words) >= WORDS_AT_ONCE:
-            yield from flush()
+        for chunk in _chunks(text):
+            waiting.append(chunk)
+            size += len(chunk)
+            if size >= CHUNK_BYTES:
+                yield from flush()
+                size = 0
     yield from flush()
 
 
