@@ -20,7 +20,8 @@ from .shared import component_roots, saved
 LEADING = 4  #: principal dimensions whose cells give the order
 INTERVAL = 4096  #: vectors of an interval, at most
 LEAF = 128  #: vectors of a piece that is compared outright
-MAX_DIMENSIONS = 2048  #: the covariance comes to the driver, so there is a stated bound
+TURNED = 2048  #: leading columns that are turned to their axes; the covariance of these comes to the driver
+PAIRS_A_TASK = 8  #: pairs of intervals that a task compares, about, where there are many
 SLACK = 1e-9
 
 
@@ -35,12 +36,16 @@ def _rows(column: pa.Array, dims: int) -> np.ndarray:
 
 
 def principal_axes(classes: DataFrame, dims: int) -> np.ndarray:
-    """Orthogonal axes by falling variance; tasks add up products, the sums are combined by place."""
+    """Orthogonal axes by falling variance; tasks add up products, the sums are combined by place.
+
+    Of wide vectors only the leading columns are turned. Distances stay, so this costs skipped pairs only.
+    """
+    wide, dims = dims, min(dims, TURNED)
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dims + 1, dims + 1))
         for batch in batches:
-            x = np.pad(_unit(_rows(batch.column(0), dims)), ((0, 0), (0, 1)), constant_values=1.0)
+            x = np.pad(_unit(_rows(batch.column(0), wide))[:, :dims], ((0, 0), (0, 1)), constant_values=1.0)
             total += x.T @ x
         flat = total.ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["place", "total"])
@@ -164,8 +169,6 @@ def near_duplicates(
 
 def _class_links(classes: DataFrame, dims: int, limit: float) -> DataFrame:
     """(class, other, n): with other null, n members of other classes link with the class; else a link."""
-    if not 0 < dims <= MAX_DIMENSIONS:
-        raise ValueError(f"{dims} dimensions; at most {MAX_DIMENSIONS} are handled")
     own = classes.filter(F.col("dims") == dims).select("vector", "class", "members")
     axes = classes.sparkSession.sparkContext.broadcast(principal_axes(own, dims))
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * limit))) + SLACK
@@ -173,7 +176,9 @@ def _class_links(classes: DataFrame, dims: int, limit: float) -> DataFrame:
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _unit(_rows(batch.column(0), dims)) @ axes.value
+            x = _unit(_rows(batch.column(0), dims))
+            turned = len(axes.value)
+            x = np.concatenate((x[:, :turned] @ axes.value, x[:, turned:]), axis=1)
             cells = np.floor(x[:, :leading] / epsilon).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -241,7 +246,9 @@ def _class_links(classes: DataFrame, dims: int, limit: float) -> DataFrame:
                     names=["class", "other", "n"],
                 )
 
-    dealt = both.repartition(max(1, parts * (parts + 1) // 2), "a", "b")
+    n_pairs = pairs.count()
+    at_once = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(max(1, min(n_pairs, at_once), -(-n_pairs // PAIRS_A_TASK)), "a", "b")
     return saved(dealt.mapInArrow(compare, "class long, other long, n long"), "class-links")
 
 

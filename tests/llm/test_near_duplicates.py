@@ -136,6 +136,19 @@ def test_grid_join_matches_all_pairs(spark, monkeypatch, interval):
     assert sorted(tuple(r) for r in found.collect()) == brute_vectors(unit, 0.95)
 
 
+@pytest.mark.parametrize("turned", [2, 64])
+def test_grid_join_of_wide_vectors(spark, monkeypatch, turned):
+    """3,072 dimensions, of which the first few only are turned to their axes."""
+    monkeypatch.setattr(gridjoin, "TURNED", turned)
+    monkeypatch.setattr(gridjoin, "INTERVAL", 16)
+    monkeypatch.setattr(gridjoin, "LEAF", 8)
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(9, 3072))
+    rows = [(k, (centres[k % 9] + rng.normal(size=3072) * (0.02, 0.2, 0.5)[k % 3]).tolist()) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in gridjoin.near_duplicates(df).collect()) == brute_vectors(rows, 0.95)
+
+
 def test_grid_join_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, hash string, vector string")
     assert gridjoin.near_duplicates(empty).count() == 0
