@@ -35,6 +35,14 @@ def test_amounts_and_columns(spark):
     assert not {"VendorID", "extra", "airport_fee", "pickup_ts"} & set(row.asDict())
 
 
+def test_sorted_trips_are_in_time_order(spark):
+    hours = [14, 3, 9, 23, 0, 11]
+    starts = [START.replace(day=6 + k % 3, hour=h) for k, h in enumerate(hours)]
+    changes = [{"tpep_pickup_datetime": s, "tpep_dropoff_datetime": s + dt.timedelta(minutes=9)} for s in starts]
+    found = clean.clean_trips(raw(spark, changes).repartition(3), sort=True).collect()
+    assert [(r["pickup_date"], r["pickup_time"]) for r in found] == sorted((s.date(), f"{s:%H:%M:%S}") for s in starts)
+
+
 @pytest.mark.parametrize("seconds, kept", [(0, 1), (1, 1), (86_400, 1), (86_401, 0), (-1, 0)])
 def test_duration_limits(spark, seconds, kept):
     assert clean.clean_trips(raw(spark, [{"tpep_dropoff_datetime": after(seconds)}])).count() == kept
