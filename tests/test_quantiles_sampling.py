@@ -100,3 +100,38 @@ def test_stratified_tops_up(spark):
     df = spark.createDataFrame([(s, i) for s in "abc" for i in range(5)], "s string, i int")
     got = sampling.stratified_sample(df, "s", 7, F.col("i") * 3 + F.ascii("s"), 200)
     assert sorted(c for _, c in rows(got.groupBy("s").count())) == [2, 2, 3]
+
+
+@pytest.mark.parametrize("n", [1, 150, 700, 2999])
+def test_take_with_one_key_for_all_rows(spark, n):
+    """All rows fall into the slice of the cut; a third are copies of one row, and tasks share the order."""
+    data = [(i, 4) for i in range(2000)] + [(700, 4)] * 1000
+    df = spark.createDataFrame(data, "i int, k int").repartition(6)
+    got = sampling.take_smallest(df, n, F.col("k"), 500)
+    assert sorted(r["i"] for r in got.collect()) == sorted(i for i, _ in data)[:n]
+
+
+def test_preceding_sums(spark):
+    rng = np.random.default_rng(3)
+    data = [("hot" if i % 3 else f"g{i % 7}", i, int(w)) for i, w in enumerate(rng.integers(1, 9, 3000))]
+    df = spark.createDataFrame(data, "g string, i int, w int").repartition(5)
+    for by in ([], ["g"]):
+        got = {r["i"]: r["_before"] for r in sampling.preceding(df, by, ["i"], "w").collect()}
+        totals, plain = {}, {}
+        for g, i, w in data:
+            key = g if by else None
+            plain[i] = totals.get(key, 0)
+            totals[key] = plain[i] + w
+        assert got == plain
+    many = spark.range(5000).select("id", (F.col("id") % 5 + 1).alias("m"))
+    got = {r["id"]: r["_before"] for r in sampling.running(many, [], "id", "m").collect()}
+    assert got == {i: sum(k % 5 + 1 for k in range(i)) for i in range(0, 5000, 1)}
+
+
+def test_stratified_with_copies(spark):
+    """A stratum of copies of one row keeps its share; no task gets all of them."""
+    df = spark.createDataFrame([("a", 1)] * 600 + [("b", i) for i in range(300)], "s string, i int").repartition(6)
+    got = sampling.stratified_sample(df, "s", 90, F.col("i") * 31 % 301, 301)
+    assert dict(rows(got.groupBy("s").count())) == {"a": 60, "b": 30}
+    best = sorted(range(300), key=lambda i: (i * 31 % 301, i))[:30]
+    assert sorted(r["i"] for r in got.where("s = 'b'").collect()) == sorted(best)
