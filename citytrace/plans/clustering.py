@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citytrace.operators import cluster
+from citytrace.operators import cluster, hulls
 from citytrace.sources.artifacts import check_inputs
 from citytrace.sources.sinks import write_rows, write_summary
 
@@ -28,6 +28,7 @@ def run_clustering(
         centroids = cluster.borough_centroids(zones, coords)
         write_rows(cluster.label_points(points, refined), f"{out}/labeled_points", "parquet")
         labelled = trips.sparkSession.read.parquet(f"{out}/labeled_points")
+        write_rows(hulls.cluster_hulls(labelled), f"{out}/cluster_hulls", "parquet")
         write_rows(cluster.display_points(labelled, displayed), f"{out}/display_points", "parquet")
         shown = trips.sparkSession.read.parquet(f"{out}/display_points")
         write_rows(cluster.cluster_summary(labelled, shown, config.k), f"{out}/cluster_summary", "parquet")
@@ -51,6 +52,7 @@ def run_clustering(
     return {
         "centers": refined,
         "points": read.parquet(f"{out}/labeled_points"),
+        "hulls": read.parquet(f"{out}/cluster_hulls"),
         "displayed": read.parquet(f"{out}/display_points"),
         "summary": read.parquet(f"{out}/cluster_summary"),
         "concentration": read.parquet(f"{out}/concentration"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 TABLE_NAME = r"[A-Za-z_][A-Za-z0-9_]*"
@@ -13,6 +13,7 @@ TABLE_NAME = r"[A-Za-z_][A-Za-z0-9_]*"
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 REFERENCE_TABLES = ("location_zone_data", "location_coordinates_data", "date_day_data")
 JDBC_BATCH = 5000
+STAGED, FORMER = "__staged", "__former"  #: endings of tables while one replaces the other
 
 
 def write_processed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -42,21 +43,58 @@ def load_tables(
 ) -> dict[str, int]:
     """Replace each named table and return the rows written.
 
-    The default target is the session catalogue; ``jdbc_target`` gives one for a database. An
-    empty frame still replaces the table and keeps its schema.
+    The default target is the session catalogue: a table is written under a name of its own, its rows are
+    counted against those sent, and only then it takes the place of the former one. A load that fails leaves
+    the former table, also when the frame reads it. ``jdbc_target`` gives a target in a database, which
+    replaces tables directly. An empty frame still replaces the table and keeps its schema.
     """
     bad = [name for name in tables if not re.fullmatch(TABLE_NAME, name)]
     if bad:
         raise ValueError(f"invalid table names: {bad}")
-    save = save or (lambda writer, name: writer.mode("overwrite").saveAsTable(name))
     counts = {}
     for name in sorted(tables, key=table_order):
         seen = Observation()
-        save(tables[name].observe(seen, F.count(F.lit(1)).alias("rows")).write, name)
-        counts[name] = int(seen.get["rows"])
+        writer = tables[name].observe(seen, F.count(F.lit(1)).alias("rows")).write
+        if save:
+            save(writer, name)
+            counts[name] = int(seen.get["rows"])
+            continue
+        spark = tables[name].sparkSession
+        restore_table(spark, name)
+        staged = name + STAGED
+        spark.sql(f"DROP TABLE IF EXISTS `{staged}`")
+        try:
+            writer.saveAsTable(staged)
+            counts[name] = int(seen.get["rows"])
+            found = spark.table(staged).count()
+            if found != counts[name]:
+                raise RuntimeError(f"{name}: {counts[name]} rows sent, {found} found")
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS `{staged}`")
+            raise
+        _swap(spark, staged, name)
     return counts
 
 
+def restore_table(spark: SparkSession, name: str) -> None:
+    """Bring back the former table where a session ended between the two renames of a swap."""
+    if spark.catalog.tableExists(name + FORMER):
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE `{name + FORMER}`")
+        else:
+            spark.sql(f"ALTER TABLE `{name + FORMER}` RENAME TO `{name}`")
+
+
+def _swap(spark: SparkSession, staged: str, name: str) -> None:
+    """The staged table takes the name; the former table goes last."""
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE `{name}` RENAME TO `{name + FORMER}`")
+    try:
+        spark.sql(f"ALTER TABLE `{staged}` RENAME TO `{name}`")
+    finally:
+        restore_table(spark, name)
+
+
 def jdbc_target(url: str, properties: Mapping[str, str], batch: int = JDBC_BATCH):
     """Save function for ``load_tables`` that writes to a database in batches."""
 

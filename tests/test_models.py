@@ -245,6 +245,7 @@ def test_clustering_job(spark, trips, zones, coords, tmp_path):
     assert dict(rows(result["displayed"].groupBy("segment").agg(F.sum("display_count")))) == {s: min(300, n) for s, n in total.items()}
     assert dict(rows(result["summary"].groupBy("segment").agg(F.sum("total_count")))) == total
     assert result["concentration"].count() == 5
+    assert {r["segment"] for r in result["hulls"].select("segment").distinct().collect()} == set(cluster.SEGMENTS)
     labelled = result["points"]
     payload = cluster.cluster_payload(labelled, result["centers"], cluster.borough_centroids(zones, coords), "night", 100)
     assert rows(payload["totals"]) == [("night", 5, total["night"], 100)]
@@ -292,7 +293,7 @@ def test_hulls(spark):
     cloud = [(0, float(x), float(y)) for x, y in rng.uniform(-1, 1, (500, 2))] + [(0, x, y) for x in (-2.0, 2.0) for y in (-2.0, 2.0)]
     data = cloud + [(1, 0.0, 0.0), (1, 1.0, 1.0)] + [(2, float(i), float(i)) for i in range(3)]
     data += [(3, 0.0, 0.0), (3, 1.0, 0.0), (3, 2.0, 0.0), (3, 2.0, 2.0), (3, 0.0, 2.0)]
-    got = hulls.cluster_hulls(spark.createDataFrame(data, "cluster_id int, long double, lat double").repartition(6)).collect()
+    got = hulls.cluster_hulls(spark.createDataFrame(data, "cluster_id int, long double, lat double").withColumn("segment", F.lit("all")).repartition(6)).collect()
     corners = {}
     for r in sorted(got, key=lambda r: (r["cluster_id"], r["seq"])):
         corners.setdefault(r["cluster_id"], []).append((r["long"], r["lat"]))
@@ -302,6 +303,17 @@ def test_hulls(spark):
     }
 
 
+def test_hulls_of_segments_stay_apart(spark):
+    square = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    data = [(s, 0, x + 5 * k, y) for k, s in enumerate(["night", "all", None]) for x, y in square * 50]
+    data += [("night", 0, None, 1.0), ("night", None, 9.0, 9.0)]
+    df = spark.createDataFrame(data, "segment string, cluster_id int, long double, lat double").repartition(5)
+    got = [(r["segment"], r["cluster_id"], r["seq"], r["long"], r["lat"]) for r in hulls.cluster_hulls(df).collect()]
+    plain = [(s, 0, i, x + 5 * k, y) for k, s in enumerate(["night", "all", None]) for i, (x, y) in enumerate(square)]
+    assert sorted(got, key=str) == sorted(plain, key=str)
+    assert hulls.cluster_hulls(df.limit(0)).isEmpty()
+
+
 def test_bounds_of_nothing(spark, coords):
     nothing = spark.createDataFrame([], "long double, lat double, center_long double, center_lat double")
     assert rows(cluster.bounds(nothing, nothing)) == [(-74.10, -73.70, 40.55, 40.92)]
@@ -399,3 +411,19 @@ def test_checked_queries_name_the_same_columns():
 
     assert set(ORACLE) <= set(REGISTRY)
     assert len(REGISTRY) >= 85
+
+
+def test_a_failed_load_leaves_the_former_table(spark):
+    df = spark.range(5)
+    sinks.load_tables({"kept": df})
+    broken = df.select(F.raise_error(F.lit("stop")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.load_tables({"kept": broken})
+    assert rows(spark.table("kept")) == rows(df)
+    assert not any(t.name.startswith("kept__") for t in spark.catalog.listTables())
+    assert sinks.load_tables({"kept": spark.table("kept").where("id > 2")}) == {"kept": 2}  # a frame of the table itself
+    assert rows(spark.table("kept")) == [(3,), (4,)]
+    spark.sql("ALTER TABLE kept RENAME TO kept__former")  # a session that ended in the middle
+    sinks.restore_table(spark, "kept")
+    assert rows(spark.table("kept")) == [(3,), (4,)]
+    spark.sql("DROP TABLE kept")

@@ -706,8 +706,7 @@ def cluster_diagnostics(spark, sf):
 
 @query
 def cluster_hulls(spark, sf):
-    labelled = cluster.label_points(_points(spark, sf), _start(spark, sf))
-    return hulls.cluster_hulls(labelled.where(F.col("segment") == bins.ALL_DAY))
+    return hulls.cluster_hulls(_labelled(spark, sf))
 
 
 # ---- rules ----

@@ -365,6 +365,22 @@ CTES: dict[str, str] = {
         SELECT segment, location_id, weight, max(w) FILTER (own = other) AS n,
                max(d / nullif(w - 1, 0)) FILTER (own = other) AS a, min(d / w) FILTER (own <> other) AS b
         FROM zone_sums GROUP BY ALL""",
+    "hull_points": "SELECT DISTINCT segment, cluster_id, long AS x, lat AS y FROM marked",
+    "hull_edges": """
+        SELECT a.segment, a.cluster_id, a.x, a.y FROM hull_points a JOIN hull_points b USING (segment, cluster_id)
+          JOIN hull_points c USING (segment, cluster_id)
+        WHERE (a.x, a.y) <> (b.x, b.y) GROUP BY a.segment, a.cluster_id, a.x, a.y, b.x, b.y
+        HAVING bool_and(CASE WHEN abs((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x)) > 1e-12
+          THEN (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) > 0
+          ELSE (c.x - a.x) * (b.x - a.x) + (c.y - a.y) * (b.y - a.y)
+               BETWEEN -1e-12 AND (b.x - a.x) ** 2 + (b.y - a.y) ** 2 + 1e-12 END)""",
+    "hull_corners": """
+        SELECT segment, cluster_id, x, y, (angle - arg_min(angle, (x, y)) OVER (PARTITION BY segment, cluster_id)
+               + 2 * pi()) % (2 * pi()) AS turn
+        FROM (SELECT *, atan2(y - avg(y) OVER (PARTITION BY segment, cluster_id),
+                              x - avg(x) OVER (PARTITION BY segment, cluster_id)) AS angle,
+                     count(*) OVER (PARTITION BY segment, cluster_id) AS corners
+              FROM (SELECT DISTINCT * FROM hull_edges)) WHERE corners > 2""",
     "cluster_quotas": """
         SELECT segment, cluster_id, size, greatest(1, least(size, base + CASE WHEN row_number() OVER (
                  PARTITION BY segment ORDER BY share % total DESC, cluster_id) <= least(25000, total) - sum(base) OVER (PARTITION BY segment)
@@ -816,6 +832,8 @@ ORACLE: dict[str, str] = {
     "segment_point_counts": "SELECT segment, CAST(sum(weight) AS BIGINT) AS points FROM points GROUP BY segment",
     "borough_centroids": f"SELECT borough, {r6s('long', 'lat')}, location_count FROM centroids",
     "label_points": f"SELECT segment, location_id, {r6s('long', 'lat')}, weight, cluster_id, {r6('d2')} FROM marked",
+    "cluster_hulls": f"""SELECT segment, cluster_id, CAST(row_number() OVER (PARTITION BY segment, cluster_id
+        ORDER BY turn) - 1 AS INTEGER) AS seq, {r6('x', 'long')}, {r6('y', 'lat')} FROM hull_corners""",
     "refine_centres": f"SELECT segment, cluster_id, {r6s('center_long', 'center_lat')}, cluster_count FROM refined",
     "cluster_summary": f"""SELECT segment, cluster_id, coalesce(display_count, 0) AS display_count, coalesce(total_count, 0) AS total_count,
         {r6('coalesce(round(display_count::DOUBLE / total_count * 100, 2), 0)', 'display_pct_of_cluster')}
