@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -43,8 +42,7 @@ BLOCK_IDS = 1 << 20
 LANES = 4096
 STEPS_PER_LANE = 128  #: a record has at least so many steps, as far as its ids reach
 SHARD_BYTES = 32 << 20  #: text of a shard file, about
-CACHE_WORDS = 800_000  #: distinct words whose ids a worker keeps
-CHUNK_BYTES = 1 << 23  #: text whose words are told apart at once, about
+CHUNK_BYTES = 1 << 24  #: text whose words are told apart at once, about
 
 TOTAL_BITS = 28
 LOW_BITS = 22
@@ -320,27 +318,26 @@ def unpack_records(data: bytes) -> Iterator[tuple[list[int | None], list[int], b
         at += 13 + length
 
 
-#: The lower-case letters of ASCII and Latin-1, which the normaliser leaves as they are
-#: and the splitter keeps together, and the marks that it splits off a word.
-_PLAIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
-_MARKS = ".,;:!?"
+#: The marks that the splitter takes off a word, and UTF-8 bytes of the letters ß to ÿ, which
+#: the normaliser leaves as they are and the splitter keeps together, as it does a to z: their first byte
+#: and the range of their second, where ÷ is none.
+_MARKS = b".,;:!?"
+_FIRST, _SECOND, _NO_LETTER = 0xC3, (0x9F, 0xBF), 0xB7
 _LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
+LINE_WORDS = 256  #: plain words that the tokenizer sees at once
 
 
 class WordIds:
     """Ids of white-space separated words as bytes, from the tokenizers library.
 
     For a tokenizer that lowers case and drops white space, words never interact, so each distinct
-    word is encoded once: words of plain letters without the normaliser and splitter, all others by
-    the whole tokenizer. The table is bounded: it has two halves, and when the new one is full, the
-    old one goes; a word that is met again moves to the new one.
+    word of a chunk is encoded once: words of plain letters without the normaliser and splitter, in
+    lines, all others by the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         setup = json.loads(self.tokenizer.to_str())
         kinds = [x.get("type") for x in (setup.get("normalizer") or {}).get("normalizers", [])]
@@ -350,8 +347,10 @@ class WordIds:
         if not self.by_word:
             return
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.shown = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in _PLAIN}
-        self.plain = re.compile(f"[{_PLAIN}]+").fullmatch
+        self.shown = np.arange(256, dtype="<u4")  # bytes as the characters that the model knows them by
+        for second in range(_SECOND[0], _SECOND[1] + 1):
+            first, other = shown.pre_tokenize_str(bytes([_FIRST, second]).decode())[0][0]
+            self.shown[_FIRST], self.shown[second] = ord(first), ord(other)
         # The same model over words that are normalised and shown as bytes already.
         self.model = Tokenizer.from_str(
             json.dumps(setup | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []})
@@ -359,35 +358,72 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for token, k in vocabulary.items() if token.endswith(end)]] = True
-        self.marks = {m.encode(): self._packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS}
-
-    def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _bodies(self, shown: list[str]) -> list[bytes]:
-        """Packed ids of plain words; the last id of a word, and no other, ends it."""
-        lines = [" ".join(shown[at : at + 256]) for at in range(0, len(shown), 256)]
+        self.marks = np.full(256, -1, np.int64)
+        for mark in _MARKS:
+            found = self.tokenizer.encode(chr(mark), add_special_tokens=False).ids
+            if len(found) == 1:
+                self.marks[mark] = found[0]
+
+    def _plain(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words from begin to the space at end: which are plain letters but for a mark, and the mark's id or -1."""
+        before = np.concatenate((np.zeros(1, np.uint8), data[:-1]))
+        after = np.concatenate((data[1:], np.zeros(1, np.uint8)))
+        second = (data >= _SECOND[0]) & (data <= _SECOND[1]) & (data != _NO_LETTER)
+        letter = (data >= ord("a")) & (data <= ord("z")) | (second & (before == _FIRST))
+        letter |= (data == _FIRST) & (after >= _SECOND[0]) & (after <= _SECOND[1]) & (after != _NO_LETTER)
+        others = np.concatenate((np.zeros(1, np.int32), np.cumsum(~letter, dtype=np.int32)))
+        long = ends > begins
+        marks = np.where(long, self.marks[data[np.maximum(ends - 1, 0)]], -1)
+        upto = ends - (marks >= 0)
+        return (upto > begins) & (others[upto] == others[begins]), marks
+
+    def _bodies(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, and how many each has; the last id of a word, and no other, ends it."""
+        if not len(lengths):
+            return np.zeros(0, "<u4"), lengths
+        text = self.shown[data].tobytes().decode("utf-32-le")
+        cuts = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)[LINE_WORDS - 1 :: LINE_WORDS], [len(data)])).tolist()
+        lines = [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         found = [e.ids for e in self.model.encode_batch_fast(lines, add_special_tokens=False)]
         ids = np.fromiter(chain.from_iterable(found), "<u4", sum(map(len, found)))
-        ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-        if len(ends) != len(shown):
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(lengths):
             raise ValueError("words and ends of words differ")
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-
-    def ids_of(self, words: list[bytes]) -> list[bytes]:
-        """Packed ids of each word."""
-        if len(self.new) > CACHE_WORDS // 2:
-            self.new, self.old = {}, self.new
-        found = list(map(self.new.get, words))
-        gaps = [k for k, ids in enumerate(found) if ids is None]
-        unknown = {words[k] for k in gaps}
-        met = {word: self.old[word] for word in unknown if word in self.old}
-        self.new.update(met)
-        self._learn(unknown.difference(met))
-        for k in gaps:
-            found[k] = self.new[words[k]]
-        return found
+        return ids, np.diff(ends, prepend=0)
+
+    def ids_of(self, words: pa.LargeBinaryArray, end_id: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids of distinct words, each with a space behind it, how many each has, and the place of the word ``\\n``."""
+        _, offsets, data = words.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(words) + 1, 8 * words.offset)
+        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].copy()
+        begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0] - 1
+        plain, marks = self._plain(data, begins, ends)
+        data[ends[marks >= 0] - 1] = ord(" ")
+        marked = plain & (marks >= 0)
+        lengths = ends + 1 - begins
+        body_ids, body_sizes = self._bodies(data[np.repeat(plain, lengths)], lengths[plain])
+
+        odd = np.flatnonzero(~plain)
+        texts = [words[k].as_py()[:-1] for k in odd.tolist()]
+        encoded = self.tokenizer.encode_batch_fast(
+            [t.decode("utf-8", "surrogatepass") for t in texts], add_special_tokens=False
+        )
+        odd_ids = [[end_id] if t == b"\n" else e.ids for t, e in zip(texts, encoded, strict=True)]
+        last = int(odd[texts.index(b"\n")]) if b"\n" in texts else -1
+
+        sizes = np.zeros(len(words), np.int64)
+        sizes[plain] = body_sizes
+        sizes += marked
+        sizes[odd] = [len(ids) for ids in odd_ids]
+        stops = np.cumsum(sizes)
+        flat = np.zeros(int(stops[-1]) if len(stops) else 0, "<u4")
+        of_marks = stops[marked] - 1
+        flat[of_marks] = marks[marked]
+        free = np.repeat(plain, sizes)
+        free[of_marks] = False
+        flat[free] = body_ids
+        flat[np.repeat(~plain, sizes)] = list(chain.from_iterable(odd_ids))
+        return flat, sizes, last
 
     def encoded(self, data: bytes, end_id: int) -> tuple[np.ndarray, list[int]]:
         """Ids of the words, each with a space behind it, and where texts end; the word ``\\n`` is the end id.
@@ -402,41 +438,15 @@ class WordIds:
         words = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(spaces), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
         ).dictionary_encode()
-        distinct = [word[:-1] for word in words.dictionary.to_pylist()]
-        last = distinct.index(b"\n") if b"\n" in distinct else -1
-        found = self.ids_of(distinct)
-        if last >= 0:
-            found[last] = self._packed([end_id])
-        flat = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        flat, sizes, last = self.ids_of(words.dictionary, end_id)
         begins = np.cumsum(sizes) - sizes
         places = words.indices.to_numpy()
         lengths = sizes[places]
         ends = np.cumsum(lengths)
-        at = np.arange(ends[-1]) + np.repeat(begins[places] - ends + lengths, lengths)
+        at = np.repeat((begins[places] - ends + lengths).astype(np.int32), lengths)
+        at += np.arange(len(at), dtype=np.int32)
         return flat[at], ends[places == last].tolist()
 
-    def _learn(self, missing: set[bytes]) -> None:
-        marks, plain, shown, odd = self.marks, [], [], []
-        for word in missing:
-            mark = marks.get(word[-1:], b"")
-            body = word[:-1] if mark else word
-            if body.isalpha():  # ASCII only, for bytes
-                shown.append(body.decode())
-            else:
-                text = body.decode("utf-8", "surrogatepass")
-                if not self.plain(text):
-                    odd.append((word, word.decode("utf-8", "surrogatepass")))
-                    continue
-                shown.append(text.translate(self.shown))
-            plain.append((word, mark))
-        for (word, mark), ids in zip(plain, self._bodies(shown), strict=True):
-            self.new[word] = ids + mark
-        for (word, _), found in zip(
-            odd, self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False), strict=True
-        ):
-            self.new[word] = self._packed(found.ids)
-
 
 _WORDS: dict[str, WordIds] = {}
 
