@@ -48,7 +48,7 @@ TOTAL_BITS = 28
 LOW_BITS = 22
 PAIR_BITS = 18
 JUMP_BITS = 6  #: order-0 values are looked up by their upper bits first
-SLOTS = 2  #: followers of a context
+SLOTS = 2  #: followers of a context; Followers.learn knows two
 PLAIN = 2 * SLOTS  #: the place behind the followers of both orders, that of order 0
 COUNT_BITS = 3
 TOP_COUNT = (1 << COUNT_BITS) - 1
@@ -75,19 +75,31 @@ class Followers:
         self.counts = [seen & TOP_COUNT for seen in self.seen]
 
     def learn(self, ids: np.ndarray) -> None:
-        hits = [known == ids for known in self.ids]
-        missed = ~np.logical_or.reduce(hits)
-        after = [
-            seen + (hit & (count < TOP_COUNT)) - (missed & (count > 0))
-            for seen, hit, count in zip(self.seen, hits, self.counts, strict=True)
-        ]
-        np.copyto(after[-1], (ids << COUNT_BITS) + 1, where=missed & (self.counts[-1] == 0))
-        for k in range(SLOTS - 1, 0, -1):
-            low, high = after[k], after[k - 1]
-            swap = (low & TOP_COUNT) > (high & TOP_COUNT)
-            after[k - 1], after[k] = np.where(swap, low, high), np.where(swap, high, low)
-        for table, row in zip(self.tables, after, strict=True):
-            table[self.context] = row
+        (first, second), (count, other) = self.seen, self.counts
+        key = ((count << COUNT_BITS) + other) * 3 + (self.ids[0] == ids)
+        key += (self.ids[1] == ids) * np.int32(2)
+        first, second = first + _ADDED[0][key], second + _ADDED[1][key]
+        np.copyto(second, (ids << COUNT_BITS) + 1, where=_TAKEN[key])
+        swap = _SWAPPED[key]
+        self.tables[0][self.context] = np.where(swap, second, first)
+        self.tables[1][self.context] = np.where(swap, first, second)
+
+
+def _moves() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By both counts and the hit (0 none, 1 the first, 2 the second): what the counts gain, whether the id takes
+    the second place, and whether the places are swapped."""
+    levels = np.arange(TOP_COUNT + 1)
+    first, second, hit = (a.ravel() for a in np.meshgrid(levels, levels, np.arange(3), indexing="ij"))
+    counts = np.stack((first, second))
+    hits = np.stack((hit == 1, hit == 2))
+    added = (hits & (counts < TOP_COUNT)).astype(np.int32) - ((hit == 0) & (counts > 0))
+    taken = (hit == 0) & (second == 0)
+    after = counts + added
+    after[1][taken] = 1
+    return added.astype(np.int32), taken, after[1] > after[0]
+
+
+_ADDED, _TAKEN, _SWAPPED = _moves()
 
 
 class Model:
@@ -111,8 +123,7 @@ class Model:
         freq[int(self.counts.argmax())] += (1 << LOW_BITS) - int(freq.sum())
         self.low = np.zeros(self.n_ids + 1, np.int32)
         np.cumsum(freq, out=self.low[1:])
-        self.first = np.searchsorted(self.low, np.arange(0, (1 << LOW_BITS) + 1, 1 << JUMP_BITS), side="right") - 1
-        self.first = self.first.astype(np.int32)
+        self.first = None
         over = self.credit.sum(axis=1) > HALVE_AT
         self.credit[over] = (self.credit[over] + 1) >> 1
         share = self.credit / self.credit.sum(axis=1, keepdims=True)
@@ -125,6 +136,11 @@ class Model:
         self.bounds, self.scales = bounds.ravel(), scale.astype(np.int32)
         self.columns = [np.ascontiguousarray(bounds[:, k]) for k in range(1, PLAIN + 1)]
 
+    def _jumps(self) -> np.ndarray:
+        """The last id that begins at or before each multiple of 2**JUMP_BITS; only a decoder asks."""
+        up = (self.low + ((1 << JUMP_BITS) - 1)) >> JUMP_BITS
+        return (np.cumsum(np.bincount(up, minlength=(1 << (LOW_BITS - JUMP_BITS)) + 1)) - 1).astype(np.int32)
+
     def mixture(self, on: int) -> None:
         """The followers of the first lanes, and the classes that weigh them."""
         self.two.look(self.pair[:on])
@@ -168,6 +184,8 @@ class Model:
             np.copyto(ids, self.ids[k], where=self.place == k)
         where = np.flatnonzero(self.place == PLAIN)
         wanted = (value[where] - begin[where]) // self.scales[self.kind[where]]
+        if self.first is None:
+            self.first = self._jumps()
         jump = wanted >> JUMP_BITS
         found = self.first[jump]
         several = np.flatnonzero(found != self.first[jump + 1])
