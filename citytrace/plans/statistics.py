@@ -10,7 +10,8 @@ from citytrace.sources.sinks import write_summary
 
 
 def run_statistics(trips: DataFrame, zones: DataFrame, coords: DataFrame, out: str) -> DataFrame:
+    """Write the document and return it as written, so that later uses repeat no scan of the trips."""
     check_inputs({"trips": trips, "zones": zones})
     document = statistics_document(trips, zones, coords)
     write_summary(document, f"{out}/statistics")
-    return document
+    return trips.sparkSession.read.schema(document.schema).json(f"{out}/statistics")

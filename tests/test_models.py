@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from citytrace.functions import bins
 from citytrace.operators import anomaly, cluster, forecast, hulls, iforest, lookup, rules
+from citytrace.operators.stats import statistics_document
 from citytrace.plans.anomalies import AnomalyConfig, run_anomaly
 from citytrace.plans.clustering import run_clustering
 from citytrace.plans.forecasting import load_bundle, run_forecast
@@ -376,7 +377,8 @@ def test_sentences(spark):
 
 
 def test_statistics_job(spark, trips, zones, coords, tmp_path):
-    run_statistics(trips, zones, coords, str(tmp_path))
+    written = run_statistics(trips, zones, coords, str(tmp_path))
+    assert written.first() == statistics_document(trips, zones, coords).first()
     (part,) = (tmp_path / "statistics").glob("part-*.json")
     document = json.loads(part.read_text())
     assert document["total_no_of_trips"] == trips.count()
