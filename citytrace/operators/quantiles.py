@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citytrace.functions import numeric
 from citytrace.session import cut_lineage
 
 
@@ -102,7 +103,7 @@ def _ranked(counted: DataFrame, keys: list[str], probs: Mapping[str, float], cou
     def blend(name: str, p: float) -> Column:
         low, high, pos = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), position(p)
         return F.when(low == high, low).otherwise(
-            (F.ceil(pos) - pos) * low + (pos - F.floor(pos)) * high
+            numeric.weighted_sum(low, F.ceil(pos) - pos, high, pos - F.floor(pos))
         )
 
     return ends.select(

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +37,19 @@ def test_quantiles_match_numpy(spark, scale):
             assert got[k][name] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12)
 
 
+def test_blend_of_neighbours_is_rounded_once(spark):
+    """A flag compares with >=, so a threshold must not be a bit off that of the SQL."""
+    rng = np.random.default_rng(8)
+    starts = rng.random(400) * 900
+    data = [(k, float(v + i * np.spacing(v))) for k, v in enumerate(starts) for i in range(1 + k % 40)]
+    got = {r["k"]: r["q"] for r in exact_quantiles(spark.createDataFrame(data, "k int, v double"), ["k"], "v", {"q": 0.985}).collect()}
+    for k, v in enumerate(starts):
+        vs = [x for key, x in data if key == k]
+        pos = (len(vs) - 1) * 0.985
+        low, high, part = vs[math.floor(pos)], vs[math.ceil(pos)], pos - math.floor(pos)
+        assert got[k] == (low if low == high else math.fma(low, 1 - part, high * part))
+
+
 def test_stacked_quantiles(spark):
     df, data = skewed(spark)
     df = df.select(F.when(F.col("k") != "none", F.length("k")).alias("g"), F.col("v"), (F.col("v") * 2).alias("w"))
