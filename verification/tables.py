@@ -112,11 +112,10 @@ def written(spark: SparkSession, sf_dir: str, stage: str, make: Callable[[], Dat
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned trips in the processed schema, as the products read them.
 
-    Round-robin partitions stay even whatever the keys of the source tables are.
+    The removal of copies deals different rows by the hash of all their columns, so the files are even
+    whatever the keys of the source tables are.
     """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    make = lambda: clean_trips(raw_trips(spark, sf_dir)).repartition(partitions)
-    return written(spark, sf_dir, "trips", make)
+    return written(spark, sf_dir, "trips", lambda: clean_trips(raw_trips(spark, sf_dir)))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
