@@ -6,7 +6,7 @@ import datetime as dt
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citytrace.functions import bins, numeric, times
@@ -21,6 +21,11 @@ RULE_MAX_MILES = 30
 RULE_MAX_FARE = 1000
 
 
+def _once(**parts: Column) -> Column:
+    """Columns that are computed once a row: a filter on plain ones would compute them again in itself."""
+    return F.inline(F.array(F.struct(*[c.alias(name) for name, c in parts.items()])))
+
+
 def prepare_anomaly(df: DataFrame, max_minutes: float = MAX_ETA_MINUTES) -> DataFrame:
     """Typed trips with fractional minutes and calendar columns; unusable rows are dropped."""
     number = lambda name: F.col(name).try_cast("double")
@@ -29,8 +34,7 @@ def prepare_anomaly(df: DataFrame, max_minutes: float = MAX_ETA_MINUTES) -> Data
     typed = df.select(
         number("pickup_location_id").alias("source_id"),
         number("dropff_location_id").alias("destination_id"),
-        pickup.alias("pickup_timestamp"),
-        dropff.alias("_dropff"),
+        _once(pickup_timestamp=pickup, _dropff=dropff),
         number("trip_distance").alias("trip_distance_miles"),
         number("fare_amount").alias("fare_amount"),
     ).withColumn("eta_minutes", times.minutes_exact(F.col("pickup_timestamp"), F.col("_dropff")))
@@ -108,9 +112,9 @@ def prepare_forecast(df: DataFrame, months: tuple[int, int] = FORECAST_MONTHS) -
         times.is_weekend(day).alias("is_weekend"),
         times.month_no(day).alias("month"),
         F.col("fare_amount").cast("double").alias("fare_amount"),
-        times.minutes_boundary(pickup, dropff).alias("eta_minutes"),
-    )
-    return typed.where(
+        _once(_pickup=pickup, _dropff=dropff),
+    ).withColumn("eta_minutes", times.minutes_boundary(F.col("_pickup"), F.col("_dropff")))
+    kept = typed.where(
         (F.col("source_id") != F.col("destination_id"))
         & F.col("pickup_hour").between(0, 23)
         & (F.col("fare_amount") >= 0)
@@ -118,6 +122,7 @@ def prepare_forecast(df: DataFrame, months: tuple[int, int] = FORECAST_MONTHS) -
         & (F.col("eta_minutes") <= FORECAST_MAX_MINUTES)
         & F.col("month").between(*months)
     )
+    return kept.drop("_pickup", "_dropff")
 
 
 def prepare_rules(
