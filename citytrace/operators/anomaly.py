@@ -65,15 +65,15 @@ def fare_counts(df: DataFrame) -> DataFrame:
     return counts.withColumnsRenamed({"_v": "fare_amount", "_n": "trips"})
 
 
-def _fare_stats(df: DataFrame, keys: Sequence[str], prefix: str, count_as: str) -> DataFrame:
+def _fare_stats(df: DataFrame, keys: Sequence[str], prefix: str, count_as: str, folded: bool = False) -> DataFrame:
     """Count and quartiles of trips, or of a fare count table."""
     probs = {f"{prefix}_{name}": p for name, p in QUARTILES.items()}
     weight = "trips" if "trips" in df.columns else None
-    return exact_quantiles(df, keys, "fare_amount", probs, count_as, weight)
+    return exact_quantiles(df, keys, "fare_amount", probs, count_as, weight, folded)
 
 
 def context_stats(df: DataFrame) -> DataFrame:
-    return _fare_stats(df, CONTEXT_KEYS, "context", "context_trip_count")
+    return _fare_stats(df, CONTEXT_KEYS, "context", "context_trip_count", folded="trips" in df.columns)
 
 
 def route_stats(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citytrace.functions import bins, geo
+from citytrace.session import cut_lineage
 
 # Order of boroughs in the location catalogue.
 BOROUGH_ORDER = ("Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island", "EWR")
@@ -80,13 +81,15 @@ def attach_context(df: DataFrame, context: DataFrame, route: DataFrame, overall:
     """Fare statistics of a trip from its context, else its route, else all trips.
 
     The contexts of a route (48 at most: hours by weekend) are one map beside the route's own numbers,
-    so trips are joined once, on their route.
+    so trips are joined once, on their route. That table is written first (a Spark job): its size is
+    known when the join is planned, and trips travel only if it is too large for a broadcast.
     """
     keys, names = ["source_id", "destination_id"], ("fare_q1", "fare_median", "fare_q3", "trip_count")
     slot = F.col("pickup_hour").cast("int") * 2 + F.col("is_weekend").cast("int")
     entry = F.struct(slot.alias("slot"), F.struct(*[F.col(f"context_{n}").alias(n) for n in names]).alias("of"))
     contexts = context.where(slot.isNotNull()).groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_slots"))
-    joined = df.join(route.join(contexts, keys, "full"), keys, "left").withColumn("_slot", F.try_element_at("_slots", slot))
+    routes = cut_lineage(route.join(contexts, keys, "full"))
+    joined = df.join(routes, keys, "left").withColumn("_slot", F.try_element_at("_slots", slot))
     pick = lambda name, last: F.coalesce(F.col(f"_slot.{name}"), F.col(f"route_{name}"), F.col(f"_all.{last}"))
     filled = with_row(joined, overall, "_all").withColumns(
         {

@@ -174,7 +174,8 @@ def with_date_dim(spark, sf):
 def _stats(spark, sf):
     """Fare statistics of all trips, as the job takes them."""
     counts = written(spark, sf, "fare_counts", lambda: anomaly.fare_counts(_prepared(spark, sf)))
-    return [checked(make(counts)) for make in (anomaly.context_stats, anomaly.route_stats, anomaly.global_stats)]
+    table = lambda make: written(spark, sf, f"prepared_{make.__name__}", lambda: checked(make(counts)))
+    return [table(make) for make in (anomaly.context_stats, anomaly.route_stats, anomaly.global_stats)]
 
 
 def _prepared(spark, sf):
@@ -371,8 +372,16 @@ def _with_scores(features):
     )
 
 
+SCORED = (
+    "pickup_timestamp", "pickup_hour", *ENDS, "fare_amount", "trip_distance_miles", "eta_minutes", "speed_mph",
+    "fare_to_context_median_ratio", "context_fare_median", "context_median_fare", "context_iqr_fare",
+    *[score for _, score in anomaly.KINDS.values()],
+)
+
+
 def _scored(spark, sf):
-    return written(spark, sf, "scored", lambda: _with_scores(_features(spark, sf)))
+    """The columns that thresholds, flags and published rows take."""
+    return written(spark, sf, "scored", lambda: _with_scores(_features(spark, sf)).select(*SCORED))
 
 
 def _thresholds(spark, sf):
@@ -384,9 +393,9 @@ def _thresholds(spark, sf):
 
 
 def _flagged(spark, sf):
+    """Two comparisons a row beside the written scores, so the trips are not written once more."""
     speed, fare = _thresholds(spark, sf)
-    make = lambda: anomaly.flag_fare(anomaly.flag_speed(_scored(spark, sf), speed), fare)
-    return written(spark, sf, "flagged", make)
+    return anomaly.flag_fare(anomaly.flag_speed(_scored(spark, sf), speed), fare)
 
 
 @query
