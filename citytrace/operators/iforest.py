@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from citytrace.session import checkpoint_dir
 
@@ -29,6 +31,8 @@ MAX_SAMPLES = 120_000
 SEED = 42
 LEAF = 255  #: in place of a column, so at most 255 columns are handled
 FOREST_SCHEMA = "tree int, rows long, value binary, feature binary"
+ROWS = 1 << 18  #: rows that one reading of the forest scores
+CHUNK = 1 << 15  #: of them, rows that go down a tree side by side
 _UNIT = float(1 << 52)
 
 
@@ -55,13 +59,64 @@ def _depth_function():
 average_depth = _depth_function()
 
 
+def _draws(trees: int, seed: int):
+    """Rows of (_row, _twin, _share, inputs) as one row for each tree that draws them.
+
+    A draw is the low 52 bits of ``xxhash64(xxhash64(row, twin, seed), tree)``: the hash of the SQL function,
+    for all rows of a batch at once, as a lambda over the trees costs more than all else in the fit.
+    """
+    unit = _UNIT
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p1, p2, p3, p4, p5 = (
+            np.uint64(p)
+            for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+        )
+        word = np.uint64
+        turn = lambda x, by: (x << word(by)) | (x >> word(64 - by))
+
+        def mixed(h):
+            h = (h ^ (h >> word(33))) * p2
+            h = (h ^ (h >> word(29))) * p3
+            return h ^ (h >> word(32))
+
+        def of_long(value, start):
+            return mixed(turn((start + p5 + word(8)) ^ (turn(value * p2, 31) * p1), 27) * p1 + p4)
+
+        def of_int(value, start):
+            return mixed(turn((start + p5 + word(4)) ^ (np.array([value], np.uint64) * p1), 23) * p2 + p3)
+
+        numbers = lambda column: column.to_numpy().view(np.uint64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row = of_int(seed & 0xFFFFFFFF, of_long(numbers(batch.column(1)), numbers(batch.column(0))))
+            start = of_long(row, np.array([42], np.uint64))
+            least = word(min(np.ceil(batch.column(2)[0].as_py() * unit), unit))
+            picks, draws = [], []
+            for tree in range(trees):
+                draw = of_int(tree, start) & word((1 << 52) - 1)
+                picks.append(np.flatnonzero(draw < least))
+                draws.append(draw[picks[-1]])
+            at = np.concatenate(picks)
+            order = np.argsort(at, kind="stable")  # the inputs of a row stay together, which packs well
+            tree = np.repeat(np.arange(trees, dtype=np.int32), [len(p) for p in picks])[order]
+            draw = np.concatenate(draws)[order] / unit
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tree), pa.array(draw), *(c.take(pa.array(at[order])) for c in batch.columns[3:])],
+                names=["tree", "_draw", *batch.schema.names[3:]],
+            )
+
+    return run
+
+
 def fit_iforest(sample: DataFrame, cols: Sequence[str], config: ForestConfig = ForestConfig()) -> DataFrame:
     """Forest table of a training sample.
 
     Each (row, tree) pair draws a repeatable number; a tree keeps the ``max_samples`` rows with
     the smallest. A first cut with some slack happens before any pair becomes a row, so about
     ``trees * max_samples`` rows travel, however many rows are drawn from. A row is hashed once;
-    its draws are hashes of that number and the tree.
+    its draws are hashes of that number and the tree, made for a batch of rows at once.
     """
     cols = list(cols)
     if not 0 < len(cols) <= LEAF:
@@ -70,23 +125,20 @@ def fit_iforest(sample: DataFrame, cols: Sequence[str], config: ForestConfig = F
     psi = float(config.max_samples)
     slack = 6.0 * psi**0.5 + 16.0
     share = F.least(F.lit(1.0), F.try_divide(F.lit(psi + slack), counted))
-    draw = lambda tree: F.pmod(F.xxhash64("_row", tree), F.lit(1 << 52)) / _UNIT
-    # Equal rows are counted, and numbered so that each draws for itself.
-    trees = F.sequence(F.lit(0), F.lit(config.trees - 1))
+    inputs = [f"_f{k}" for k in range(len(cols))]
+    # Equal rows are counted, and numbered so that each draws for itself. A row travels as its hash and inputs.
+    rows = sample.select(
+        F.xxhash64(*sample.columns).alias("_row"), *[F.col(c).cast("float").alias(f) for c, f in zip(cols, inputs, strict=True)]
+    )
     drawn = (
-        sample.groupBy(*sample.columns)
+        rows.groupBy("_row", *inputs)
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_twin", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-        .select(
-            F.xxhash64(*sample.columns, "_twin", F.lit(config.seed)).alias("_row"),
-            *[F.col(c).cast("float").alias(f"_f{k}") for k, c in enumerate(cols)],
-        )
-        .withColumn("_share", share)
-        .withColumn("tree", F.explode(F.filter(trees, lambda tree: draw(tree) < F.col("_share"))))
-        .select("tree", draw(F.col("tree")).alias("_draw"), *[f"_f{k}" for k in range(len(cols))])
+        .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_twin"), *inputs)
+        .select("_row", "_twin", share.alias("_share"), *inputs)
+        .mapInArrow(_draws(config.trees, config.seed), f"tree int, _draw double, {', '.join(f'{f} float' for f in inputs)}")
     )
     limit, seed, unit_depth, leaf = config.max_samples, config.seed, average_depth, LEAF
-    features = [f"_f{k}" for k in range(len(cols))]
+    features = inputs
 
     def build(key, group):
         """A level at a time: the rows of a node are neighbours, so all its nodes are cut at once."""
@@ -190,26 +242,67 @@ def score_iforest(df: DataFrame, forest: DataFrame, cols: Sequence[str], out: st
 
 
 def _depth_sum(folder: str, files: list[str]):
-    leaf = LEAF
-
-    def depth_sum(*features: pd.Series) -> pd.Series:
-        """Depths over the trees in their order."""
+    leaf, most, step = LEAF, ROWS, CHUNK
+
+    def laid_out(raw: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        """Levels of a tree, its inner nodes as pairs (threshold, column) from 1 on, and the depths at its last level.
+
+        What a leaf above the last level is worth goes down to all places below it, so every row makes the
+        same number of steps. The low side of a node has the odd number of its two.
+        """
+        nodes = len(raw) // 5
+        value, feature = raw[: 4 * nodes].view("<f4"), raw[4 * nodes : 5 * nodes]
+        levels = (nodes + 1).bit_length() - 2
+        pairs = np.zeros((1 << levels, 2), np.int32)
+        ends, ended = value[:1], feature[:1] == leaf
+        for level in range(levels):
+            here, below = slice((1 << level) - 1, (2 << level) - 1), slice((2 << level) - 1, (4 << level) - 1)
+            pairs[1 << level : 2 << level, 0] = value[here][::-1].view(np.int32)
+            pairs[1 << level : 2 << level, 1] = np.where(ended, 0, feature[here])[::-1]
+            done = np.repeat(ended, 2)
+            ends = np.where(done, np.repeat(ends, 2), value[below])
+            ended = done | (feature[below] == leaf)
+        return levels, pairs.reshape(-1).view(np.int64), ends[::-1].astype(np.float64)
+
+    def summed(data: np.ndarray) -> np.ndarray:
+        """Depths over the trees in their order; each tree is read once for all rows."""
         from pyspark import SparkFiles
 
-        data = np.column_stack([f.to_numpy(dtype=np.float32) for f in features])
         total = np.zeros(len(data))
+        width = data.shape[1]
+        first = np.arange(min(len(data), step)) * width
+        place, node, pair = np.empty_like(first), np.empty_like(first), np.empty_like(first)
+        depth, x, low = np.empty(len(first)), np.empty(len(first), np.float32), np.empty(len(first), bool)
         for name in files:
             raw = np.memmap(f"{SparkFiles.get(folder)}/{name}" if folder else name, np.uint8, "r")
-            nodes = len(raw) // 5
-            value, feature = raw[: 4 * nodes].view("<f4"), raw[4 * nodes : 5 * nodes]
-            at = np.zeros(len(data), np.int32)
-            moving = np.arange(len(data) if feature[0] != leaf else 0)
-            while len(moving):
-                here = at[moving]
-                below = 2 * here + 2 - (data[moving, feature[here]] <= value[here])
-                at[moving] = below
-                moving = moving[feature[below] != leaf]
-            total += value[at]
-        return pd.Series(total)
-
-    return pandas_udf(depth_sum, "double")
+            levels, pairs, ends = laid_out(raw)
+            for start in range(0, len(data), step):
+                part = data[start : start + step].reshape(-1)
+                n = len(part) // width
+                at, held, node_ = place[:n], pair[:n], node[:n]
+                cut, column = held.view(np.float32).reshape(-1, 2)[:, 0], held.view(np.int32).reshape(-1, 2)[:, 1]
+                at[:] = 1
+                for _ in range(levels):
+                    pairs.take(at, out=held, mode="clip")
+                    np.add(first[:n], column, out=node_)
+                    part.take(node_, out=x[:n], mode="clip")
+                    np.less_equal(x[:n], cut, out=low[:n])
+                    np.left_shift(at, 1, out=at)
+                    np.add(at, low[:n], out=at)
+                at -= 1 << levels
+                ends.take(at, out=depth[:n], mode="clip")
+                total[start : start + n] += depth[:n]
+        return total
+
+    def depth_sum(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        held, rows = [], 0
+        for features in batches:
+            held.append(np.column_stack([f.to_numpy(dtype=np.float32) for f in features]))
+            rows += len(held[-1])
+            if rows >= most:
+                yield pd.Series(summed(np.concatenate(held)))
+                held, rows = [], 0
+        if rows:
+            yield pd.Series(summed(np.concatenate(held)))
+
+    return pandas_udf(depth_sum, DoubleType())

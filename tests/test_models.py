@@ -1,6 +1,7 @@
 import json
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -429,3 +430,45 @@ def test_a_failed_load_leaves_the_former_table(spark):
     sinks.restore_table(spark, "kept")
     assert rows(spark.table("kept")) == [(3,), (4,)]
     spark.sql("DROP TABLE kept")
+
+def test_forest_files_are_read_once_for_many_batches(tmp_path, monkeypatch):
+    trees = [(0, 5.0, (1, 2.0, 1.0, 3.0), 4.0), 2.5, (1, 0.0, 6.0, (0, 9.0, 7.0, (1, 1.0, 8.0, 9.0)))]
+    files = []
+    for k, tree in enumerate(trees):
+        value, feature = iforest.heap(tree)
+        (tmp_path / str(k)).write_bytes(value + feature + b"\n")
+        files.append(str(tmp_path / str(k)))
+    opened, real = [], np.memmap
+    monkeypatch.setattr(np, "memmap", lambda name, *rest: opened.append(name) or real(name, *rest))
+    rng = np.random.default_rng(3)
+    data = rng.integers(-2, 12, (4000, 2)).astype(np.float32)
+    data[::7, 0], data[::11, 1] = np.nan, np.inf
+    batches = [tuple(pd.Series(part[:, k]) for k in range(2)) for part in np.split(data, 40)]
+    found = np.concatenate(list(iforest._depth_sum("", files).func(iter(batches))))
+
+    def walk(tree, row):
+        while isinstance(tree, tuple):
+            tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    assert found.tolist() == [sum(walk(t, row) for t in trees) for row in data]
+    assert opened == files
+
+
+def test_forest_draws_are_the_hashes_of_sql(spark):
+    rows = spark.range(-300, 300).select(
+        F.xxhash64("id").alias("_row"), (F.col("id") % 3 + 1).alias("_twin"), F.lit(0.3).alias("_share"),
+        F.col("id").cast("float").alias("_f0"),
+    )
+    found = rows.mapInArrow(iforest._draws(7, 42), "tree int, _draw double, _f0 float")
+    # What xxhash64 of (id, twin, seed) and of (row, tree) gives, as the draws are defined.
+    drawn = F.pmod(F.xxhash64("_r", "tree"), F.lit(1 << 52)) / float(1 << 52)
+    wanted = (
+        spark.range(-300, 300)
+        .select("id", F.xxhash64("id", F.col("id") % 3 + 1, F.lit(42)).alias("_r"))
+        .select("id", "_r", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("tree"))
+        .select("tree", drawn.alias("_draw"), F.col("id").cast("float").alias("_f0"))
+        .where("_draw < 0.3")
+    )
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert wanted.count() > 1000
