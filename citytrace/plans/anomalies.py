@@ -42,7 +42,7 @@ def run_anomaly(
     config: AnomalyConfig = AnomalyConfig(),
     forests: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """The whole product. All trips are scored in one pass; what follows reads the written flags.
+    """The whole product. All trips are scored in one pass; what follows reads the written scores.
 
     ``forests`` are those of an earlier run (``models/speed`` and ``models/fare``), in place of new ones.
     """
@@ -60,7 +60,9 @@ def run_anomaly(
     stats = {name: spark.read.parquet(f"{out}/bundle/{name}") for name in stats}
     tables = [stats[f"{name}_stats"] for name in ("context", "route", "global")]
 
-    features = cut_lineage(anomaly.anomaly_features(prepared, *tables, fills=stats["fill_medians"]))
+    features = anomaly.anomaly_features(prepared, *tables, fills=stats["fill_medians"])
+    if not forests:  # two fits and the scoring read them; given forests only score
+        features = cut_lineage(features)
     check_inputs({"training rows": features})
     # Only the rows of each tree are drawn, from all trips: that is the algorithm, not a cut of it.
     forests = forests or {
@@ -76,9 +78,8 @@ def run_anomaly(
     }
     save_tables(thresholds, f"{out}/bundle")
     thresholds = {name: spark.read.parquet(f"{out}/bundle/{name}") for name in thresholds}
-    flagged = cut_lineage(
-        anomaly.flag_fare(anomaly.flag_speed(scored, thresholds["speed_thresholds"]), thresholds["fare_thresholds"])
-    )
+    # Two comparisons a row beside the written scores, so the trips are not written once more.
+    flagged = anomaly.flag_fare(anomaly.flag_speed(scored, thresholds["speed_thresholds"]), thresholds["fare_thresholds"])
     rows = {}
     for kind in anomaly.KINDS:
         write_rows(anomaly.anomaly_rows(flagged, kind, zones), f"{out}/outputs/{kind}", "parquet")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from citytrace.functions import bins
 from citytrace.operators import anomaly, cluster, forecast, hulls, iforest, lookup, rules
 from citytrace.operators.stats import statistics_document
+from citytrace.plans import anomalies
 from citytrace.plans.anomalies import AnomalyConfig, run_anomaly
 from citytrace.plans.clustering import run_clustering
 from citytrace.plans.forecasting import load_bundle, run_forecast
@@ -472,3 +473,13 @@ def test_forest_draws_are_the_hashes_of_sql(spark):
     )
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
     assert wanted.count() > 1000
+
+
+def test_given_forests_write_trips_once(spark, trips, zones, tmp_path, monkeypatch):
+    values, columns = iforest.heap((0, 20.0, 3.0, (2, 10.0, 1.0, 2.0)))
+    forest = spark.createDataFrame([(0, 256, values, columns)], iforest.FOREST_SCHEMA)
+    written = []
+    monkeypatch.setattr(anomalies, "cut_lineage", lambda df: written.append(df.columns) or cut_lineage(df))
+    result = run_anomaly(trips, zones, str(tmp_path), forests={"speed": forest, "fare": forest})
+    assert len(written) == 3  # prepared trips, fare counts and scores; neither features nor flags
+    assert result["summary"].first()["total_valid_records"] == result["flagged"].count()
