@@ -13,6 +13,7 @@ from citytrace.operators import prepare
 from citytrace.operators.boosting import BoostConfig, Boosted, fit_boosted
 from citytrace.operators.lookup import attach_route_prior, route_distance
 from citytrace.operators.quantiles import exact_quantiles
+from citytrace.session import cut_lineage
 
 TRAIN_MONTHS = (1, 9)
 TEST_MONTHS = (10, 11)
@@ -119,6 +120,8 @@ def fit_eta(train_features: DataFrame, fare_model: Boosted, config: BoostConfig
     stacked = predict_fare(train_features, fare_model, "predicted_fare_feature").withColumn(
         "_label", F.log1p(numeric.clip(F.col("avg_eta_minutes"), 0.0, upper))
     )
+    # The fit reads its inputs several times; the fare model's trees are walked once.
+    stacked = cut_lineage(stacked.select(*ETA_FEATURES, "trip_count", "_label"))
     return fit_boosted(stacked, ETA_FEATURES, "_label", "trip_count", config, "squared")
 
 

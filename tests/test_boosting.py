@@ -99,3 +99,22 @@ def test_split_gain_has_the_l2_term():
     assert (feature, cut, g, h, rows) == (0, 0, 4.0, 2.0, 2.0)
     assert gain == pytest.approx(16 / 2.5 + 9 / 1.5 - 1 / 3.5)
     assert boosting.best_split(sums, 2, 0.5) is None
+
+
+def test_fits_read_written_inputs(spark, sf_dir, monkeypatch):
+    """Both fits scan a table: no join and no fare model is repeated in their passes."""
+    from citytrace.operators import forecast
+    from verification import catalog
+
+    plans = []
+
+    def fit(df, features, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return Boosted(tuple(features), 1.0, [])
+
+    monkeypatch.setattr(forecast, "fit_boosted", fit)
+    monkeypatch.setattr("verification.tables._WRITTEN", {})
+    catalog._bundle(spark, sf_dir)
+    assert len(plans) == 2
+    for plan in plans:
+        assert "Scan parquet" in plan and "Join" not in plan and "ArrowEvalPython" not in plan

@@ -584,9 +584,11 @@ def request_features(spark, sf):
 
 def _bundle(spark, sf):
     train, test, prior, overall = _forecast_frames(spark, sf)
+    # Both fits read the training rows a dozen times, so their joins are done once, as in the job.
+    rows = written(spark, sf, "train_features", lambda: train)
     of = lambda name, features, fit: Boosted.of_frame(written(spark, sf, name, lambda: fit().frame(spark)), features)
-    fare = of("fare_model", forecast.FEATURES, lambda: forecast.fit_fare(train, FARE_BOOST))
-    eta = of("eta_model", forecast.ETA_FEATURES, lambda: forecast.fit_eta(train, fare, ETA_BOOST))
+    fare = of("fare_model", forecast.FEATURES, lambda: forecast.fit_fare(rows, FARE_BOOST))
+    eta = of("eta_model", forecast.ETA_FEATURES, lambda: forecast.fit_eta(rows, fare, ETA_BOOST))
     return forecast.Bundle(fare, eta, prior, overall, coords(spark, sf)), test
 
 
