@@ -22,7 +22,8 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -61,45 +62,52 @@ LOW_WORD = np.uint64((1 << 32) - 1)
 class Followers:
     """For each context the ids that followed it most, with a count each, the largest first.
 
-    An id and its count share one number: id * (TOP_COUNT + 1) + count. An id that is not among them
-    takes one off the counts, and the place of the last if that has none left.
+    An id and its count share one number: id * (TOP_COUNT + 1) + count; the numbers of both places share
+    one word, the first in its lower half. An id that is not among them takes one off the counts, and the
+    place of the last if that has none left.
     """
 
     def __init__(self, contexts: int) -> None:
-        self.tables = [np.zeros(contexts, np.int32) for _ in range(SLOTS)]
+        self.table = np.zeros(contexts, np.int64)
 
     def look(self, context: np.ndarray) -> None:
         self.context = context
-        self.seen = [table[context] for table in self.tables]
-        self.ids = [seen >> COUNT_BITS for seen in self.seen]
-        self.counts = [seen & TOP_COUNT for seen in self.seen]
+        self.seen = self.table.take(context, mode="clip")
+        both = [self.seen.astype(np.int32), (self.seen >> 32).astype(np.int32)]
+        self.ids = [seen >> COUNT_BITS for seen in both]
+        self.counts = [seen & TOP_COUNT for seen in both]
 
     def learn(self, ids: np.ndarray) -> None:
-        (first, second), (count, other) = self.seen, self.counts
-        key = ((count << COUNT_BITS) + other) * 3 + (self.ids[0] == ids)
-        key += (self.ids[1] == ids) * np.int32(2)
-        first, second = first + _ADDED[0][key], second + _ADDED[1][key]
-        np.copyto(second, (ids << COUNT_BITS) + 1, where=_TAKEN[key])
-        swap = _SWAPPED[key]
-        self.tables[0][self.context] = np.where(swap, second, first)
-        self.tables[1][self.context] = np.where(swap, first, second)
-
-
-def _moves() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By both counts and the hit (0 none, 1 the first, 2 the second): what the counts gain, whether the id takes
-    the second place, and whether the places are swapped."""
+        count, other = self.counts
+        key = ((count << COUNT_BITS) + other) * np.int32(3)
+        key += self.ids[0] == ids
+        key += (self.ids[1] == ids).view(np.int8) << 1
+        new = _KEPT.take(key, mode="clip")
+        new &= self.seen
+        new += _ADDED.take(key, mode="clip")
+        new += (ids.astype(np.int64) << (32 + COUNT_BITS)) & _TAKEN.take(key, mode="clip")
+        self.table[self.context] = np.where(_SWAPPED.take(key, mode="clip"), (new >> 32) | (new << 32), new)
+
+
+def _moves() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By both counts and the hit (0 none, 1 the first, 2 the second), for words of both places: the bits that are
+    kept, what is added, the bits that the id takes if the second place is its own now, and whether the places
+    are swapped."""
     levels = np.arange(TOP_COUNT + 1)
     first, second, hit = (a.ravel() for a in np.meshgrid(levels, levels, np.arange(3), indexing="ij"))
     counts = np.stack((first, second))
     hits = np.stack((hit == 1, hit == 2))
     added = (hits & (counts < TOP_COUNT)).astype(np.int32) - ((hit == 0) & (counts > 0))
     taken = (hit == 0) & (second == 0)
-    after = counts + added
-    after[1][taken] = 1
-    return added.astype(np.int32), taken, after[1] > after[0]
+    added[1][taken] = 1  # to a place that is emptied
+    after = np.where(taken, added, counts + added)
+    swapped = after[1] > counts[0] + added[0]
+    upper, every = np.int64(-1) << 32, np.int64(-1)
+    gained = added[0].astype(np.int64) + (added[1].astype(np.int64) << 32)
+    return np.where(taken, ~upper, every), gained, np.where(taken, upper, np.int64(0)), swapped
 
 
-_ADDED, _TAKEN, _SWAPPED = _moves()
+_KEPT, _ADDED, _TAKEN, _SWAPPED = _moves()
 
 
 class Model:
@@ -110,14 +118,19 @@ class Model:
         self.counts = np.ones(n_ids, np.int64)
         self.two, self.one = Followers(1 << PAIR_BITS), Followers(n_ids)
         self.credit = np.tile(np.array([2] * PLAIN + [8], np.int64), (N_CLASSES, 1))
-        self.last = np.zeros(lanes, np.int32)
-        self.pair = np.zeros(lanes, np.int32)
+        self.last, self.pair = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.step = 0
         self.refresh = 1
+        self.seen: list[tuple[np.ndarray, np.ndarray]] = []  # ids and cells of the steps that are not summed up
         self._sum_up()
 
     def _sum_up(self) -> None:
         """Order-0 frequencies with a sum of 2**LOW_BITS, one at least, and the weights of the classes."""
+        if self.seen:
+            ids, cells = map(np.concatenate, zip(*self.seen, strict=True))
+            self.counts += 24 * np.bincount(ids, minlength=self.n_ids)
+            self.credit += 4 * np.bincount(cells, minlength=self.credit.size).reshape(self.credit.shape)
+            self.seen = []
         total = int(self.counts.sum())
         freq = self.counts * ((1 << LOW_BITS) - self.n_ids) // total + 1
         freq[int(self.counts.argmax())] += (1 << LOW_BITS) - int(freq.sum())
@@ -149,25 +162,25 @@ class Model:
         two, one = self.two.counts, self.one.counts
         agree = self.two.ids[0] == self.one.ids[0]
         kind = (two[0] * (TOP_COUNT + 1) + one[0]) * 2 + agree
-        self.kind = (kind * 3 + np.minimum(two[1], 2)) * 3 + np.minimum(one[1], 2)
+        self.kind = ((kind * 3 + np.minimum(two[1], 2)) * 3 + np.minimum(one[1], 2)).astype(np.int64)
 
     def _order_0(self, where: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
         """Begins and widths of the lanes that no follower names."""
-        low, scale = self.low[ids], self.scales[self.kind[where]]
+        low, scale = self.low.take(ids, mode="clip"), self.scales.take(self.kind[where], mode="clip")
         begin[where] += low * scale
-        size[where] = (self.low[ids + 1] - low) * scale
+        size[where] = (self.low.take(ids + 1, mode="clip") - low) * scale
 
     def _named(self) -> tuple[np.ndarray, np.ndarray]:
         """Begin and width of the followers at the places; at the last place the begin of order 0."""
         self.cell = self.kind * (PLAIN + 1) + self.place
-        begin = self.bounds[self.cell]
-        return begin, self.bounds[np.minimum(self.cell + 1, len(self.bounds) - 1)] - begin
+        begin = self.bounds.take(self.cell, mode="clip")
+        return begin, self.bounds.take(self.cell + 1, mode="clip") - begin  # no width at the last place
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and width of each id: those of the first follower that names it, else of order 0."""
         self.place = np.full(len(ids), PLAIN, np.int32)
         for k in range(PLAIN - 1, -1, -1):
-            self.place[self.ids[k] == ids] = k
+            np.copyto(self.place, k, where=self.ids[k] == ids)
         begin, size = self._named()
         where = np.flatnonzero(self.place == PLAIN)
         self._order_0(where, ids[where], begin, size)
@@ -177,7 +190,7 @@ class Model:
         """The id of each lane whose interval holds the value, and the interval."""
         self.place = np.zeros(len(value), np.int32)
         for column in self.columns:
-            self.place += value >= column[self.kind]
+            self.place += value >= column.take(self.kind, mode="clip")
         begin, size = self._named()
         ids = np.empty(len(value), np.int32)
         for k in range(PLAIN):
@@ -197,12 +210,12 @@ class Model:
     def learn(self, ids: np.ndarray) -> None:
         """Update from the ids of one step, those of the first lanes; their places are known."""
         on = len(ids)
-        self.credit += 4 * np.bincount(self.cell, minlength=self.credit.size).reshape(self.credit.shape)
+        self.seen.append((ids, self.cell))
         self.two.learn(ids)
         self.one.learn(ids)
-        np.add.at(self.counts, ids, 24)
-        self.pair[:on] = ((self.last[:on].astype(np.int64) * 40503) ^ (ids.astype(np.int64) * 30011)) & ((1 << PAIR_BITS) - 1)
-        self.last[:on] = ids
+        last = self.last[:on]
+        self.pair[:on] = ((last * 40503) ^ (ids * np.int64(30011))) & ((1 << PAIR_BITS) - 1)
+        last[:] = ids
         self.step += 1
         if self.step >= self.refresh:
             self._sum_up()
@@ -345,6 +358,26 @@ _LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
 LINE_WORDS = 256  #: plain words that the tokenizer sees at once
 
 
+def _split(data: bytes, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The pieces of data that end at the places."""
+    offsets = np.concatenate((np.zeros(1, np.int64), ends))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _joined(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words and the length of each."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(words) + 1, 8 * words.offset)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], np.diff(offsets)
+
+
+def _laid_out(ids: np.ndarray, sizes: np.ndarray, places: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words at the places in a row, and where each word ends."""
+    of_words = _split(ids.astype("<u4").tobytes(), 4 * np.cumsum(sizes))
+    data, lengths = _joined(of_words.take(places))
+    return data.view("<u4"), np.cumsum(lengths) // 4
+
+
 class WordIds:
     """Ids of white-space separated words as bytes, from the tokenizers library.
 
@@ -409,17 +442,22 @@ class WordIds:
             raise ValueError("words and ends of words differ")
         return ids, np.diff(ends, prepend=0)
 
+    def _distinct_bodies(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words that may be equal, as words that differ in their mark are."""
+        words = _split(data.tobytes(), np.cumsum(lengths)).dictionary_encode()
+        ids, sizes = self._bodies(*_joined(words.dictionary))
+        found, upto = _laid_out(ids, sizes, words.indices)
+        return found, np.diff(upto, prepend=0)
+
     def ids_of(self, words: pa.LargeBinaryArray, end_id: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Ids of distinct words, each with a space behind it, how many each has, and the place of the word ``\\n``."""
-        _, offsets, data = words.buffers()
-        offsets = np.frombuffer(offsets, np.int64, len(words) + 1, 8 * words.offset)
-        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].copy()
-        begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0] - 1
-        plain, marks = self._plain(data, begins, ends)
-        data[ends[marks >= 0] - 1] = ord(" ")
+        data, lengths = _joined(words)
+        ends = np.cumsum(lengths) - 1
+        plain, marks = self._plain(data, ends + 1 - lengths, ends)
         marked = plain & (marks >= 0)
-        lengths = ends + 1 - begins
-        body_ids, body_sizes = self._bodies(data[np.repeat(plain, lengths)], lengths[plain])
+        of_bodies = np.repeat(plain, lengths)
+        of_bodies[ends[marked] - 1] = False
+        body_ids, body_sizes = self._distinct_bodies(data[of_bodies], (lengths - marked)[plain])
 
         odd = np.flatnonzero(~plain)
         texts = [words[k].as_py()[:-1] for k in odd.tolist()]
@@ -450,20 +488,10 @@ class WordIds:
         """
         if not data:
             return np.zeros(0, "<u4"), []
-        spaces = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
-        offsets = np.zeros(len(spaces) + 1, np.int64)
-        offsets[1:] = spaces + 1
-        words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(spaces), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
-        ).dictionary_encode()
+        words = _split(data, np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1).dictionary_encode()
         flat, sizes, last = self.ids_of(words.dictionary, end_id)
-        begins = np.cumsum(sizes) - sizes
-        places = words.indices.to_numpy()
-        lengths = sizes[places]
-        ends = np.cumsum(lengths)
-        at = np.repeat((begins[places] - ends + lengths).astype(np.int32), lengths)
-        at += np.arange(len(at), dtype=np.int32)
-        return flat[at], ends[places == last].tolist()
+        ids, ends = _laid_out(flat, sizes, words.indices)
+        return ids, ends[words.indices.to_numpy() == last].tolist()
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -480,8 +508,8 @@ def _chunks(text: str) -> Iterator[bytes]:
     yield data[at:]
 
 
-def tokenised(texts: list[str | None], path: str, end_id: int) -> Iterator[np.ndarray]:
-    """Ids of each whole text with the end id; null is empty.
+def tokenised(texts: Iterable[str | None], path: str, end_id: int) -> Iterator[np.ndarray]:
+    """Ids of each whole text with the end id; null is empty. Texts are taken as far as a chunk of words reaches.
 
     Texts with the mark of a special token, or for a tokenizer that is not word by word, go through
     the tokenizer whole.
@@ -557,22 +585,31 @@ def write_token_files(
             lengths.clear()
             return pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], names=["record"])
 
-        for batch in batches:
-            number = batch.column(0).to_pylist()
-            for doc, ids in zip(number, tokenised(batch.column(1).to_pylist(), tokenizer, end_id), strict=True):
-                at = 0
-                while True:
-                    piece = ids[at : at + block_ids - size]
-                    held.append(piece)
-                    docs_held.append(doc)
-                    lengths.append(len(piece))
-                    size += len(piece)
-                    at += len(piece)
-                    if size >= block_ids:
-                        yield flush()
-                        size, goes_on = 0, at < len(ids)
-                    if at >= len(ids):
-                        break
+        number: deque[int | None] = deque()  # of the texts whose words are waiting
+
+        def texts() -> Iterator[str | None]:
+            """The texts of all batches: a word is encoded once for a chunk, and a batch is a small part of one."""
+            for batch in batches:
+                number.extend(batch.column(0).to_pylist())
+                yield from batch.column(1).to_pylist()
+
+        for ids in tokenised(texts(), tokenizer, end_id):
+            doc = number.popleft()
+            at = 0
+            while True:
+                piece = ids[at : at + block_ids - size]
+                held.append(piece)
+                docs_held.append(doc)
+                lengths.append(len(piece))
+                size += len(piece)
+                at += len(piece)
+                if size >= block_ids:
+                    yield flush()
+                    size, goes_on = 0, at < len(ids)
+                if at >= len(ids):
+                    break
+        if number:
+            raise ValueError("texts and documents differ")
         if docs_held:
             yield flush()
 

@@ -365,3 +365,18 @@ def test_parts_of_a_paragraph_find_their_original(spark):
     df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
     found = {r["turn"]: (r["parent_turn"], r["thread_turn"]) for r in quotes.reply_ordered(df).collect()}
     assert found == {0: (None, 0), 1: (None, 1), 2: (1, 1), 3: (1, 1), 4: (None, 4), 5: (2, 1), 6: (1, 1)}
+
+
+def test_a_word_is_encoded_once_for_all_batches(monkeypatch):
+    """Texts of several Arrow batches make one chunk: the words are told apart once, and marks don't matter."""
+    import pyarrow as pa
+
+    seen = []
+    bodies = rangecoder.WordIds._bodies
+    monkeypatch.setattr(rangecoder.WordIds, "_bodies", lambda self, data, lengths: seen.append(len(lengths)) or bodies(self, data, lengths))
+    batches = [["one two, three"], ["two one. three;"], ["three two"]]
+    texts = (t for batch in batches for t in pa.array(batch).to_pylist())
+    found = list(rangecoder.tokenised(texts, TOKENIZER, 2))
+    assert len(found) == 3 and seen == [3]
+    for text, ids in zip(sum(batches, []), found, strict=True):
+        assert ids.tolist() == [*rangecoder.WordIds(TOKENIZER).tokenizer.encode(text, add_special_tokens=False).ids, 2]
