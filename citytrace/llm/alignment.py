@@ -10,9 +10,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -24,10 +24,11 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from .shared import field, saved, small_batches
 
-CACHE_WORDS = 400_000  #: distinct words whose ids a worker keeps, for each tokenizer
+CACHE_WORDS = 800_000  #: distinct words whose ids a worker keeps, for each tokenizer
 COMMON_PAIRS = 1 << 20  #: pairs whose counts travel to the tasks; all others are joined
 BIN_STEPS = 8  #: bins of counts to a doubling, where the common pairs are cut off
 LINE = 256  #: words that are encoded in one line
+SINGLY = 4  #: ends of a run that are compared one by one, as most runs are short
 SPACE = "▁"
 
 
@@ -54,15 +55,31 @@ class WordCache:
         met = {word: self.old[word] for word in unknown if word in self.old}
         self.new.update(met)
         missing = list(unknown.difference(met))
-        for word, ids in zip(missing, self.encode(missing), strict=True):
-            if b"".join(map(self.token_bytes.__getitem__, ids)) != word.encode("utf-8", "surrogatepass"):
-                self.inexact.add(word)
-            self.new[word] = array("i", ids).tobytes()
+        found = list(self.encode(missing))
+        if not self._give_back(missing, found):
+            for word, ids in zip(missing, found, strict=True):
+                if b"".join(map(self.token_bytes.__getitem__, ids)) != word.encode("utf-8", "surrogatepass"):
+                    self.inexact.add(word)
+        packed = np.fromiter(chain.from_iterable(found), np.int32).tobytes()
+        ends = list(accumulate([4 * len(ids) for ids in found]))
+        self.new.update(zip(missing, (packed[s:e] for s, e in zip([0, *ends], ends, strict=False)), strict=True))
         exact = [not self.inexact or self.inexact.isdisjoint(words) for words in texts]
         found = [b"".join(map(self.new.__getitem__, words)) if ok else None for words, ok in zip(texts, exact, strict=True)]
         return [None if ids is None else np.frombuffer(ids, np.int32) for ids in found]
 
 
+    def _give_back(self, words: list[str], found: list[list[int]]) -> bool:
+        """Whether the ids of all words give their bytes, looked at together; only where they don't is each one tried."""
+        pieces = list(map(self.token_bytes.__getitem__, chain.from_iterable(found)))
+        data = "".join(words).encode("utf-8", "surrogatepass")
+        if b"".join(pieces) != data:
+            return False
+        # Equal as a whole; they are equal word by word if both are cut at the same bytes.
+        ends = np.cumsum([0, *map(len, pieces)])[np.cumsum([0, *map(len, found)])]
+        starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)  # of characters
+        return np.array_equal(ends, np.append(starts, len(data))[np.cumsum([0, *map(len, words)])])
+
+
 def split_or_whole(
     texts: list[str], split: list[list[str] | None], cache: WordCache, whole
 ) -> Iterator[tuple[np.ndarray, bool]]:
@@ -178,8 +195,12 @@ def loaded(kind: type, *setup):
 
 
 def matching_stretch(ends_a: list[int], ends_b: list[int], i: int, j: int) -> int:
-    """How many ends from (i, j) on agree one by one: stretches double until one differs, then halve."""
-    n, step = 0, 1
+    """How many ends from (i, j) on agree one by one: a few singly, then stretches double until one differs, and halve."""
+    n, step = 0, SINGLY
+    for x, y in zip(ends_a[i : i + SINGLY], ends_b[j : j + SINGLY], strict=False):
+        if x != y:
+            return n
+        n += 1
     while True:
         one = ends_a[i + n : i + n + step]
         if not one:

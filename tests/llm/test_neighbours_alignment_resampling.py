@@ -286,3 +286,24 @@ def test_ranks_over_several_ranges(spark):
     got = [(r["score"], r["id"]) for r in sorted(found.collect(), key=lambda r: r["rank"])]
     assert len(keys) == 3 and got == sorted([(s, i) for i, s in rows], key=lambda r: (-r[0], r[1]))
     assert sorted(r["rank"] for r in found.collect()) == list(range(1, 1003))
+
+
+def test_words_are_proven_together():
+    """Ids whose bytes are right as a whole but cut at other places are found out word by word."""
+    token_bytes = [b" ab", b"c", b" a", b"bc", " ß".encode(), b" d"]
+    right = {" abc": [0, 1], " ß": [4], " d": [5]}
+    tried = []
+
+    class Bytes(list):
+        def __getitem__(self, k):
+            tried.append(k)
+            return super().__getitem__(k)
+
+    cache = alignment.WordCache(lambda words: [right[w] for w in words], Bytes(token_bytes))
+    assert [ids.tolist() for ids in cache.ids([[" abc", " ß"], [" d", " abc"]])] == [[0, 1, 4], [5, 0, 1]]
+    assert sorted(tried) == [0, 1, 4, 5]  # each id once: no word was tried by itself
+    shifted = {" ab": [2], "bc": []}  # both lack bytes
+    cache = alignment.WordCache(lambda words: [shifted[w] for w in words], token_bytes)
+    assert cache.ids([[" ab"], ["bc"]]) == [None, None]
+    cache = alignment.WordCache(lambda words: [{" ab": [0, 1], "c": []}[w] for w in words], token_bytes)
+    assert cache.ids([[" ab"], ["c"]]) == [None, None]
