@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
@@ -323,61 +322,49 @@ def find_spans(
     item_id: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
+    cut: bool = False,
 ) -> DataFrame:
     """Each input row as ``row`` with n_words, spans (first word, word after the last) and items.
 
+    With ``cut`` also kept_text, the text without its spans; null where it has none. Spans are cut in the
+    pass that finds them: a second pass in Python would keep a second worker beside it on every core.
+
     Null and empty texts have no words; null items and texts of items hold no phrase. Repeated rows
-    of either table change nothing. Phrases are searched in blocks, so no more than one block is held
-    by a task at a time.
+    of either table change nothing. Phrases are searched in blocks, in a worker of its own each.
     """
+    kept = [field("kept_text", docs.schema[text].dataType)] if cut else []
     added = StructType(
-        [field("n_words", LongType()), field("spans", ArrayType(SPAN)), field("items", ArrayType(LongType()))]
+        [field("n_words", LongType()), field("spans", ArrayType(SPAN)), field("items", ArrayType(LongType())), *kept]
     )
     context = docs.sparkSession.sparkContext
     result = None
     for items in _blocks(benchmark, item_id, item_text):
         phrases = context.broadcast(Phrases(items, window))
 
-        def make(phrases=phrases) -> Callable:
-            def columns(texts: list[str | None]) -> list:
+        def make(phrases=phrases, first=result is None) -> Callable:
+            def columns(given: list) -> list:
+                texts = given if first else [g["text"] for g in given]
                 found = search_texts(texts, phrases.value)
-                spans = [[{"first": a, "after": b} for a, b in spans] for _, spans, _ in found]
-                return [[n for n, _, _ in found], spans, [items for _, _, items in found]]
+                spans, named = [s for _, s, _ in found], [n for _, _, n in found]
+                if not first:  # what the earlier blocks found
+                    spans = [_merge(s + [(x["first"], x["after"]) for x in g["spans"]]) for s, g in zip(spans, given, strict=True)]
+                    named = [sorted({*n, *g["items"]}) for n, g in zip(named, given, strict=True)]
+                shown = [[{"first": a, "after": b} for a, b in s] for s in spans]
+                texts_left = [without_spans(t, s) if s else None for t, s in zip(texts, spans, strict=True)] if cut else None
+                return [[n for n, _, _ in found], shown, named, *([texts_left] if cut else [])]
 
             return columns
 
         if result is None:
             result = with_columns_from_text(docs, text, added, make)
             continue
-        # Further blocks carry what the earlier ones found in the row, beside the input row.
-        carried = with_columns_from_text(
-            result.select("row", "n_words", "spans", "items", F.col(f"row.`{text}`").alias("of_text")), "of_text", added, make
-        )
-        result = carried.select(
-            "row.row", "n_words", _merged_spans("row.spans", "spans").alias("spans"),
-            F.array_sort(F.array_union("row.items", "items")).alias("items"),
-        )
+        # Further blocks carry the input row, and what the earlier ones found beside its text.
+        given = F.struct(F.col(f"row.`{text}`").alias("text"), "spans", "items").alias("given")
+        carried = with_columns_from_text(result.select("row", given), "given", added, make)
+        result = carried.select("row.row", *added.names)
     return result
 
 
-def _merged_spans(left: str, right: str):
-    """Two lists of spans as one list of disjoint spans in order."""
-    ordered = F.array_sort(F.concat(left, right))
-
-    def step(acc, span):
-        joins = (F.size(acc) > 0) & (span["first"] <= F.try_element_at(acc, F.lit(-1))["after"])
-        grown = F.struct(
-            F.try_element_at(acc, F.lit(-1))["first"].alias("first"),
-            F.greatest(F.try_element_at(acc, F.lit(-1))["after"], span["after"]).alias("after"),
-        )
-        return F.when(joins, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(
-            F.concat(acc, F.array(span))
-        )
-
-    empty = F.array().cast(ArrayType(SPAN))
-    return F.aggregate(ordered, empty, step)
-
-
 def digest(items: list[int]) -> str:
     """sha256 of the ids, sorted as strings and joined by commas."""
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
@@ -388,28 +375,16 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", wi
 
     A column ``n_chars`` follows the text where the input has one.
     """
-    found = find_spans(docs, benchmark, text, window=window)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, spans = batch.column(0).field(place).to_pylist(), batch.column(1).to_pylist()
-            kept = [
-                without_spans(t, [(s["first"], s["after"]) for s in found]) if t is not None and found else t
-                for t, found in zip(texts, spans, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["row", "kept_text"])
-
-    place = docs.columns.index(text)
-    schema = StructType([found.schema["row"], field("kept_text", docs.schema[text].dataType)])
-    clean = found.select("row", "spans").mapInArrow(cut, schema)
+    found = find_spans(docs, benchmark, text, window=window, cut=True)
+    whole = F.col(f"row.`{text}`")
+    left = F.when(F.size("spans") > 0, F.col("kept_text")).otherwise(whole)
 
     def column(name: str):
         if name == text:
-            return F.col("kept_text").alias(name)
+            return left.alias(name)
         if name == "n_chars":
-            changed = ~F.col("kept_text").eqNullSafe(F.col(f"row.`{text}`"))
-            length = F.length("kept_text").cast(docs.schema[name].dataType)
-            return F.when(changed, length).otherwise(F.col("row.n_chars")).alias(name)
+            length = F.length(left).cast(docs.schema[name].dataType)
+            return F.when(~left.eqNullSafe(whole), length).otherwise(F.col("row.n_chars")).alias(name)
         return F.col(f"row.`{name}`").alias(name)
 
-    return clean.select(*[column(name) for name in docs.columns])
+    return found.select(*[column(name) for name in docs.columns])

@@ -43,7 +43,7 @@ BLOCK_IDS = 1 << 20
 LANES = 4096
 STEPS_PER_LANE = 128  #: a record has at least so many steps, as far as its ids reach
 SHARD_BYTES = 32 << 20  #: text of a shard file, about
-CHUNK_BYTES = 1 << 24  #: text whose words are told apart at once, about
+CHUNK_BYTES = 1 << 23  #: text whose words are told apart at once, about
 
 TOTAL_BITS = 28
 LOW_BITS = 22
@@ -355,7 +355,8 @@ def unpack_records(data: bytes) -> Iterator[tuple[list[int | None], list[int], b
 _MARKS = b".,;:!?"
 _FIRST, _SECOND, _NO_LETTER = 0xC3, (0x9F, 0xBF), 0xB7
 _LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
-LINE_WORDS = 256  #: plain words that the tokenizer sees at once
+LINE_WORDS = 256  #: plain words of a line for the tokenizer
+LINES_AT_ONCE = 32  #: the tokenizer's results are large next to the ids, so few lines are held at a time
 
 
 def _split(data: bytes, ends: np.ndarray) -> pa.LargeBinaryArray:
@@ -435,8 +436,12 @@ class WordIds:
         text = self.shown[data].tobytes().decode("utf-32-le")
         cuts = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)[LINE_WORDS - 1 :: LINE_WORDS], [len(data)])).tolist()
         lines = [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        found = [e.ids for e in self.model.encode_batch_fast(lines, add_special_tokens=False)]
-        ids = np.fromiter(chain.from_iterable(found), "<u4", sum(map(len, found)))
+        found = [
+            np.array(encoded.ids, "<u4")
+            for at in range(0, len(lines), LINES_AT_ONCE)
+            for encoded in self.model.encode_batch_fast(lines[at : at + LINES_AT_ONCE], add_special_tokens=False)
+        ]
+        ids = np.concatenate(found)
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(lengths):
             raise ValueError("words and ends of words differ")

@@ -72,6 +72,22 @@ def test_spans_of_odd_documents(spark, odd_docs, no_docs, monkeypatch):
     assert fmindex.find_spans(odd_docs, bench.limit(0)).filter("size(spans) > 0").count() == 0
 
 
+def test_spans_are_cut_in_the_pass_that_finds_them(spark, odd_docs, monkeypatch):
+    """A second pass in Python keeps a second worker on every core, which later steps fill as well."""
+    long = " ".join(f"n{i}" for i in range(14))
+    items = [(1, "n0 n1 n2 n3 n4 n5 n6 n7 n8 n9"), (2, "n4 n5 n6 n7 n8 n9 n10 n11 n12 n13"), (3, "w5x w6x w7x")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = odd_docs.union(odd_docs.limit(1).withColumn("doc_id", F.lit(20)).withColumn("text", F.lit(f"a {long}, b")))
+    told = []
+    for chars, passes in ((1 << 24, 1), (20, 4)):
+        monkeypatch.setattr(fmindex, "BLOCK_CHARS", chars)
+        clean = fmindex.decontaminated(docs, bench)
+        assert clean._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == passes
+        told.append(sorted(map(str, clean.collect())))
+        assert {r["doc_id"]: r["text"] for r in clean.collect()}[20] == "a , b"
+    assert told[0] == told[1]
+
+
 def test_cutting_keeps_the_rest():
     assert fmindex.without_spans("É, one-two THREE four.", [(1, 3), (4, 5)]) == "É,  THREE ."
     assert fmindex.digest([10, 9]) == fmindex.digest([9, 10])

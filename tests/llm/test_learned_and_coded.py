@@ -282,6 +282,24 @@ def test_words_have_the_tokenizers_ids():
         assert ids.tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, 2]
 
 
+def test_tokenizer_sees_a_few_lines_at_once(monkeypatch):
+    """Its results are many times as large as the ids, so those of a whole chunk are never held."""
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}q" for i in range(9000))]
+    tokenizer, seen = Tokenizer.from_file(TOKENIZER), []
+    list(rangecoder.tokenised(["a"], TOKENIZER, 2))
+
+    class Counted:
+        def encode_batch_fast(self, lines, **how):
+            seen.append(len(lines))
+            return inner.encode_batch_fast(lines, **how)
+
+    inner = rangecoder._WORDS[TOKENIZER].model
+    monkeypatch.setattr(rangecoder._WORDS[TOKENIZER], "model", Counted())
+    (ids,) = rangecoder.tokenised(texts, TOKENIZER, 2)
+    assert ids.tolist() == [*tokenizer.encode(texts[0], add_special_tokens=False).ids, 2]
+    assert sum(seen) == -(-9000 // rangecoder.LINE_WORDS) and max(seen) <= 32
+
+
 def plain_index(rows):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     start, found = 0, []
