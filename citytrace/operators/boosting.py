@@ -1,8 +1,8 @@
 """Gradient-boosted regression trees over histograms, fitted on a distributed table.
 
-Features are cut into at most 256 bins once. Each level of a tree is one job: tasks route their rows to
-the open nodes and add up gradients per node, feature and bin; the sums of a node meet in one group, which
-answers with the best split. The driver sees splits only, never rows or histograms. Trees grow by the
+Features are cut into at most 256 bins once, and the binned rows stay with the tasks as arrays, next to
+their predictions so far. Each level of a tree is one job: tasks route their rows to the open nodes and add
+up gradients per node, feature and bin; the sums of a node meet in one group, which answers with the best split. The driver sees splits only, never rows or histograms. Trees grow by the
 largest gain first up to a number of leaves. For the absolute loss a leaf takes the weighted median of its
 residuals, found by two passes of slot weights.
 """
@@ -16,20 +16,21 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import RDD, StorageLevel
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from citytrace.session import cut_lineage
+from citytrace.session import checkpoint_dir, cut_lineage
 
-WRITE_EVERY = 10  #: rounds after which the predictions so far are written, so a lost task repeats few trees
+WRITE_EVERY = 50  #: rounds after which the rows are written, so a lost task repeats few trees
+BLOCK_ROWS = 1 << 18  #: rows that a task works on at once, about
 SLOTS = 4096  #: slots of a residual range in one pass; two passes tell values apart at a part in 16 million
 LEAST_HESSIAN = 1e-3
 LEAST_PROGRESS = 1e-7
 TREE_SCHEMA = (
     "tree int, base double, feature array<int>, threshold array<double>, left array<int>, right array<int>, value array<double>"
 )
-_SPLITS = "node int, feature int, bin int, gain double, rows double, g double, h double, g_left double, h_left double, rows_left double"
 
 
 @dataclass(frozen=True)
@@ -160,13 +161,33 @@ def binned(df: DataFrame, features: Sequence[str], label: str, weight: str, edge
     return narrow.mapInArrow(run, "bins binary, y double, w double, raw double, valid boolean")
 
 
-def _rows(batch: pa.RecordBatch, pending: list[Tree], features: int) -> tuple[np.ndarray, ...]:
-    """Bins, y, w, predictions with the trees that are not written yet, and the held-out mark."""
-    cells = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, features)
-    y, w, raw, valid = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(1, 5))
-    for tree in pending:
-        raw = raw + np.array(tree.value)[tree.place(cells, tree.bin)]
-    return cells, y, w, raw, valid.astype(bool)
+def _blocks(data: DataFrame, n_features: int) -> RDD:
+    """Blocks of at most about BLOCK_ROWS rows: bins, y, w, predictions so far and the held-out mark as arrays."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = b"".join(batch.column(0).to_pylist())
+            rest = [np.ascontiguousarray(batch.column(k).to_numpy(zero_copy_only=False)).tobytes() for k in range(1, 5)]
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in (cells, *rest)], names=names)
+
+    def joined(rows: Iterator[Row]) -> Iterator[tuple[np.ndarray, ...]]:
+        held, n = [], 0
+        for row in rows:
+            cells = np.frombuffer(row[0], np.uint8).reshape(-1, n_features)
+            held.append((cells, *(np.frombuffer(v, np.float64) for v in row[1:4]), np.frombuffer(row[4], bool)))
+            n += len(cells)
+            if n >= BLOCK_ROWS:
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
+                held, n = [], 0
+        if held:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+    names = ["bins", "y", "w", "raw", "valid"]
+    narrow, tasks = data.select(*names), data.sparkSession.sparkContext.defaultParallelism
+    if narrow.rdd.getNumPartitions() < tasks:
+        narrow = narrow.repartition(tasks)
+    rows = narrow.mapInArrow(packed, ", ".join(f"{name} binary" for name in names))
+    return rows.rdd.mapPartitions(joined).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _gradient(loss: str, raw: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -190,51 +211,45 @@ def best_split(sums: np.ndarray, min_leaf: int, l2: float) -> tuple[int, int, fl
 
 
 def _level(
-    data: DataFrame, pending: list[Tree], tree: Tree, open_nodes: list[int], loss: str, config: BoostConfig, n_features: int
-) -> dict[int, dict]:
-    """The best split of every open node, and at the root the held-out loss under the key -1."""
+    rows: RDD, tree: Tree, open_nodes: list[int], loss: str, config: BoostConfig, n_features: int
+) -> tuple[dict[int, dict], float | None]:
+    """The best split of every open node, and at the root the held-out loss."""
     bins = 256
     slot = np.full(len(tree.feature), -1)
     slot[open_nodes] = np.arange(len(open_nodes))
     at_root = open_nodes == [0]
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, len(open_nodes) * n_features * bins))
+    def sums(blocks: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[int, np.ndarray]]:
+        total = np.zeros((3, n_features, len(open_nodes) * bins))
         lost = np.zeros(2)
-        for batch in batches:
-            cells, y, w, raw, valid = _rows(batch, pending, n_features)
+        for cells, y, w, raw, valid in blocks:
             if at_root and valid.any():
                 error = raw[valid] - y[valid]
                 lost += (w[valid] * (error * error if loss == "squared" else np.abs(error))).sum(), w[valid].sum()
             where = slot[tree.place(cells, tree.bin)]
             used = ~valid & (where >= 0)
-            g = w[used] * _gradient(loss, raw[used], y[used])
+            first, inside, weight = where[used] * bins, cells[used], w[used]
+            g = weight * _gradient(loss, raw[used], y[used])
             for feature in range(n_features):
-                place = (where[used] * n_features + feature) * bins + cells[used, feature]
-                for k, worth in enumerate((g, w[used], None)):
-                    total[k] += np.bincount(place, worth, total.shape[1])
-        packed = total.reshape(3, len(open_nodes), -1).transpose(1, 2, 0)
-        nodes, parts = list(open_nodes), [np.ascontiguousarray(p).tobytes() for p in packed]
+                place = first + inside[:, feature]
+                for k, worth in enumerate((g, weight, None)):
+                    total[k, feature] += np.bincount(place, worth, total.shape[2])
         if at_root:
-            nodes, parts = [*nodes, -1], [*parts, lost.tobytes()]
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int32()), pa.array(parts, pa.binary())], names=["node", "sums"])
-
-    def best(key: tuple, parts: pa.Table) -> pa.Table:
-        node = key[0].as_py()
-        total = np.sum([np.frombuffer(p, np.float64) for p in parts.column("sums").to_pylist()], axis=0)
-        if node == -1:
-            row = (node, -1, -1, 0.0, 0.0, total[0], total[1], 0.0, 0.0, 0.0)
-        else:
-            cube = total.reshape(n_features, bins, 3)
-            g, h, rows = cube[0].sum(axis=0)
-            found = best_split(cube, config.min_leaf, config.l2) or (-1, -1, 0.0, 0.0, 0.0, 0.0)
-            row = (node, *found[:3], rows, g, h, *found[3:])
-        names = [part.split()[0] for part in _SPLITS.split(", ")]
-        kinds = [pa.int32()] * 3 + [pa.float64()] * 7
-        return pa.Table.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
+            yield -1, lost
+        cubes = total.reshape(3, n_features, len(open_nodes), bins).transpose(2, 1, 3, 0)
+        yield from ((node, np.ascontiguousarray(cube)) for node, cube in zip(open_nodes, cubes, strict=True))
 
-    found = data.mapInArrow(sums, "node int, sums binary").groupBy("node").applyInArrow(best, _SPLITS)
-    return {r["node"]: r.asDict() for r in found.collect()}
+    def best(total: np.ndarray) -> dict | float | None:
+        if total.ndim == 1:
+            return float(total[0] / total[1]) if total[1] else None
+        g, h, _ = total[0].sum(axis=0)
+        found = best_split(total, config.min_leaf, config.l2) or (-1, -1, 0.0, 0.0, 0.0, 0.0)
+        names = ("feature", "bin", "gain", "g_left", "h_left")
+        return dict(zip(names, found, strict=False), g=float(g), h=float(h))
+
+    parts = max(1, min(len(open_nodes), rows.getNumPartitions()))
+    found = dict(rows.mapPartitions(sums).reduceByKey(np.add, parts).mapValues(best).collect())
+    return {node: split for node, split in found.items() if node >= 0}, found.get(-1)
 
 
 def _chosen(splits: dict[int, dict], children: dict[int, tuple[int, int]], leaves: int) -> set[int]:
@@ -253,17 +268,13 @@ def _chosen(splits: dict[int, dict], children: dict[int, tuple[int, int]], leave
     return chosen
 
 
-def _grown(
-    data: DataFrame, pending: list[Tree], edges: list[np.ndarray], loss: str, config: BoostConfig
-) -> tuple[Tree, float | None]:
+def _grown(rows: RDD, edges: list[np.ndarray], loss: str, config: BoostConfig) -> tuple[Tree, float | None]:
     """A tree with Newton leaves, and the held-out loss before it."""
     wide, splits, children, depth = Tree.root(), {}, {}, {0: 0}
     open_nodes, held_out = [0], None
     while open_nodes:
-        found = _level(data, pending, wide, open_nodes, loss, config, len(edges))
-        if -1 in found:
-            lost = found.pop(-1)
-            held_out = lost["g"] / lost["h"] if lost["h"] else None
+        found, lost = _level(rows, wide, open_nodes, loss, config, len(edges))
+        held_out = lost if open_nodes == [0] else held_out
         splits |= found
         chosen = _chosen(splits, children, config.leaves)
         fresh = [n for n in open_nodes if n in chosen]
@@ -291,21 +302,18 @@ def _grown(
     return tree, held_out
 
 
-def _medians(data: DataFrame, pending: list[Tree], tree: Tree, low: float, high: float, n_features: int) -> dict[int, float]:
+def _medians(rows: RDD, tree: Tree, low: float, high: float) -> dict[int, float]:
     """The weighted lower median of the residuals in each leaf, all of which lie between low and high."""
     span = max(high - low, 1e-12)
     first = span / SLOTS
-    wanted: dict[int, int] = {}
-    before: dict[int, float] = {}
-    total: dict[int, float] = {}
+    found: dict[int, tuple] = {}
     for last in (False, True):
-        chosen = np.array([wanted.get(n, -1) for n in range(len(tree.feature))])
+        chosen = np.array([found[n][1] if n in found else -1 for n in range(len(tree.feature))])
 
-        def weights(batches: Iterator[pa.RecordBatch], last=last, chosen=chosen) -> Iterator[pa.RecordBatch]:
+        def weights(blocks: Iterator[tuple[np.ndarray, ...]], last=last, chosen=chosen) -> Iterator[tuple[int, np.ndarray]]:
             size = len(tree.feature) * SLOTS
             held, most = np.zeros(size), np.full(size, -np.inf)
-            for batch in batches:
-                cells, y, w, raw, valid = _rows(batch, pending, n_features)
+            for cells, y, w, raw, valid in blocks:
                 leaf = tree.place(cells, tree.bin)
                 far = (y - raw - low) / first
                 slot = np.clip(np.floor(far).astype(np.int64), 0, SLOTS - 1)
@@ -316,24 +324,24 @@ def _medians(data: DataFrame, pending: list[Tree], tree: Tree, low: float, high:
                 place = leaf[used] * SLOTS + slot[used]
                 held += np.bincount(place, w[used], size)
                 np.maximum.at(most, place, (y - raw)[used])
-            places = np.flatnonzero(held)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(places), pa.array(held[places]), pa.array(most[places])], names=["place", "weight", "most"]
-            )
-
-        sums = data.mapInArrow(weights, "place long, weight double, most double").groupBy("place")
-        found = sums.agg(F.sum("weight").alias("weight"), F.max("most").alias("most")).toPandas().sort_values("place")
-        found["leaf"], found["slot"] = found["place"] // SLOTS, found["place"] % SLOTS
-        out: dict[int, float] = {}
-        for leaf, part in found.groupby("leaf"):
-            running = before.get(leaf, 0.0) + part["weight"].cumsum().to_numpy()
-            total.setdefault(leaf, float(running[-1]))
-            at = min(int(np.searchsorted(running, total[leaf] / 2)), len(part) - 1)
-            out[leaf] = float(part["most"].iloc[at])
-            if not last:
-                before[leaf] = float(running[at] - part["weight"].iloc[at])
-                wanted[leaf] = int(part["slot"].iloc[at])
-    return out
+            both = np.stack((held, most)).reshape(2, -1, SLOTS)
+            yield from ((int(n), both[:, n].copy()) for n in np.flatnonzero(both[0].any(axis=1)))
+
+        def middle(item: tuple[int, np.ndarray], found=found) -> tuple[int, tuple[float, int, float, float]]:
+            leaf, (held, most) = item
+            filled = np.flatnonzero(held)
+            _, _, before, total = found.get(leaf, (0.0, 0, 0.0, None))
+            running = before + held[filled].cumsum()
+            total = float(running[-1]) if total is None else total
+            at = min(int(np.searchsorted(running, total / 2)), len(filled) - 1)
+            slot = int(filled[at])
+            return leaf, (float(most[slot]), slot, float(running[at] - held[slot]), total)
+
+        merged = lambda a, b: np.stack((a[0] + b[0], np.maximum(a[1], b[1])))
+        leaves = sum(f < 0 for f in tree.feature)
+        parts = max(1, min(leaves, rows.getNumPartitions()))
+        found = dict(rows.mapPartitions(weights).reduceByKey(merged, parts).map(middle).collect())
+    return {leaf: value for leaf, (value, *_) in found.items()}
 
 
 def fit_boosted(
@@ -355,41 +363,48 @@ def fit_boosted(
     if seen["low"] is None:
         return Boosted(tuple(features), 0.0, [])
     n_features, low, high = len(features), seen["low"], seen["high"]
+    rows, former = _blocks(data, n_features), None
     base = seen["mean"]
     if loss == "absolute":
-        base = _medians(data, [], Tree.root(), low, high, n_features)[0]
-    data = data.withColumn("raw", F.lit(base))
-    trees, pending = [], []
+        base = _medians(rows, Tree.root(), low, high)[0]
+    start = Tree.root()
+    start.value[0] = base
+    rows, former = _advanced(rows, start), rows
+    trees = []
     raw_low = raw_high = base
     best, stale = np.inf, 0
     for _ in range(config.rounds):
-        tree, held_out = _grown(data, pending, edges, loss, config)
+        tree, held_out = _grown(rows, edges, loss, config)
+        former.unpersist()
         if config.patience and held_out is not None:
             stale = 0 if held_out < best - LEAST_PROGRESS else stale + 1
             best = min(best, held_out)
             if stale >= config.patience:
                 break
         if loss == "absolute":
-            medians = _medians(data, pending, tree, low - raw_high, high - raw_low, n_features)
+            medians = _medians(rows, tree, low - raw_high, high - raw_low)
             for leaf, value in medians.items():
                 tree.value[leaf] = config.rate * value
         leaf_values = [v for v, f in zip(tree.value, tree.feature, strict=True) if f < 0]
         raw_low, raw_high = raw_low + min(leaf_values), raw_high + max(leaf_values)
         trees.append(tree)
-        pending = [*pending, tree]
         if len(tree.feature) == 1:
             break
-        if len(pending) == WRITE_EVERY:
-            data, pending = cut_lineage(_advanced(data, pending, n_features)), []
+        rows, former = _advanced(rows, tree), rows
+        if len(trees) % WRITE_EVERY == 0:
+            checkpoint_dir(df.sparkSession)
+            rows.checkpoint()
+    former.unpersist()
+    rows.unpersist()
     return Boosted(tuple(features), float(base), trees)
 
 
-def _advanced(data: DataFrame, pending: list[Tree], n_features: int) -> DataFrame:
-    """The rows with the predictions that the pending trees add."""
+def _advanced(rows: RDD, tree: Tree) -> RDD:
+    """The rows with the predictions that a tree adds."""
+    value = np.array(tree.value)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = _rows(batch, pending, n_features)[3]
-            yield batch.set_column(3, "raw", pa.array(raw))
+    def run(block: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        cells, y, w, raw, valid = block
+        return cells, y, w, raw + value[tree.place(cells, tree.bin)], valid
 
-    return data.select("bins", "y", "w", "raw", "valid").mapInArrow(run, "bins binary, y double, w double, raw double, valid boolean")
+    return rows.map(run).persist(StorageLevel.MEMORY_AND_DISK)

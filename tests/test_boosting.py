@@ -118,3 +118,34 @@ def test_fits_read_written_inputs(spark, sf_dir, monkeypatch):
     assert len(plans) == 2
     for plan in plans:
         assert "Scan parquet" in plan and "Join" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_queries_fit_the_published_models(spark, sf_dir, monkeypatch):
+    from citytrace.operators import forecast
+    from verification import catalog
+
+    configs = []
+
+    def fit(df, features, label, weight, config, loss):
+        configs.append((config.rounds, config.depth, config.min_leaf, config.patience))
+        return Boosted(tuple(features), 1.0, [])
+
+    monkeypatch.setattr(forecast, "fit_boosted", fit)
+    monkeypatch.setattr("verification.tables._WRITTEN", {})
+    catalog._bundle(spark, sf_dir)
+    assert configs == [(500, 8, 40, 10), (450, 10, 30, 10)]
+
+
+def test_medians_of_rows_in_several_blocks(spark, monkeypatch):
+    """A leaf whose rows lie in many blocks and tasks has the weighted median of all of them."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 20)
+    df, x, y, w = table(spark, 300, 3)
+    config = BoostConfig(rounds=2, depth=3, min_leaf=5, rate=0.3, leaves=5, patience=0)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "8")
+    try:
+        model = fit_boosted(df, ["a", "b", "c"], "y", "w", config, "absolute")
+    finally:
+        spark.conf.set(size, before)
+    assert np.allclose(predictions(df, model), plain_boosted(x, y, w, config, "absolute"), atol=1e-5)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,9 +48,6 @@ REGISTRY: dict[str, Query] = {}
 WINDOW = (dt.date(1996, 3, 1), dt.date(1999, 8, 31))
 HOURS = (7, 21)
 ENDS = ["source_id", "destination_id"]
-# Published depth, leaves, bins and L2 term; fewer rounds, each of them a dozen Spark jobs.
-FARE_BOOST = replace(forecast.FARE_BOOST, rounds=4)
-ETA_BOOST = replace(forecast.ETA_BOOST, rounds=4)
 
 
 def query(make: Query) -> Query:
@@ -587,8 +583,8 @@ def _bundle(spark, sf):
     # Both fits read the training rows a dozen times, so their joins are done once, as in the job.
     rows = written(spark, sf, "train_features", lambda: train)
     of = lambda name, features, fit: Boosted.of_frame(written(spark, sf, name, lambda: fit().frame(spark)), features)
-    fare = of("fare_model", forecast.FEATURES, lambda: forecast.fit_fare(rows, FARE_BOOST))
-    eta = of("eta_model", forecast.ETA_FEATURES, lambda: forecast.fit_eta(rows, fare, ETA_BOOST))
+    fare = of("fare_model", forecast.FEATURES, lambda: forecast.fit_fare(rows))
+    eta = of("eta_model", forecast.ETA_FEATURES, lambda: forecast.fit_eta(rows, fare))
     return forecast.Bundle(fare, eta, prior, overall, coords(spark, sf)), test
 
 
