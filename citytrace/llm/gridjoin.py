@@ -1,27 +1,39 @@
 """Embedding near-duplicates by an epsilon grid order join.
 
 Vectors are normalised, turned to their principal dimensions and sorted by the grid cells (of width
-epsilon) on the leading ones. The sorted sequence is cut into intervals of bounded size; pairs of
-intervals are joined recursively, and any two pieces whose boxes are farther apart than epsilon are
-skipped. Equal vectors are one class from the start.
+epsilon) on the leading ones. The sorted sequence lies in chunks, a file of the shared folder each, and
+is cut into intervals and pieces of bounded size. A task reads the two files of a pair of chunks; any two
+chunks, intervals or pieces whose boxes are farther apart than epsilon are skipped. So a vector is dealt
+out and written once, however many intervals it meets. Equal vectors of an interval are one class.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, FloatType, IntegerType, LongType, StructType
 
-from .shared import component_roots, saved
+from .shared import component_roots, field, saved
 
 LEADING = 4  #: principal dimensions whose cells give the order
 INTERVAL = 4096  #: vectors of an interval, at most
-LEAF = 128  #: vectors of a piece that is compared outright
+LEAF = 512  #: vectors of a piece that is compared outright
 TURNED = 2048  #: leading columns that are turned to their axes; the covariance of these comes to the driver
-PAIRS_A_TASK = 8  #: pairs of intervals that a task compares, about, where there are many
+CHUNK_BYTES = 1 << 25  #: of a chunk's vectors as doubles, about
+CHUNKS_A_TASK = 32  #: chunks that a task compares with one of them, at most
+MOST_TASKS = 1 << 14  #: tasks of the comparison, at most
+PAIRS_HELD = 1 << 19  #: linked pairs that are held before they are counted, about
+COARSE = 1e-5  #: more than the error of a sum of single-precision products
+EQUAL = 1e-24  #: squared distance of equal vectors whose turned values differ by rounding, at most
+PART_BITS, DIMS_BITS = 28, 48  #: a class's number: its place in the chunk, above it the chunk, above that the vectors' length
 SLACK = 1e-9
 
 
@@ -61,36 +73,6 @@ def principal_axes(classes: DataFrame, dims: int) -> np.ndarray:
     return np.ascontiguousarray(axes[:, ::-1])
 
 
-def _apart(low: np.ndarray, high: np.ndarray, low2: np.ndarray, high2: np.ndarray, epsilon: float) -> bool:
-    gap = np.maximum(0, np.maximum(low - high2, low2 - high))
-    return float((gap * gap).sum()) > (epsilon + SLACK) ** 2
-
-
-def join_pieces(a: np.ndarray, b: np.ndarray, same: bool, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i in a, j in b) of pairs with cosine >= limit; within one sequence each pair once.
-
-    Sequences in grid order are halved until they are small; halves whose boxes are too far apart
-    are skipped.
-    """
-    epsilon = np.sqrt(max(0.0, 2 - 2 * limit))
-    stack = [(0, len(a), 0, len(b))]
-    while stack:
-        s, e, s2, e2 = stack.pop()
-        if s >= e or s2 >= e2 or (same and s2 < s):
-            continue
-        x, y = a[s:e], b[s2:e2]
-        if _apart(x.min(axis=0), x.max(axis=0), y.min(axis=0), y.max(axis=0), epsilon):
-            continue
-        if e - s <= LEAF and e2 - s2 <= LEAF:
-            found = x @ y.T >= limit - SLACK
-            i, j = np.nonzero(np.triu(found, 1) if same and s == s2 else found)
-            if len(i):
-                yield i + s, j + s2
-            continue
-        m, m2 = (s + e) // 2 if e - s > LEAF else e, (s2 + e2) // 2 if e2 - s2 > LEAF else e2
-        stack += [(p, q, p2, q2) for p, q in ((s, m), (m, e)) for p2, q2 in ((s2, m2), (m2, e2))]
-
-
 def _lists(x: np.ndarray) -> pa.Array:
     offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.ravel()))
@@ -113,6 +95,94 @@ def _unite(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             roots = further
 
 
+class Chunk(NamedTuple):
+    """A file's classes in grid order: the first one's number, members of each, vectors, their heads, starts of pieces and boxes."""
+
+    first: int
+    sizes: np.ndarray
+    x: np.ndarray
+    heads: np.ndarray
+    starts: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
+def _heads(x: np.ndarray) -> np.ndarray:
+    """Leading dimensions and the length of the rest: products of two heads are cosines or more."""
+    n = max(16, x.shape[1] // 4)
+    rest = np.sqrt(np.einsum("ij,ij->i", x[:, n:], x[:, n:]))
+    return np.concatenate((x[:, :n], rest[:, None]), axis=1).astype(np.float32)
+
+
+def _near(low: np.ndarray, high: np.ndarray, low2: np.ndarray, high2: np.ndarray, epsilon: float) -> np.ndarray:
+    """Which boxes of two lists are within epsilon, a row for each box of the first."""
+    out = np.empty((len(low), len(low2)), bool)
+    for k in range(len(low)):
+        gap = np.maximum(0, np.maximum(low[k] - high2, low2 - high[k]))
+        out[k] = np.einsum("ij,ij->i", gap, gap) <= (epsilon + SLACK) ** 2
+    return out
+
+
+def _cut(first: int, sizes: np.ndarray, x: np.ndarray) -> Chunk:
+    starts = np.arange(0, len(x), LEAF)
+    return Chunk(first, sizes, x, _heads(x), starts, np.minimum.reduceat(x, starts), np.maximum.reduceat(x, starts))
+
+
+def join_chunks(a: Chunk, b: Chunk, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i in a, j in b) of pairs with cosine >= limit; within one chunk each pair once."""
+    same = a is b
+    for k, l in zip(*np.nonzero(_near(a.low, a.high, b.low, b.high, np.sqrt(max(0.0, 2 - 2 * limit)))), strict=True):
+        if same and l < k:
+            continue
+        s, s2 = a.starts[k], b.starts[l]
+        x, y = a.x[s : s + LEAF], b.x[s2 : s2 + LEAF]
+        found = a.heads[s : s + LEAF] @ b.heads[s2 : s2 + LEAF].T >= np.float32(limit - COARSE)
+        if np.count_nonzero(found) > found.size // 64:
+            found = x @ y.T >= limit - SLACK
+        i, j = np.nonzero(np.triu(found, 1) if same and k == l else found)
+        for at in range(0, len(i), LEAF * 16):
+            p, q = i[at : at + LEAF * 16], j[at : at + LEAF * 16]
+            left, right = x[p], y[q]
+            # Equal vectors link at any limit; they are two classes where they lie in two intervals.
+            exact = ((left * right).sum(axis=1) >= limit) | (((left - right) ** 2).sum(axis=1) < EQUAL)
+            if exact.any():
+                yield p[exact] + s, q[exact] + s2
+
+
+def _links(a: Chunk, b: Chunk, limit: float) -> pa.RecordBatch:
+    """(class, other, n) of a pair of chunks: counts where other is null, else a forest of its links."""
+    offset = 0 if a is b else len(a.x)
+    sizes = a.sizes if a is b else np.concatenate((a.sizes, b.sizes))
+    names = np.arange(len(a.x)) + a.first
+    names = names if a is b else np.concatenate((names, np.arange(len(b.x)) + b.first))
+    counts, roots = np.zeros(len(names), np.int64), np.arange(len(names))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def settled(roots: np.ndarray) -> np.ndarray:
+        p, q = (np.concatenate(side) for side in zip(*held, strict=True))
+        np.add.at(counts, p, sizes[q])
+        np.add.at(counts, q, sizes[p])
+        held.clear()
+        return _unite(roots, p, q)
+
+    for p, q in join_chunks(a, b, limit):
+        held.append((p, q + offset))
+        if sum(len(p) for p, _ in held) >= PAIRS_HELD:
+            roots = settled(roots)
+    if held:
+        roots = settled(roots)
+    told, tied = np.flatnonzero(counts), np.flatnonzero(roots != np.arange(len(roots)))
+    other = np.concatenate((np.full(len(told), -1), names[roots[tied]]))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate((names[told], names[tied]))),
+            pa.array(other, mask=other < 0),
+            pa.array(np.concatenate((counts[told], np.zeros(len(tied), np.int64)))),
+        ],
+        names=["class", "other", "n"],
+    )
+
+
 def near_duplicates(
     vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", limit: float = 0.95
 ) -> DataFrame:
@@ -121,159 +191,159 @@ def near_duplicates(
     Null, empty and zero vectors and those with null or non-finite components link with nothing.
     Vectors of different lengths don't link. Rows with equal vectors link with each other, repeated
     ids included; ids are expected to tell rows apart, and rows of one id are one member each.
+    The table is read several times.
     """
     number, values = F.col(f"`{vec_id}`"), F.col(f"`{embedding}`")
     finite = F.forall(values, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) != float("inf")), F.lit(False)))
     real = F.coalesce(finite & F.exists(values, lambda v: v != 0), F.lit(False))
-    rows = vectors.select(number.alias("id"), F.when(real, values.cast("array<double>")).alias("vector"))
-    rows = saved(rows.withColumn("hash", F.xxhash64("vector")), "vectors")
-    # One class for each distinct vector; the hash spreads them, the vector itself decides.
-    grouped = rows.filter("vector is not null").groupBy("hash", "vector").agg(
-        F.min("id").alias("first"), F.count("*").alias("members")
-    )
-    classes = saved(
-        grouped.select("hash", "vector", "first", "members", F.size("vector").alias("dims"))
-        .withColumn("class", F.monotonically_increasing_id()),
-        "classes",
-    )
-    links = [_class_links(classes, row["dims"], limit) for row in classes.select("dims").distinct().collect()]
-    if not links:
-        return rows.select(
-            F.col("id").alias(vec_id), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
-            F.lit(True).alias("kept"),
-        )
-    found = links[0]
-    for more in links[1:]:
-        found = found.union(more)
-    counts = found.filter("other is null").groupBy("class").agg(F.sum("n").alias("n"))
-    roots = component_roots(found.filter("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
-    numbered = classes.select("class", "hash", "vector", "first", "members")
-    numbered = numbered.join(counts, "class", "left").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    numbered = saved(numbered, "linked-classes")
-    lowest = numbered.filter("root is not null").groupBy("root").agg(F.min("first").alias("lowest"))
-    labels = (
-        numbered.join(lowest, "root", "left")
-        .select(
-            F.col("hash").alias("of_hash"), F.col("vector").alias("of_vector"), F.coalesce("lowest", "first").alias("component"),
-            (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
-        )
-    )
-    same = (F.col("hash") == F.col("of_hash")) & (F.col("vector") == F.col("of_vector"))
-    linked = rows.filter("vector is not null").join(labels, same).select("id", "n_links", "component")
-    alone = rows.filter("vector is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
-    return linked.union(alone).select(
+    single = isinstance(vectors.select(values).schema[0].dataType.elementType, FloatType)
+    kept = values if single else values.cast("array<double>")
+    rows = vectors.select(number.alias("id"), F.when(real, kept).alias("vector"))
+    there = rows.filter("vector is not null")
+    lengths = there.groupBy(F.size("vector").alias("dims")).agg(F.count("*").alias("n")).orderBy("dims").collect()
+    out = rows.filter("vector is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    parts = [_classes(there.filter(F.size("vector") == r["dims"]), k, r["dims"], r["n"], limit) for k, r in enumerate(lengths)]
+    if parts:
+        members, found = parts[0]
+        for more_members, more_found in parts[1:]:
+            members, found = members.union(more_members), found.union(more_found)
+        out = _labelled(members, found).union(out)
+    return out.select(
         F.col("id").alias(vec_id), "n_links", F.col("component").alias("component_id"),
         F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
 
 
-def _class_links(classes: DataFrame, dims: int, limit: float) -> DataFrame:
-    """(class, other, n): with other null, n members of other classes link with the class; else a link."""
-    own = classes.filter(F.col("dims") == dims).select("vector", "class", "members")
-    axes = classes.sparkSession.sparkContext.broadcast(principal_axes(own, dims))
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, n_links, component) of rows (class, id, first, mates), where links (class, other, n) connect the classes."""
+    counts = found.filter("other is null").groupBy("class").agg(F.sum("n").alias("n"))
+    roots = component_roots(found.filter("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
+    roots = roots.select(F.col("node").alias("class"), "root")
+    lowest = members.select("class", "first").join(roots, "class").groupBy("root").agg(F.min("first").alias("lowest"))
+    tags = saved(roots.join(lowest, "root").join(counts, "class", "left").select("class", "lowest", "n"), "linked-classes")
+    return members.join(tags, "class", "left").select(
+        "id", (F.coalesce("n", F.lit(0)) + F.col("mates") - 1).alias("n_links"), F.coalesce("lowest", "first").alias("component")
+    )
+
+
+def _files(table: DataFrame) -> tuple[str, list[str]]:
+    """Files of a written table as tasks read them; unless the machines share them, executors fetch them once."""
+    files = sorted(table.inputFiles())
+    if all(f.startswith("file:") for f in files):
+        return "", [unquote(urlparse(f).path) for f in files]
+    folder = files[0].rsplit("/", 1)[0]
+    table.sparkSession.sparkContext.addFile(folder, recursive=True)
+    return folder.rsplit("/", 1)[-1], [unquote(f.rsplit("/", 1)[-1]) for f in files]
+
+
+def _classes(own: DataFrame, k: int, dims: int, n: int, limit: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (class, id, first, mates) of the n vectors of one length, and the links (class, other, n) of their classes.
+
+    ``first`` is the smallest id of a class, ``mates`` the number of its rows. With other null, n rows of
+    other classes link with the class; else a link.
+    """
+    spark = own.sparkSession
+    axes = spark.sparkContext.broadcast(principal_axes(own, dims))
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * limit))) + SLACK
     leading = min(LEADING, dims)
+    kind = np.float32 if isinstance(own.schema["vector"].dataType.elementType, FloatType) else np.float64
+    interval = max(1, min(INTERVAL, CHUNK_BYTES // (8 * dims)))
+    at_once = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(-(-n * dims * 8 // CHUNK_BYTES), min(at_once, -(-n // interval)))
+
+    def turned(x: np.ndarray) -> np.ndarray:
+        x, n_turned = _unit(x.astype(np.float64)), len(axes.value)
+        return np.concatenate((x[:, :n_turned] @ axes.value, x[:, n_turned:]), axis=1)
 
-    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _unit(_rows(batch.column(0), dims))
-            turned = len(axes.value)
-            x = np.concatenate((x[:, :turned] @ axes.value, x[:, turned:]), axis=1)
-            cells = np.floor(x[:, :leading] / epsilon).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(k) for k in (1, 2)],
-                    _lists(cells),
-                    _lists(x),
-                ],
-                names=["class", "members", "cell", "x"],
-            )
-
-    turned = saved(own.mapInArrow(turn, "class long, members long, cell array<int>, x array<double>"), "turned")
-    # The grid order over all tasks, then intervals of bounded size within each.
-    n = turned.count()
-    parts = max(1, -(-n // INTERVAL))
+            cells = np.floor(turned(_rows(batch.column(1), dims))[:, :leading] / epsilon).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([_lists(cells), *batch.columns], names=["cell", "id", "vector"])
+
+    def cut(batches: list[pa.RecordBatch], start: int) -> tuple[pa.RecordBatch, int]:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        ids, x = table.column("id").chunk(0), _rows(table.column("vector").chunk(0), dims).astype(kind)
+        fresh = np.concatenate(([True], (x[1:] != x[:-1]).any(axis=1)))
+        starts, of = np.flatnonzero(fresh), fresh.cumsum() - 1
+        sizes = np.diff(starts, append=len(x))
+        # The rows of a class come by id, null ids first: its smallest id is the one after them.
+        nulls = np.add.reduceat(ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), starts)
+        lowest = ids.take(pa.array((starts + np.where(nulls < sizes, nulls, 0))[of]))
+        x = np.ascontiguousarray(x[starts])
+        places = turned(x)
+        lists = (ids, lowest, pa.array(of), pa.array(sizes[of]))
+        blobs = (x, sizes.astype(np.int64), places.min(axis=0), places.max(axis=0))
+        offsets = pa.array([0, len(ids)], pa.int32())
+        columns = [pa.array([start]), *(pa.ListArray.from_arrays(offsets, v) for v in lists)]
+        columns += [pa.array([v.tobytes()], pa.binary()) for v in blobs]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names), start + len(x)
 
     def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = k << DIMS_BITS | TaskContext.get().partitionId() << PART_BITS
+        held, rows = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, INTERVAL):
-                piece = batch.slice(at, INTERVAL)
-                x = _rows(piece.column("x"), dims)
-                ids, members = piece.column("class").to_numpy(), piece.column("members").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([int(ids[0])]),
-                        pa.array([x.min(axis=0).tolist()]),
-                        pa.array([x.max(axis=0).tolist()]),
-                        pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()),
-                        pa.array([ids.tobytes()], pa.binary()),
-                        pa.array([members.tobytes()], pa.binary()),
-                    ],
-                    names=["interval", "low", "high", "x", "ids", "sizes"],
-                )
-
-    ordered = turned.repartitionByRange(parts, "cell", "class").sortWithinPartitions("cell", "class")
-    schema = "interval long, low array<double>, high array<double>, x binary, ids binary, sizes binary"
-    cut = saved(ordered.mapInArrow(intervals, schema), "intervals")
-    pairs = saved(_near_intervals(cut.select("interval", "low", "high"), epsilon, leading), "interval-pairs")
-    left = cut.select(F.col("interval").alias("a"), F.col("x").alias("x"), F.col("ids").alias("i"), F.col("sizes").alias("s"))
-    right = left.toDF("b", "x2", "i2", "s2")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "i", "s", "x2", "i2", "s2")
+            at = 0
+            while at < batch.num_rows:
+                held.append(batch.slice(at, interval - rows))
+                at, rows = at + held[-1].num_rows, rows + held[-1].num_rows
+                if rows == interval:
+                    out, start = cut(held, start)
+                    yield out
+                    held, rows = [], 0
+        if held:
+            yield cut(held, start)[0]
+
+    # The grid order over all tasks; a chunk is what one of them has, cut into intervals of bounded size.
+    dealt = own.mapInArrow(celled, StructType([field("cell", ArrayType(IntegerType())), *own.schema.fields]))
+    dealt = dealt.withColumns({"hash": F.xxhash64("vector"), "row": F.monotonically_increasing_id()})
+    order = ["cell", "hash", "id", "row"]
+    ordered = dealt.repartitionByRange(chunks, *order).sortWithinPartitions(*order).select("id", "vector")
+    ids, longs = ArrayType(own.schema["id"].dataType), ArrayType(LongType())
+    schema = StructType(
+        [field("start", LongType()), field("id", ids), field("first", ids), field("of", longs), field("mates", longs)]
+        + [field(name, BinaryType()) for name in ("x", "sizes", "low", "high")]
+    )
+    written = saved(ordered.mapInArrow(intervals, schema), "intervals")
+    members = written.select("start", F.inline(F.arrays_zip("id", "first", "of", "mates")))
+    members = members.select((F.col("start") + F.col("of")).alias("class"), "id", "first", "mates")
+    folder, files = _files(written)
+
+    def read(file: int, columns: list[str]) -> pa.Table:
+        at = f"{SparkFiles.get(folder)}/{files[file]}" if folder else files[file]
+        return pq.ParquetFile(at).read(columns)
+
+    def joined(column: pa.ChunkedArray, of: type) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), of)
+
+    def chunk(file: int) -> Chunk:
+        table = read(file, ["start", "x", "sizes"])
+        x = turned(joined(table.column("x"), kind).reshape(-1, dims))
+        return _cut(table.column("start")[0].as_py(), joined(table.column("sizes"), np.int64), x)
+
+    def boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                table = read(file, ["low", "high"])
+                if table.num_rows:
+                    low, high = (joined(table.column(c), np.float64).reshape(-1, dims) for c in ("low", "high"))
+                    ends = [pa.array([v.tobytes()], pa.binary()) for v in (low.min(axis=0), high.max(axis=0))]
+                    yield pa.RecordBatch.from_arrays([pa.array([file]), *ends], names=["file", "low", "high"])
+
+    box = spark.range(0, len(files), 1, min(len(files), at_once)).mapInArrow(boxes, "file long, low binary, high binary").toArrow()
+    filed = box.column("file").to_numpy()
+    low, high = (joined(box.column(c), np.float64).reshape(-1, dims) for c in ("low", "high"))
+    near = [filed[at:][_near(low[at : at + 1], high[at : at + 1], low[at:], high[at:], epsilon)[0]] for at in range(len(filed))]
+    step = max(1, min(CHUNKS_A_TASK, sum(map(len, near)) // (4 * at_once)))
+    items = [(int(a), b[at : at + step].tolist()) for a, b in zip(filed, near, strict=True) for at in range(0, len(b), step)]
+    given = spark.sparkContext.broadcast(items)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                a, b, *data = (batch.column(c)[k].as_py() for c in range(8))
-                x, x2 = (np.frombuffer(d).reshape(-1, dims) for d in (data[0], data[3]))
-                i, s, i2, s2 = (np.frombuffer(data[c], np.int64) for c in (1, 2, 4, 5))
-                offset = 0 if a == b else len(i)
-                names, sizes = (i, s) if a == b else (np.concatenate((i, i2)), np.concatenate((s, s2)))
-                counts, roots = np.zeros(len(names), np.int64), np.arange(len(names))
-                for p, q in join_pieces(x, x2, a == b, limit):
-                    exact = (x[p] * x2[q]).sum(axis=1) >= limit
-                    p, q = p[exact], q[exact] + offset
-                    np.add.at(counts, p, sizes[q])
-                    np.add.at(counts, q, sizes[p])
-                    roots = _unite(roots, p, q)
-                told, tied = np.flatnonzero(counts), np.flatnonzero(roots != np.arange(len(roots)))
-                other = np.concatenate((np.full(len(told), -1), names[roots[tied]]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate((names[told], names[tied]))),
-                        pa.array(other, mask=other < 0),
-                        pa.array(np.concatenate((counts[told], np.zeros(len(tied), np.int64)))),
-                    ],
-                    names=["class", "other", "n"],
-                )
-
-    n_pairs = pairs.count()
-    at_once = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = both.repartition(max(1, min(n_pairs, at_once), -(-n_pairs // PAIRS_A_TASK)), "a", "b")
-    return saved(dealt.mapInArrow(compare, "class long, other long, n long"), "class-links")
-
-
-def _near_intervals(boxes: DataFrame, epsilon: float, leading: int) -> DataFrame:
-    """Pairs a <= b of intervals whose boxes may hold a pair within epsilon.
-
-    Intervals meet in the cells of the two leading dimensions that they or their neighbours reach;
-    the whole boxes decide.
-    """
-    first = min(2, leading)
-    cell = lambda name, k, by: (F.floor(F.col(name)[k] / epsilon) + by).cast("long")
-
-    def spread(df: DataFrame, by: int) -> DataFrame:
-        for k in range(first):
-            df = df.withColumn(f"c{k}", F.explode(F.sequence(cell("low", k, -by), cell("high", k, by))))
-        return df
-
-    keys = [f"c{k}" for k in range(first)]
-    mine = spread(boxes, 0).toDF("a", "low", "high", *keys)
-    other = spread(boxes, 1).toDF("b", "low2", "high2", *keys)
-    gaps = F.zip_with(
-        F.zip_with("low", "high2", lambda l, h: l - h),
-        F.zip_with("low2", "high", lambda l, h: l - h),
-        lambda p, q: F.greatest(p, q, F.lit(0.0)),
-    )
-    distance = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g)
-    near = mine.join(other, keys).filter(distance <= epsilon * epsilon)
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            for item in batch.column(0).to_pylist():
+                a, others = given.value[item]
+                mine = chunk(a)
+                for b in others:
+                    yield _links(mine, mine if a == b else chunk(b), limit)
+
+    tasks = spark.range(0, len(items), 1, min(len(items), MOST_TASKS))
+    return members, saved(tasks.mapInArrow(compare, "class long, other long, n long"), "class-links")

@@ -149,6 +149,47 @@ def test_grid_join_of_wide_vectors(spark, monkeypatch, turned):
     assert sorted(tuple(r) for r in gridjoin.near_duplicates(df).collect()) == brute_vectors(rows, 0.95)
 
 
+@pytest.mark.parametrize(("dims", "limit"), [(40, 0.95), (40, 0.6), (12, 0.3), (64, 1.0)])
+def test_chunks_are_joined_like_all_pairs(monkeypatch, dims, limit):
+    """Near and far, sparse and dense pieces, equal vectors at a limit of one."""
+    monkeypatch.setattr(gridjoin, "LEAF", 16)
+    rng = np.random.default_rng(dims)
+    centres = rng.normal(size=(9, dims))
+    x = np.sort(rng.integers(0, 9, 130))
+    x = centres[x] + rng.normal(size=(130, dims)) * rng.choice([0.0, 0.05, 0.3], (130, 1))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    a, b = gridjoin._cut(0, np.ones(70, int), x[:70]), gridjoin._cut(70, np.ones(60, int), x[70:])
+    whole = gridjoin._cut(0, np.ones(130, int), x)
+    links = lambda *found: sorted((int(i), int(j)) for f in found for p, q in f for i, j in zip(p, q, strict=True))
+    equal = (np.abs(x[:, None] - x[None]) < 1e-15).all(axis=2)
+    expected = [(i, j) for i in range(130) for j in range(i + 1, 130) if x[i] @ x[j] >= limit or equal[i, j]]
+    across = [(i, j - 70) for i, j in expected if i < 70 <= j]
+    if limit < 1:
+        assert links(gridjoin.join_chunks(whole, whole, limit)) == expected
+        assert links(gridjoin.join_chunks(a, b, limit)) == across
+    else:
+        assert set(links(gridjoin.join_chunks(whole, whole, limit))) >= {(i, j) for i, j in expected if equal[i, j]}
+
+
+def test_grid_join_deals_out_a_vector_once(spark, monkeypatch):
+    """No vector travels again for the intervals it meets, however many those are."""
+    plans, saved = {}, gridjoin.saved
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return saved(df, name)
+
+    monkeypatch.setattr(gridjoin, "saved", recorded)
+    monkeypatch.setattr(gridjoin, "INTERVAL", 16)
+    rng = np.random.default_rng(11)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(120)] + [(None, [1.0] * 8), (500, [1.0] * 8), (501, [-0.0] + [1.0] * 7)]
+    df = spark.createDataFrame([*rows, (502, [0.0] + [1.0] * 7)], "vec_id long, embedding array<float>")
+    found = {r["vec_id"]: tuple(r)[1:] for r in gridjoin.near_duplicates(df, limit=0.999).collect()}
+    assert "Exchange" not in plans["class-links"] and "Join" not in plans["class-links"]
+    assert found[None] == (1, 500, False) and found[500] == (1, 500, True)
+    assert found[501] == (1, 501, True) and found[502] == (1, 501, False)
+
+
 def test_grid_join_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, hash string, vector string")
     assert gridjoin.near_duplicates(empty).count() == 0
