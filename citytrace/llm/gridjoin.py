@@ -109,7 +109,7 @@ class Chunk(NamedTuple):
 
 def _heads(x: np.ndarray) -> np.ndarray:
     """Leading dimensions and the length of the rest: products of two heads are cosines or more."""
-    n = max(16, x.shape[1] // 4)
+    n = max(16, x.shape[1] * 3 // 8)
     rest = np.sqrt(np.einsum("ij,ij->i", x[:, n:], x[:, n:]))
     return np.concatenate((x[:, :n], rest[:, None]), axis=1).astype(np.float32)
 
@@ -137,9 +137,16 @@ def join_chunks(a: Chunk, b: Chunk, limit: float) -> Iterator[tuple[np.ndarray,
         s, s2 = a.starts[k], b.starts[l]
         x, y = a.x[s : s + LEAF], b.x[s2 : s2 + LEAF]
         found = a.heads[s : s + LEAF] @ b.heads[s2 : s2 + LEAF].T >= np.float32(limit - COARSE)
-        if np.count_nonzero(found) > found.size // 64:
+        n = np.count_nonzero(found)
+        if not n:
+            continue
+        if n > found.size // 64:
             found = x @ y.T >= limit - SLACK
-        i, j = np.nonzero(np.triu(found, 1) if same and k == l else found)
+        if same and k == l:
+            found = np.triu(found, 1)
+        touched = np.flatnonzero(found.any(axis=1))
+        i, j = np.nonzero(found[touched])
+        i = touched[i]
         for at in range(0, len(i), LEAF * 16):
             p, q = i[at : at + LEAF * 16], j[at : at + LEAF * 16]
             left, right = x[p], y[q]
@@ -157,6 +164,7 @@ def _links(a: Chunk, b: Chunk, limit: float) -> pa.RecordBatch:
     names = names if a is b else np.concatenate((names, np.arange(len(b.x)) + b.first))
     counts, roots = np.zeros(len(names), np.int64), np.arange(len(names))
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    n_held = 0
 
     def settled(roots: np.ndarray) -> np.ndarray:
         p, q = (np.concatenate(side) for side in zip(*held, strict=True))
@@ -167,8 +175,9 @@ def _links(a: Chunk, b: Chunk, limit: float) -> pa.RecordBatch:
 
     for p, q in join_chunks(a, b, limit):
         held.append((p, q + offset))
-        if sum(len(p) for p, _ in held) >= PAIRS_HELD:
-            roots = settled(roots)
+        n_held += len(p)
+        if n_held >= PAIRS_HELD:
+            roots, n_held = settled(roots), 0
     if held:
         roots = settled(roots)
     told, tied = np.flatnonzero(counts), np.flatnonzero(roots != np.arange(len(roots)))
